@@ -38,5 +38,5 @@ def register(name: str, op: str, build: Callable[..., DataFrame], oracle: str |
 
 
 def load_all() -> dict[str, Query]:
-    from . import q_base, q_kpi  # noqa: F401
+    from . import q_base, q_integrity, q_kpi  # noqa: F401
     return REGISTRY
