@@ -259,3 +259,257 @@ def average_customer_tenure(t, as_of: str | None = None) -> DataFrame:
     """KPI-23: mean merged tenure (DER-19) in days, by owner type."""
     return (D.owner_tenure(t, as_of).groupBy("owner_type")
             .agg(F.count("*").alias("owners"), dbl(F.avg("tenure_days"), 4).alias("avg_tenure_days")))
+
+
+# ----------------------------------------------------------------------- value
+def _percentile(col: str, p: float):
+    """Distributed percentile: bounded-memory sketch per group; with the default
+    accuracy it is exact below ~10^4 values per group (the smallest value with
+    at least ``p * n`` values <= it)."""
+    return F.percentile_approx(col, p, 100000)
+
+
+def customer_lifetime_value(t) -> DataFrame:
+    """KPI-24: mean / median / p90 historical value per owner type."""
+    return (D.customer_ltv(t).groupBy("owner_type", "currency").agg(
+        F.count("*").alias("owners"), dbl(F.avg("ltv"), 2).alias("avg_ltv"),
+        money(_percentile("ltv", 0.5)).alias("median_ltv"), money(_percentile("ltv", 0.9)).alias("p90_ltv")))
+
+
+def revenue_per_customer(t) -> DataFrame:
+    """KPI-25: total revenue / owners that ever subscribed."""
+    return (D.customer_ltv(t).groupBy("currency")
+            .agg(F.count("*").alias("owners"), money(F.sum("ltv")).alias("revenue"))
+            .withColumn("revenue_per_customer", ratio(c("revenue"), c("owners"), 2)))
+
+
+def average_subscription_duration(t, as_of: str | None = None) -> DataFrame:
+    """KPI-26: mean duration in days of ended subscriptions, and of all (open ones end at ``as_of``)."""
+    a = F.lit(as_of or t.as_of).cast("date")
+    s = D.subscription_facts(t).filter(c("start_date") < a)
+    days = F.datediff(F.coalesce(c("end_date"), a), c("start_date"))
+    return s.groupBy("billing_frequency").agg(
+        F.count("end_date").alias("ended_subscriptions"),
+        dbl(F.avg(F.when(c("end_date").isNotNull(), days)), 4).alias("avg_ended_days"),
+        F.count("*").alias("all_subscriptions"), dbl(F.avg(days), 4).alias("avg_all_days"))
+
+
+def _move_rate(t, kind: str, as_of: str | None = None) -> DataFrame:
+    from .migration import plan_moves
+    am = D.active_owner_months(t, as_of)
+    base = am.groupBy(_prev_month().alias("month")).agg(F.count("*").alias("active_at_start"))
+    mv = (plan_moves(t).filter(c("product_move") == kind)
+          .groupBy(c("move_month").alias("month")).agg(F.countDistinct("owner_id").alias("movers")))
+    return (base.join(mv, "month", "full").filter(c("month") < _last_open_month(t, as_of))
+            .select("month", F.coalesce(c("active_at_start"), F.lit(0)).alias("active_at_start"),
+                    F.coalesce(c("movers"), F.lit(0)).alias(f"{kind}s"))
+            .withColumn(f"{kind}_rate", ratio(c(f"{kind}s"), c("active_at_start"))))
+
+
+def upgrade_rate(t, as_of: str | None = None) -> DataFrame:
+    """KPI-27: owners with an upgrade in the month / active at month start."""
+    return _move_rate(t, "upgrade", as_of)
+
+
+def downgrade_rate(t, as_of: str | None = None) -> DataFrame:
+    """KPI-28: owners with a downgrade in the month / active at month start."""
+    return _move_rate(t, "downgrade", as_of)
+
+
+def reactivation_rate(t, as_of: str | None = None) -> DataFrame:
+    """KPI-29: by churn month, churned owners that later started again / churned owners."""
+    r = reactivations(t, as_of)
+    return (r.groupBy("churn_month").agg(
+        F.countDistinct("owner_id").alias("churned_owners"),
+        F.countDistinct(F.when(c("next_start").isNotNull(), c("owner_id"))).alias("reactivated_owners"))
+        .withColumn("reactivation_rate", ratio(c("reactivated_owners"), c("churned_owners"))))
+
+
+# ----------------------------------------------------------------------- marketing
+def _first_paid(t) -> DataFrame:
+    return (D.revenue_facts(t).filter(c("owner_type") == "customer")
+            .groupBy(c("owner_id").alias("customer_id")).agg(F.min("paid_at").alias("first_paid_at")))
+
+
+def customer_acquisition_cost(t) -> DataFrame:
+    """KPI-30: cost of touches up to each paying customer's first payment, per touch channel,
+    / new paying customers attributed (first touch) to the channel. NULL cost = unknown, so the
+    share of touches with a known cost is reported too."""
+    fp = _first_paid(t)
+    touches = (t.marketing_touchpoints.join(fp, "customer_id")
+               .filter(c("touchpoint_at") <= c("first_paid_at")))
+    cost = touches.groupBy("channel").agg(
+        money(F.coalesce(F.sum("attributed_cost"), F.lit(0))).alias("cost"),
+        F.count("*").alias("touches"), F.count("attributed_cost").alias("costed_touches"))
+    acq = (D.attribution(t).join(fp, "customer_id", "left_semi")
+           .groupBy("channel").agg(F.count("*").alias("new_paying")))
+    return (cost.join(acq, "channel", "full")
+            .select("channel", F.coalesce(c("cost"), F.lit(0).cast("decimal(18,2)")).alias("cost"),
+                    F.coalesce(c("touches"), F.lit(0)).alias("touches"),
+                    F.coalesce(c("costed_touches"), F.lit(0)).alias("costed_touches"),
+                    F.coalesce(c("new_paying"), F.lit(0)).alias("new_paying"))
+            .withColumn("cost_coverage", ratio(c("costed_touches"), c("touches")))
+            .withColumn("cac", ratio(c("cost"), c("new_paying"), 2)))
+
+
+def conversion_rate(t) -> DataFrame:
+    """KPI-31: customers touched by the channel who paid at or after their first touch there / touched."""
+    first_touch = t.marketing_touchpoints.groupBy("customer_id", "channel").agg(
+        F.min("touchpoint_at").alias("first_touch_at"))
+    last_paid = (D.revenue_facts(t).filter(c("owner_type") == "customer")
+                 .groupBy(c("owner_id").alias("customer_id")).agg(F.max("paid_at").alias("last_paid_at")))
+    j = first_touch.join(last_paid, "customer_id", "left")
+    return (j.groupBy("channel").agg(
+        F.count("*").alias("touched"),
+        F.count_if(c("last_paid_at") >= c("first_touch_at")).alias("converted"))
+        .withColumn("conversion_rate", ratio(c("converted"), c("touched"))))
+
+
+def cost_per_acquisition(t) -> DataFrame:
+    """KPI-32: all cost spent in the channel / customers acquired through it (first touch before
+    their first subscription)."""
+    cost = t.marketing_touchpoints.groupBy("channel").agg(
+        money(F.coalesce(F.sum("attributed_cost"), F.lit(0))).alias("cost"))
+    acq = D.attribution(t).groupBy("channel").agg(F.count("*").alias("acquisitions"))
+    return (cost.join(acq, "channel", "full")
+            .select("channel", F.coalesce(c("cost"), F.lit(0).cast("decimal(18,2)")).alias("cost"),
+                    F.coalesce(c("acquisitions"), F.lit(0)).alias("acquisitions"))
+            .withColumn("cpa", ratio(c("cost"), c("acquisitions"), 2)))
+
+
+def trial_conversion_rate_by_channel(t) -> DataFrame:
+    """KPI-33: trial conversion by the customer's acquisition channel."""
+    a = D.attribution(t).select("customer_id", "channel")
+    tr = t.trials.join(a, "customer_id", "left").withColumn("channel", F.coalesce(c("channel"), F.lit("Unattributed")))
+    return (tr.groupBy("channel").agg(F.count("*").alias("trials"),
+                                      F.count_if(c("trial_status") == "converted").alias("converted"))
+            .withColumn("conversion_rate", ratio(c("converted"), c("trials"))))
+
+
+def revenue_by_acquisition_channel(t) -> DataFrame:
+    """KPI-34: revenue of customers by their first-touch channel."""
+    a = D.attribution(t).select(c("customer_id").alias("owner_id"), "channel")
+    return (D.revenue_facts(t).join(a, "owner_id").groupBy("channel", "currency")
+            .agg(money(F.sum("amount")).alias("revenue"), F.countDistinct("owner_id").alias("paying_customers")))
+
+
+def customer_lifetime_value_by_acquisition_channel(t) -> DataFrame:
+    """KPI-35: mean historical value of customers by acquisition channel."""
+    a = D.attribution(t).select(c("customer_id").alias("owner_id"), "channel")
+    return (D.customer_ltv(t).join(a, "owner_id").groupBy("channel", "currency")
+            .agg(F.count("*").alias("customers"), dbl(F.avg("ltv"), 2).alias("avg_ltv")))
+
+
+def ltv_to_cac_ratio(t) -> DataFrame:
+    """KPI-36: KPI-35 average value / KPI-30 acquisition cost, by channel."""
+    ltv = customer_lifetime_value_by_acquisition_channel(t).select("channel", "currency", "avg_ltv")
+    cac = customer_acquisition_cost(t).select("channel", "cac")
+    return ltv.join(cac, "channel", "left").withColumn("ltv_to_cac", ratio(c("avg_ltv"), c("cac"), 4))
+
+
+# ----------------------------------------------------------------------- corporate
+def active_corporate_accounts(t, as_of: str | None = None) -> DataFrame:
+    """KPI-37: organisations active at month end, by type and size band."""
+    from ..functions.columns import organisation_band
+    orgs = t.organisations.select(c("organisation_id").alias("owner_id"), "organisation_type",
+                                  organisation_band(c("organisation_size")).alias("size_band"))
+    return (D.active_owner_months(t, as_of).filter(c("owner_type") == "organisation").join(orgs, "owner_id")
+            .groupBy("month", "organisation_type", "size_band").agg(F.count("*").alias("active_accounts")))
+
+
+def corporate_revenue(t) -> DataFrame:
+    """KPI-38: revenue from organisation owners."""
+    return (D.revenue_facts(t).filter(c("owner_type") == "organisation").groupBy("month", "currency")
+            .agg(money(F.sum("amount")).alias("revenue"), F.countDistinct("owner_id").alias("paying_accounts")))
+
+
+def average_contract_value(t) -> DataFrame:
+    """KPI-39: mean of unit price x seats per billing term, and annualised (Monthly x 12)."""
+    s = D.subscription_facts(t).filter(c("owner_type") == "organisation")
+    value = c("unit_price") * F.coalesce(c("seats_purchased"), F.lit(1))
+    per_year = F.when(c("billing_frequency") == "Monthly", 12).when(c("billing_frequency") == "Annual", 1)
+    return s.groupBy("billing_frequency", "currency").agg(
+        F.count("*").alias("contracts"), dbl(F.avg(value), 2).alias("avg_contract_value"),
+        dbl(F.avg(value * per_year), 2).alias("avg_annual_contract_value"))
+
+
+def org_seats_by_month(t, as_of: str | None = None) -> DataFrame:
+    """Seats of each organisation subscription at each month end it is active (DER-10 per month),
+    found by one sweep per subscription over its month ends and seat-change events."""
+    cal = D.active_calendar(t, as_of).filter(c("owner_type") == "organisation").select(
+        "subscription_id", "owner_id", "month", "seats_purchased", "currency")
+    probe_ts = F.date_add(F.last_day("month"), 1).cast("timestamp_ntz")
+    ev = t.subscription_events.filter(c("event_type") == "seats_changed")
+    rows = (cal.select("subscription_id", probe_ts.alias("at"), F.lit(1).alias("kind"), "month", "owner_id",
+                       "seats_purchased", "currency", F.lit(None).cast("int").alias("new_n"),
+                       F.lit(None).cast("int").alias("prev_n"), F.lit(None).cast("string").alias("event_id"))
+            .unionByName(ev.select("subscription_id", c("event_at").alias("at"), F.lit(0).alias("kind"),
+                                   F.lit(None).cast("date").alias("month"), F.lit(None).cast("string").alias("owner_id"),
+                                   F.lit(None).cast("int").alias("seats_purchased"),
+                                   F.lit(None).cast("string").alias("currency"),
+                                   c("new_seat_count").alias("new_n"), c("previous_seat_count").alias("prev_n"),
+                                   "event_id")))
+    # events at exactly the probe instant count as "after" (probe is the exclusive bound), so probes sort first
+    w = Window.partitionBy("subscription_id").orderBy("at", F.desc("kind"), "event_id")
+    before = F.last("new_n", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    after = F.first("prev_n", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    return (rows.select("*", before.alias("last_new"), after.alias("next_prev")).filter(c("kind") == 1)
+            .select("subscription_id", "owner_id", "month", "currency",
+                    F.coalesce(c("last_new"), c("next_prev"), c("seats_purchased")).cast("bigint").alias("seats")))
+
+
+def seats_purchased(t, as_of: str | None = None) -> DataFrame:
+    """KPI-40: seats of organisation subscriptions active at month end (history-aware)."""
+    return (org_seats_by_month(t, as_of).groupBy("month")
+            .agg(F.sum("seats").alias("seats_purchased"), F.count("*").alias("subscriptions")))
+
+
+def org_users_by_month(t, as_of: str | None = None) -> DataFrame:
+    """Active seat users at each month end, only on subscriptions active then."""
+    a = F.lit(as_of or t.as_of).cast("date")
+    u = t.organisation_users
+    cap = F.least(F.coalesce(c("deactivation_date"), a), a)
+    months = u.filter(month(c("activation_date")) <= F.add_months(month(cap), -1)).select(
+        "subscription_id", F.explode(F.sequence(month(c("activation_date")), F.add_months(month(cap), -1),
+                                                F.expr("interval 1 month"))).alias("month"))
+    live = D.active_calendar(t, as_of).select("subscription_id", "month")
+    return months.join(live, ["subscription_id", "month"], "left_semi")
+
+
+def seats_activated(t, as_of: str | None = None) -> DataFrame:
+    """KPI-41: active seat users at month end."""
+    return org_users_by_month(t, as_of).groupBy("month").agg(F.count("*").alias("seats_activated"))
+
+
+def seat_utilisation_monthly(t, as_of: str | None = None) -> DataFrame:
+    """KPI-42: seats activated / seats purchased at month end."""
+    return (seats_purchased(t, as_of).join(seats_activated(t, as_of), "month", "left")
+            .select("month", "seats_purchased", F.coalesce(c("seats_activated"), F.lit(0)).alias("seats_activated"))
+            .withColumn("seat_utilisation", ratio(c("seats_activated"), c("seats_purchased"))))
+
+
+def revenue_per_seat(t, as_of: str | None = None) -> DataFrame:
+    """KPI-43: corporate revenue in the month / seats purchased at its end."""
+    seats = org_seats_by_month(t, as_of).groupBy("month", "currency").agg(F.sum("seats").alias("seats_purchased"))
+    rev = corporate_revenue(t).select("month", "currency", "revenue")
+    return (seats.join(rev, ["month", "currency"], "left")
+            .select("month", "currency", "seats_purchased",
+                    F.coalesce(c("revenue"), F.lit(0).cast("decimal(18,2)")).alias("revenue"))
+            .withColumn("revenue_per_seat", ratio(c("revenue"), c("seats_purchased"), 4)))
+
+
+def corporate_renewal_rate(t) -> DataFrame:
+    """KPI-44: renewal rate of organisation subscriptions, Monthly vs Annual."""
+    s = D.subscription_facts(t).filter(c("owner_type") == "organisation").select("subscription_id",
+                                                                                   "billing_frequency")
+    e = t.subscription_events.filter(c("event_type").isin("renewed", "subscription_ended")).join(s, "subscription_id")
+    return (e.groupBy(month(c("event_at")).alias("month"), "billing_frequency").agg(
+        F.count_if(c("event_type") == "renewed").alias("renewed"),
+        F.count_if((c("event_type") == "subscription_ended") & (c("event_reason") != "plan_change")).alias("lapsed"))
+        .filter((c("renewed") + c("lapsed")) > 0)
+        .withColumn("renewal_rate", ratio(c("renewed"), c("renewed") + c("lapsed"))))
+
+
+def corporate_churn_rate(t, as_of: str | None = None) -> DataFrame:
+    """KPI-45: churn rate over organisation owners."""
+    return _churn_rate(t, as_of, owner_filter=c("owner_type") == "organisation")
