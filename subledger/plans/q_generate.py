@@ -1,0 +1,148 @@
+"""Generator queries (GEN-*): generated tables, their validation and summaries.
+
+Ids come from the driver tables (customer and supplier keys), so the work
+grows with the data. The oracle recomputes the same hash uniforms in DuckDB.
+"""
+
+from __future__ import annotations
+
+from ..operators import generate as G
+from .catalog import register
+
+
+def _d(x: float) -> str:
+    return f"cast({x!r} as double)"
+
+
+def u(row: str, salt: str) -> str:
+    return (f"(cast(('0x' || substr(md5(cast({row} as varchar) || ':{salt}'), 1, 8)) as bigint) "
+            f"/ cast(4294967296 as double))")
+
+
+def weighted(x: str, options) -> str:
+    total = sum(p for _, p in options)
+    acc, whens = 0.0, []
+    for value, p in options[:-1]:
+        acc += p / total
+        whens.append(f"when {x} < {_d(acc)} then '{value}'")
+    return f"case {' '.join(whens)} else '{options[-1][0]}' end"
+
+
+def pick(x: str, values) -> str:
+    arr = "[" + ", ".join(f"'{v}'" for v in values) + "]"
+    return f"({arr})[cast(floor({x} * {len(values)}) as integer) + 1]"
+
+
+def by_type(col: str, mapping: dict, fn) -> str:
+    return "case " + " ".join(f"when {col} = '{k}' then {fn(v)}" for k, v in mapping.items()) + " end"
+
+
+def slug(x: str) -> str:
+    return f"regexp_replace(regexp_replace(lower({x}), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
+
+
+SEASON = "case " + " ".join(
+    f"when month(month) in ({', '.join(map(str, ms))}) then {_d(w)}" for ms, w in G.SEASONALITY) + f" else {_d(1.0)} end"
+
+MONTH_WEIGHTS = f"""
+select i, month, p, coalesce(lag(hi) over (order by i), 0.0) as lo, hi, i = max(i) over () as last
+from (select *, sum(p) over (order by i rows between unbounded preceding and current row) as hi
+      from (select i, month, w / sum(w) over () as p
+            from (select i, month,
+                         ({_d(G.GROWTH_FROM)} + i * ({_d(G.GROWTH_TO - G.GROWTH_FROM)} / greatest(count(*) over () - 1, 1)))
+                         * {SEASON} as w
+                  from (select cast(row_number() over (order by m) - 1 as bigint) as i, cast(m as date) as month
+                        from range(date '{G.DATA_START}', date '{G.DATA_END}' + 1, interval 1 month) t(m)) a) b) c) d"""
+
+
+def signup(ids: str, salt: str) -> str:
+    um, ud = u("gid", salt + "-month"), u("gid", salt + "-day")
+    return f"""
+select x.gid, cast(mw.month + cast(floor(x.ud * (datediff('day', mw.month, least(last_day(mw.month), date '{G.DATA_END}')) + 1))
+                                    as integer) as date) as signup_date
+from (select gid, {um} as um, {ud} as ud from ({ids}) i) x
+join ({MONTH_WEIGHTS}) mw on x.um >= mw.lo and (x.um < mw.hi or mw.last)"""
+
+
+FIRST = pick(u("gid", "first-name"), G.FIRST_NAMES)
+LAST = pick(u("gid", "last-name"), G.LAST_NAMES)
+CUSTOMERS = f"""
+select printf('CUST%06d', gid + 1) as customer_id, {FIRST} as first_name, {LAST} as last_name,
+       {slug(FIRST)} || '.' || {slug(LAST)} || '.' || lower(printf('CUST%06d', gid + 1)) || '@{G.CUSTOMER_EMAIL_DOMAIN}' as email,
+       signup_date,
+       {weighted(u('gid', 'country'), G.CUSTOMER_COUNTRIES)} as country,
+       {weighted(u('gid', 'status'), G.CUSTOMER_ACCOUNT_STATUS)} as account_status
+from ({signup('select c_custkey as gid from customer', 'customer')}) s"""
+
+TYPE = weighted(u("gid", "org-type"), G.ORGANISATION_TYPES)
+ONAME = ("{p} || ' ' || " + by_type("organisation_type", G.NAME_SUFFIXES, lambda v: pick(u("gid", "org-suffix"), v))
+         + " || ' ' || printf('%03d', gid + 1)").format(p=pick(u("gid", "org-prefix"), G.NAME_PREFIXES))
+BETA = "list_sort([" + ", ".join(u("gid", f"size-{i}") for i in range(5)) + "])[2]"
+SIZE = ("cast(round_even(" + by_type("organisation_type", G.SIZE_RANGES, lambda v: _d(float(v[0]))) + " + " + BETA
+        + " * (" + by_type("organisation_type", G.SIZE_RANGES, lambda v: _d(float(v[1]))) + " - "
+        + by_type("organisation_type", G.SIZE_RANGES, lambda v: _d(float(v[0]))) + "), 0) as integer)")
+CFIRST = pick(u("gid", "contact-first"), G.FIRST_NAMES)
+CLAST = pick(u("gid", "contact-last"), G.LAST_NAMES)
+ORGANISATIONS = f"""
+select printf('ORG%04d', gid + 1) as organisation_id, {ONAME} as organisation_name, organisation_type,
+       {by_type('organisation_type', G.INDUSTRIES_BY_TYPE, lambda v: pick(u('gid', 'industry'), v))} as industry,
+       {SIZE} as organisation_size, signup_date,
+       {CFIRST} || ' ' || {CLAST} as billing_contact_name,
+       {slug(CFIRST)} || '.' || {slug(CLAST)} || '@' || {slug(ONAME)} || '.example' as billing_contact_email,
+       {weighted(u('gid', 'org-status'), G.ORGANISATION_ACCOUNT_STATUS)} as account_status,
+       cast(signup_date as timestamp) + to_hours(cast(floor({u('gid', 'hour')} * 24) as integer))
+           + to_minutes(cast(floor({u('gid', 'minute')} * 60) as integer)) as created_at
+from (select s.*, {TYPE} as organisation_type
+      from ({signup('select s_suppkey as gid from supplier', 'organisation')}) s) o"""
+
+
+def _gen_customers(t):
+    return G.generated(t)[0]
+
+
+def _gen_orgs(t):
+    return G.generated(t)[1]
+
+
+register("generated_customers", "GEN-8", _gen_customers, CUSTOMERS)
+register("generated_organisations", "GEN-9", _gen_orgs, ORGANISATIONS)
+
+register("generator_validation", "GEN-14", lambda t: G.validate_generated(*G.generated(t)), f"""
+with c as ({CUSTOMERS}), o as ({ORGANISATIONS}),
+     cc as (select count(*) as n, count(distinct customer_id) as ids, count(distinct email) as emails,
+                   count(*) filter (where customer_id is null or email is null or signup_date is null) as nulls,
+                   count(*) filter (where account_status not in ('active', 'suspended', 'closed')) as bad_status from c),
+     oc as (select count(*) as n, count(distinct organisation_id) as ids, count(distinct organisation_name) as names,
+                   count(*) filter (where not (organisation_size > 0)) as bad_size,
+                   count(*) filter (where account_status not in ('active', 'suspended', 'closed')) as bad_status from o)
+select 'customers_unique_id' as check_name, cast(cc.n - cc.ids as bigint) as failures from cc
+union all select 'customers_unique_email', cast(cc.n - cc.emails as bigint) from cc
+union all select 'customers_not_null', cast(cc.nulls as bigint) from cc
+union all select 'customers_status_domain', cast(cc.bad_status as bigint) from cc
+union all select 'organisations_unique_id', cast(oc.n - oc.ids as bigint) from oc
+union all select 'organisations_unique_name', cast(oc.n - oc.names as bigint) from oc
+union all select 'organisations_size_positive', cast(oc.bad_size as bigint) from oc
+union all select 'organisations_status_domain', cast(oc.bad_status as bigint) from oc""")
+
+register("customer_country_share", "GEN-15", lambda t: G.category_share(_gen_customers(t), "country"), f"""
+select country, round_even(cast(count(*) as double) * 100 / sum(count(*)) over (), 1) as share_pct
+from ({CUSTOMERS}) c where country is not null group by country""")
+
+register("customer_status_counts", "GEN-16", lambda t: G.category_counts(_gen_customers(t), "account_status"), f"""
+select account_status, count(*) as n from ({CUSTOMERS}) c group by 1""")
+
+register("organisation_type_counts", "GEN-16", lambda t: G.category_counts(_gen_orgs(t), "organisation_type"), f"""
+select organisation_type, count(*) as n from ({ORGANISATIONS}) o group by 1""")
+
+
+def _q(p: float) -> str:
+    return (f"cast((select min(organisation_size) from (select organisation_size, row_number() over "
+            f"(order by organisation_size) as rn from o) z where rn >= ceil({p} * (select count(*) from o))) as bigint)")
+
+
+register("organisation_size_summary", "GEN-17", lambda t: G.numeric_summary(_gen_orgs(t), "organisation_size"), f"""
+with o as ({ORGANISATIONS})
+select cast(count(organisation_size) as bigint) as count, round_even(avg(organisation_size), 0) as mean,
+       round_even(stddev_samp(organisation_size), 0) as std, cast(min(organisation_size) as bigint) as min,
+       {_q(0.25)} as p25, {_q(0.5)} as p50, {_q(0.75)} as p75, cast(max(organisation_size) as bigint) as max
+from o""")

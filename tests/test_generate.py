@@ -1,0 +1,50 @@
+"""Generator properties: month weights, partition independence, distribution shares, clean output."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from subledger.operators import generate as G
+from subledger.operators import integrity as I
+
+# Signup-month probabilities worked out from the reference's growth x seasonality rule (FIXTURES.md).
+EXPECTED = [0.03833, 0.03692, 0.03858, 0.04374, 0.04555, 0.05587, 0.05800, 0.05096, 0.05804, 0.06002, 0.06651,
+            0.05817, 0.05998, 0.05684, 0.05850, 0.06539, 0.06719, 0.08141]
+
+
+def test_month_weights(spark):
+    rows = G.month_weights(spark).orderBy("i").collect()
+    assert len(rows) == 18
+    assert [round(r["p"], 5) for r in rows] == EXPECTED
+    assert rows[0]["lo"] == 0.0 and rows[-1]["last"]
+    assert all(rows[i]["lo"] == rows[i - 1]["hi"] for i in range(1, 18))
+
+
+def test_partition_independent(spark):
+    ids = spark.range(2000)
+    a = G.generate_customers(ids.repartition(1)).orderBy("customer_id").collect()
+    b = G.generate_customers(ids.repartition(7)).orderBy("customer_id").collect()
+    assert a == b
+
+
+def test_shares_close_to_weights(spark):
+    cust = G.generate_customers(spark.range(20000))
+    share = {r["country"]: r["share_pct"] for r in G.category_share(cust, "country").collect()}
+    assert abs(share["Kenya"] - 72.0) < 1.5 and abs(share["Uganda"] - 8.0) < 1.0
+    d = cust.agg(F.min("signup_date"), F.max("signup_date")).first()
+    assert str(d[0]) >= G.DATA_START and str(d[1]) <= G.DATA_END
+
+
+def test_generated_tables_pass_integrity(spark):
+    from subledger.sources.fixtures import Tables
+
+    cust = G.generate_customers(spark.range(3000))
+    orgs = G.generate_organisations(spark.range(300))
+    t = Tables(spark, "/root/testdata/sf0.001").with_tables(customers=cust, organisations=orgs)
+    rep = I.integrity_report(t, tables=["customers", "organisations"])
+    assert rep.filter("violations > 0").count() == 0
+    assert G.validate_generated(cust, orgs, 3000, 300).filter("failures > 0").count() == 0
+    sizes = orgs.groupBy("organisation_type").agg(F.min("organisation_size").alias("lo"),
+                                                  F.max("organisation_size").alias("hi")).collect()
+    for r in sizes:
+        lo, hi = G.SIZE_RANGES[r["organisation_type"]]
+        assert lo <= r["lo"] and r["hi"] <= hi
