@@ -206,3 +206,17 @@ where event_type = 'cancellation_requested'""")
 register("customer_ltv", "DER-18", D.customer_ltv, "select * from sf_ltv")
 
 register("owner_tenure", "DER-19", D.owner_tenure, "select * from sf_tenure")
+
+
+def _csv_roundtrip(t):
+    """SRC-4/6: payments written as CSV (header, overwrite) to the shared checkpoint folder and
+    read back with the declared schema."""
+    from ..session import scratch_path
+    from ..sources import io
+
+    path = scratch_path(t.spark, "csv-roundtrip")
+    io.write_table(t.payments, "payments", path, "csv")
+    return io.read_table(t.spark, "payments", path, "csv")
+
+
+register("csv_roundtrip_payments", "SRC-4..6", _csv_roundtrip, "select * from payments")
