@@ -9,28 +9,40 @@ from ..sources import reference_data as R
 from .catalog import register
 from .oracle_fixtures import AS_OF
 
-register("rate_card", "SRC-7", R.rate_card, """
+USAGE = "(select plan_id, count(*) as n from subscriptions group by plan_id)"
+
+register("rate_card", "SRC-7", R.rate_card, f"""
 select pl.product_id, pr.product_name,
        cast(max(case when billing_frequency = 'Daily' then unit_price end) as decimal(18,2)) as daily,
        cast(max(case when billing_frequency = 'Weekly' then unit_price end) as decimal(18,2)) as weekly,
        cast(max(case when billing_frequency = 'Monthly' then unit_price end) as decimal(18,2)) as monthly,
-       cast(max(case when billing_frequency = 'Annual' then unit_price end) as decimal(18,2)) as annual
-from plans pl join products pr on pl.product_id = pr.product_id
+       cast(max(case when billing_frequency = 'Annual' then unit_price end) as decimal(18,2)) as annual,
+       cast(coalesce(sum(u.n) filter (where billing_frequency = 'Daily'), 0) as bigint) as daily_sold,
+       cast(coalesce(sum(u.n) filter (where billing_frequency = 'Weekly'), 0) as bigint) as weekly_sold,
+       cast(coalesce(sum(u.n) filter (where billing_frequency = 'Monthly'), 0) as bigint) as monthly_sold,
+       cast(coalesce(sum(u.n) filter (where billing_frequency = 'Annual'), 0) as bigint) as annual_sold
+from plans pl join products pr on pl.product_id = pr.product_id left join {USAGE} u on u.plan_id = pl.plan_id
 group by pl.product_id, pr.product_name""")
 
-register("plan_availability", "SRC-8", R.plan_availability, """
+register("plan_availability", "SRC-8", R.plan_availability, f"""
 select p.product_id, p.product_name, f.billing_frequency,
        exists (select 1 from plans x where x.product_id = p.product_id
-                                      and x.billing_frequency = f.billing_frequency) as available
+                                      and x.billing_frequency = f.billing_frequency) as available,
+       cast(coalesce((select sum(u.n) from plans x join {USAGE} u on u.plan_id = x.plan_id
+                      where x.product_id = p.product_id and x.billing_frequency = f.billing_frequency), 0)
+            as bigint) as subscriptions
 from products p cross join (select distinct billing_frequency from plans) f""")
 
-register("effective_discount", "SRC-9", R.effective_discount, """
+register("effective_discount", "SRC-9", R.effective_discount, f"""
 select m.product_id, pr.product_name,
        cast(m.unit_price as decimal(18,2)) as monthly_price, cast(a.unit_price as decimal(18,2)) as annual_price,
        cast(m.unit_price * 12 as decimal(18,2)) as twelve_monthly,
-       round(1 - cast(a.unit_price as double) / (cast(m.unit_price as double) * 12), 6) as discount
+       round(1 - cast(a.unit_price as double) / (cast(m.unit_price as double) * 12), 6) as discount,
+       round(cast(coalesce(ua.n, 0) as double)
+             / nullif(cast(coalesce(ua.n, 0) + coalesce(um.n, 0) as double), 0), 6) as annual_take_up
 from plans m join plans a on a.product_id = m.product_id and a.billing_frequency = 'Annual'
 join products pr on pr.product_id = m.product_id
+left join {USAGE} um on um.plan_id = m.plan_id left join {USAGE} ua on ua.plan_id = a.plan_id
 where m.billing_frequency = 'Monthly'""")
 
 register("subscription_facts", "DER-1", D.subscription_facts, "select * from sf_subs")

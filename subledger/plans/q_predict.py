@@ -67,6 +67,7 @@ from (select distinct owner_id, owner_type from sf_subs
 
 register("churn_model", "PRD-3", P.churn_model)
 register("churn_model_auc", "PRD-3", P.churn_model_auc)
+register("upgrade_propensity", "PRD-6", P.upgrade_propensity)
 register("churn_risk_score", "PRD-4", P.churn_risk_score, RISK_BANDED)
 
 register("revenue_forecast", "PRD-5", P.revenue_forecast, """

@@ -65,36 +65,52 @@ def plans(spark: SparkSession) -> DataFrame:
 FREQUENCY_ORDER = ["Daily", "Weekly", "Monthly", "Annual"]
 
 
+def _plan_usage(t) -> DataFrame:
+    """Subscriptions sold per plan (a partial aggregate on the fact, then an 18-row result)."""
+    return t.subscriptions.groupBy("plan_id").agg(F.count("*").alias("subscriptions"))
+
+
 def rate_card(t) -> DataFrame:
-    """SRC-7: product x billing-frequency price matrix (NULL where no plan)."""
-    return (
-        t.plans.join(F.broadcast(t.products.select("product_id", "product_name")), "product_id")
-        .groupBy("product_id", "product_name")
-        .pivot("billing_frequency", FREQUENCY_ORDER)
-        .agg(F.max("unit_price"))
-        .select("product_id", "product_name",
-                *[F.col(f).cast("decimal(18,2)").alias(f.lower()) for f in FREQUENCY_ORDER])
-    )
+    """SRC-7: product x billing-frequency price matrix (NULL where no plan), with the number of
+    subscriptions sold in each cell."""
+    p = (t.plans.join(F.broadcast(t.products.select("product_id", "product_name")), "product_id")
+         .join(F.broadcast(_plan_usage(t)), "plan_id", "left"))
+    g = (p.groupBy("product_id", "product_name").pivot("billing_frequency", FREQUENCY_ORDER)
+         .agg(F.max("unit_price").alias("price"), F.sum("subscriptions").alias("sold")))
+    return g.select("product_id", "product_name",
+                    *[F.col(f"{f}_price").cast("decimal(18,2)").alias(f.lower()) for f in FREQUENCY_ORDER],
+                    *[F.coalesce(F.col(f"{f}_sold"), F.lit(0)).cast("bigint").alias(f"{f.lower()}_sold")
+                      for f in FREQUENCY_ORDER])
 
 
 def plan_availability(t) -> DataFrame:
-    """SRC-8: which billing frequencies each product is sold in (one row per product x frequency)."""
+    """SRC-8: which billing frequencies each product is sold in (one row per product x frequency),
+    with the subscriptions sold there."""
     freqs = t.plans.select("billing_frequency").distinct()
-    offered = t.plans.groupBy("product_id", "billing_frequency").agg(F.count("*").alias("n_plans"))
+    offered = (t.plans.join(F.broadcast(_plan_usage(t)), "plan_id", "left")
+               .groupBy("product_id", "billing_frequency")
+               .agg(F.count("*").alias("n_plans"), F.sum("subscriptions").alias("subscriptions")))
     return (
         t.products.select("product_id", "product_name").crossJoin(F.broadcast(freqs))
         .join(offered, ["product_id", "billing_frequency"], "left")
         .select("product_id", "product_name", "billing_frequency",
-                F.coalesce(F.col("n_plans") > 0, F.lit(False)).alias("available"))
+                F.coalesce(F.col("n_plans") > 0, F.lit(False)).alias("available"),
+                F.coalesce(F.col("subscriptions"), F.lit(0)).cast("bigint").alias("subscriptions"))
     )
 
 
 def effective_discount(t) -> DataFrame:
-    """SRC-9: annual price vs twelve monthly payments, per product that sells both."""
-    per = t.plans.groupBy("product_id").agg(
+    """SRC-9: annual price vs twelve monthly payments, per product that sells both, and the share
+    of that product's monthly + annual subscriptions taken on the annual plan."""
+    p = t.plans.join(F.broadcast(_plan_usage(t)), "plan_id", "left")
+    per = p.groupBy("product_id").agg(
         F.max(F.when(F.col("billing_frequency") == "Monthly", F.col("unit_price"))).alias("monthly_price"),
         F.max(F.when(F.col("billing_frequency") == "Annual", F.col("unit_price"))).alias("annual_price"),
+        F.sum(F.when(F.col("billing_frequency") == "Monthly", F.col("subscriptions"))).alias("monthly_subs"),
+        F.sum(F.when(F.col("billing_frequency") == "Annual", F.col("subscriptions"))).alias("annual_subs"),
     ).filter(F.col("monthly_price").isNotNull() & F.col("annual_price").isNotNull())
+    annual = F.coalesce(F.col("annual_subs"), F.lit(0))
+    both = annual + F.coalesce(F.col("monthly_subs"), F.lit(0))
     return (
         per.join(F.broadcast(t.products.select("product_id", "product_name")), "product_id")
         .select(
@@ -104,5 +120,6 @@ def effective_discount(t) -> DataFrame:
             (F.col("monthly_price") * 12).cast("decimal(18,2)").alias("twelve_monthly"),
             F.round(1 - F.col("annual_price").cast("double") / (F.col("monthly_price").cast("double") * 12), 6)
             .alias("discount"),
+            F.round(F.try_divide(annual.cast("double"), both.cast("double")), 6).alias("annual_take_up"),
         )
     )
