@@ -12,13 +12,17 @@ Conventions
 
 Scale notes
 -----------
-The dimension tables (products, plans, organisations) are bounded and
-broadcast. Fact-to-fact relations are keyed by owner or subscription. The
-interval lookups that a naive plan would write as an equi + range join (churn
-continuation, next start after churn) are written as one sorted sweep per
-owner (``union`` + window running max/min), so no owner's rows are ever
-paired with each other; the calendars are ``sequence`` explosions of each
-row (narrow, no join), deduplicated by a partial aggregate before any shuffle.
+Only the fixed reference tables (products: 6 rows, plans: 18 rows) are
+broadcast explicitly; everything else is left to Catalyst/AQE. Fact-to-fact
+relations are keyed by owner or subscription. The interval lookups that a
+naive plan would write as an equi + range join (churn continuation, next start
+after churn, activity on a day, merged tenure) are sweeps over *day-level
+aggregates*: rows are first reduced to one per (owner, day) by a partial
+aggregate, the window runs over those (bounded by the calendar span, even for
+an owner holding a third of all rows), and answers are joined back by
+(owner, day). No owner's rows are ever paired with each other. Calendars are
+``sequence`` explosions of each row (narrow, no join), deduplicated by a
+partial aggregate before any shuffle.
 """
 
 from __future__ import annotations
@@ -58,20 +62,44 @@ def subscription_facts(t) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- DER-2
+def owner_neighbours(s: DataFrame) -> DataFrame:
+    """Position and previous / next subscription of each subscription in its owner's
+    (start_date, subscription_id) order, in two levels so no window holds an owner's rows:
+    neighbours inside one (owner, start day) come from a window over that day's rows; across
+    days from a window over one row per (owner, day) (bounded by the calendar span), joined
+    back by (owner, day)."""
+    base = s.select("owner_id", "start_date", "subscription_id")
+    wd = Window.partitionBy("owner_id", "start_date").orderBy("subscription_id")
+    within = base.select("*", F.lag("subscription_id").over(wd).alias("prev_in_day"),
+                         F.lead("subscription_id").over(wd).alias("next_in_day"),
+                         F.row_number().over(wd).alias("rank_in_day"))
+    days = base.groupBy("owner_id", "start_date").agg(
+        F.min("subscription_id").alias("first_id"), F.max("subscription_id").alias("last_id"),
+        F.count("*").alias("n"))
+    wo = Window.partitionBy("owner_id").orderBy("start_date")
+    days = days.select("owner_id", "start_date", F.lag("last_id").over(wo).alias("prev_day_last"),
+                       F.lead("first_id").over(wo).alias("next_day_first"),
+                       F.coalesce(F.sum("n").over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+                       .alias("before"))
+    return within.join(days, ["owner_id", "start_date"]).select(
+        "subscription_id", (c("before") + c("rank_in_day")).cast("int").alias("seq"),
+        F.coalesce(c("prev_in_day"), c("prev_day_last")).alias("prev_subscription_id"),
+        F.coalesce(c("next_in_day"), c("next_day_first")).alias("next_subscription_id"))
+
+
 def owner_timeline(t) -> DataFrame:
     """DER-2: previous / next subscription of the same owner and the gap between them."""
     s = subscription_facts(t)
-    w = Window.partitionBy("owner_id").orderBy("start_date", "subscription_id")
-    return s.select(
-        "subscription_id", "owner_id", "owner_type", "plan_id", "product_name", "billing_frequency",
-        "start_date", "end_date", "end_reason",
-        F.row_number().over(w).cast("int").alias("seq"),
-        F.lag("subscription_id").over(w).alias("prev_subscription_id"),
-        F.lag("end_date").over(w).alias("prev_end_date"),
-        F.lag("end_reason").over(w).alias("prev_end_reason"),
-        F.lead("subscription_id").over(w).alias("next_subscription_id"),
-        F.lead("start_date").over(w).alias("next_start_date"),
-    ).withColumn("gap_days", F.datediff("start_date", "prev_end_date").cast("int"))
+    nb = owner_neighbours(s)
+    prev = s.select(c("subscription_id").alias("prev_subscription_id"), c("end_date").alias("prev_end_date"),
+                    c("end_reason").alias("prev_end_reason"))
+    nxt = s.select(c("subscription_id").alias("next_subscription_id"), c("start_date").alias("next_start_date"))
+    return (s.select("subscription_id", "owner_id", "owner_type", "plan_id", "product_name", "billing_frequency",
+                     "start_date", "end_date", "end_reason")
+            .join(nb, "subscription_id")
+            .join(prev, "prev_subscription_id", "left")
+            .join(nxt, "next_subscription_id", "left")
+            .withColumn("gap_days", F.datediff("start_date", "prev_end_date").cast("int")))
 
 
 # --------------------------------------------------------------------------- DER-3
@@ -79,26 +107,25 @@ def _continues(subs: DataFrame, probes: DataFrame) -> DataFrame:
     """For each probe (owner_id, probe_id, at, after) tell whether any subscription of the
     owner starts on or before ``at`` and ends after ``after`` (open = never ends).
 
-    One sweep per owner: subscriptions (key = start) and probes (key = at) are
-    sorted together; the running max of subscription ends up to each probe is
-    the latest end among subscriptions started by then.
+    Skew-safe sweep: subscriptions are first reduced to one row per (owner, start day) with the
+    latest end (a partial aggregate, so a hot owner costs one row per day, not per subscription),
+    probe days likewise; one running max per owner over those day rows gives the latest end
+    among subscriptions started by each probe day, joined back to the probes by (owner, day).
+    Per-owner window state is bounded by the calendar span, not by the owner's row count.
     """
     far = F.lit(FAR_FUTURE).cast("date")
-    rows = (
-        subs.select("owner_id", c("start_date").alias("key"), F.lit(0).alias("kind"),
-                    F.coalesce(c("end_date"), far).alias("reach"), F.lit(None).cast("string").alias("probe_id"),
-                    F.lit(None).cast("date").alias("after"))
-        .unionByName(
-            probes.select("owner_id", c("at").alias("key"), F.lit(1).alias("kind"),
-                          F.lit(None).cast("date").alias("reach"), "probe_id", "after"))
-    )
-    w = (Window.partitionBy("owner_id").orderBy("key", "kind")
+    sub_days = subs.groupBy("owner_id", c("start_date").alias("day")).agg(
+        F.max(F.coalesce(c("end_date"), far)).alias("reach"))
+    probe_days = probes.select("owner_id", c("at").alias("day")).distinct()
+    rows = (sub_days.select("owner_id", "day", F.lit(0).alias("kind"), "reach")
+            .unionByName(probe_days.select("owner_id", "day", F.lit(1).alias("kind"),
+                                           F.lit(None).cast("date").alias("reach"))))
+    w = (Window.partitionBy("owner_id").orderBy("day", "kind")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (
-        rows.withColumn("max_reach", F.max("reach").over(w))
-        .filter(c("kind") == 1)
-        .select("probe_id", F.coalesce(c("max_reach") > c("after"), F.lit(False)).alias("continued"))
-    )
+    reach_at = (rows.withColumn("max_reach", F.max("reach").over(w)).filter(c("kind") == 1)
+                .select("owner_id", c("day").alias("at"), "max_reach"))
+    return (probes.join(reach_at, ["owner_id", "at"], "left")
+            .select("probe_id", F.coalesce(c("max_reach") > c("after"), F.lit(False)).alias("continued")))
 
 
 def churn_events(t, as_of: str | None = None, grace_days: int = DEFAULT_GRACE_DAYS) -> DataFrame:
@@ -120,18 +147,20 @@ def churn_events(t, as_of: str | None = None, grace_days: int = DEFAULT_GRACE_DA
 
 
 def next_start_after(t, probes: DataFrame) -> DataFrame:
-    """For probes (owner_id, probe_id, at): the first subscription start of the owner strictly after ``at``."""
+    """For probes (owner_id, probe_id, at): the first subscription start of the owner strictly after
+    ``at``. Same skew-safe shape as ``_continues``: distinct (owner, day) rows, one running min
+    per owner from the right, joined back by (owner, day)."""
     s = subscription_facts(t)
-    rows = (
-        s.select("owner_id", c("start_date").alias("key"), F.lit(0).alias("kind"), c("start_date").alias("st"),
-                 F.lit(None).cast("string").alias("probe_id"))
-        .unionByName(probes.select("owner_id", c("at").alias("key"), F.lit(1).alias("kind"),
-                                   F.lit(None).cast("date").alias("st"), "probe_id"))
-    )
-    w = (Window.partitionBy("owner_id").orderBy("key", "kind")
+    start_days = s.select("owner_id", c("start_date").alias("day")).distinct()
+    probe_days = probes.select("owner_id", c("at").alias("day")).distinct()
+    rows = (start_days.select("owner_id", "day", F.lit(0).alias("kind"), c("day").alias("st"))
+            .unionByName(probe_days.select("owner_id", "day", F.lit(1).alias("kind"),
+                                           F.lit(None).cast("date").alias("st"))))
+    w = (Window.partitionBy("owner_id").orderBy("day", "kind")
          .rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    return (rows.withColumn("next_start", F.min("st").over(w)).filter(c("kind") == 1)
-            .select("probe_id", "next_start"))
+    nxt = (rows.withColumn("next_start", F.min("st").over(w)).filter(c("kind") == 1)
+           .select("owner_id", c("day").alias("at"), "next_start"))
+    return probes.join(nxt, ["owner_id", "at"], "left").select("probe_id", "next_start")
 
 
 # --------------------------------------------------------------------------- DER-4 / DER-5 as tables
@@ -410,13 +439,17 @@ def customer_ltv(t) -> DataFrame:
 
 # --------------------------------------------------------------------------- DER-19
 def owner_islands(t, as_of: str | None = None) -> DataFrame:
-    """Merged activity intervals per owner (overlapping / touching subscriptions joined)."""
+    """Merged activity intervals per owner (overlapping / touching subscriptions joined).
+
+    Subscriptions starting on the same day are first merged into one interval per (owner, start
+    day) by a partial aggregate; the island sweep then runs over at most one row per owner and
+    calendar day, so a hot owner's window is bounded by the date span, not its row count."""
     s = subscription_facts(t)
     a = _as_of(t, as_of)
-    iv = s.filter(c("start_date") < a).select(
-        "owner_id", "owner_type", "start_date", F.least(F.coalesce(c("end_date"), a), a).alias("stop"),
-        "subscription_id")
-    w = Window.partitionBy("owner_id").orderBy("start_date", "subscription_id")
+    iv = (s.filter(c("start_date") < a)
+          .groupBy("owner_id", "owner_type", "start_date")
+          .agg(F.max(F.least(F.coalesce(c("end_date"), a), a)).alias("stop")))
+    w = Window.partitionBy("owner_id").orderBy("start_date")
     prev_reach = F.max("stop").over(w.rowsBetween(Window.unboundedPreceding, -1))
     marked = iv.select("*", F.when(prev_reach.isNull() | (c("start_date") > prev_reach), 1).otherwise(0).alias("new"))
     islands = marked.select("*", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("island"))

@@ -3,8 +3,9 @@ support, promotions, campaigns, reactivation, engagement, payment failures, chan
 
 ``range_sums`` is the shared interval aggregate: for probe windows
 ``[start, end)`` per key it sums fact values whose day falls inside, as two
-look-ups into one running sum per key (a sorted sweep), so a key with many
-facts and many windows never produces facts x windows pairs.
+look-ups into one running sum per key over day-level aggregates, so a key
+with many facts and many windows never produces facts x windows pairs and its
+window state is bounded by the calendar span.
 """
 
 from __future__ import annotations
@@ -24,21 +25,27 @@ def _as_of(t, as_of):
 
 def range_sums(facts: DataFrame, probes: DataFrame, key: str, values: list[str]) -> DataFrame:
     """facts (key, day, values...) and probes (key, probe_id, start, end) ->
-    probe_id + sum of each value over facts with ``start <= day < end``."""
-    zero = [F.lit(None).cast("double").alias(v) for v in values]
-    f = facts.select(c(key).alias("k"), c("day").alias("pos"), F.lit(1).alias("kind"),
-                     F.lit(None).cast("string").alias("probe_id"), F.lit(None).cast("string").alias("side"),
-                     *[c(v).cast("double").alias(v) for v in values])
-    p = reduce(DataFrame.unionByName, [
-        probes.select(c(key).alias("k"), c(bound).alias("pos"), F.lit(0).alias("kind"), "probe_id",
-                      F.lit(bound).alias("side"), *zero)
-        for bound in ("start", "end")])
+    probe_id + sum of each value over facts with ``start <= day < end``.
+
+    Facts are summed per (key, day) first (partial aggregate) and probe bounds reduced to distinct
+    (key, day) rows, so the running sum per key runs over at most two rows per calendar day;
+    each probe then reads its two bounds back by (key, day) equi-joins."""
+    daily = facts.groupBy(c(key).alias("k"), c("day").alias("pos")).agg(
+        *[F.sum(c(v).cast("double")).alias(v) for v in values])
+    bounds = (probes.select(c(key).alias("k"), c("start").alias("pos"))
+              .unionByName(probes.select(c(key).alias("k"), c("end").alias("pos"))).distinct())
+    rows = (daily.select("k", "pos", F.lit(1).alias("kind"), *values)
+            .unionByName(bounds.select("k", "pos", F.lit(0).alias("kind"),
+                                       *[F.lit(None).cast("double").alias(v) for v in values])))
     w = Window.partitionBy("k").orderBy("pos", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    swept = f.unionByName(p).select("probe_id", "side", "kind",
-                                    *[F.coalesce(F.sum(v).over(w), F.lit(0.0)).alias(v) for v in values])
-    sign = F.when(c("side") == "end", 1.0).otherwise(-1.0)
-    return (swept.filter(c("kind") == 0).groupBy("probe_id")
-            .agg(*[F.sum(c(v) * sign).alias(v) for v in values]))
+    cum = (rows.select("k", "pos", "kind", *[F.coalesce(F.sum(v).over(w), F.lit(0.0)).alias(v) for v in values])
+           .filter(c("kind") == 0).drop("kind"))
+    lo = cum.select(c("k").alias("lk"), c("pos").alias("start"), *[c(v).alias(f"lo_{v}") for v in values])
+    hi = cum.select(c("k").alias("hk"), c("pos").alias("end"), *[c(v).alias(f"hi_{v}") for v in values])
+    p = probes.select(c(key).alias("pk"), "probe_id", "start", "end")
+    j = (p.join(lo, (p.pk == lo.lk) & (p.start == lo.start)).drop(lo.start)
+         .join(hi, (p.pk == hi.hk) & (p.end == hi.end)))
+    return j.select("probe_id", *[(c(f"hi_{v}") - c(f"lo_{v}")).alias(v) for v in values])
 
 
 # ----------------------------------------------------------------------- DIA-1

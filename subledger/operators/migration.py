@@ -27,8 +27,8 @@ def plan_moves(t) -> DataFrame:
     """MIG-1: classify every plan change as upgrade / downgrade / lateral / same product and
     longer / shorter / same cycle, with the recurring revenue before and after."""
     s = D.subscription_facts(t)
-    w = Window.partitionBy("owner_id").orderBy("start_date", "subscription_id")
-    seq = s.select("*", F.lead("subscription_id").over(w).alias("next_id")).filter(c("end_reason") == "plan_change")
+    nb = D.owner_neighbours(s).select("subscription_id", c("next_subscription_id").alias("next_id"))
+    seq = s.filter(c("end_reason") == "plan_change").join(nb, "subscription_id")
     tiers = F.broadcast(product_tiers(t))
     a = seq.join(tiers, "product_id")
     b = s.join(tiers, "product_id").select(*[c(x).alias(f"to_{x}") for x in (
