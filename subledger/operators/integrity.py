@@ -28,15 +28,18 @@ REPORT_COLUMNS = ["rule", "table_name", "kind", "violations", "rows"]
 BOUNDED_PARENTS = {"products", "plans"}  # fixed seed tables: always tiny
 
 
-def _report(table: str, kind: str, counts: dict[str, Column], df: DataFrame) -> DataFrame:
-    """One aggregate pass over ``df`` turned into one report row per rule."""
+def _report(table: str, kind, counts: dict, df: DataFrame) -> DataFrame:
+    """One aggregate pass over ``df`` turned into one report row per rule. ``counts`` maps rule ->
+    count expression, or rule -> (kind, count expression) when ``kind`` is None."""
     if not counts:
         return None
     names = list(counts)
-    agg = df.agg(F.count("*").alias("__rows"), *[counts[n].alias(f"c{i}") for i, n in enumerate(names)])
-    stack = ", ".join(f"'{n}', c{i}" for i, n in enumerate(names))
-    return agg.selectExpr(f"stack({len(names)}, {stack}) as (rule, violations)", "__rows").select(
-        "rule", F.lit(table).alias("table_name"), F.lit(kind).alias("kind"),
+    kinds = {n: (counts[n][0] if kind is None else kind) for n in names}
+    exprs = {n: (counts[n][1] if kind is None else counts[n]) for n in names}
+    agg = df.agg(F.count("*").alias("__rows"), *[exprs[n].alias(f"c{i}") for i, n in enumerate(names)])
+    stack = ", ".join(f"'{n}', '{kinds[n]}', c{i}" for i, n in enumerate(names))
+    return agg.selectExpr(f"stack({len(names)}, {stack}) as (rule, kind, violations)", "__rows").select(
+        "rule", F.lit(table).alias("table_name"), "kind",
         F.col("violations").cast("bigint").alias("violations"), F.col("__rows").cast("bigint").alias("rows"))
 
 
@@ -65,8 +68,8 @@ def length_violations(t, tables=None) -> DataFrame:
         for n, df in _tables(t, tables))
 
 
-def unique_violations(t, tables=None) -> DataFrame:
-    """CON-3: rows whose primary key or unique key appears more than once (NULL keys ignored)."""
+def _unique_counts(t, tables=None) -> DataFrame:
+    """(rule, table_name, kind, violations): rows whose PK / UNIQUE key appears more than once."""
     parts = []
     for n, df in _tables(t, tables):
         keys = [(f"pk_{n}", (TABLES[n].primary_key,))] + [
@@ -74,29 +77,57 @@ def unique_violations(t, tables=None) -> DataFrame:
         for rule, key in keys:
             notnull = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
             dup = (df.filter(notnull).groupBy(*key).count().filter("count > 1")
-                   .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("violations")))
-            parts.append(dup.crossJoin(df.agg(F.count("*").alias("rows"))).select(
-                F.lit(rule).alias("rule"), F.lit(n).alias("table_name"), F.lit("unique").alias("kind"),
-                F.col("violations").cast("bigint"), F.col("rows").cast("bigint")))
+                   .agg(F.coalesce(F.sum("count"), F.lit(0)).cast("bigint").alias("violations")))
+            parts.append(dup.select(F.lit(rule).alias("rule"), F.lit(n).alias("table_name"),
+                                    F.lit("unique").alias("kind"), "violations"))
     return _union(parts)
 
 
-def fk_violations(t, tables=None) -> DataFrame:
-    """CON-4: child rows whose non-NULL foreign key has no parent row."""
-    parts = []
+def unique_violations(t, tables=None) -> DataFrame:
+    """CON-3: rows whose primary key or unique key appears more than once (NULL keys ignored)."""
+    return _unique_counts(t, tables).join(_table_rows(t, tables), "table_name").select(*REPORT_COLUMNS)
+
+
+def _fk_orphans(t, tables=None) -> DataFrame:
+    """(rule, table_name, violations) for every foreign key, one anti-join per *parent*: the keys
+    of all children pointing at the same parent are tagged with their rule and checked together,
+    so each parent's keys are shuffled once however many tables reference it."""
+    by_parent: dict[str, list] = {}
     for n, df in _tables(t, tables):
         for fk in TABLES[n].foreign_keys:
-            parent = getattr(t, fk.parent).select(F.col(fk.parent_column).alias("__pk"))
-            if fk.parent in BOUNDED_PARENTS:
-                parent = F.broadcast(parent)
-            child = df.select(F.col(fk.column).alias("__fk")).filter(F.col("__fk").isNotNull())
-            orphans = child.join(parent, child.__fk == parent.__pk, "left_anti").agg(F.count("*").alias("violations"))
-            parts.append(orphans.crossJoin(df.agg(F.count("*").alias("rows"))).select(
-                F.lit(f"fk_{n}_{fk.column}").alias("rule"), F.lit(n).alias("table_name"), F.lit("foreign_key").alias("kind"),
-                F.col("violations").cast("bigint"), F.col("rows").cast("bigint")))
+            by_parent.setdefault(fk.parent, []).append((n, df, fk))
+    parts = []
+    for parent, items in by_parent.items():
+        pk_col = items[0][2].parent_column
+        keys = reduce(DataFrame.unionByName, [
+            df.select(F.lit(f"fk_{n}_{fk.column}").alias("rule"), F.col(fk.column).alias("__fk"))
+            .filter(F.col("__fk").isNotNull()) for n, df, fk in items])
+        pk = getattr(t, parent).select(F.col(pk_col).alias("__pk"))
+        if parent in BOUNDED_PARENTS:
+            pk = F.broadcast(pk)
+        found = keys.join(pk, keys.__fk == pk.__pk, "left_anti").groupBy("rule").agg(F.count("*").alias("n"))
+        rules = reduce(DataFrame.unionByName, [
+            t.spark.range(1).select(F.lit(f"fk_{n}_{fk.column}").alias("rule"), F.lit(n).alias("table_name"))
+            for n, _, fk in items])
+        parts.append(rules.join(found, "rule", "left").select(
+            "rule", "table_name", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("violations")))
     return _union(parts)
 
 
+def _table_rows(t, tables=None) -> DataFrame:
+    return _union(df.agg(F.count("*").cast("bigint").alias("rows")).select(F.lit(n).alias("table_name"), "rows")
+                  for n, df in _tables(t, tables))
+
+
+def fk_violations(t, tables=None) -> DataFrame:
+    """CON-4: child rows whose non-NULL foreign key has no parent row."""
+    orphans = _fk_orphans(t, tables)
+    if orphans is None:
+        return None
+    return (orphans.join(_table_rows(t, tables), "table_name")
+            .select("rule", "table_name", F.lit("foreign_key").alias("kind"), "violations", "rows"))
+
+
 def check_predicate(pred: str, mode: str = "lenient") -> Column:
     """Violation condition of a CHECK predicate: FALSE fails; NULL fails only in strict mode."""
     p = F.expr(pred)
@@ -112,9 +143,27 @@ def check_violations(t, mode: str = "lenient", tables=None) -> DataFrame:
 
 
 def integrity_report(t, mode: str = "lenient", tables=None) -> DataFrame:
-    """CON-6: every rule of CON-1..5 as one report."""
-    return _union([not_null_violations(t, tables), length_violations(t, tables), unique_violations(t, tables),
-                   fk_violations(t, tables), check_violations(t, mode, tables)])
+    """CON-6: every rule of CON-1..5 as one report.
+
+    All row-local rules of a table (not-null, length, CHECK) share one aggregate pass that also
+    counts the table's rows; uniqueness costs one grouped count per key; foreign keys one
+    anti-join per parent table."""
+    local = _union(
+        _report(n, None, {
+            **{f"nn_{n}_{c.name}": ("not_null", F.count_if(F.col(c.name).isNull()))
+               for c in TABLES[n].columns if not c.nullable},
+            **{f"len_{n}_{c.name}": ("length", F.count_if(F.length(c.name) > c.length))
+               for c in TABLES[n].columns if c.length},
+            **{name: (f"check_{mode}", F.count_if(check_predicate(pred, mode))) for name, pred in TABLES[n].checks},
+        }, df)
+        for n, df in _tables(t, tables))
+    rows = local.select("table_name", "rows").distinct()
+    orphans = _fk_orphans(t, tables)
+    keyed = _union([_unique_counts(t, tables),
+                    orphans.withColumn("kind", F.lit("foreign_key")) if orphans is not None else None])
+    if keyed is None:
+        return local
+    return local.unionByName(keyed.join(rows, "table_name").select(*REPORT_COLUMNS))
 
 
 def quarantine(df: DataFrame, table: str, mode: str = "lenient") -> DataFrame:

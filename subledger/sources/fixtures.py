@@ -99,11 +99,21 @@ class Tables:
         return out
 
     def materialized(self, path: str) -> "Tables":
-        """Write all twelve tables once under ``path`` and read them back."""
+        """Write all twelve tables once under ``path`` and read them back.
+
+        The shared helpers (``sub_end``: one row per subscription with its owner neighbours,
+        ``paid``: numbered payment attempts) feed several tables, so they are computed once
+        and cut from their lineage with a reliable checkpoint in the cluster's checkpoint folder."""
+        from ..session import checkpoint_dir
+
+        checkpoint_dir(self.spark)
+        helpers = self.with_tables()  # keeps any replaced tables
+        helpers.__dict__["sub_end"] = self.sub_end.checkpoint()
+        helpers.__dict__["paid"] = helpers.paid.checkpoint()
         written = {}
         for name in self.names:
             target = os.path.join(path, name)
-            getattr(self, name).write.mode("overwrite").parquet(target)
+            getattr(helpers, name).write.mode("overwrite").parquet(target)
             written[name] = self.spark.read.schema(TABLES[name].schema).parquet(target)
         return self.with_tables(**written)
 
