@@ -77,3 +77,10 @@ def monthly_factor(freq: Column) -> Column:
 
 def days_between(end: Column, start: Column) -> Column:
     return F.datediff(end, start).cast("int")
+
+
+def epoch_seconds(ts: Column) -> Column:
+    """Whole seconds since 1970-01-01 of a ``timestamp_ntz`` without any time-zone conversion
+    (calendar arithmetic on the local fields, so the result never depends on the session zone)."""
+    day = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long")
+    return day * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.floor(F.second(ts)).cast("long")

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import c, dbl, money, month, monthly_factor, organisation_band, ratio
+from ..functions.columns import c, dbl, epoch_seconds, money, month, monthly_factor, organisation_band, ratio
 from . import derive as D
 
 
@@ -175,7 +175,7 @@ def support_vs_churn(t, as_of=None) -> DataFrame:
     cust = per_cust.groupBy("issue_category").agg(
         F.sum("cases").cast("bigint").alias("cases"), F.count("*").alias("customers"),
         F.count("churned").alias("churned_customers"))
-    hours = (F.unix_timestamp(c("resolved_at").cast("timestamp")) - F.unix_timestamp(c("interaction_at").cast("timestamp"))) / 3600.0
+    hours = (epoch_seconds(c("resolved_at")) - epoch_seconds(c("interaction_at"))) / 3600.0
     res = s.groupBy("issue_category").agg(dbl(F.avg(hours), 4).alias("avg_resolution_hours"),
                                           F.count_if(c("resolution_status") != "resolved").alias("open_cases"))
     return (cust.join(res, "issue_category")
