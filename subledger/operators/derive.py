@@ -30,6 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ordering import ordered_neighbours
 from ..functions.columns import (
     DEFAULT_GRACE_DAYS, c, churn_type, dbl, money, month, organisation_band, owner_id, owner_type, ratio,
 )
@@ -64,27 +65,11 @@ def subscription_facts(t) -> DataFrame:
 # --------------------------------------------------------------------------- DER-2
 def owner_neighbours(s: DataFrame) -> DataFrame:
     """Position and previous / next subscription of each subscription in its owner's
-    (start_date, subscription_id) order, in two levels so no window holds an owner's rows:
-    neighbours inside one (owner, start day) come from a window over that day's rows; across
-    days from a window over one row per (owner, day) (bounded by the calendar span), joined
-    back by (owner, day)."""
-    base = s.select("owner_id", "start_date", "subscription_id")
-    wd = Window.partitionBy("owner_id", "start_date").orderBy("subscription_id")
-    within = base.select("*", F.lag("subscription_id").over(wd).alias("prev_in_day"),
-                         F.lead("subscription_id").over(wd).alias("next_in_day"),
-                         F.row_number().over(wd).alias("rank_in_day"))
-    days = base.groupBy("owner_id", "start_date").agg(
-        F.min("subscription_id").alias("first_id"), F.max("subscription_id").alias("last_id"),
-        F.count("*").alias("n"))
-    wo = Window.partitionBy("owner_id").orderBy("start_date")
-    days = days.select("owner_id", "start_date", F.lag("last_id").over(wo).alias("prev_day_last"),
-                       F.lead("first_id").over(wo).alias("next_day_first"),
-                       F.coalesce(F.sum("n").over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-                       .alias("before"))
-    return within.join(days, ["owner_id", "start_date"]).select(
-        "subscription_id", (c("before") + c("rank_in_day")).cast("int").alias("seq"),
-        F.coalesce(c("prev_in_day"), c("prev_day_last")).alias("prev_subscription_id"),
-        F.coalesce(c("next_in_day"), c("next_day_first")).alias("next_subscription_id"))
+    (start_date, subscription_id) order, computed without a window over an owner's rows
+    (``functions.ordering.ordered_neighbours``)."""
+    return ordered_neighbours(s, "owner_id", "start_date", "subscription_id").select(
+        "subscription_id", "seq", F.col("prev_id").alias("prev_subscription_id"),
+        F.col("next_id").alias("next_subscription_id"))
 
 
 def owner_timeline(t) -> DataFrame:

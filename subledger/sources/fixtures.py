@@ -9,10 +9,12 @@ Order dates are shifted so subscriptions end around the fixed ``as_of``.
 All expressions are integer arithmetic, ``case``, dates and exact decimals,
 so the DuckDB oracle (``subledger.plans.oracle_fixtures``) builds the same rows.
 
-Scale notes: the only shuffles are the owner window (``sub_seq``), the
-per-order line window (``pay_seq``, co-partitioned with the join to
-``sub_end`` on the order key), the seat-user join and the engagement
-aggregate. ``plans`` is an 18-row literal and is always broadcast.
+Scale notes: an owner's order (previous / next subscription) is computed in two
+levels (``functions.ordering``), so no window ever holds one owner's rows; the
+other shuffles are the per-order line numbering (``paid``, bounded by an order's
+lines, co-partitioned with the join to ``sub_end`` on the order key), the
+seat-user join and the engagement aggregate. ``plans`` is an 18-row literal and
+is always broadcast.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 
 from .. import AS_OF
 from . import reference_data
+from ..functions.ordering import ordered_neighbours
 from .schemas import TABLES
 
 # Fixed values of the driver-table mapping.
@@ -186,15 +189,13 @@ class Tables:
         """One row per subscription with its owner neighbours, actual end and reason."""
         p = self.plans.select("plan_id", F.col("billing_period_days").alias("bpd"), "unit_price")
         b = self.sub_base.join(F.broadcast(p), "plan_id")
-        w = Window.partitionBy("owner_id").orderBy("start_date", "o_orderkey")
+        # owner order by (start_date, o_orderkey), without a window over an owner's rows
+        nb = ordered_neighbours(b, "owner_id", "start_date", "o_orderkey").select(
+            "o_orderkey", F.col("next_day").alias("next_start"), F.col("next_id").alias("next_key"),
+            F.col("prev_id").alias("prev_key"))
         as_of = self.as_of_col
-        s = b.select(
-            "*",
-            _days(F.col("start_date"), F.col("bpd") * (1 + F.col("o_orderkey") % 6)).alias("planned_end"),
-            F.lead("start_date").over(w).alias("next_start"),
-            F.lead("o_orderkey").over(w).alias("next_key"),
-            F.lag("o_orderkey").over(w).alias("prev_key"),
-        )
+        s = b.join(nb, "o_orderkey").select(
+            "*", _days(F.col("start_date"), F.col("bpd") * (1 + F.col("o_orderkey") % 6)).alias("planned_end"))
         changed = F.col("next_start").isNotNull() & (F.col("next_start") <= F.col("planned_end"))
         lapsed = F.col("planned_end") <= as_of
         s = s.select(
@@ -204,9 +205,9 @@ class Tables:
             .when(lapsed, _case(F.col("o_orderkey") % 3, ["voluntary_cancel", "payment_failure", "non_renewal"]))
             .alias("end_reason"),
         )
-        return s.select(
+        prev = s.select(F.col("o_orderkey").alias("prev_key"), F.col("end_reason").alias("prev_end_reason"))
+        return s.join(prev, "prev_key", "left").select(
             "*",
-            F.lag("end_reason").over(w).alias("prev_end_reason"),
             F.floor(F.greatest(F.datediff(F.coalesce(F.col("end_date"), as_of), F.col("start_date")) - 1, F.lit(0))
                     / F.col("bpd")).cast("int").alias("k"),
         )
