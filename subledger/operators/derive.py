@@ -354,9 +354,11 @@ def active_any_day(t, as_of: str | None = None) -> DataFrame:
             .select("*", F.explode(F.sequence(lo, hi, F.expr("interval 1 month"))).alias("month")))
 
 
-def active_owner_months(t, as_of: str | None = None) -> DataFrame:
-    """Distinct (owner, month) active at month end (partial aggregate dedups before the shuffle)."""
-    return active_calendar(t, as_of).select("owner_id", "owner_type", "month").distinct()
+def active_owner_months(t, as_of: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """Distinct (owner, month[, by...]) active at month end (a partial aggregate dedups before the
+    shuffle). ``by`` takes subscription attributes (product_name, billing_frequency, plan_id, ...):
+    an owner active in two products in a month counts once in each."""
+    return active_calendar(t, as_of).select("owner_id", "owner_type", "month", *by).distinct()
 
 
 # --------------------------------------------------------------------------- DER-16

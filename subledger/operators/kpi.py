@@ -36,12 +36,21 @@ def new_subscribers(t) -> DataFrame:
             .agg(F.count("*").alias("new_subscribers")))
 
 
-def active_subscribers(t, as_of: str | None = None) -> DataFrame:
-    """KPI-2: distinct owners active at month end."""
-    return (D.active_owner_months(t, as_of).groupBy("month")
+def active_subscribers(t, as_of: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """KPI-2: distinct owners active at month end (per ``by`` group when given)."""
+    return (D.active_owner_months(t, as_of, by).groupBy("month", *by)
             .agg(F.count("*").alias("active_subscribers")))
 
 
+def new_subscribers_by_channel(t) -> DataFrame:
+    """KPI-1 by acquisition channel (first touch, DER-11); organisations as 'Organisation'."""
+    ch = D.attribution(t).select(c("customer_id").alias("owner_id"), "channel")
+    return (D.first_subscription(t).join(ch, "owner_id", "left")
+            .groupBy(month(c("first_start")).alias("month"),
+                     F.coalesce(c("channel"), F.lit("Organisation")).alias("channel"))
+            .agg(F.count("*").alias("new_subscribers")))
+
+
 def paid_subscribers(t, as_of: str | None = None) -> DataFrame:
     """KPI-3: owners active at month end with at least one successful payment by then."""
     first_paid = D.revenue_facts(t).groupBy("owner_id").agg(F.min("paid_at").alias("first_paid_at"))
@@ -193,41 +202,47 @@ def renewal_rate(t) -> DataFrame:
     return _renewals(t.subscription_events.filter(c("event_type").isin("renewed", "subscription_ended")))
 
 
-def _retention(am: DataFrame) -> DataFrame:
-    start = am.select("owner_id", _prev_month().alias("month"))  # active at end of previous month
-    kept = start.join(am.select("owner_id", "month", F.lit(1).alias("still")), ["owner_id", "month"], "left")
-    return (kept.groupBy("month").agg(F.count("*").alias("active_at_start"),
-                                      F.count("still").alias("retained"))
+def _retention(am: DataFrame, live: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Owners active at the end of m-1 (in each ``by`` group) that are still active at the end of m."""
+    start = am.select("owner_id", _prev_month().alias("month"), *by)  # active at end of previous month
+    kept = start.join(live.select("owner_id", "month", F.lit(1).alias("still")), ["owner_id", "month"], "left")
+    return (kept.groupBy("month", *by).agg(F.count("*").alias("active_at_start"),
+                                           F.count("still").alias("retained"))
             .withColumn("retention_rate", ratio(c("retained"), c("active_at_start"))))
 
 
-def retention_rate(t, as_of: str | None = None) -> DataFrame:
+def retention_rate(t, as_of: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """KPI-18: owners active at month start and at month end / active at month start.
 
-    Month start = end of the previous month; only months whose end is before ``as_of``."""
-    am = D.active_owner_months(t, as_of)
-    return _retention(am).filter(c("month") < _last_open_month(t, as_of))
+    Month start = end of the previous month; only months whose end is before ``as_of``. With
+    ``by`` (e.g. product_name) the cohort is split by what the owner held at month start and an
+    owner counts as retained when still active at month end in any product."""
+    live = D.active_owner_months(t, as_of)
+    am = D.active_owner_months(t, as_of, by) if by else live
+    return _retention(am, live, by).filter(c("month") < _last_open_month(t, as_of))
 
 
-def _churn_rate(t, as_of, churn_filter=None, owner_filter=None) -> DataFrame:
-    am = D.active_owner_months(t, as_of)
+def _churn_rate(t, as_of, churn_filter=None, owner_filter=None, by: tuple[str, ...] = ()) -> DataFrame:
+    am = D.active_owner_months(t, as_of, by)
     ch = D.churn_events(t, as_of)
     if owner_filter is not None:
         am, ch = am.filter(owner_filter), ch.filter(owner_filter)
     if churn_filter is not None:
         ch = ch.filter(churn_filter)
-    base = am.groupBy(_prev_month().alias("month")).agg(F.count("*").alias("active_at_start"))
-    churned = ch.groupBy(c("churn_month").alias("month")).agg(F.countDistinct("owner_id").alias("churned"))
-    return (base.join(churned, "month", "full")
+    keys = ["month", *by]
+    base = am.groupBy(_prev_month().alias("month"), *by).agg(F.count("*").alias("active_at_start"))
+    churned = ch.groupBy(c("churn_month").alias("month"), *by).agg(F.countDistinct("owner_id").alias("churned"))
+    return (base.join(churned, keys, "full")
             .filter(c("month") < _last_open_month(t, as_of))
-            .select("month", F.coalesce(c("active_at_start"), F.lit(0)).alias("active_at_start"),
+            .select(*keys, F.coalesce(c("active_at_start"), F.lit(0)).alias("active_at_start"),
                     F.coalesce(c("churned"), F.lit(0)).alias("churned"))
             .withColumn("churn_rate", ratio(c("churned"), c("active_at_start"))))
 
 
-def churn_rate(t, as_of: str | None = None) -> DataFrame:
-    """KPI-19: owners churned (DER-3) in the month / active at month start."""
-    return _churn_rate(t, as_of)
+def churn_rate(t, as_of: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """KPI-19: owners churned (DER-3) in the month / active at month start; with ``by`` (product,
+    billing frequency) the churned subscription's and the month-start subscriptions' attributes."""
+    return _churn_rate(t, as_of, by=by)
 
 
 def voluntary_churn_rate(t, as_of: str | None = None) -> DataFrame:

@@ -169,3 +169,39 @@ join s on s.cohort_month = a.cohort_month""")
 register("average_customer_tenure", "KPI-23", K.average_customer_tenure, """
 select owner_type, count(*) as owners, round(avg(tenure_days), 4) as avg_tenure_days
 from sf_tenure group by owner_type""")
+
+
+# ----------------------------------------------------------------------- "by ..." questions
+register("new_subscribers_by_channel", "KPI-1", K.new_subscribers_by_channel, f"""
+select {M.format('f.first_start')} as month, coalesce(a.channel, 'Organisation') as channel, count(*) as new_subscribers
+from sf_first f left join sf_attr a on a.customer_id = f.owner_id group by 1, 2""")
+
+register("active_subscribers_by_product", "KPI-2", lambda t: K.active_subscribers(t, by=("product_name",)), """
+select month, product_name, count(*) as active_subscribers
+from (select distinct owner_id, month, product_name from sf_cal) x group by 1, 2""")
+
+register("retention_rate_by_product", "KPI-18", lambda t: K.retention_rate(t, by=("product_name",)), f"""
+select s.month, s.product_name, count(*) as active_at_start, count(e.owner_id) as retained,
+       {rate('count(e.owner_id)', 'count(*)')} as retention_rate
+from (select distinct owner_id, product_name, cast(month + interval 1 month as date) as month from sf_cal) s
+left join sf_owner_months e on e.owner_id = s.owner_id and e.month = s.month
+where s.month < {OPEN_MONTH}
+group by s.month, s.product_name""")
+
+
+def churn_by_sql(dim: str) -> str:
+    return f"""
+select coalesce(b.month, c.month) as month, coalesce(b.{dim}, c.{dim}) as {dim},
+       coalesce(b.n, 0) as active_at_start, coalesce(c.n, 0) as churned,
+       {rate('coalesce(c.n, 0)', 'coalesce(b.n, 0)')} as churn_rate
+from (select cast(month + interval 1 month as date) as month, {dim}, count(*) as n
+      from (select distinct owner_id, month, {dim} from sf_cal) x group by 1, 2) b
+full join (select churn_month as month, {dim}, count(distinct owner_id) as n from sf_churn group by 1, 2) c
+  on b.month = c.month and b.{dim} = c.{dim}
+where coalesce(b.month, c.month) < {OPEN_MONTH}"""
+
+
+register("churn_rate_by_frequency", "KPI-19", lambda t: K.churn_rate(t, by=("billing_frequency",)),
+         churn_by_sql("billing_frequency"))
+register("churn_rate_by_product", "KPI-19", lambda t: K.churn_rate(t, by=("product_name",)),
+         churn_by_sql("product_name"))
