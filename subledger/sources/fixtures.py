@@ -101,18 +101,25 @@ class Tables:
         out.__dict__.update(out._overrides)  # instance values win over cached_property
         return out
 
-    def materialized(self, path: str) -> "Tables":
+    def materialized(self, path: str, buckets: int | None = None) -> "Tables":
         """Write all twelve tables once under ``path`` and read them back.
 
         The shared helpers (``sub_end``: one row per subscription with its owner neighbours,
         ``paid``: numbered payment attempts) feed several tables, so they are computed once
-        and cut from their lineage with a reliable checkpoint in the cluster's checkpoint folder."""
+        and cut from their lineage with a reliable checkpoint in the cluster's checkpoint folder.
+        With ``buckets`` the subscription-keyed tables are written as catalog tables bucketed by
+        ``subscription_id`` (``sources.io.write_bucketed_tables``), so their joins skip the shuffle."""
         from ..session import checkpoint_dir
+        from . import io
 
         checkpoint_dir(self.spark)
         helpers = self.with_tables()  # keeps any replaced tables
         helpers.__dict__["sub_end"] = self.sub_end.checkpoint()
         helpers.__dict__["paid"] = helpers.paid.checkpoint()
+        if buckets:
+            prefix = "t_" + os.path.basename(os.path.normpath(path)).replace("-", "_")
+            names = io.write_bucketed_tables(helpers, path, buckets, prefix=prefix)
+            return io.load_bucketed_tables(self.spark, names, self)
         written = {}
         for name in self.names:
             target = os.path.join(path, name)

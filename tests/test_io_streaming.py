@@ -59,3 +59,22 @@ def test_ingest_stream_quarantines_bad_rows(spark):
     assert good.count() == pay.count() - 1
     rules = {r["payment_id"]: r["violated_rules"] for r in rejected.collect()}
     assert rules == {first: ["chk_payment_amount"], "PAY_ORPHAN": ["fk_payments_subscription_id"]}
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from subledger.operators import derive as D
+
+    t = _small(spark)
+    d = tempfile.mkdtemp(prefix="subledger-bucket-", dir="/tmp")
+    names = io.write_bucketed_tables(t, d, 4, prefix="bucket_test")
+    bt = io.load_bucketed_tables(spark, names, t)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = D.revenue_facts(bt)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        assert "Exchange hashpartitioning(subscription_id" not in plan
+        assert df.count() == D.revenue_facts(t).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
