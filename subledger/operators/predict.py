@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import c, dbl, money, month, monthly_factor, ratio
+from ..functions.columns import c, dbl, money, ratio
 from . import derive as D
 from .diagnostics import range_sums
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from ..operators import predict as P
 from .catalog import register
 from .oracle_fixtures import AS_OF
-from .q_diag import CONV
 from .q_kpi import MRR, rate
 from .q_more import CAC, LTV_BY_CHANNEL, MOVES
 
@@ -185,4 +184,3 @@ with seg as ({RFM}), risk as ({RISK_BANDED})
 select seg.segment, risk.risk_band, count(*) as owners, round(avg(seg.monetary), 2) as avg_value
 from seg join risk on risk.owner_id = seg.owner_id group by 1, 2""")
 
-_ = CONV  # channel conversion is part of DIA-13; PRD-12 ranks on value and retention only

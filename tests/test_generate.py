@@ -1,6 +1,5 @@
 """Generator properties: month weights, partition independence, distribution shares, clean output."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from subledger.operators import generate as G
