@@ -449,26 +449,32 @@ def average_contract_value(t) -> DataFrame:
 
 
 def org_seats_by_month(t, as_of: str | None = None) -> DataFrame:
-    """Seats of each organisation subscription at each month end it is active (DER-10 per month),
-    found by one sweep per subscription over its month ends and seat-change events."""
+    """Seats of each organisation subscription at each month end it is active (DER-10 per month).
+
+    Month ends are probed at midnight after the last day, so an event counts as "before" exactly
+    when its day is before the probe day. Seat events are therefore first reduced to one row per
+    (subscription, day) (the day's last new count and first previous count), and one sweep per
+    subscription runs over those day rows and the month-end probes: bounded by the calendar span
+    whatever the number of seat events."""
     cal = D.active_calendar(t, as_of).filter(c("owner_type") == "organisation").select(
         "subscription_id", "owner_id", "month", "seats_purchased", "currency")
-    probe_ts = F.date_add(F.last_day("month"), 1).cast("timestamp_ntz")
-    ev = t.subscription_events.filter(c("event_type") == "seats_changed")
-    rows = (cal.select("subscription_id", probe_ts.alias("at"), F.lit(1).alias("kind"), "month", "owner_id",
+    key = F.struct("event_at", "event_id")
+    ev = (t.subscription_events.filter(c("event_type") == "seats_changed")
+          .groupBy("subscription_id", F.to_date("event_at").alias("day"))
+          .agg(F.max_by("new_seat_count", key).alias("new_n"), F.min_by("previous_seat_count", key).alias("prev_n")))
+    probe_day = F.date_add(F.last_day("month"), 1)
+    rows = (cal.select("subscription_id", probe_day.alias("day"), F.lit(0).alias("kind"), "month", "owner_id",
                        "seats_purchased", "currency", F.lit(None).cast("int").alias("new_n"),
-                       F.lit(None).cast("int").alias("prev_n"), F.lit(None).cast("string").alias("event_id"))
-            .unionByName(ev.select("subscription_id", c("event_at").alias("at"), F.lit(0).alias("kind"),
+                       F.lit(None).cast("int").alias("prev_n"))
+            .unionByName(ev.select("subscription_id", "day", F.lit(1).alias("kind"),
                                    F.lit(None).cast("date").alias("month"), F.lit(None).cast("string").alias("owner_id"),
                                    F.lit(None).cast("int").alias("seats_purchased"),
-                                   F.lit(None).cast("string").alias("currency"),
-                                   c("new_seat_count").alias("new_n"), c("previous_seat_count").alias("prev_n"),
-                                   "event_id")))
-    # events at exactly the probe instant count as "after" (probe is the exclusive bound), so probes sort first
-    w = Window.partitionBy("subscription_id").orderBy("at", F.desc("kind"), "event_id")
+                                   F.lit(None).cast("string").alias("currency"), "new_n", "prev_n")))
+    # probes sort before the events of their own day: those happen at or after the probe instant
+    w = Window.partitionBy("subscription_id").orderBy("day", "kind")
     before = F.last("new_n", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     after = F.first("prev_n", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    return (rows.select("*", before.alias("last_new"), after.alias("next_prev")).filter(c("kind") == 1)
+    return (rows.select("*", before.alias("last_new"), after.alias("next_prev")).filter(c("kind") == 0)
             .select("subscription_id", "owner_id", "month", "currency",
                     F.coalesce(c("last_new"), c("next_prev"), c("seats_purchased")).cast("bigint").alias("seats")))
 
