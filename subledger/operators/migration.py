@@ -119,21 +119,61 @@ def journey_steps(t, as_of: str | None = None) -> DataFrame:
     return reduce(DataFrame.unionByName, [trials, starts, churns, react])
 
 
+def numbered_steps(t, as_of: str | None = None) -> DataFrame:
+    """Journey steps with their 1-based position in the owner's (at, seq, label) order, computed in
+    two levels (rank inside the owner's day + steps on earlier days) so no window holds an owner's rows."""
+    steps = journey_steps(t, as_of).withColumn("day", F.to_date("at"))
+    wd = Window.partitionBy("owner_id", "day").orderBy("at", "seq", "label")
+    ranked = steps.withColumn("rk", F.row_number().over(wd))
+    days = steps.groupBy("owner_id", "day").agg(F.count("*").alias("n"))
+    wo = Window.partitionBy("owner_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select("owner_id", "day", F.coalesce(F.sum("n").over(wo), F.lit(0)).alias("before"))
+    return ranked.join(days, ["owner_id", "day"]).select(
+        "owner_id", "label", (c("before") + c("rk")).cast("long").alias("pos"))
+
+
+def _lane(salt: str):
+    """32-bit hash of (label, position) for one fingerprint lane (summed per owner, never overflows)."""
+    return F.xxhash64(F.lit(salt), c("label"), c("pos")).bitwiseAND(F.lit(0xFFFFFFFF))
+
+
 def journeys(t, k: int = 10, as_of: str | None = None) -> DataFrame:
     """MIG-6: top-k journey paths (e.g. ``Free Trial → Daily → Churn → Reactivation → Annual``)
-    with owners, mean historical value and the share still active at ``as_of``."""
-    steps = journey_steps(t, as_of)
-    paths = steps.groupBy("owner_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "seq", "label"))), lambda x: x["label"]),
-                     " → ").alias("path"))
+    with owners, steps, mean historical value and the share still active at ``as_of``; ordered by
+    owners (desc), then steps, then the path text.
+
+    No owner's steps are gathered to compare paths: each owner's path is fingerprinted by a partial
+    aggregate (step count + three 32-bit hash sums over (label, position), 96 bits), owners are grouped
+    by fingerprint, and the path text is built only for the groups that can reach the top k (from one
+    representative owner each), so only reported paths are ever assembled."""
+    from ..session import checkpoint_dir
+
+    checkpoint_dir(t.spark)  # the cluster's shared folder (a local one only when unset)
     a = F.lit(as_of or t.as_of).cast("date")
+    # both inputs are read twice below; a reliable checkpoint computes each once and cuts the lineage
+    num = numbered_steps(t, as_of).checkpoint()
+    fp = num.groupBy("owner_id").agg(F.count("*").alias("steps"), *[F.sum(_lane(x)).alias(f"h{x}") for x in "abc"])
     live = (D.subscription_facts(t).filter((c("start_date") < a) & (c("end_date").isNull() | (c("end_date") >= a)))
             .select("owner_id").distinct().withColumn("live", F.lit(1)))
     ltv = D.customer_ltv(t).select("owner_id", "ltv")
-    j = paths.join(ltv, "owner_id", "left").join(live, "owner_id", "left")
-    return (j.groupBy("path").agg(F.count("*").alias("owners"), dbl(F.avg("ltv"), 2).alias("avg_ltv"),
-                                  ratio(F.count("live"), F.count("*")).alias("still_active_share"))
-            .orderBy(F.desc("owners"), "path").limit(k))
+    groups = (fp.join(ltv, "owner_id", "left").join(live, "owner_id", "left")
+              .groupBy("steps", "ha", "hb", "hc")
+              .agg(F.count("*").alias("owners"), dbl(F.avg("ltv"), 2).alias("avg_ltv"),
+                   ratio(F.count("live"), F.count("*")).alias("still_active_share"),
+                   F.min("owner_id").alias("rep"))).checkpoint()
+    # the k-th group by (owners desc, steps asc); every group not after it can be in the top k
+    kth = (groups.orderBy(F.desc("owners"), "steps").limit(k)
+           .agg(F.min_by(F.struct("owners", "steps"), F.struct(c("owners"), -c("steps"))).alias("kth")))
+    cand = groups.crossJoin(F.broadcast(kth)).filter(
+        (c("owners") > c("kth.owners")) | ((c("owners") == c("kth.owners")) & (c("steps") <= c("kth.steps"))))
+    rep_steps = num.join(cand.select(c("rep").alias("owner_id")), "owner_id", "left_semi")
+    paths = rep_steps.groupBy(c("owner_id").alias("rep")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "label"))), lambda x: x["label"]),
+                     " → ").alias("path"))
+    return (cand.join(paths, "rep")
+            .select("path", c("owners").cast("bigint").alias("owners"), c("steps").cast("bigint").alias("steps"),
+                    "avg_ltv", "still_active_share")
+            .orderBy(F.desc("owners"), "steps", "path").limit(k))
 
 
 # ---------------------------------------------------------------------------

@@ -232,14 +232,14 @@ union all
 select distinct owner_id, cast(next_start as timestamp), 1, 'Reactivation' from ({REACT}) r where next_start is not null"""
 
 register("journeys", "MIG-6", G.journeys, f"""
-with paths as (select owner_id, string_agg(label, ' → ' order by step_at, seq, label) as path
+with paths as (select owner_id, string_agg(label, ' → ' order by step_at, seq, label) as path, count(*) as steps
                from ({STEPS}) s group by owner_id),
      live as (select distinct owner_id from sf_subs
               where start_date < {AS_OF} and (end_date is null or end_date >= {AS_OF}))
-select p.path, count(*) as owners, round(avg(l.ltv), 2) as avg_ltv,
+select p.path, count(*) as owners, cast(min(p.steps) as bigint) as steps, round(avg(l.ltv), 2) as avg_ltv,
        {rate('count(v.owner_id)', 'count(*)')} as still_active_share
 from paths p left join sf_ltv l on l.owner_id = p.owner_id left join live v on v.owner_id = p.owner_id
-group by p.path order by owners desc, p.path limit 10""")
+group by p.path order by owners desc, steps, p.path limit 10""")
 
 register("lifecycle_events", "MIG-7", G.lifecycle_events, """
 with e as (select e.*, s.owner_id from subscription_events e join sf_subs s on s.subscription_id = e.subscription_id),
