@@ -33,3 +33,31 @@ def ordered_neighbours(df: DataFrame, key: str, day: str, row_id: str) -> DataFr
         F.coalesce(F.col("prev_in_day"), F.col("prev_day_last")).alias("prev_id"),
         F.coalesce(F.col("next_in_day"), F.col("next_day_first")).alias("next_id"),
         F.when(F.col("next_in_day").isNotNull(), F.col(day)).otherwise(F.col("next_day_value")).alias("next_day"))
+
+
+def descending_rank(df: DataFrame, col: str, out: str = "rank") -> DataFrame:
+    """Add ``rank() over (order by col desc)`` without a single-partition window.
+
+    Ties collapse first (distinct values with their counts: a partial aggregate, so a value shared
+    by a third of the rows is one row). The distinct values are range-partitioned in descending
+    order and frozen with a reliable checkpoint (so partition ids survive recomputation); each
+    partition's row total gives an offset (one row per partition), and a window inside each
+    partition gives the rows above each value. rank(v) = 1 + rows with a greater value.
+    ``col`` must be non-NULL."""
+    spark = df.sparkSession
+    from ..session import checkpoint_dir
+
+    checkpoint_dir(spark)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    vals = df.groupBy(col).agg(F.count("*").alias("__n"))
+    staged = (vals.repartitionByRange(parts, F.desc(col))
+              .withColumn("__pid", F.spark_partition_id()).checkpoint())
+    totals = staged.groupBy("__pid").agg(F.sum("__n").alias("__tot"))
+    offsets = totals.select("__pid", F.coalesce(
+        F.sum("__tot").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        .alias("__off"))  # one row per partition
+    w = Window.partitionBy("__pid").orderBy(F.desc(col)).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = (staged.withColumn("__before", F.coalesce(F.sum("__n").over(w), F.lit(0)))
+             .join(F.broadcast(offsets), "__pid")
+             .select(col, (1 + F.col("__off") + F.col("__before")).cast("int").alias(out)))
+    return df.join(ranks, col)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import c, dbl, epoch_seconds, money, month, monthly_factor, organisation_band, ratio
+from ..functions.ordering import descending_rank
 from . import derive as D
 
 
@@ -344,8 +345,7 @@ def corporate_accounts(t, as_of=None) -> DataFrame:
                  F.coalesce(c("seats_activated"), F.lit(0)).cast("bigint").alias("seats_activated"),
                  F.coalesce(c("seats_added"), F.lit(0)).cast("bigint").alias("seats_added"),
                  F.coalesce(c("seats_removed"), F.lit(0)).cast("bigint").alias("seats_removed"))
-    # one row per organisation (dimension-sized) -> a global rank is a small sort
-    w = Window.orderBy(F.desc("revenue"))
-    return (j.withColumn("revenue_rank", F.rank().over(w).cast("int"))
+    # distributed exact rank (ties collapsed, range-partitioned) instead of a one-partition window
+    return (descending_rank(j, "revenue", "revenue_rank")
             .withColumn("utilisation", ratio(c("seats_activated"), c("seats_purchased")))
             .withColumn("revenue_per_seat", ratio(c("revenue"), c("seats_purchased"), 2)))

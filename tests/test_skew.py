@@ -82,3 +82,16 @@ def test_owner_order_under_skew(skewed):
         prev = hot[i - 1][1] if i > 0 else None
         nxt = hot[i + 1][1] if i + 1 < len(hot) else None
         assert nb[sid] == (i + 1, prev, nxt)
+
+
+def test_descending_rank_matches_window_rank(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from subledger.functions.ordering import descending_rank
+    rnd = random.Random(3)
+    vals = [0] * 400 + [rnd.randrange(0, 300) for _ in range(800)]   # one value holds a third
+    df = spark.createDataFrame([(f"K{i}", v) for i, v in enumerate(vals)], "k string, v int")
+    got = {r["k"]: r["r"] for r in descending_rank(df, "v", "r").collect()}
+    want = {r["k"]: r["r"] for r in df.select("k", F.rank().over(Window.orderBy(F.desc("v"))).alias("r")).collect()}
+    assert got == want
