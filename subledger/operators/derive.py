@@ -368,11 +368,17 @@ def payment_retries(t) -> DataFrame:
     ``outcome``: ``first_time`` (success, no failure), ``recovered`` (failures then
     success), ``lost`` (failures, no success, subscription ended for payment
     failure), ``open`` otherwise."""
-    p = t.payments
-    w = Window.partitionBy("subscription_id").orderBy("payment_attempted_at", "payment_id")
+    # chain number = successful attempts before this one, in two levels: successes on earlier days
+    # (a running sum over one row per subscription-day) + earlier successes the same day
     succ = F.when(c("payment_status") == "successful", 1).otherwise(0)
-    numbered = p.select("*", F.coalesce(F.sum(succ).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                                        F.lit(0)).alias("chain_no"))
+    p = t.payments.withColumn("day", F.to_date("payment_attempted_at")).withColumn("succ", succ)
+    wd = (Window.partitionBy("subscription_id", "day").orderBy("payment_attempted_at", "payment_id")
+          .rowsBetween(Window.unboundedPreceding, -1))
+    p = p.withColumn("succ_in_day", F.coalesce(F.sum("succ").over(wd), F.lit(0)))
+    days = p.groupBy("subscription_id", "day").agg(F.sum("succ").alias("s"))
+    wo = Window.partitionBy("subscription_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select("subscription_id", "day", F.coalesce(F.sum("s").over(wo), F.lit(0)).alias("succ_days"))
+    numbered = p.join(days, ["subscription_id", "day"]).withColumn("chain_no", c("succ_days") + c("succ_in_day"))
     chains = numbered.groupBy("subscription_id", "chain_no").agg(
         F.count("*").alias("attempts"),
         F.count_if(c("payment_status") == "failed").alias("failures"),
@@ -399,12 +405,21 @@ def cancellation_outcomes(t) -> DataFrame:
 
     Reversed when a ``cancellation_reversed`` follows it before any other
     request; completed when the subscription then ended; pending otherwise."""
-    e = t.subscription_events.filter(c("event_type").isin(
+    e = (t.subscription_events.filter(c("event_type").isin(
         "cancellation_requested", "cancellation_reversed", "subscription_ended"))
-    w = Window.partitionBy("subscription_id").orderBy("event_at", "event_id")
-    nxt = e.select("subscription_id", "event_id", "event_type", "event_at",
-                   F.lead("event_type").over(w).alias("next_type"),
-                   F.lead("event_at").over(w).alias("next_at"))
+        .withColumn("day", F.to_date("event_at")))
+    # next event in (event_at, event_id) order, in two levels: the next one the same day, else the
+    # first event of the subscription's next day with events (a window over one row per day)
+    wd = Window.partitionBy("subscription_id", "day").orderBy("event_at", "event_id")
+    e = e.select("*", F.lead("event_type").over(wd).alias("nt_day"), F.lead("event_at").over(wd).alias("na_day"))
+    first = (e.groupBy("subscription_id", "day")
+             .agg(F.min_by(F.struct("event_type", "event_at"), F.struct("event_at", "event_id")).alias("first")))
+    wo = Window.partitionBy("subscription_id").orderBy("day")
+    first = first.select("subscription_id", "day", F.lead("first").over(wo).alias("next_first"))
+    nxt = e.join(first, ["subscription_id", "day"]).select(
+        "subscription_id", "event_id", "event_type", "event_at",
+        F.when(c("nt_day").isNotNull(), c("nt_day")).otherwise(c("next_first.event_type")).alias("next_type"),
+        F.when(c("nt_day").isNotNull(), c("na_day")).otherwise(c("next_first.event_at")).alias("next_at"))
     r = nxt.filter(c("event_type") == "cancellation_requested")
     return r.select(
         "subscription_id", c("event_id").alias("request_event_id"), c("event_at").alias("requested_at"),
