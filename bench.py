@@ -3,8 +3,8 @@
 The twelve subscription tables are derived from the driver tables once and
 written to the shared checkpoint folder (as a deployment stores them, the
 subscription-keyed ones bucketed by subscription_id); that step is timed as
-``materialize_tables``. Each query is then run to completion
-(full result written to a no-op sink via ``count`` on the final plan) and timed.
+``materialize_tables``. Each query is then built and run to completion (full
+result written to Spark's no-op sink) and timed.
 Prints one JSON line.
 """
 
@@ -47,8 +47,8 @@ def main() -> None:
     for name in HEADLINE:
         if name not in catalog:
             continue
+        t1 = time.time()  # build included: some operators checkpoint intermediate results eagerly
         df = catalog[name].build(t)
-        t1 = time.time()
         df.write.format("noop").mode("overwrite").save()
         timings[name] = round(time.time() - t1, 3)
     total = round(sum(timings.values()), 3)
