@@ -66,16 +66,15 @@ def churn_concentration(t, as_of=None, min_size: int = 50, k: int = 20) -> DataF
                     F.coalesce(c("channel"), F.lit("Organisation")).alias("channel"),
                     _tenure_band(F.datediff(F.coalesce(c("end_date"), a), c("start_date"))).alias("tenure_band"),
                     F.coalesce(c("churned"), F.lit(0)).alias("churned")))
-    totals = base.agg(F.count("*").alias("all_subs"), F.sum("churned").alias("all_churned"))
+    all_subs = base.agg(F.count("*")).scalar()          # one-row aggregates as scalar subqueries
+    all_churned = base.agg(F.sum("churned")).scalar()
     cube = (base.cube("product_name", "billing_frequency", "channel", "tenure_band")
             .agg(F.count("*").alias("subscriptions"), F.sum("churned").cast("bigint").alias("churned"),
                  F.grouping_id().cast("int").alias("grouping_level"))
             .filter((c("grouping_level") < 15) & (c("subscriptions") >= min_size)))
-    out = (cube.crossJoin(F.broadcast(totals))
-           .withColumn("churn_share", ratio(c("churned"), c("all_churned")))
-           .withColumn("base_share", ratio(c("subscriptions"), c("all_subs")))
-           .withColumn("lift", ratio(c("churned") * c("all_subs"), c("subscriptions") * c("all_churned")))
-           .drop("all_subs", "all_churned"))
+    out = (cube.withColumn("churn_share", ratio(c("churned"), all_churned))
+           .withColumn("base_share", ratio(c("subscriptions"), all_subs))
+           .withColumn("lift", ratio(c("churned") * all_subs, c("subscriptions") * all_churned)))
     return out.orderBy(F.desc_nulls_last("lift"), "grouping_level", F.asc_nulls_first("product_name"),
                        F.asc_nulls_first("billing_frequency"), F.asc_nulls_first("channel"),
                        F.asc_nulls_first("tenure_band")).limit(k)
@@ -292,10 +291,10 @@ def acquisition_funnel(t) -> DataFrame:
     tp = t.marketing_touchpoints
     counts = tp.agg(*[F.countDistinct(F.when(c("touchpoint_type") == x, c("customer_id"))).alias(x)
                       for x in FUNNEL_TOUCHES])
-    reg = t.customers.agg(F.count("*").alias("registered"))
-    tri = t.trials.agg(F.countDistinct("customer_id").alias("trial"))
-    paid = (D.revenue_facts(t).filter(c("owner_type") == "customer").agg(F.countDistinct("owner_id").alias("paid")))
-    row = counts.crossJoin(reg).crossJoin(tri).crossJoin(paid)
+    reg = t.customers.agg(F.count("*")).scalar()
+    tri = t.trials.agg(F.countDistinct("customer_id")).scalar()
+    paid = D.revenue_facts(t).filter(c("owner_type") == "customer").agg(F.countDistinct("owner_id")).scalar()
+    row = counts.select(*FUNNEL_TOUCHES, reg.alias("registered"), tri.alias("trial"), paid.alias("paid"))
     stages = FUNNEL_TOUCHES + ["registered", "trial", "paid"]
     stack = ", ".join(f"{i}, '{s}', {s}" for i, s in enumerate(stages))
     long = row.selectExpr(f"stack({len(stages)}, {stack}) as (stage_no, stage, customers)")

@@ -163,9 +163,9 @@ def journeys(t, k: int = 10, as_of: str | None = None) -> DataFrame:
                    F.min("owner_id").alias("rep"))).checkpoint()
     # the k-th group by (owners desc, steps asc); every group not after it can be in the top k
     kth = (groups.orderBy(F.desc("owners"), "steps").limit(k)
-           .agg(F.min_by(F.struct("owners", "steps"), F.struct(c("owners"), -c("steps"))).alias("kth")))
-    cand = groups.crossJoin(F.broadcast(kth)).filter(
-        (c("owners") > c("kth.owners")) | ((c("owners") == c("kth.owners")) & (c("steps") <= c("kth.steps"))))
+           .agg(F.min_by(F.struct("owners", "steps"), F.struct(c("owners"), -c("steps"))))).scalar()
+    cand = groups.filter((c("owners") > kth.getField("owners"))
+                         | ((c("owners") == kth.getField("owners")) & (c("steps") <= kth.getField("steps"))))
     rep_steps = num.join(cand.select(c("rep").alias("owner_id")), "owner_id", "left_semi")
     paths = rep_steps.groupBy(c("owner_id").alias("rep")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "label"))), lambda x: x["label"]),

@@ -205,10 +205,9 @@ def revenue_forecast(t, months: int = 3) -> DataFrame:
         F.regr_slope(c("revenue").cast("double"), c("x")).alias("slope"),
         F.regr_intercept(c("revenue").cast("double"), c("x")).alias("intercept"),
         F.count("*").alias("points"))
-    last = s.agg(F.max("month").alias("last_month"))
+    last_month = s.agg(F.max("month")).scalar()
     steps = F.explode(F.sequence(F.lit(1), F.lit(months))).alias("h")
-    out = fit.crossJoin(F.broadcast(last)).select("*", steps)
-    out = out.withColumn("month", F.add_months(c("last_month"), c("h")))
+    out = fit.select("*", steps).withColumn("month", F.add_months(last_month, c("h")))
     x = (F.year("month") * 12 + F.month("month")).cast("double")
     return out.select("product_name", "billing_frequency", "month", c("h").cast("int").alias("horizon"),
                       c("points").cast("bigint").alias("points"),
@@ -232,12 +231,12 @@ def rfm_segments(t, as_of: str | None = None) -> DataFrame:
     """PRD-7: quintile scores from distributed cut points (``percentile_approx``, exact for small
     inputs; no global sort) and a named segment."""
     base = rfm(t, as_of)
-    cuts = base.agg(*[F.percentile_approx(x, list(SEGMENT_CUTS), 100000).alias(f"{x}_cuts")
-                      for x in ("recency_days", "frequency", "monetary")])
-    j = base.crossJoin(F.broadcast(cuts))
+    cuts = {x: base.agg(F.percentile_approx(x, list(SEGMENT_CUTS), 100000)).scalar()
+            for x in ("recency_days", "frequency", "monetary")}
+    j = base
 
     def above(x):
-        return reduce(lambda a, b: a + b, [F.when(c(x) > c(f"{x}_cuts")[i], 1).otherwise(0)
+        return reduce(lambda a, b: a + b, [F.when(c(x) > cuts[x][i], 1).otherwise(0)
                                            for i in range(len(SEGMENT_CUTS))])
     scored = j.select("owner_id", "owner_type", "recency_days", "frequency", "monetary",
                       (5 - above("recency_days")).cast("int").alias("r_score"),
@@ -299,13 +298,12 @@ def retention_scenarios(t, as_of: str | None = None, points=SCENARIO_POINTS) ->
     mrr = (monthly_recurring_revenue(t, as_of).filter(c("currency") == "KES")
            .agg(F.max_by("mrr", "month").alias("mrr")))
     am = D.active_owner_months(t, as_of).withColumn("month", F.add_months("month", 1))
-    base = am.filter((c("month") >= lo) & (c("month") < hi)).agg(F.count("*").alias("owner_months"))
-    ch = (D.churn_events(t, as_of).filter((c("churn_month") >= lo) & (c("churn_month") < hi))
-          .select("owner_id", "churn_month").distinct().agg(F.count("*").alias("churns")))
-    rate = base.crossJoin(ch).select(ratio(c("churns"), c("owner_months")).alias("churn_rate"))
+    owner_months = am.filter((c("month") >= lo) & (c("month") < hi)).agg(F.count("*")).scalar()
+    churns = (D.churn_events(t, as_of).filter((c("churn_month") >= lo) & (c("churn_month") < hi))
+              .select("owner_id", "churn_month").distinct().agg(F.count("*")).scalar())
     sc = F.explode(F.array(*[F.lit(p) for p in points])).alias("points")
     m = F.explode(F.sequence(F.lit(1), F.lit(12))).alias("m")
-    j = mrr.crossJoin(rate).select("*", sc).withColumn(
+    j = mrr.select("mrr", ratio(churns, owner_months).alias("churn_rate"), sc).withColumn(
         "new_churn_rate", F.round(F.greatest(c("churn_rate") - c("points") / 100.0, F.lit(0.0)), 6))
     gain = (j.select("*", m).groupBy("points", "churn_rate", "new_churn_rate", "mrr")
             .agg(F.sum(c("mrr") * (F.pow(1 - c("new_churn_rate"), c("m")) - F.pow(1 - c("churn_rate"), c("m"))))

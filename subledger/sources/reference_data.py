@@ -86,12 +86,12 @@ def rate_card(t) -> DataFrame:
 def plan_availability(t) -> DataFrame:
     """SRC-8: which billing frequencies each product is sold in (one row per product x frequency),
     with the subscriptions sold there."""
-    freqs = t.plans.select("billing_frequency").distinct()
+    freqs = t.plans.agg(F.array_sort(F.collect_set("billing_frequency"))).scalar()  # the frequency domain
     offered = (t.plans.join(F.broadcast(_plan_usage(t)), "plan_id", "left")
                .groupBy("product_id", "billing_frequency")
                .agg(F.count("*").alias("n_plans"), F.sum("subscriptions").alias("subscriptions")))
     return (
-        t.products.select("product_id", "product_name").crossJoin(F.broadcast(freqs))
+        t.products.select("product_id", "product_name", F.explode(freqs).alias("billing_frequency"))
         .join(offered, ["product_id", "billing_frequency"], "left")
         .select("product_id", "product_name", "billing_frequency",
                 F.coalesce(F.col("n_plans") > 0, F.lit(False)).alias("available"),
