@@ -105,12 +105,12 @@ def _fk_orphans(t, tables=None) -> DataFrame:
         pk = getattr(t, parent).select(F.col(pk_col).alias("__pk"))
         if parent in BOUNDED_PARENTS:
             pk = F.broadcast(pk)
-        found = keys.join(pk, keys.__fk == pk.__pk, "left_anti").groupBy("rule").agg(F.count("*").alias("n"))
-        rules = reduce(DataFrame.unionByName, [
-            t.spark.range(1).select(F.lit(f"fk_{n}_{fk.column}").alias("rule"), F.lit(n).alias("table_name"))
-            for n, _, fk in items])
-        parts.append(rules.join(found, "rule", "left").select(
-            "rule", "table_name", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("violations")))
+        orphans = keys.join(pk, keys.__fk == pk.__pk, "left_anti")
+        rules = [(f"fk_{n}_{fk.column}", n) for n, _, fk in items]
+        counts = orphans.agg(*[F.count_if(F.col("rule") == r).alias(f"c{i}") for i, (r, _) in enumerate(rules)])
+        stack = ", ".join(f"'{r}', '{n}', c{i}" for i, (r, n) in enumerate(rules))
+        parts.append(counts.selectExpr(f"stack({len(rules)}, {stack}) as (rule, table_name, violations)")
+                     .select("rule", "table_name", F.col("violations").cast("bigint").alias("violations")))
     return _union(parts)
 
 
