@@ -120,11 +120,17 @@ class Tables:
             prefix = "t_" + os.path.basename(os.path.normpath(path)).replace("-", "_")
             names = io.write_bucketed_tables(helpers, path, buckets, prefix=prefix)
             return io.load_bucketed_tables(self.spark, names, self)
-        written = {}
-        for name in self.names:
+        from concurrent.futures import ThreadPoolExecutor
+
+        def write(name):
             target = os.path.join(path, name)
             getattr(helpers, name).write.mode("overwrite").parquet(target)
-            written[name] = self.spark.read.schema(TABLES[name].schema).parquet(target)
+            return name, self.spark.read.schema(TABLES[name].schema).parquet(target)
+
+        # the twelve writes are independent jobs; submitting them together lets the scheduler
+        # overlap the small ones instead of running twelve mostly idle stages in a row
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            written = dict(pool.map(write, self.names))
         return self.with_tables(**written)
 
     # -- reference data ------------------------------------------------------
