@@ -3,12 +3,13 @@
 1. Voters. Lexicon voters: a general list of insults, and word stems that the labelled rows (held-out rows
    excepted) tie to the toxic label, one voter per stem. Pattern voters: an insult near a second person, shouted
    insults, insult density. One voter votes "clean" where no lexicon voter fires.
-2. Label model. A two-class generative model: each voter fires with its own probability given the hidden
-   class. The probabilities are estimated by EM from the votes alone. Correlations: for each pair of voters the
-   correlation of their votes that the hidden class leaves unexplained; a voter's evidence is divided by one
-   plus the sum of its positive correlations, so voters that repeat each other do not count twice.
+2. Label model. A generative model with a hidden class: each voter that fires is right with its own
+   probability, estimated by EM over the votes. Correlations: for each pair of voters the correlation of their
+   votes that the hidden class leaves unexplained; a voter's evidence is divided by one plus the sum of its
+   positive correlations, so voters that repeat each other do not count twice.
 3. End model. A logistic regression on hashed words and word stems, trained on the posterior labels, scores
-   every text. Labels themselves are seen only by the stem search; scores use the text alone.
+   every text. Labels are seen by the stem search and as the accuracies' starting point; scores use the text
+   alone.
 
 The models are fitted on at most ``SAMPLE`` labelled rows (smallest hashes of their doc_id). Scoring is one
 pass over all texts in Arrow batches, in pieces of bounded size."""
@@ -61,7 +62,9 @@ def mined_stems(texts: list[str], toxic: np.ndarray, most: int = MINED) -> list[
     for _, s in sorted(scored):
         hits = where[s] & bad
         if len(hits - covered) * 4 >= len(hits):
-            out.append(s)
+            # the longest stem that loses next to none of the texts, as short ones also begin ordinary words
+            longer = [t for t in where if t.startswith(s.rstrip("*")) and 33 * len(where[t] & hits) >= 32 * len(hits)]
+            out.append(max(longer, key=lambda t: (len(t), t)))
             covered |= hits
         if len(out) == most:
             break
@@ -96,36 +99,43 @@ def votes(texts: list[str], stems: list[str]) -> np.ndarray:
 
 
 class LabelModel:
-    """Firing probabilities of each voter per hidden class, with correlation-discounted evidence."""
+    """Voter accuracies and correlations under a hidden class.
 
-    def __init__(self, v: np.ndarray, rounds: int = 30):
+    A voter that abstains says nothing; one that fires is right with its own probability. The accuracies are
+    estimated by EM from the votes; each is tied, with the weight of ``TIE`` firings, to the share of its
+    firings that the labelled rows confirm, so that voters of a rare language, which no other voter backs up,
+    keep their say."""
+
+    TIE = 20.0
+
+    def __init__(self, v: np.ndarray, known: np.ndarray, rounds: int = 30):
         v = v.astype(float)
-        q = np.where(v[:, :-1].any(axis=1), 0.9, 0.02)         # start: any lexicon or pattern vote
+        self.sign = np.ones(v.shape[1])
+        self.sign[-1] = -1.0                                   # the clean voter
+        right = np.where(self.sign > 0, known @ v, (1 - known) @ v)
+        fired = v.sum(axis=0)
+        told = (right + 1.0) / (fired + 2.0)
+        self.accuracy, self.weight = told, np.ones(v.shape[1])
         for _ in range(rounds):
-            self.prior = float(np.clip(q.mean(), 1e-3, 0.5))
-            self.toxic = (q @ v + 0.2) / (q.sum() + 1.0)
-            self.clean = ((1 - q) @ v + 0.01) / ((1 - q).sum() + 1.0)
-            self.weight = np.ones(v.shape[1])
             q = self.posterior(v)
-        rest = v - q[:, None] * self.toxic - (1 - q)[:, None] * self.clean
-        cov = rest.T @ rest / max(1, len(v))
-        sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-        self.correlation = cov / sd[:, None] / sd[None, :]
-        np.fill_diagonal(self.correlation, 0.0)
-        self.weight = 1.0 / (1.0 + np.where(self.correlation > 0.1, self.correlation, 0.0).sum(axis=1))
+            right = np.where(self.sign > 0, q @ v, (1 - q) @ v)
+            self.accuracy = np.clip((right + self.TIE * told) / (fired + self.TIE), 0.02, 0.995)
+            # what the hidden class leaves unexplained of each pair of voters
+            q = self.posterior(v)
+            on = (q @ v) / max(q.sum(), 1e-9)
+            off = ((1 - q) @ v) / max((1 - q).sum(), 1e-9)
+            rest = v - q[:, None] * on - (1 - q)[:, None] * off
+            cov = rest.T @ rest / max(1, len(v))
+            sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
+            self.correlation = cov / sd[:, None] / sd[None, :]
+            np.fill_diagonal(self.correlation, 0.0)
+            self.weight = 1.0 / (1.0 + np.where(self.correlation > 0.1, self.correlation, 0.0).sum(axis=1))
 
     def posterior(self, v: np.ndarray) -> np.ndarray:
         """Probability of the toxic class given the votes."""
-        on = np.log(self.toxic / self.clean)
-        off = np.log((1 - self.toxic) / (1 - self.clean))
-        z = math.log(self.prior / (1 - self.prior)) + (v * on + (1 - v) * off) @ self.weight
+        z = v @ (self.sign * self.weight * np.log(self.accuracy / (1 - self.accuracy)))
         return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
-    def accuracies(self) -> np.ndarray:
-        """Share of each voter's firings that fall on the toxic class."""
-        fired = self.prior * self.toxic
-        return fired / (fired + (1 - self.prior) * self.clean)
-
 
 def features(run: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(text index, bucket) of the distinct hashed words and stems of each text."""
@@ -173,7 +183,7 @@ def fit(texts: list[str], toxic: np.ndarray):
     """(stems, label model, (buckets, weights, bias)) from labelled texts."""
     stems = mined_stems(texts, toxic)
     v = votes(texts, stems)
-    model = LabelModel(v)
+    model = LabelModel(v, toxic)
     y = model.posterior(v)
     rows, cols = [], []
     for first, part in pieces(texts):
