@@ -54,7 +54,7 @@ from (values
 ) v(plan_id, product_id, plan_name, billing_frequency, billing_period_days, unit_price)""")
 
 _cte("customers", [], """
-select concat('CUST', lpad(cast(c_custkey + 1 as varchar), 6, '0')) as customer_id,
+select concat('CUST', printf('%06d', cast(c_custkey + 1 as bigint))) as customer_id,
        concat('First', cast(c_custkey % 97 as varchar)) as first_name,
        c_name as last_name,
        concat('first', cast(c_custkey % 97 as varchar), '.', lower(replace(c_name, '#', '-')), '@customer.example') as email,
@@ -64,7 +64,7 @@ select concat('CUST', lpad(cast(c_custkey + 1 as varchar), 6, '0')) as customer_
 from customer join nation on c_nationkey = n_nationkey""")
 
 _cte("organisations", [], f"""
-select concat('ORG', lpad(cast(s_suppkey + 1 as varchar), 4, '0')) as organisation_id,
+select concat('ORG', printf('%04d', cast(s_suppkey + 1 as bigint))) as organisation_id,
        s_name as organisation_name,
        {_case('s_suppkey % 6', ['Corporate', 'University', 'Government', 'NGO', 'Professional Association', 'Other'])} as organisation_type,
        {_case('s_suppkey % 6', ['Technology', 'Education', 'Public Sector', 'Development', 'Healthcare', 'Other'])} as industry,
@@ -79,11 +79,11 @@ from supplier""")
 _cte("sub_base", [], """
 select o_orderkey, o_custkey, o_orderkey % 10 = 7 as is_org,
        case when o_orderkey % 10 = 7
-            then concat('ORG', lpad(cast(cast(floor(o_custkey / 15) as bigint) + 1 as varchar), 4, '0'))
-            else concat('CUST', lpad(cast(o_custkey + 1 as varchar), 6, '0')) end as owner_id,
+            then concat('ORG', printf('%04d', cast(cast(floor(o_custkey / 15) as bigint) + 1 as bigint)))
+            else concat('CUST', printf('%06d', cast(o_custkey + 1 as bigint))) end as owner_id,
        case when o_orderkey % 10 = 7
-            then concat('PLN', lpad(cast(17 + o_custkey % 2 as varchar), 3, '0'))
-            else concat('PLN', lpad(cast(1 + (o_orderkey * 7 + o_custkey) % 16 as varchar), 3, '0')) end as plan_id,
+            then concat('PLN', printf('%03d', cast(17 + o_custkey % 2 as bigint)))
+            else concat('PLN', printf('%03d', cast(1 + (o_orderkey * 7 + o_custkey) % 16 as bigint))) end as plan_id,
        cast(o_orderdate as date) + 8218 as start_date,
        o_orderstatus
 from orders""")
@@ -113,7 +113,7 @@ select *,
 from sub_end0""")
 
 _cte("subscriptions", ["sub_end"], """
-select concat('SUB', lpad(cast(o_orderkey + 1 as varchar), 8, '0')) as subscription_id,
+select concat('SUB', printf('%08d', cast(o_orderkey + 1 as bigint))) as subscription_id,
        case when not is_org then owner_id end as customer_id,
        case when is_org then owner_id end as organisation_id,
        plan_id,
@@ -134,7 +134,7 @@ _cte("paid", ["sub_end"], f"""
 select l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_returnflag, l.l_linestatus, l.rn,
        s.o_orderkey, s.is_org, s.start_date, s.end_date, s.bpd, s.unit_price,
        cast(s.start_date + cast((l.rn - 1) * s.bpd as integer) as timestamp) + interval '10' hour as pay_time,
-       concat('PAY', lpad(cast(l.l_orderkey + 1 as varchar), 8, '0'), '-', cast(l.rn as varchar)) as payment_id
+       concat('PAY', printf('%08d', cast(l.l_orderkey + 1 as bigint)), '-', cast(l.rn as varchar)) as payment_id
 from (select *, row_number() over (partition by l_orderkey order by l_linenumber, l_shipdate, l_partkey, l_suppkey,
                                    l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus) as rn
       from lineitem) l
@@ -143,7 +143,7 @@ where l.rn = 1 or (s.start_date + cast((l.rn - 1) * s.bpd as integer) < coalesce
 
 _cte("payments", ["paid"], f"""
 select payment_id,
-       concat('SUB', lpad(cast(l_orderkey + 1 as varchar), 8, '0')) as subscription_id,
+       concat('SUB', printf('%08d', cast(l_orderkey + 1 as bigint))) as subscription_id,
        pay_time as payment_attempted_at,
        cast(unit_price * case when is_org then 10 + o_orderkey % 91 else 1 end as decimal(12,2)) as amount,
        'KES' as currency,
@@ -158,7 +158,7 @@ from paid""")
 
 
 def _ev(tag, etype, at, src="sub_end", where="true", rn=False, **extra) -> str:
-    eid = f"concat('EV{tag}', lpad(cast(o_orderkey + 1 as varchar), 8, '0')" + (", '-', cast(rn as varchar))" if rn else ")")
+    eid = f"concat('EV{tag}', printf('%08d', cast(o_orderkey + 1 as bigint))" + (", '-', cast(rn as varchar))" if rn else ")")
     cols = {
         "related_subscription_id": "cast(null as varchar)", "triggering_payment_id": "cast(null as varchar)",
         "period_start": "cast(null as date)", "period_end": "cast(null as date)",
@@ -166,7 +166,7 @@ def _ev(tag, etype, at, src="sub_end", where="true", rn=False, **extra) -> str:
         "event_reason": "cast(null as varchar)",
     }
     cols.update(extra)
-    return (f"select {eid} as event_id, concat('SUB', lpad(cast(o_orderkey + 1 as varchar), 8, '0')) as subscription_id, "
+    return (f"select {eid} as event_id, concat('SUB', printf('%08d', cast(o_orderkey + 1 as bigint))) as subscription_id, "
             f"{cols['related_subscription_id']} as related_subscription_id, "
             f"{cols['triggering_payment_id']} as triggering_payment_id, '{etype}' as event_type, {at} as event_at, "
             f"{cols['period_start']} as period_start, {cols['period_end']} as period_end, "
@@ -178,7 +178,7 @@ def _h(col, hours):
     return f"cast({col} as timestamp) + interval '{hours}' hour"
 
 
-_SUBREF = "concat('SUB', lpad(cast({} + 1 as varchar), 8, '0'))"
+_SUBREF = "concat('SUB', printf('%08d', cast({} + 1 as bigint)))"
 _first = "(prev_key is null or prev_end_reason = 'plan_change')"
 _cte("subscription_events", ["sub_end", "paid"], "\nunion all\n".join([
     _ev("S", "subscription_started", _h("start_date", 8), where=_first),
@@ -204,10 +204,10 @@ _cte("subscription_events", ["sub_end", "paid"], "\nunion all\n".join([
 ]))
 
 _cte("organisation_users", ["sub_end"], f"""
-select concat('OU', lpad(cast(o_orderkey as varchar), 7, '0'), '-', lpad(cast(c_custkey as varchar), 7, '0'))
+select concat('OU', printf('%07d', cast(o_orderkey as bigint)), '-', printf('%07d', cast(c_custkey as bigint)))
            as organisation_user_id,
        owner_id as organisation_id,
-       concat('SUB', lpad(cast(o_orderkey + 1 as varchar), 8, '0')) as subscription_id,
+       concat('SUB', printf('%08d', cast(o_orderkey + 1 as bigint))) as subscription_id,
        concat('user', cast(c_custkey as varchar), '@org.example') as email,
        start_date as activation_date,
        case when end_date is not null then end_date when c_custkey % 5 = 0 then {AS_OF} end as deactivation_date,
@@ -218,7 +218,7 @@ from sub_end join customer
 where is_org""")
 
 _cte("marketing_touchpoints", ["sub_base"], f"""
-select concat('TPO', lpad(cast(o_orderkey + 1 as varchar), 8, '0')) as touchpoint_id,
+select concat('TPO', printf('%08d', cast(o_orderkey + 1 as bigint))) as touchpoint_id,
        owner_id as customer_id,
        cast(start_date - cast(1 + o_orderkey % 5 as integer) as timestamp) + interval '11' hour as touchpoint_at,
        {_case('(o_custkey + o_orderkey) % 10', CHANNELS)} as channel,
@@ -229,8 +229,8 @@ select concat('TPO', lpad(cast(o_orderkey + 1 as varchar), 8, '0')) as touchpoin
        cast(start_date as timestamp) as created_at
 from sub_base where not is_org
 union all
-select concat('TPE', lpad(cast(event_id + 1 as varchar), 8, '0')) as touchpoint_id,
-       concat('CUST', lpad(cast(user_id + 1 as varchar), 6, '0')) as customer_id,
+select concat('TPE', printf('%08d', cast(event_id + 1 as bigint))) as touchpoint_id,
+       concat('CUST', printf('%06d', cast(user_id + 1 as bigint))) as customer_id,
        ts as touchpoint_at,
        {_case('event_id % 10', CHANNELS)} as channel,
        case when event_id % 3 <> 0 then concat('CMP', cast(event_id % 12 as varchar)) end as campaign_name,
@@ -240,7 +240,7 @@ select concat('TPE', lpad(cast(event_id + 1 as varchar), 8, '0')) as touchpoint_
 from events where event_type = 'click'""")
 
 _cte("trials", ["sub_end"], """
-select concat('TRL', lpad(cast(o_custkey + 1 as varchar), 8, '0')) as trial_id,
+select concat('TRL', printf('%08d', cast(o_custkey + 1 as bigint))) as trial_id,
        owner_id as customer_id,
        case o_custkey % 3 when 0 then 'PROD001' when 1 then 'PROD002' else 'PROD005' end as product_id,
        cast(start_date - 7 as timestamp) + interval '8' hour as trial_started_at,
@@ -249,15 +249,15 @@ select concat('TRL', lpad(cast(o_custkey + 1 as varchar), 8, '0')) as trial_id,
             else cast(start_date as timestamp) + interval '8' hour end as actual_end_at,
        case when o_custkey % 10 = 3 then 'active' when o_custkey % 10 <= 7 then 'converted'
             when o_custkey % 10 = 8 then 'expired' else 'cancelled' end as trial_status,
-       case when o_custkey % 10 between 4 and 7 then concat('SUB', lpad(cast(o_orderkey + 1 as varchar), 8, '0')) end
+       case when o_custkey % 10 between 4 and 7 then concat('SUB', printf('%08d', cast(o_orderkey + 1 as bigint))) end
            as converted_subscription_id,
        cast(start_date - 7 as timestamp) + interval '8' hour as created_at
 from sub_end where not is_org and prev_key is null and o_custkey % 10 >= 3""")
 
 _cte("customer_engagement", [], """
-select concat('ENG', lpad(cast(user_id as varchar), 7, '0'), '-',
+select concat('ENG', printf('%07d', cast(user_id as bigint)), '-',
               cast(datediff('day', date '2024-01-01', cast(ts as date)) as varchar)) as engagement_id,
-       concat('CUST', lpad(cast(user_id + 1 as varchar), 6, '0')) as customer_id,
+       concat('CUST', printf('%06d', cast(user_id + 1 as bigint))) as customer_id,
        cast(ts as date) as engagement_date,
        cast(count(*) as integer) as sessions_count,
        cast(sum(1 + event_id % 9) as integer) as articles_viewed,
@@ -269,8 +269,8 @@ from events where event_type = 'view'
 group by user_id, cast(ts as date)""")
 
 _cte("support_interactions", [], f"""
-select concat('SUP', lpad(cast(event_id + 1 as varchar), 8, '0')) as interaction_id,
-       concat('CUST', lpad(cast(user_id + 1 as varchar), 6, '0')) as customer_id,
+select concat('SUP', printf('%08d', cast(event_id + 1 as bigint))) as interaction_id,
+       concat('CUST', printf('%06d', cast(user_id + 1 as bigint))) as customer_id,
        cast(null as varchar) as subscription_id,
        ts as interaction_at,
        {_case('event_id % 4', ['email', 'phone', 'live_chat', 'web_form'])} as channel,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -32,12 +33,14 @@ def local_session(cores: str = "8", app: str = "subledger") -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster this must already be set to shared storage. Only when it is
-    unset (local tests) do we pick a scratch folder under /tmp and record it
-    on the session, so every later call agrees.
+    On a cluster this must already be set to shared storage: a folder of one machine would break
+    every later read, so an unset value is an error there. Only a local session (tests) that has
+    none gets a scratch folder under /tmp, recorded on the session, so every later call agrees.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="subledger-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -48,3 +51,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder (any file system Spark knows); a missing one is fine."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder when the Python process ends, if the session still lives."""
+    def clean():
+        try:
+            if spark.sparkContext._jsc is not None:
+                remove_path(spark, path)
+        except Exception:  # the session or its JVM is gone already
+            pass
+
+    atexit.register(clean)

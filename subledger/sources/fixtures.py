@@ -41,7 +41,9 @@ CHANNELS_BY_DIGIT = [
 
 
 def _pad(c: Column, n: int) -> Column:
-    return F.lpad(c.cast("string"), n, "0")
+    """The key with zeros before it, ``n`` digits at least; longer keys stay whole."""
+    s = c.cast("string")
+    return F.lpad(s, F.greatest(F.length(s), F.lit(n)), F.lit("0"))
 
 
 def _case(key: Column, values: list[str]) -> Column:
@@ -105,20 +107,25 @@ class Tables:
         """Write all twelve tables once under ``path`` and read them back.
 
         The shared helpers (``sub_end``: one row per subscription with its owner neighbours,
-        ``paid``: numbered payment attempts) feed several tables, so they are computed once
-        and cut from their lineage with a reliable checkpoint in the cluster's checkpoint folder.
+        ``paid``: numbered payment attempts) feed several tables, so they are written once under
+        ``path`` too and deleted when the twelve tables stand.
         With ``buckets`` the subscription-keyed tables are written as catalog tables bucketed by
         ``subscription_id`` (``sources.io.write_bucketed_tables``), so their joins skip the shuffle."""
-        from ..session import checkpoint_dir
+        from ..session import remove_path
         from . import io
 
-        checkpoint_dir(self.spark)
+        def kept(name, df):
+            df.write.parquet(os.path.join(path, name))
+            return self.spark.read.schema(df.schema).parquet(os.path.join(path, name))
+
         helpers = self.with_tables()  # keeps any replaced tables
-        helpers.__dict__["sub_end"] = self.sub_end.checkpoint()
-        helpers.__dict__["paid"] = helpers.paid.checkpoint()
+        helpers.__dict__["sub_end"] = kept("_helper_sub_end", self.sub_end)
+        helpers.__dict__["paid"] = kept("_helper_paid", helpers.paid)
         if buckets:
             prefix = "t_" + os.path.basename(os.path.normpath(path)).replace("-", "_")
             names = io.write_bucketed_tables(helpers, path, buckets, prefix=prefix)
+            for name in ("_helper_sub_end", "_helper_paid"):
+                remove_path(self.spark, os.path.join(path, name))
             return io.load_bucketed_tables(self.spark, names, self)
         from concurrent.futures import ThreadPoolExecutor
 
@@ -131,6 +138,8 @@ class Tables:
         # overlap the small ones instead of running twelve mostly idle stages in a row
         with ThreadPoolExecutor(max_workers=4) as pool:
             written = dict(pool.map(write, self.names))
+        for name in ("_helper_sub_end", "_helper_paid"):
+            remove_path(self.spark, os.path.join(path, name))
         return self.with_tables(**written)
 
     # -- reference data ------------------------------------------------------
@@ -453,13 +462,20 @@ class Tables:
         )
 
 
-_CACHE: dict[tuple, Tables] = {}
+_CACHE: dict[tuple, tuple[Tables, str]] = {}
 
 
 def tables(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Tables:
-    """The (lazily built) tables for ``sf_dir``; memoised per session."""
-    key = (id(spark), os.path.abspath(sf_dir), as_of)
-    t = _CACHE.get(key)
-    if t is None or t.spark is not spark:
-        t = _CACHE[key] = Tables(spark, sf_dir, as_of)
+    """The tables for ``sf_dir``: derived and written once per session under the shared checkpoint
+    folder, then read from there by every query (again if that folder was emptied meanwhile). The
+    copy is deleted when the process ends."""
+    from ..session import path_exists, remove_at_end, scratch_path
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), as_of)
+    t, path = _CACHE.get(key, (None, ""))
+    if t is None or t.spark is not spark or not path_exists(spark, os.path.join(path, "payments")):
+        path = scratch_path(spark, "tables")
+        t = Tables(spark, sf_dir, as_of).materialized(path)
+        _CACHE[key] = (t, path)
+        remove_at_end(spark, path)
     return t

@@ -37,8 +37,10 @@ def write_table(df: DataFrame, name: str, path: str, fmt: str = "parquet") -> st
     layout = FACT_LAYOUT.get(name)
     if layout:
         when, key = layout
+        # a month is dealt over many tasks by the key, so a heavy month is not one task; AQE merges
+        # small pieces and splits large ones
         df = (df.withColumn("part_month", F.date_format(F.col(when), "yyyy-MM"))
-              .repartition("part_month").sortWithinPartitions(key))
+              .hint("rebalance", "part_month", key).sortWithinPartitions("part_month", key))
         df.write.mode("overwrite").partitionBy("part_month").parquet(target)
     else:
         df.write.mode("overwrite").parquet(target)

@@ -20,9 +20,9 @@ def spark():
 
 @pytest.fixture(scope="session")
 def tables(spark):
-    from subledger.sources.fixtures import Tables
+    from subledger.sources.fixtures import tables as stored
 
-    return Tables(spark, SF_ORACLE)
+    return stored(spark, SF_ORACLE)
 
 
 @pytest.fixture(scope="session")
