@@ -22,6 +22,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,7 @@ CAPACITY, END_ID = 1024, 2
 PIECES_PER_PARTITION = 40_000
 CHUNK_CHARS = 1_000_000
 KEPT_TOKENS = 400_000     # pre-tokens whose ids a worker remembers before it starts anew
+PIECE_TYPES = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
 LATIN = 0x250             # code points below this have fixed classes; other texts go to the tokenizer whole
 LETTER, NUMBER, SPACE, OTHER, EDGE = range(5)
 LONG = 64                 # characters of a pre-token that is not remembered
@@ -216,14 +218,16 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> D
         enc = encoder(tokenizer)
         end = np.array([END_ID], np.uint32)
         for batch in batches:
-            ids, texts = batch["doc_id"].tolist(), ["" if t is None else t for t in batch["text"]]
-            rows, at = [], 0
-            for at in range(0, len(texts), 500):
-                for doc, got in zip(ids[at : at + 500], enc.encode(texts[at : at + 500])):
+            for at in range(0, batch.num_rows, 500):
+                ids = batch["doc_id"].slice(at, 500).to_pylist()
+                texts = [t or "" for t in batch["text"].slice(at, 500).to_pylist()]
+                rows = []
+                for doc, got in zip(ids, enc.encode(texts)):
                     rows += cut(doc, np.concatenate([got, end]), capacity)
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+                columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), PIECE_TYPES)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 

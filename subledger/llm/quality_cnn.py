@@ -13,7 +13,7 @@ one pass over all texts in pieces of bounded size; a text is never cut short, an
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -153,11 +153,11 @@ def op9_byte_cnn(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = batch["text"].tolist()
-            score = np.concatenate([net.probability(part) for _, part in pieces(texts, PIECE)]) if texts else []
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "score": score})
+            score = [net.probability(part) for _, part in pieces(batch["text"], PIECE)]
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch["doc_id"], "score": pa.array(np.concatenate([*score, np.zeros(0)]))})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, score double").select(
         "doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score",
         (F.col("score") >= CUT).cast("int").alias("predicted"))

@@ -10,7 +10,7 @@ import types
 
 import numpy as np
 
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 1_000_000
 _M1, _M2, _BASE = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), 0x9E3779B97F4A7C15 | 1
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))  # A-Z to a-z, other bytes kept
 
@@ -40,11 +40,16 @@ def _byte_codes() -> np.ndarray:
     return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 
 
-def pieces(texts: list, size: int = PIECE_BYTES):
-    """(first row, list of byte strings) runs of about ``size`` bytes; None counts as empty."""
+def pieces(texts, size: int = PIECE_BYTES):
+    """(first row, list of byte strings) runs of about ``size`` bytes; a NULL counts as empty.
+
+    ``texts`` is a list of strings or an Arrow column; of the latter only one run is copied at a time."""
     run, at, first = [], 0, 0
     for i, t in enumerate(texts):
-        b = b"" if t is None else t.encode("utf-8", "surrogatepass") if isinstance(t, str) else t
+        if hasattr(t, "as_buffer"):
+            b = t.as_buffer().to_pybytes() if t.is_valid else b""
+        else:
+            b = b"" if t is None else t.encode("utf-8", "surrogatepass")
         if run and at + len(b) > size:
             yield first, run
             run, at, first = [], 0, i

@@ -20,7 +20,7 @@ import math
 import re
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -193,8 +193,8 @@ def fit(texts: list[str], toxic: np.ndarray):
     return stems, model, train_linear(np.concatenate(rows), np.concatenate(cols), y)
 
 
-def score_texts(texts: list, linear) -> np.ndarray:
-    """Probability of toxic for each text (NULL and empty: the bias alone)."""
+def score_texts(texts, linear) -> np.ndarray:
+    """Probability of toxic for each text of a list or Arrow column (NULL and empty: the bias alone)."""
     buckets, weights, bias = linear
     table = np.zeros(BUCKETS)
     table[buckets] = weights
@@ -230,9 +230,10 @@ def scored(docs: DataFrame, linear) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "score": score_texts(batch["text"].tolist(), linear)})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"],
+                                              "score": pa.array(score_texts(batch["text"], linear))})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, score double")
 
 
@@ -249,5 +250,8 @@ def op3_weak_supervision(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_clean(docs: DataFrame, labels: DataFrame, training: DataFrame | None = None) -> DataFrame:
     """The rows and columns of ``docs`` whose texts score below the cut."""
     linear = toxicity_model(docs if training is None else training, labels)
-    score = F.pandas_udf(lambda s: pd.Series(score_texts(s.tolist(), linear)), "double")
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(score_texts(texts, linear))
+
     return docs.where(score(F.coalesce("text", F.lit(""))) < CUT)
