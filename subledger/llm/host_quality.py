@@ -87,12 +87,12 @@ def host_verdicts(facts: DataFrame) -> DataFrame:
     failed = (F.col("q.base_failed") | (F.col("q.rule_failures") > 0)).cast("long")
     hosts = facts.groupBy("host").agg(F.sum(failed).alias("failed"), F.count("*").alias("docs"))
     rate = F.col("failed") / F.col("docs")
-    prior = hosts.agg(F.avg(rate).alias("m"), F.var_pop(rate).alias("v")).select(
-        "m", F.when(F.col("v") > 0, F.greatest(F.lit(1e-6), F.least(
-            F.lit(MAX_STRENGTH), F.col("m") * (1 - F.col("m")) / F.col("v") - 1)))
-        .otherwise(MAX_STRENGTH).alias("s"))  # one row
-    shrunk = (F.col("failed") + F.col("m") * F.col("s")) / (F.col("docs") + F.col("s"))
-    return (hosts.join(F.broadcast(prior)).select("host", F.round(shrunk, 9).alias("host_rate"))
+    m, v = F.col("m"), F.col("v")
+    prior = hosts.agg(F.avg(rate).alias("m"), F.var_pop(rate).alias("v")).select(F.struct(
+        m, F.when(v > 0, F.greatest(F.lit(1e-6), F.least(F.lit(MAX_STRENGTH), m * (1 - m) / v - 1)))
+        .otherwise(MAX_STRENGTH).alias("s"))).scalar()
+    shrunk = (F.col("failed") + prior["m"] * prior["s"]) / (F.col("docs") + prior["s"])
+    return (hosts.select("host", F.round(shrunk, 9).alias("host_rate"))
             .withColumn("host_verdict", F.when(F.col("host_rate") > BAD_HOST_RATE, "block").otherwise("allow")))
 
 
