@@ -55,6 +55,12 @@ def month(d: Column) -> Column:
     return F.trunc(d.cast("date"), "month")
 
 
+def money_list(currency: Column, amount: Column) -> Column:
+    """Aggregate of one row per currency: ``KES 12.00; USD 3.50`` (currencies are never added up)."""
+    each = F.concat(currency, F.lit(" "), F.round(amount, 2).cast("decimal(18,2)").cast("string"))
+    return F.array_join(F.sort_array(F.collect_list(each)), "; ")
+
+
 def money(x: Column) -> Column:
     return x.cast("decimal(18,2)")
 

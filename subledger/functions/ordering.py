@@ -35,29 +35,55 @@ def ordered_neighbours(df: DataFrame, key: str, day: str, row_id: str) -> DataFr
         F.when(F.col("next_in_day").isNotNull(), F.col(day)).otherwise(F.col("next_day_value")).alias("next_day"))
 
 
-def descending_rank(df: DataFrame, col: str, out: str = "rank") -> DataFrame:
-    """Add ``rank() over (order by col desc)`` without a single-partition window.
-
-    Ties collapse first (distinct values with their counts: a partial aggregate, so a value shared
-    by a third of the rows is one row). The distinct values are range-partitioned in descending
-    order and frozen with a reliable checkpoint (so partition ids survive recomputation); each
-    partition's row total gives an offset (one row per partition), and a window inside each
-    partition gives the rows above each value. rank(v) = 1 + rows with a greater value.
-    ``col`` must be non-NULL."""
-    spark = df.sparkSession
+def with_rows_before(counts: DataFrame, col: str, n: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Add ``before``: the sum of ``n`` over rows with a smaller ``col`` (within ``by``); ``counts`` has one
+    row per distinct value.
+
+    The values are range-partitioned and frozen with a reliable checkpoint (so partition ids survive
+    recomputation); each partition's total gives an offset (one row per partition and group), and a window
+    inside each partition does the rest. No partition holds all values."""
+    spark = counts.sparkSession
     from ..session import checkpoint_dir
 
     checkpoint_dir(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vals = df.groupBy(col).agg(F.count("*").alias("__n"))
-    staged = (vals.repartitionByRange(parts, F.desc(col))
-              .withColumn("__pid", F.spark_partition_id()).checkpoint())
-    totals = staged.groupBy("__pid").agg(F.sum("__n").alias("__tot"))
-    offsets = totals.select("__pid", F.coalesce(
-        F.sum("__tot").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        .alias("__off"))  # one row per partition
-    w = Window.partitionBy("__pid").orderBy(F.desc(col)).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = (staged.withColumn("__before", F.coalesce(F.sum("__n").over(w), F.lit(0)))
-             .join(F.broadcast(offsets), "__pid")
-             .select(col, (1 + F.col("__off") + F.col("__before")).cast("int").alias(out)))
-    return df.join(ranks, col)
+    staged = (counts.repartitionByRange(parts, *by, col).withColumn("__pid", F.spark_partition_id()).checkpoint())
+    totals = staged.groupBy("__pid", *by).agg(F.sum(n).alias("__tot"))
+    wo = Window.partitionBy(*by) if by else Window.partitionBy()
+    offsets = totals.select("__pid", *by, F.coalesce(F.sum("__tot").over(
+        wo.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
+    w = Window.partitionBy("__pid", *by).orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
+    within = staged.withColumn("__in", F.coalesce(F.sum(n).over(w), F.lit(0)))
+    return (within.join(offsets, ["__pid", *by]).withColumn("before", F.col("__off") + F.col("__in"))
+            .drop("__pid", "__off", "__in"))
+
+
+def quantiles(df: DataFrame, col: str, points: tuple[float, ...], by: tuple[str, ...] = ()) -> DataFrame:
+    """One row per group of ``by`` with ``cuts``: for each point p the smallest value that has at least
+    p * n of the n values at or below it. Exact at every size: equal values collapse by a partial
+    aggregate, and the running counts come from ``with_rows_before``."""
+    counts = df.groupBy(*by, col).agg(F.count("*").alias("__n"))
+    ranked = with_rows_before(counts, col, "__n", by)
+    if by:
+        ranked = ranked.join(df.groupBy(*by).agg(F.count("*").alias("__all")), list(by))
+    else:
+        ranked = ranked.withColumn("__all", df.agg(F.count("*")).scalar())
+    upto = F.col("before") + F.col("__n")
+    return ranked.groupBy(*by).agg(F.array(*[
+        F.min(F.when(upto >= F.ceil(F.lit(p) * F.col("__all")), F.col(col))) for p in points]).alias("cuts"))
+
+
+def descending_rank(df: DataFrame, col: str, out: str = "rank", by: tuple[str, ...] = ()) -> DataFrame:
+    """Add ``rank() over (partition by by order by col desc)`` without a window over a group's rows.
+
+    Ties collapse first (distinct values with their counts: a partial aggregate, so a value shared by a
+    third of the rows is one row); ``with_rows_before`` counts the rows above each value.
+    rank(v) = 1 + rows with a greater value. ``col`` must be non-NULL and numeric; NULLs of ``by`` are a
+    group of their own."""
+    groups = tuple(f"__by{i}" for i in range(len(by)))
+    keyed = df.select("*", *[F.coalesce(F.col(b).cast("string"), F.lit("")).alias(g) for b, g in zip(by, groups)],
+                      (-F.col(col)).alias("__neg"))
+    counts = keyed.groupBy(*groups, "__neg").agg(F.count("*").alias("__n"))
+    ranks = with_rows_before(counts, "__neg", "__n", groups).select(
+        *groups, "__neg", (F.col("before") + 1).cast("int").alias(out))
+    return keyed.join(ranks, [*groups, "__neg"]).drop(*groups, "__neg")

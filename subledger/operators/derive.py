@@ -27,11 +27,14 @@ partial aggregate before any shuffle.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ordering import ordered_neighbours
 from ..functions.columns import (
+    money_list,
     DEFAULT_GRACE_DAYS, c, churn_type, dbl, money, month, organisation_band, owner_id, owner_type, ratio,
 )
 
@@ -431,14 +434,33 @@ def cancellation_outcomes(t) -> DataFrame:
 
 # --------------------------------------------------------------------------- DER-18
 def customer_ltv(t) -> DataFrame:
-    """DER-18: historical revenue per owner (every owner that ever subscribed; 0 when none)."""
-    owners = first_subscription(t)
+    """DER-18: historical revenue per owner and currency (every owner that ever subscribed; 0 in the
+    currency of its first plan when there is none)."""
+    owners = subscription_facts(t).groupBy("owner_id", "owner_type").agg(
+        F.min("start_date").alias("first_start"),
+        F.min_by("currency", F.struct("start_date", "subscription_id")).alias("plan_currency"))
     rev = revenue_facts(t).groupBy("owner_id", "currency").agg(F.sum("amount").alias("revenue"))
     return (owners.join(rev, "owner_id", "left")
-            .select("owner_id", "owner_type", "first_start", F.coalesce(c("currency"), F.lit("KES")).alias("currency"),
+            .select("owner_id", "owner_type", "first_start", F.coalesce(c("currency"), c("plan_currency")).alias("currency"),
                     money(F.coalesce(c("revenue"), F.lit(0))).alias("ltv")))
 
 
+def owner_value(t) -> DataFrame:
+    """One row per owner: its historical revenue as text, one amount per currency."""
+    return customer_ltv(t).groupBy("owner_id").agg(money_list(c("currency"), c("ltv")).alias("ltv"))
+
+
+def mean_value(members: DataFrame, keys: list[str], t) -> DataFrame:
+    """Per group of ``members`` (owner_id, keys): historical revenue per member, one amount per currency."""
+    n = members.groupBy(*keys).agg(F.count("*").alias("members"))
+    total = members.join(customer_ltv(t).select("owner_id", "currency", "ltv"), "owner_id").groupBy(
+        *keys, "currency").agg(F.sum("ltv").alias("total"))
+    same = [total[k].eqNullSafe(n[k]) for k in keys]
+    return (total.join(n, reduce(lambda a, b: a & b, same)).select(*[total[k] for k in keys], "currency",
+                                                                 (c("total").cast("double") / c("members")).alias("mean"))
+            .groupBy(*keys).agg(money_list(c("currency"), c("mean")).alias("avg_ltv")))
+
+
 # --------------------------------------------------------------------------- DER-19
 def owner_islands(t, as_of: str | None = None) -> DataFrame:
     """Merged activity intervals per owner (overlapping / touching subscriptions joined).

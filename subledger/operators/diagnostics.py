@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import c, dbl, epoch_seconds, money, month, monthly_factor, organisation_band, ratio
+from ..functions.columns import c, dbl, epoch_seconds, money, money_list, month, monthly_factor, organisation_band, ratio
 from ..functions.ordering import descending_rank
 from . import derive as D
 
@@ -55,53 +55,61 @@ def _tenure_band(days):
 
 
 def churn_concentration(t, as_of=None, min_size: int = 50, k: int = 20) -> DataFrame:
-    """DIA-1: segments (cube of product x frequency x channel x tenure band) whose share of
+    """DIA-1: segments (cube of product x frequency x channel x tenure band x campaign) whose share of
     churn exceeds their share of subscriptions most (lift), top-k among segments >= min_size."""
     a = _as_of(t, as_of)
     s = D.subscription_facts(t).filter(c("start_date") < a)
     ch = D.churn_events(t, as_of).select("subscription_id", F.lit(1).alias("churned"))
-    at = D.attribution(t).select(c("customer_id").alias("owner_id"), "channel")
+    at = D.attribution(t).select(c("customer_id").alias("owner_id"), "channel", "campaign_name")
     base = (s.join(ch, "subscription_id", "left").join(at, "owner_id", "left")
             .select("product_name", "billing_frequency",
                     F.coalesce(c("channel"), F.lit("Organisation")).alias("channel"),
                     _tenure_band(F.datediff(F.coalesce(c("end_date"), a), c("start_date"))).alias("tenure_band"),
+                    F.coalesce(c("campaign_name"), F.lit("none")).alias("campaign"),
                     F.coalesce(c("churned"), F.lit(0)).alias("churned")))
-    all_subs = base.agg(F.count("*")).scalar()          # one-row aggregates as scalar subqueries
-    all_churned = base.agg(F.sum("churned")).scalar()
-    cube = (base.cube("product_name", "billing_frequency", "channel", "tenure_band")
-            .agg(F.count("*").alias("subscriptions"), F.sum("churned").cast("bigint").alias("churned"),
+    # leaf cells first: the cube copies some hundred cells, not subscriptions
+    dims = ["product_name", "billing_frequency", "channel", "tenure_band", "campaign"]
+    leaf = base.groupBy(*dims).agg(F.count("*").alias("n"), F.sum("churned").alias("churned"))
+    all_subs, all_churned = leaf.agg(F.sum("n")).scalar(), leaf.agg(F.sum("churned")).scalar()
+    cube = (leaf.cube(*dims)
+            .agg(F.sum("n").alias("subscriptions"), F.sum("churned").cast("bigint").alias("churned"),
                  F.grouping_id().cast("int").alias("grouping_level"))
-            .filter((c("grouping_level") < 15) & (c("subscriptions") >= min_size)))
+            .filter((c("grouping_level") < 31) & (c("subscriptions") >= min_size)))
     out = (cube.withColumn("churn_share", ratio(c("churned"), all_churned))
            .withColumn("base_share", ratio(c("subscriptions"), all_subs))
            .withColumn("lift", ratio(c("churned") * all_subs, c("subscriptions") * all_churned)))
     return out.orderBy(F.desc_nulls_last("lift"), "grouping_level", F.asc_nulls_first("product_name"),
                        F.asc_nulls_first("billing_frequency"), F.asc_nulls_first("channel"),
-                       F.asc_nulls_first("tenure_band")).limit(k)
+                       F.asc_nulls_first("tenure_band"), F.asc_nulls_first("campaign")).limit(k)
 
 
 # ----------------------------------------------------------------------- DIA-2
-def revenue_change_drivers(t, month_start: str = "2023-12-01") -> DataFrame:
-    """DIA-2: revenue change from the previous month to ``month_start``'s month by product x frequency."""
-    cur = F.lit(month_start).cast("date")
+def revenue_change_drivers(t, month_start: str | None = None, as_of: str | None = None) -> DataFrame:
+    """DIA-2: revenue change from the previous month to ``month_start``'s month (unless given, the last
+    complete month before ``as_of``) by currency, acquisition channel, product and frequency."""
+    last = F.add_months(F.trunc(_as_of(t, as_of), "month"), -1)
+    cur = last if month_start is None else F.lit(month_start).cast("date")
     prev = F.add_months(cur, -1)
-    r = D.revenue_facts(t).filter(c("month").isin(cur, prev))
-    g = r.groupBy("product_name", "billing_frequency").agg(
+    at = D.attribution(t).select(c("customer_id").alias("owner_id"), "channel")
+    r = (D.revenue_facts(t).filter(c("month").isin(cur, prev)).join(at, "owner_id", "left")
+         .withColumn("channel", F.coalesce(c("channel"), F.lit("Organisation"))))
+    g = r.groupBy("currency", "channel", "product_name", "billing_frequency").agg(
         money(F.sum(F.when(c("month") == prev, c("amount")).otherwise(0))).alias("previous_revenue"),
         money(F.sum(F.when(c("month") == cur, c("amount")).otherwise(0))).alias("current_revenue"))
     g = g.withColumn("change", money(c("current_revenue") - c("previous_revenue")))
-    return g.withColumn("share_of_change", ratio(c("change"), F.sum("change").over(Window.partitionBy())))
+    return g.withColumn("share_of_change", ratio(c("change"), F.sum("change").over(Window.partitionBy("currency"))))
 
 
 # ----------------------------------------------------------------------- DIA-3
 def churned_revenue(t, as_of=None) -> DataFrame:
-    """DIA-3: monthly recurring revenue lost through churn, by churn month and type."""
+    """DIA-3: monthly recurring revenue lost through churn, by churn month, type and currency."""
     ch = D.churn_events(t, as_of).select("subscription_id", "churn_month", "churn_type")
-    s = D.subscription_facts(t).select("subscription_id", "unit_price", "seats_purchased", "billing_frequency")
-    per = (ch.join(s, "subscription_id").groupBy("churn_month", "churn_type", "billing_frequency")
+    s = D.subscription_facts(t).select("subscription_id", "unit_price", "seats_purchased", "billing_frequency",
+                                         "currency")
+    per = (ch.join(s, "subscription_id").groupBy("churn_month", "churn_type", "currency", "billing_frequency")
            .agg(F.count("*").alias("n"),
                 F.sum(c("unit_price") * F.coalesce(c("seats_purchased"), F.lit(1))).alias("recurring")))
-    return (per.groupBy("churn_month", "churn_type")
+    return (per.groupBy("churn_month", "churn_type", "currency")
             .agg(F.sum("n").cast("bigint").alias("churned_subscriptions"),
                  dbl(F.sum(c("recurring").cast("double") * monthly_factor(c("billing_frequency"))), 2)
                  .alias("mrr_lost")))
@@ -189,50 +197,52 @@ PROMO_DAYS = (30, 60, 90, 180)
 
 def promotion_retention(t, as_of=None) -> DataFrame:
     """DIA-7: promotional vs other acquisition: share still active N days after the first start
-    (right-censored) and mean value. Promotional = first-touch channel 'Promotional Campaign';
+    (right-censored) and mean value per currency. Promotional = first-touch channel 'Promotional Campaign';
     ``with_campaign`` = the first touch carried a campaign name."""
     a = _as_of(t, as_of)
     at = D.attribution(t).select(c("customer_id").alias("owner_id"), "first_start",
                                  (c("channel") == PROMO_CHANNEL).alias("promotional"),
                                  c("campaign_name").isNotNull().alias("with_campaign"))
-    ltv = D.customer_ltv(t).select("owner_id", "ltv")
     ns = F.explode(F.array(*[F.lit(n) for n in PROMO_DAYS])).alias("days")
     probes = (at.select("*", ns).withColumn("day", F.date_add(c("first_start"), c("days"))).filter(c("day") < a)
               .withColumn("probe_id", F.concat_ws("|", "owner_id", c("days").cast("string"))))
     s = D.subscription_facts(t).select("owner_id", "start_date", "end_date")
     act = D._continues(s, probes.select("owner_id", "probe_id", c("day").alias("at"), c("day").alias("after")))
-    return (probes.join(act, "probe_id").join(ltv, "owner_id", "left")
-            .groupBy("promotional", "with_campaign", "days")
-            .agg(F.count("*").alias("eligible"), F.count_if("continued").alias("retained"),
-                 dbl(F.avg("ltv"), 2).alias("avg_ltv"))
+    keys = ["promotional", "with_campaign", "days"]
+    kept = (probes.join(act, "probe_id").groupBy(*keys)
+            .agg(F.count("*").alias("eligible"), F.count_if("continued").alias("retained"))
             .withColumn("retention_rate", ratio(c("retained"), c("eligible"))))
+    return kept.join(D.mean_value(probes.select("owner_id", *keys), keys, t), keys, "left")
 
 
 # ----------------------------------------------------------------------- DIA-8
 def campaign_performance(t, as_of=None) -> DataFrame:
-    """DIA-8: per first-touch campaign: customers acquired, campaign cost, their revenue and the
+    """DIA-8: per first-touch campaign: customers acquired, campaign cost, their revenue per currency and the
     share still subscribed at ``as_of``."""
     a = _as_of(t, as_of)
     at = D.attribution(t).filter(c("campaign_name").isNotNull()).select(c("customer_id").alias("owner_id"),
                                                                         "campaign_name")
     cost = (t.marketing_touchpoints.filter(c("campaign_name").isNotNull()).groupBy("campaign_name")
             .agg(money(F.coalesce(F.sum("attributed_cost"), F.lit(0))).alias("cost")))
-    ltv = D.customer_ltv(t).select("owner_id", "ltv")
+    revenue = (at.join(D.customer_ltv(t).select("owner_id", "currency", "ltv"), "owner_id")
+               .groupBy("campaign_name", "currency").agg(money(F.sum("ltv")).alias("total"))
+               .groupBy("campaign_name").agg(money_list(c("currency"), c("total")).alias("revenue")))
     live = (D.subscription_facts(t).filter((c("start_date") < a) & (c("end_date").isNull() | (c("end_date") >= a)))
             .select("owner_id").distinct().withColumn("live", F.lit(1)))
-    per = (at.join(ltv, "owner_id", "left").join(live, "owner_id", "left").groupBy("campaign_name")
-           .agg(F.count("*").alias("customers"), money(F.sum("ltv")).alias("revenue"),
-                ratio(F.count("live"), F.count("*")).alias("still_active_share")))
-    return per.join(cost, "campaign_name", "left").withColumn("cost_per_customer", ratio(c("cost"), c("customers"), 2))
+    per = (at.join(live, "owner_id", "left").groupBy("campaign_name")
+           .agg(F.count("*").alias("customers"), ratio(F.count("live"), F.count("*")).alias("still_active_share")))
+    return per.join(revenue, "campaign_name", "left").join(cost, "campaign_name", "left").withColumn("cost_per_customer", ratio(c("cost"), c("customers"), 2))
 
 
 # ----------------------------------------------------------------------- DIA-9
 def reactivation_factors(t, as_of=None) -> DataFrame:
-    """DIA-9: churns that came back vs were lost, by churn type and the churned plan's frequency,
-    with the mean gap before coming back."""
+    """DIA-9: churns that came back vs were lost, by churn type, the churned plan (product and frequency)
+    and the acquisition channel, with the mean gap before coming back."""
     from .kpi import reactivations
-    r = reactivations(t, as_of)
-    return (r.groupBy("churn_type", "billing_frequency").agg(
+    at = D.attribution(t).select(c("customer_id").alias("owner_id"), "channel")
+    r = (reactivations(t, as_of).join(at, "owner_id", "left")
+         .withColumn("channel", F.coalesce(c("channel"), F.lit("Organisation"))))
+    return (r.groupBy("churn_type", "product_name", "billing_frequency", "channel").agg(
         F.count("*").alias("churns"), F.count("next_start").alias("reactivated"),
         dbl(F.avg(F.datediff("next_start", "churn_date")), 2).alias("avg_gap_days"))
         .withColumn("reactivation_rate", ratio(c("reactivated"), c("churns"))))
@@ -306,7 +316,8 @@ def acquisition_funnel(t) -> DataFrame:
 
 # ----------------------------------------------------------------------- DIA-13
 def channel_comparison(t, as_of=None) -> DataFrame:
-    """DIA-13: one row per channel: acquired customers, conversion, CAC, revenue, value, retention."""
+    """DIA-13: one row per channel and currency: acquired customers, conversion, CAC, retention (of the
+    channel), revenue and value (in the currency)."""
     from . import kpi as K
     a = _as_of(t, as_of)
     at = D.attribution(t)
@@ -316,28 +327,46 @@ def channel_comparison(t, as_of=None) -> DataFrame:
            .agg(F.count("*").alias("acquired"), ratio(F.count("live"), F.count("*")).alias("retained_share")))
     conv = K.conversion_rate(t).select("channel", "conversion_rate")
     cac = K.customer_acquisition_cost(t).select("channel", "cac")
-    rev = K.revenue_by_acquisition_channel(t).select("channel", "revenue")
-    ltv = K.customer_lifetime_value_by_acquisition_channel(t).select("channel", "avg_ltv")
-    return reduce(lambda x, y: x.join(y, "channel", "left"), [conv, cac, rev, ltv], acq)
+    rev = K.revenue_by_acquisition_channel(t).select("channel", "currency", "revenue")
+    ltv = K.customer_lifetime_value_by_acquisition_channel(t).select("channel", "currency", "avg_ltv")
+    value = ltv.join(rev, ["channel", "currency"], "full")
+    return reduce(lambda x, y: x.join(y, "channel", "left"), [conv, cac, value], acq)
 
 
 # ----------------------------------------------------------------------- DIA-14
+TERMS = ("Monthly", "Annual")
+
+
+def _renewal_by_term(t) -> DataFrame:
+    """Renewal rate of each organisation's subscriptions by billing term."""
+    s = D.subscription_facts(t).filter(c("owner_type") == "organisation").select(
+        "subscription_id", c("owner_id").alias("organisation_id"), "billing_frequency")
+    e = t.subscription_events.filter(c("event_type").isin("renewed", "subscription_ended")).join(s, "subscription_id")
+    lapsed = (c("event_type") == "subscription_ended") & (c("event_reason") != "plan_change")
+    return e.groupBy("organisation_id").agg(*[
+        ratio(F.count_if((c("event_type") == "renewed") & (c("billing_frequency") == f)),
+              F.count_if(((c("event_type") == "renewed") | lapsed) & (c("billing_frequency") == f)))
+        .alias(f"renewal_rate_{f.lower()}") for f in TERMS])
+
+
 def corporate_accounts(t, as_of=None) -> DataFrame:
-    """DIA-14: organisation account table: revenue and its rank, current seats and use,
-    seat expansion / reduction, revenue per seat."""
+    """DIA-14: organisation account table, a row per organisation and currency it paid in (one row with a
+    NULL currency when it never paid): revenue and its rank in the currency, current seats and use, seat
+    expansion / reduction, renewal rate by term, revenue per seat."""
     from .migration import seat_changes
     a = _as_of(t, as_of)
     orgs = t.organisations.select("organisation_id", "organisation_type",
                                   organisation_band(c("organisation_size")).alias("size_band"))
     rev = (D.revenue_facts(t).filter(c("owner_type") == "organisation")
-           .groupBy(c("owner_id").alias("organisation_id")).agg(F.sum("amount").alias("revenue")))
+           .groupBy(c("owner_id").alias("organisation_id"), "currency").agg(F.sum("amount").alias("revenue")))
     util = (D.seat_utilisation(t).filter(c("status") != "ended").groupBy("organisation_id")
             .agg(F.count("*").alias("open_subscriptions"), F.sum("seats_purchased").cast("bigint").alias("seats_purchased"),
                  F.sum("seats_activated").cast("bigint").alias("seats_activated")))
     ch = seat_changes(t).groupBy("organisation_id").agg(F.sum("seats_added").cast("bigint").alias("seats_added"),
                                                         F.sum("seats_removed").cast("bigint").alias("seats_removed"))
-    j = reduce(lambda x, y: x.join(y, "organisation_id", "left"), [rev, util, ch], orgs)
-    j = j.select("organisation_id", "organisation_type", "size_band",
+    j = reduce(lambda x, y: x.join(y, "organisation_id", "left"), [rev, util, ch, _renewal_by_term(t)], orgs)
+    j = j.select("organisation_id", "organisation_type", "size_band", "currency",
+                 *[c(f"renewal_rate_{f.lower()}") for f in TERMS],
                  money(F.coalesce(c("revenue"), F.lit(0))).alias("revenue"),
                  F.coalesce(c("open_subscriptions"), F.lit(0)).cast("bigint").alias("open_subscriptions"),
                  F.coalesce(c("seats_purchased"), F.lit(0)).cast("bigint").alias("seats_purchased"),
@@ -345,6 +374,6 @@ def corporate_accounts(t, as_of=None) -> DataFrame:
                  F.coalesce(c("seats_added"), F.lit(0)).cast("bigint").alias("seats_added"),
                  F.coalesce(c("seats_removed"), F.lit(0)).cast("bigint").alias("seats_removed"))
     # distributed exact rank (ties collapsed, range-partitioned) instead of a one-partition window
-    return (descending_rank(j, "revenue", "revenue_rank")
+    return (descending_rank(j, "revenue", "revenue_rank", by=("currency",))
             .withColumn("utilisation", ratio(c("seats_activated"), c("seats_purchased")))
             .withColumn("revenue_per_seat", ratio(c("revenue"), c("seats_purchased"), 2)))

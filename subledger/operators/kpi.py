@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import DEFAULT_GRACE_DAYS, c, dbl, money, month, monthly_factor, ratio
+from ..functions.ordering import quantiles
 from . import derive as D
 
 
@@ -141,12 +142,14 @@ def revenue_by_product(t) -> DataFrame:
 
 
 def revenue_by_billing_frequency(t) -> DataFrame:
-    """KPI-12: revenue by month x product x frequency with product and month subtotals (rollup)."""
-    r = D.revenue_facts(t)
-    return (r.rollup("month", "product_name", "billing_frequency")
+    """KPI-12: revenue by month x currency x product x frequency with product and month subtotals
+    (a rollup of the leaf cells, so payment rows are aggregated once)."""
+    leaf = D.revenue_facts(t).groupBy("month", "currency", "product_name", "billing_frequency").agg(
+        F.sum("amount").alias("amount"))
+    return (leaf.rollup("month", "currency", "product_name", "billing_frequency")
             .agg(money(F.sum("amount")).alias("revenue"), F.grouping_id().alias("grouping_level"))
-            .filter(c("grouping_level") < 4)
-            .select("month", "product_name", "billing_frequency", "revenue",
+            .filter(c("grouping_level") < 7)
+            .select("month", "currency", "product_name", "billing_frequency", "revenue",
                     c("grouping_level").cast("int").alias("grouping_level")))
 
 
@@ -277,18 +280,16 @@ def average_customer_tenure(t, as_of: str | None = None) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- value
-def _percentile(col: str, p: float):
-    """Distributed percentile: bounded-memory sketch per group; with the default
-    accuracy it is exact below ~10^4 values per group (the smallest value with
-    at least ``p * n`` values <= it)."""
-    return F.percentile_approx(col, p, 100000)
-
-
 def customer_lifetime_value(t) -> DataFrame:
-    """KPI-24: mean / median / p90 historical value per owner type."""
-    return (D.customer_ltv(t).groupBy("owner_type", "currency").agg(
-        F.count("*").alias("owners"), dbl(F.avg("ltv"), 2).alias("avg_ltv"),
-        money(_percentile("ltv", 0.5)).alias("median_ltv"), money(_percentile("ltv", 0.9)).alias("p90_ltv")))
+    """KPI-24: mean / median / p90 historical value per owner type and currency. The percentiles are the
+    smallest value with at least ``p * n`` values at or below it, exact at every size."""
+    ltv = D.customer_ltv(t)
+    keys = ("owner_type", "currency")
+    cuts = quantiles(ltv, "ltv", (0.5, 0.9), keys)
+    return (ltv.groupBy(*keys).agg(F.count("*").alias("owners"), dbl(F.avg("ltv"), 2).alias("avg_ltv"))
+            .join(cuts, list(keys))
+            .select(*keys, "owners", "avg_ltv", money(c("cuts")[0]).alias("median_ltv"),
+                    money(c("cuts")[1]).alias("p90_ltv")))
 
 
 def revenue_per_customer(t) -> DataFrame:
@@ -381,11 +382,20 @@ def conversion_rate(t) -> DataFrame:
 
 
 def cost_per_acquisition(t) -> DataFrame:
-    """KPI-32: all cost spent in the channel / customers acquired through it (first touch before
-    their first subscription)."""
+    """KPI-32: all cost spent in the channel / customers acquired through it: first touch before their
+    first subscription or first trial, whichever came first (trial-only customers count too)."""
     cost = t.marketing_touchpoints.groupBy("channel").agg(
         money(F.coalesce(F.sum("attributed_cost"), F.lit(0))).alias("cost"))
-    acq = D.attribution(t).groupBy("channel").agg(F.count("*").alias("acquisitions"))
+    first = (D.first_subscription(t).filter(c("owner_type") == "customer")
+             .select(c("owner_id").alias("customer_id"), c("first_start").cast("timestamp_ntz").alias("at"))
+             .unionByName(t.trials.select("customer_id", c("trial_started_at").cast("timestamp_ntz").alias("at")))
+             .groupBy("customer_id").agg(F.min("at").alias("at")))
+    touch = (t.marketing_touchpoints.join(first, "customer_id").filter(c("touchpoint_at") <= c("at"))
+             .groupBy("customer_id").agg(F.min_by("channel", F.struct("touchpoint_at", "touchpoint_id"))
+                                         .alias("channel")))
+    acq = (first.join(touch, "customer_id", "left")
+           .groupBy(F.coalesce(c("channel"), F.lit("Unattributed")).alias("channel"))
+           .agg(F.count("*").alias("acquisitions")))
     return (cost.join(acq, "channel", "full")
             .select("channel", F.coalesce(c("cost"), F.lit(0).cast("decimal(18,2)")).alias("cost"),
                     F.coalesce(c("acquisitions"), F.lit(0)).alias("acquisitions"))

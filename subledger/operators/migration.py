@@ -33,7 +33,7 @@ def plan_moves(t) -> DataFrame:
     a = seq.join(tiers, "product_id")
     b = s.join(tiers, "product_id").select(*[c(x).alias(f"to_{x}") for x in (
         "subscription_id", "product_id", "product_name", "billing_frequency", "billing_period_days", "unit_price",
-        "seats_purchased", "tier_price")])
+        "currency", "seats_purchased", "tier_price")])
     m = a.join(b, a.next_id == b.to_subscription_id)
     mrr = lambda price, seats, freq: price.cast("double") * F.coalesce(seats, F.lit(1)) * monthly_factor(freq)
     return m.select(
@@ -47,6 +47,7 @@ def plan_moves(t) -> DataFrame:
         .when(c("to_billing_period_days") < c("billing_period_days"), "shorter").otherwise("same").alias("cycle_move"),
         dbl(mrr(c("unit_price"), c("seats_purchased"), c("billing_frequency")), 2).alias("from_mrr"),
         dbl(mrr(c("to_unit_price"), c("to_seats_purchased"), c("to_billing_frequency")), 2).alias("to_mrr"),
+        c("currency").alias("from_currency"), "to_currency",
     ).withColumnRenamed("to_product_name", "to_product").withColumnRenamed("to_billing_frequency", "to_frequency")
 
 
@@ -87,8 +88,10 @@ def post_migration_retention(t, as_of: str | None = None, days=RETENTION_DAYS) -
 
 
 def _revenue_impact(t, kind: str) -> DataFrame:
-    return (plan_moves(t).filter(c("product_move") == kind).groupBy("move_month")
-            .agg(F.count("*").alias("moves"), dbl(F.sum(c("to_mrr") - c("from_mrr")), 2).alias("mrr_change")))
+    """Per month and currency; a move between currencies counts as a move but has no change in money."""
+    change = F.when(c("from_currency") == c("to_currency"), c("to_mrr") - c("from_mrr"))
+    return (plan_moves(t).filter(c("product_move") == kind).groupBy("move_month", "from_currency", "to_currency")
+            .agg(F.count("*").alias("moves"), dbl(F.sum(change), 2).alias("mrr_change")))
 
 
 def upgrade_revenue_impact(t) -> DataFrame:
@@ -155,17 +158,18 @@ def journeys(t, k: int = 10, as_of: str | None = None) -> DataFrame:
     fp = num.groupBy("owner_id").agg(F.count("*").alias("steps"), *[F.sum(_lane(x)).alias(f"h{x}") for x in "abc"])
     live = (D.subscription_facts(t).filter((c("start_date") < a) & (c("end_date").isNull() | (c("end_date") >= a)))
             .select("owner_id").distinct().withColumn("live", F.lit(1)))
-    ltv = D.customer_ltv(t).select("owner_id", "ltv")
-    groups = (fp.join(ltv, "owner_id", "left").join(live, "owner_id", "left")
+    groups = (fp.join(live, "owner_id", "left")
               .groupBy("steps", "ha", "hb", "hc")
-              .agg(F.count("*").alias("owners"), dbl(F.avg("ltv"), 2).alias("avg_ltv"),
-                   ratio(F.count("live"), F.count("*")).alias("still_active_share"),
+              .agg(F.count("*").alias("owners"), ratio(F.count("live"), F.count("*")).alias("still_active_share"),
                    F.min("owner_id").alias("rep"))).checkpoint()
     # the k-th group by (owners desc, steps asc); every group not after it can be in the top k
     kth = (groups.orderBy(F.desc("owners"), "steps").limit(k)
            .agg(F.min_by(F.struct("owners", "steps"), F.struct(c("owners"), -c("steps"))))).scalar()
     cand = groups.filter((c("owners") > kth.getField("owners"))
                          | ((c("owners") == kth.getField("owners")) & (c("steps") <= kth.getField("steps"))))
+    marks = ["steps", "ha", "hb", "hc"]
+    value = D.mean_value(fp.join(cand.select(*marks), marks, "left_semi").select("owner_id", *marks), marks, t)
+    cand = cand.join(value, marks, "left")
     rep_steps = num.join(cand.select(c("rep").alias("owner_id")), "owner_id", "left_semi")
     paths = rep_steps.groupBy(c("owner_id").alias("rep")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "label"))), lambda x: x["label"]),

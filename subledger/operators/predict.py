@@ -13,7 +13,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import c, dbl, money, ratio
+from ..functions.columns import c, dbl, money, money_list, ratio
+from ..functions.ordering import quantiles, with_rows_before
+from ..session import checkpoint_dir
 from . import derive as D
 from .diagnostics import range_sums
 
@@ -120,36 +122,55 @@ def _fit_score(train: DataFrame, score: DataFrame, label_col: str = "label") ->
     lr = LogisticRegression(featuresCol="features", labelCol=label_col, maxIter=50, regParam=0.01)
     model = Pipeline(stages=[*idx, ohe, vec, scale, lr]).fit(train)
     from pyspark.ml.functions import vector_to_array
-    return (model.transform(score)
-            .select("owner_id", dbl(vector_to_array("probability")[1]).alias("probability")))
+    return model.transform(score).select("owner_id", vector_to_array("probability")[1].alias("probability"))
 
 
-def churn_model(t, train_at: str = "2023-06-01", score_at: str = "2023-12-01", horizon: int = 30) -> DataFrame:
-    """PRD-3: logistic churn model trained on an earlier snapshot, scoring owners at a later one."""
+def _snapshots(t, train_at: str | None, score_at: str | None, gap_months: int = 6, back_months: int = 2):
+    """Snapshot days: unless given, scoring two months before ``as_of`` (so that its horizon has passed) and
+    training ``gap_months`` earlier, both at a month's first day."""
+    y, m = int(t.as_of[:4]), int(t.as_of[5:7])
+
+    def first_day(months_back):
+        n = y * 12 + m - 1 - months_back
+        return f"{n // 12:04d}-{n % 12 + 1:02d}-01"
+
+    return train_at or first_day(back_months + gap_months), score_at or first_day(back_months)
+
+
+def _churn_scores(t, train_at: str, score_at: str, horizon: int) -> DataFrame:
     train = (_model_frame(churn_features(t, train_at))
              .join(churn_labels(t, train_at, horizon).select("owner_id", c("label").cast("double")), "owner_id"))
-    score = _model_frame(churn_features(t, score_at))
-    return _fit_score(train, score)
+    return _fit_score(train.checkpoint(), _model_frame(churn_features(t, score_at)))  # read by every fitted stage
 
 
-def churn_model_auc(t, train_at: str = "2023-06-01", score_at: str = "2023-12-01", horizon: int = 30) -> DataFrame:
+def churn_model(t, train_at: str | None = None, score_at: str | None = None, horizon: int = 30) -> DataFrame:
+    """PRD-3: logistic churn model trained on an earlier snapshot, scoring owners at a later one."""
+    checkpoint_dir(t.spark)
+    scores = _churn_scores(t, *_snapshots(t, train_at, score_at), horizon)
+    return scores.withColumn("probability", dbl(c("probability")))
+
+
+def churn_model_auc(t, train_at: str | None = None, score_at: str | None = None, horizon: int = 30) -> DataFrame:
     """PRD-3: AUC of the model on the scoring snapshot's realised labels (one row)."""
-    p = churn_model(t, train_at, score_at, horizon)
+    checkpoint_dir(t.spark)
+    train_at, score_at = _snapshots(t, train_at, score_at)
+    p = _churn_scores(t, train_at, score_at, horizon)
     y = churn_labels(t, score_at, horizon).select("owner_id", "label")
     j = p.join(y, "owner_id")
-    # rank-based AUC (Mann-Whitney) from two aggregates; ties get the average rank
+    # rank-based AUC (Mann-Whitney) on the unrounded scores; ties get the average rank
     r = j.groupBy("probability").agg(F.count("*").alias("n"), F.sum("label").alias("pos"))
-    w = Window.orderBy("probability").rowsBetween(Window.unboundedPreceding, -1)  # one row per distinct score
-    r = r.withColumn("below", F.coalesce(F.sum("n").over(w), F.lit(0)))
-    r = r.withColumn("avg_rank", c("below") + (c("n") + 1) / 2.0)
+    r = with_rows_before(r, "probability", "n")
+    r = r.withColumn("avg_rank", c("before") + (c("n") + 1) / 2.0)
     tot = r.agg(F.sum(c("avg_rank") * c("pos")).alias("rank_sum"), F.sum("pos").alias("P"), F.sum("n").alias("N"))
     return tot.select(c("P").cast("bigint").alias("positives"), (c("N") - c("P")).cast("bigint").alias("negatives"),
                       dbl((c("rank_sum") - c("P") * (c("P") + 1) / 2) / (c("P") * (c("N") - c("P"))), 4).alias("auc"))
 
 
-def upgrade_propensity(t, train_at: str = "2023-01-01", score_at: str = "2023-12-01", horizon: int = 90) -> DataFrame:
+def upgrade_propensity(t, train_at: str | None = None, score_at: str | None = None, horizon: int = 90) -> DataFrame:
     """PRD-6: probability of an upgrade within ``horizon`` days, same features as churn."""
     from .migration import plan_moves
+    checkpoint_dir(t.spark)
+    train_at, score_at = _snapshots(t, train_at, score_at, gap_months=11)
 
     def labels(at):
         up = (plan_moves(t).filter((c("product_move") == "upgrade") & (c("move_date") > _d(at))
@@ -159,7 +180,8 @@ def upgrade_propensity(t, train_at: str = "2023-01-01", score_at: str = "2023-12
             "owner_id", F.coalesce(c("label"), F.lit(0.0)).alias("label"))
 
     train = _model_frame(churn_features(t, train_at)).join(labels(train_at), "owner_id")
-    return _fit_score(train, _model_frame(churn_features(t, score_at)))
+    return _fit_score(train.checkpoint(), _model_frame(churn_features(t, score_at))).withColumn(
+        "probability", dbl(c("probability")))
 
 
 # ----------------------------------------------------------------------- PRD-4
@@ -188,20 +210,21 @@ def churn_risk_score(t, as_of: str | None = None) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- PRD-5
-def _series_revenue(t) -> DataFrame:
-    r = D.revenue_facts(t)
-    by = r.groupBy("month", "product_name", "billing_frequency").agg(F.sum("amount").alias("revenue"))
-    total = r.groupBy("month").agg(F.sum("amount").alias("revenue")).select(
-        "month", F.lit("ALL").alias("product_name"), F.lit("ALL").alias("billing_frequency"), "revenue")
+def _series_revenue(t, as_of=None) -> DataFrame:
+    r = D.revenue_facts(t).filter(c("paid_at") < _d(as_of or t.as_of).cast("timestamp_ntz"))
+    by = r.groupBy("month", "currency", "product_name", "billing_frequency").agg(F.sum("amount").alias("revenue"))
+    total = by.groupBy("month", "currency").agg(F.sum("revenue").alias("revenue")).select(
+        "month", "currency", F.lit("ALL").alias("product_name"), F.lit("ALL").alias("billing_frequency"), "revenue")
     return by.unionByName(total)
 
 
-def revenue_forecast(t, months: int = 3) -> DataFrame:
-    """PRD-5: linear-trend forecast of monthly revenue for the next ``months`` months per product x
-    frequency and in total (least squares on the month index, one aggregate per series)."""
-    s = _series_revenue(t).withColumn(
+def revenue_forecast(t, months: int = 3, as_of: str | None = None) -> DataFrame:
+    """PRD-5: linear-trend forecast of monthly revenue for the next ``months`` months per currency,
+    product x frequency and in total (least squares on the month index, one aggregate per series),
+    from payments before ``as_of``."""
+    s = _series_revenue(t, as_of).withColumn(
         "x", (F.year("month") * 12 + F.month("month")).cast("double"))
-    fit = s.groupBy("product_name", "billing_frequency").agg(
+    fit = s.groupBy("currency", "product_name", "billing_frequency").agg(
         F.regr_slope(c("revenue").cast("double"), c("x")).alias("slope"),
         F.regr_intercept(c("revenue").cast("double"), c("x")).alias("intercept"),
         F.count("*").alias("points"))
@@ -209,7 +232,7 @@ def revenue_forecast(t, months: int = 3) -> DataFrame:
     steps = F.explode(F.sequence(F.lit(1), F.lit(months))).alias("h")
     out = fit.select("*", steps).withColumn("month", F.add_months(last_month, c("h")))
     x = (F.year("month") * 12 + F.month("month")).cast("double")
-    return out.select("product_name", "billing_frequency", "month", c("h").cast("int").alias("horizon"),
+    return out.select("currency", "product_name", "billing_frequency", "month", c("h").cast("int").alias("horizon"),
                       c("points").cast("bigint").alias("points"),
                       dbl(F.greatest(c("intercept") + c("slope") * x, F.lit(0.0)), 2).alias("forecast_revenue"))
 
@@ -219,29 +242,40 @@ SEGMENT_CUTS = (0.2, 0.4, 0.6, 0.8)
 
 
 def rfm(t, as_of: str | None = None) -> DataFrame:
-    """Recency (days since last successful payment), frequency and monetary value per paying owner."""
+    """Last payment, payments and monetary value per paying owner and currency."""
     a = _d(as_of or t.as_of)
     r = D.revenue_facts(t).filter(c("paid_at") < a.cast("timestamp_ntz"))
-    return r.groupBy("owner_id", "owner_type").agg(
-        F.datediff(a, F.max("paid_at")).cast("int").alias("recency_days"),
-        F.count("*").cast("bigint").alias("frequency"), money(F.sum("amount")).alias("monetary"))
+    return r.groupBy("owner_id", "owner_type", "currency").agg(
+        F.max("paid_at").alias("last_paid_at"), F.count("*").cast("bigint").alias("payments"),
+        money(F.sum("amount")).alias("monetary"))
 
 
 def rfm_segments(t, as_of: str | None = None) -> DataFrame:
-    """PRD-7: quintile scores from distributed cut points (``percentile_approx``, exact for small
-    inputs; no global sort) and a named segment."""
+    """PRD-7: quintile scores from exact cut points (``functions.ordering.quantiles``) and a named
+    segment, one row per owner. Money is scored within its currency; an owner that pays in several has
+    the best of its money scores and lists its amounts per currency."""
+    a = _d(as_of or t.as_of)
     base = rfm(t, as_of)
-    cuts = {x: base.agg(F.percentile_approx(x, list(SEGMENT_CUTS), 100000)).scalar()
-            for x in ("recency_days", "frequency", "monetary")}
-    j = base
+    owners = base.groupBy("owner_id", "owner_type").agg(
+        F.datediff(a, F.max("last_paid_at")).cast("int").alias("recency_days"),
+        F.sum("payments").cast("bigint").alias("frequency"))
 
     def above(x):
-        return reduce(lambda a, b: a + b, [F.when(c(x) > cuts[x][i], 1).otherwise(0)
+        return reduce(lambda p, q: p + q, [F.when(c(x) > c("cuts")[i], 1).otherwise(0)
                                            for i in range(len(SEGMENT_CUTS))])
-    scored = j.select("owner_id", "owner_type", "recency_days", "frequency", "monetary",
-                      (5 - above("recency_days")).cast("int").alias("r_score"),
-                      (1 + above("frequency")).cast("int").alias("f_score"),
-                      (1 + above("monetary")).cast("int").alias("m_score"))
+
+    def cut(df, x, by=()):
+        q = quantiles(df, x, SEGMENT_CUTS, by)  # a row per group
+        return df.join(F.broadcast(q), list(by)) if by else df.withColumn("cuts", q.scalar())
+
+    per_money = cut(base, "monetary", ("currency",)).select(
+        "owner_id", (1 + above("monetary")).alias("score"), "currency", "monetary")
+    per_money = per_money.groupBy("owner_id").agg(F.max("score").cast("int").alias("m_score"),
+                                                  money_list(c("currency"), c("monetary")).alias("monetary"))
+    scored = cut(owners, "recency_days").withColumn("r_score", (5 - above("recency_days")).cast("int")).drop("cuts")
+    scored = cut(scored, "frequency").withColumn("f_score", (1 + above("frequency")).cast("int")).drop("cuts")
+    scored = scored.join(per_money, "owner_id").select("owner_id", "owner_type", "recency_days", "frequency",
+                                                       "monetary", "r_score", "f_score", "m_score")
     seg = (F.when((c("r_score") >= 4) & (c("f_score") >= 4), "champions")
            .when((c("r_score") <= 2) & (c("f_score") >= 3), "at_risk")
            .when((c("r_score") >= 4) & (c("f_score") <= 2), "new")
@@ -255,8 +289,13 @@ def kmeans_segments(t, as_of: str | None = None, k: int = 4) -> DataFrame:
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import StandardScaler, VectorAssembler
 
-    base = rfm(t, as_of).select("owner_id", F.log1p("recency_days").alias("r"), F.log1p("frequency").alias("f"),
-                                F.log1p(c("monetary").cast("double")).alias("m"))
+    a = _d(as_of or t.as_of)
+    each = rfm(t, as_of)
+    # money in units of its currency's mean, so that currencies can stand side by side
+    mean = each.groupBy("currency").agg(F.avg(c("monetary").cast("double")).alias("mean"))
+    base = each.join(F.broadcast(mean), "currency").groupBy("owner_id").agg(
+        F.log1p(F.datediff(a, F.max("last_paid_at"))).alias("r"), F.log1p(F.sum("payments")).alias("f"),
+        F.log1p(F.sum(c("monetary").cast("double") / c("mean"))).alias("m"))
     pipe = Pipeline(stages=[VectorAssembler(inputCols=["r", "f", "m"], outputCol="raw"),
                             StandardScaler(inputCol="raw", outputCol="features", withMean=True),
                             KMeans(k=k, seed=42, featuresCol="features", predictionCol="cluster")])
@@ -264,17 +303,19 @@ def kmeans_segments(t, as_of: str | None = None, k: int = 4) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- PRD-8 / PRD-9
-def _last_12_months(t, as_of):
+def _last_months(t, as_of, months):
     end = F.trunc(_d(as_of or t.as_of), "month")
-    return F.add_months(end, -12), end
+    return F.add_months(end, -months), end
 
 
-def expected_ltv(t, as_of: str | None = None) -> DataFrame:
-    """PRD-8: ARPPU / monthly churn rate per owner type over the last 12 complete months."""
-    lo, hi = _last_12_months(t, as_of)
+def expected_ltv(t, as_of: str | None = None, months: int = 12) -> DataFrame:
+    """PRD-8: ARPPU / monthly churn rate per owner type and currency over the last ``months`` complete
+    months (12 unless told otherwise)."""
+    lo, hi = _last_months(t, as_of, months)
     r = D.revenue_facts(t).filter((c("month") >= lo) & (c("month") < hi))
-    arppu = (r.groupBy("owner_type", "month").agg(F.sum("amount").alias("rev"), F.countDistinct("owner_id").alias("n"))
-             .groupBy("owner_type").agg(ratio(F.sum("rev"), F.sum("n"), 4).alias("arppu")))
+    arppu = (r.groupBy("owner_type", "currency", "month")
+             .agg(F.sum("amount").alias("rev"), F.countDistinct("owner_id").alias("n"))
+             .groupBy("owner_type", "currency").agg(ratio(F.sum("rev"), F.sum("n"), 4).alias("arppu")))
     am = D.active_owner_months(t, as_of).withColumn("month", F.add_months("month", 1))
     base = am.filter((c("month") >= lo) & (c("month") < hi)).groupBy("owner_type").agg(
         F.count("*").alias("owner_months"))
@@ -290,66 +331,72 @@ def expected_ltv(t, as_of: str | None = None) -> DataFrame:
 SCENARIO_POINTS = (1, 2, 5)
 
 
-def retention_scenarios(t, as_of: str | None = None, points=SCENARIO_POINTS) -> DataFrame:
-    """PRD-9: twelve-month revenue gained if the monthly churn rate fell by ``points`` points,
-    on the latest month's MRR."""
+def retention_scenarios(t, as_of: str | None = None, points=SCENARIO_POINTS, months: int = 12) -> DataFrame:
+    """PRD-9: per currency, twelve-month revenue gained if the monthly churn rate (of the last ``months``
+    complete months) fell by ``points`` points, on the latest month's MRR."""
     from .kpi import monthly_recurring_revenue
-    lo, hi = _last_12_months(t, as_of)
-    mrr = (monthly_recurring_revenue(t, as_of).filter(c("currency") == "KES")
-           .agg(F.max_by("mrr", "month").alias("mrr")))
+    lo, hi = _last_months(t, as_of, months)
+    mrr = monthly_recurring_revenue(t, as_of).groupBy("currency").agg(F.max_by("mrr", "month").alias("mrr"))
     am = D.active_owner_months(t, as_of).withColumn("month", F.add_months("month", 1))
     owner_months = am.filter((c("month") >= lo) & (c("month") < hi)).agg(F.count("*")).scalar()
     churns = (D.churn_events(t, as_of).filter((c("churn_month") >= lo) & (c("churn_month") < hi))
               .select("owner_id", "churn_month").distinct().agg(F.count("*")).scalar())
     sc = F.explode(F.array(*[F.lit(p) for p in points])).alias("points")
     m = F.explode(F.sequence(F.lit(1), F.lit(12))).alias("m")
-    j = mrr.select("mrr", ratio(churns, owner_months).alias("churn_rate"), sc).withColumn(
+    j = mrr.select("currency", "mrr", ratio(churns, owner_months).alias("churn_rate"), sc).withColumn(
         "new_churn_rate", F.round(F.greatest(c("churn_rate") - c("points") / 100.0, F.lit(0.0)), 6))
-    gain = (j.select("*", m).groupBy("points", "churn_rate", "new_churn_rate", "mrr")
+    gain = (j.select("*", m).groupBy("currency", "points", "churn_rate", "new_churn_rate", "mrr")
             .agg(F.sum(c("mrr") * (F.pow(1 - c("new_churn_rate"), c("m")) - F.pow(1 - c("churn_rate"), c("m"))))
                  .alias("gain")))
-    return gain.select(c("points").cast("int").alias("points"), "churn_rate", "new_churn_rate", "mrr",
+    return gain.select("currency", c("points").cast("int").alias("points"), "churn_rate", "new_churn_rate", "mrr",
                        dbl(c("gain"), 2).alias("revenue_gain_12m"))
 
 
 # ----------------------------------------------------------------------- PRD-10..13
-def retention_offers(t, as_of: str | None = None, k: int = 50, min_value: float = 5000.0) -> DataFrame:
-    """PRD-10: owners at medium/high risk with historical value >= ``min_value``, most at risk first."""
+def retention_offers(t, as_of: str | None = None, k: int | None = None) -> DataFrame:
+    """PRD-10: every owner at medium / high risk with its historical value; with ``k`` only the k most at risk."""
     risk = churn_risk_score(t, as_of).filter(c("risk_band") != "low")
-    ltv = D.customer_ltv(t).select("owner_id", "ltv")
-    return (risk.join(ltv, "owner_id").filter(c("ltv") >= min_value)
-            .orderBy(F.desc("risk_score"), F.desc("ltv"), "owner_id").limit(k))
+    offers = risk.join(D.owner_value(t), "owner_id")
+    return offers if k is None else offers.orderBy(F.desc("risk_score"), "owner_id").limit(k)
 
 
-def next_best_plan(t, as_of: str | None = None, days: int = 90, min_moves: int = 5) -> DataFrame:
-    """PRD-11: per current plan, the move with the best retention-weighted MRR gain."""
+def next_best_plan(t, as_of: str | None = None, days: int = 90) -> DataFrame:
+    """PRD-11: per current plan and currency, the move with the best retention-weighted MRR gain (with its
+    number of moves). Moves between currencies have no gain in money and are not ranked."""
     from .migration import _active_on, plan_moves
     a = _d(as_of or t.as_of)
     mv = (plan_moves(t).filter((c("product_move") != "same") | (c("cycle_move") != "same"))
+          .filter(c("from_currency") == c("to_currency")).withColumnRenamed("from_currency", "currency")
           .withColumn("day", F.date_add("move_date", days)).filter(c("day") < a))
     act = _active_on(t, mv.select("owner_id", c("from_subscription_id").alias("probe_id"), "day"))
     g = (mv.join(act, mv.from_subscription_id == act.probe_id)
-         .groupBy("from_product", "from_frequency", "to_product", "to_frequency")
+         .groupBy("currency", "from_product", "from_frequency", "to_product", "to_frequency")
          .agg(F.count("*").alias("moves"), ratio(F.count_if("continued"), F.count("*")).alias("retention"),
               dbl(F.avg(c("to_mrr") - c("from_mrr")), 2).alias("avg_mrr_change"))
-         .filter(c("moves") >= min_moves)
          .withColumn("score", dbl(c("retention") * c("avg_mrr_change"), 4)))
-    w = Window.partitionBy("from_product", "from_frequency").orderBy(F.desc("score"), "to_product", "to_frequency")
+    w = Window.partitionBy("currency", "from_product", "from_frequency").orderBy(F.desc("score"), "to_product", "to_frequency")
     return g.withColumn("rk", F.row_number().over(w)).filter(c("rk") == 1).drop("rk")
 
 
 def channel_investment(t, as_of: str | None = None) -> DataFrame:
-    """PRD-12: channels ranked by LTV:CAC, then retention."""
+    """PRD-12: channels ranked by LTV:CAC, then retention, within each currency."""
     from .diagnostics import channel_comparison
-    cc = channel_comparison(t, as_of).select("channel", "acquired", "retained_share", "cac", "avg_ltv")
+    cc = channel_comparison(t, as_of).select("channel", "currency", "acquired", "retained_share", "cac", "avg_ltv")
     cc = cc.withColumn("ltv_to_cac", ratio(c("avg_ltv"), c("cac"), 4))
-    w = Window.orderBy(F.desc_nulls_last("ltv_to_cac"), F.desc_nulls_last("retained_share"), "channel")  # ~10 rows
+    w = Window.partitionBy("currency").orderBy(  # one row per channel
+        F.desc_nulls_last("ltv_to_cac"), F.desc_nulls_last("retained_share"), "channel")
     return cc.withColumn("investment_rank", F.row_number().over(w).cast("int"))
 
 
 def value_risk_segments(t, as_of: str | None = None) -> DataFrame:
-    """PRD-13: RFM segment x churn-risk band: owners and mean value."""
-    seg = rfm_segments(t, as_of).select("owner_id", "segment", "monetary")
+    """PRD-13: RFM segment x churn-risk band: owners and mean value, one amount per currency."""
+    seg = rfm_segments(t, as_of).select("owner_id", "segment")
     risk = churn_risk_score(t, as_of).select("owner_id", "risk_band")
-    return (seg.join(risk, "owner_id").groupBy("segment", "risk_band")
-            .agg(F.count("*").alias("owners"), dbl(F.avg("monetary"), 2).alias("avg_value")))
+    both = seg.join(risk, "owner_id")
+    keys = ["segment", "risk_band"]
+    owners = both.groupBy(*keys).agg(F.count("*").alias("owners"))
+    total = (both.join(rfm(t, as_of).select("owner_id", "currency", "monetary"), "owner_id")
+             .groupBy(*keys, "currency").agg(F.sum("monetary").alias("total")))
+    mean = c("total").cast("double") / c("owners")
+    return (total.join(owners, keys).groupBy(*keys, "owners")
+            .agg(money_list(c("currency"), mean).alias("avg_value")))

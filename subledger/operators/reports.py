@@ -16,60 +16,70 @@ from . import kpi as K
 from . import predict as P
 from .migration import plan_moves
 
-REPORT_CURRENCY = "KES"
-
-
 def report_executive(t, as_of: str | None = None) -> DataFrame:
-    """REP-1: month x subscribers, new, revenue, growth, churn, retention, ARPU, MRR, and the
-    3-month total revenue forecast on the months after the history."""
-    cur = c("currency") == REPORT_CURRENCY
-    parts = [
+    """REP-1: month and currency x revenue, growth, ARPU, MRR and the 3-month total revenue forecast on the
+    months after the history, next to the month's subscribers, new subscribers, churn and retention (owners,
+    the same on each currency's row)."""
+    owners = [
         K.active_subscribers(t, as_of),
         K.new_subscribers(t).groupBy("month").agg(F.sum("new_subscribers").cast("bigint").alias("new_subscribers")),
-        K.revenue_growth(t).filter(cur).select("month", "revenue", c("growth_rate").alias("revenue_growth")),
         K.churn_rate(t, as_of).select("month", "churn_rate"),
         K.retention_rate(t, as_of).select("month", "retention_rate"),
-        K.average_revenue_per_user(t, as_of).filter(cur).select("month", "arpu"),
-        K.monthly_recurring_revenue(t, as_of).filter(cur).select("month", "mrr"),
-        P.revenue_forecast(t).filter(c("product_name") == "ALL").select("month", "forecast_revenue"),
     ]
-    return reduce(lambda a, b: a.join(b, "month", "full"), parts)
+    money = [
+        K.revenue_growth(t).select("month", "currency", "revenue", c("growth_rate").alias("revenue_growth")),
+        K.average_revenue_per_user(t, as_of).select("month", "currency", "arpu"),
+        K.monthly_recurring_revenue(t, as_of).select("month", "currency", "mrr"),
+        P.revenue_forecast(t, as_of=as_of).filter(c("product_name") == "ALL")
+        .select("month", "currency", "forecast_revenue"),
+    ]
+    return (reduce(lambda a, b: a.join(b, "month", "full"), owners)
+            .join(reduce(lambda a, b: a.join(b, ["month", "currency"], "full"), money), "month", "full"))
 
 
 def report_subscription(t, as_of: str | None = None) -> DataFrame:
     """REP-2: product x frequency x month (with product and month subtotals): new subscriptions,
-    renewals, upgrades and downgrades away from the plan, churned subscriptions."""
+    renewals, moves away from the plan (upgrades, downgrades, lateral, billing cycle), churned
+    subscriptions, and of the month's start cohort those still running at ``as_of``."""
     s = D.subscription_facts(t)
     keys = ["month", "product_name", "billing_frequency"]
 
     def rows(df, metric):
         return df.select(*keys, *[F.lit(1 if m == metric else 0).alias(m) for m in METRICS])
 
-    METRICS = ["new_subscriptions", "renewals", "upgrades", "downgrades", "churned"]
+    METRICS = ["new_subscriptions", "renewals", "upgrades", "downgrades", "lateral_moves", "cycle_moves", "churned",
+               "cohort_active"]
     starts = s.select(F.trunc("start_date", "month").alias("month"), "product_name", "billing_frequency")
     ren = (t.subscription_events.filter(c("event_type") == "renewed").join(s, "subscription_id")
            .select(F.trunc(F.to_date("event_at"), "month").alias("month"), "product_name", "billing_frequency"))
     mv = plan_moves(t).select(c("move_month").alias("month"), c("from_product").alias("product_name"),
-                              c("from_frequency").alias("billing_frequency"), "product_move")
+                              c("from_frequency").alias("billing_frequency"), "product_move", "cycle_move")
     ch = D.churn_events(t, as_of).select(c("churn_month").alias("month"), "product_name", "billing_frequency")
+    a = F.lit(as_of or t.as_of).cast("date")
+    cohort = (s.filter((c("start_date") < a) & (c("end_date").isNull() | (c("end_date") >= a)))
+              .select(F.trunc("start_date", "month").alias("month"), "product_name", "billing_frequency"))
     u = reduce(DataFrame.unionByName, [
         rows(starts, "new_subscriptions"), rows(ren, "renewals"),
         rows(mv.filter(c("product_move") == "upgrade"), "upgrades"),
-        rows(mv.filter(c("product_move") == "downgrade"), "downgrades"), rows(ch, "churned")])
-    return (u.rollup(*keys).agg(*[F.sum(m).cast("bigint").alias(m) for m in METRICS],
+        rows(mv.filter(c("product_move") == "downgrade"), "downgrades"),
+        rows(mv.filter(c("product_move") == "lateral"), "lateral_moves"),
+        rows(mv.filter(c("cycle_move") != "same"), "cycle_moves"), rows(ch, "churned"),
+        rows(cohort, "cohort_active")])
+    leaf = u.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in METRICS])  # the rollup copies cells, not rows
+    return (leaf.rollup(*keys).agg(*[F.sum(m).cast("bigint").alias(m) for m in METRICS],
                                 F.grouping_id().cast("int").alias("grouping_level"))
             .filter(c("grouping_level") < 4))
 
 
 def report_customer(t, as_of: str | None = None) -> DataFrame:
-    """REP-3: one row per customer: RFM segment, acquisition channel, tenure, value, churn risk,
+    """REP-3: one row per customer: RFM segment, acquisition channel, tenure, value per currency, churn risk,
     reactivation and engagement level."""
     cust = t.customers.select("customer_id", "country", "account_status")
     key = lambda df, col="owner_id": df.withColumnRenamed(col, "customer_id")
     seg = key(P.rfm_segments(t, as_of).select("owner_id", "segment"))
     ch = D.attribution(t).select("customer_id", "channel")
     ten = key(D.owner_tenure(t, as_of).select("owner_id", "tenure_days"))
-    ltv = key(D.customer_ltv(t).select("owner_id", "ltv"))
+    ltv = key(D.owner_value(t))
     risk = key(P.churn_risk_score(t, as_of).select("owner_id", "risk_score", "risk_band"))
     react = key(K.reactivations(t, as_of).filter(c("next_start").isNotNull()).select("owner_id").distinct()
                 .withColumn("reactivated", F.lit(True)))
@@ -79,25 +89,16 @@ def report_customer(t, as_of: str | None = None) -> DataFrame:
 
 
 def report_corporate(t, as_of: str | None = None) -> DataFrame:
-    """REP-4: the corporate account table with renewal rates by billing term."""
-    acc = X.corporate_accounts(t, as_of)
-    s = D.subscription_facts(t).filter(c("owner_type") == "organisation").select(
-        "subscription_id", c("owner_id").alias("organisation_id"), "billing_frequency")
-    e = t.subscription_events.filter(c("event_type").isin("renewed", "subscription_ended")).join(s, "subscription_id")
-    lapsed = (c("event_type") == "subscription_ended") & (c("event_reason") != "plan_change")
-    r = e.groupBy("organisation_id").agg(*[
-        ratio(F.count_if((c("event_type") == "renewed") & (c("billing_frequency") == f)),
-              F.count_if(((c("event_type") == "renewed") | lapsed) & (c("billing_frequency") == f)))
-        .alias(f"renewal_rate_{f.lower()}") for f in ("Monthly", "Annual")])
-    return acc.join(r, "organisation_id", "left")
+    """REP-4: the corporate account table (it holds the renewal rates by billing term)."""
+    return X.corporate_accounts(t, as_of)
 
 
 def report_recommendations(t, as_of: str | None = None) -> DataFrame:
     """REP-5: what / who / why / action rows from the retention-offer list, the next-best-plan
-    table and the top channels by investment rank."""
+    table and all channels by investment rank."""
     offers = P.retention_offers(t, as_of).select(
         F.lit("retention_offer").alias("recommendation"), c("owner_id").alias("subject"),
-        F.concat(F.lit("risk "), c("risk_score").cast("string"), F.lit(", value "), c("ltv").cast("string"))
+        F.concat(F.lit("risk "), c("risk_score").cast("string"), F.lit(", value "), c("ltv"))
         .alias("reason"), F.lit("offer a retention discount").alias("action"),
         c("risk_score").alias("priority"))
     plans = P.next_best_plan(t, as_of).select(
@@ -107,9 +108,10 @@ def report_recommendations(t, as_of: str | None = None) -> DataFrame:
                  F.round(c("retention") * 100).cast("bigint").cast("string"), F.lit("%")).alias("reason"),
         F.concat(F.lit("promote "), F.concat_ws(" ", "to_product", "to_frequency")).alias("action"),
         F.lit(50).alias("priority"))
-    chans = P.channel_investment(t, as_of).filter(c("investment_rank") <= 3).select(
+    chans = P.channel_investment(t, as_of).select(
         F.lit("invest_channel").alias("recommendation"), c("channel").alias("subject"),
-        F.concat(F.lit("investment rank "), c("investment_rank").cast("string")).alias("reason"),
+        F.concat(F.lit("investment rank "), c("investment_rank").cast("string"),
+                 F.coalesce(F.concat(F.lit(" in "), c("currency")), F.lit(""))).alias("reason"),
         F.lit("increase acquisition budget").alias("action"), (40 - c("investment_rank")).alias("priority"))
     return reduce(DataFrame.unionByName, [offers, plans, chans]).select(
         "recommendation", "subject", "reason", "action", c("priority").cast("int").alias("priority"))

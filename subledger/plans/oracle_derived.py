@@ -71,8 +71,10 @@ left join (
 ) t on t.customer_id = f.owner_id and t.rk = 1
 where f.owner_type = 'customer'""")
 
-_cte("sf_ltv", ["sf_first", "sf_rev"], """
-select f.owner_id, f.owner_type, f.first_start, coalesce(r.currency, 'KES') as currency,
+_cte("sf_ltv", ["sf_first", "sf_rev", "sf_subs"], """
+select f.owner_id, f.owner_type, f.first_start,
+       coalesce(r.currency, (select s.currency from sf_subs s where s.owner_id = f.owner_id
+                             order by s.start_date, s.subscription_id limit 1)) as currency,
        cast(coalesce(r.revenue, 0) as decimal(18,2)) as ltv
 from sf_first f left join (select owner_id, currency, sum(amount) as revenue from sf_rev group by 1, 2) r
   on r.owner_id = f.owner_id""")
@@ -109,6 +111,7 @@ select a.owner_id, a.owner_type, a.subscription_id as from_subscription_id, b.su
        a.billing_frequency as from_freq_key, b.billing_frequency as to_freq_key,
        coalesce(a.seats_purchased, 1) as from_seats, coalesce(b.seats_purchased, 1) as to_seats,
        a.unit_price as from_unit_price, b.unit_price as to_unit_price,
+       a.currency as from_currency, b.currency as to_currency,
        case when tb.tier_price > ta.tier_price then 'upgrade' when tb.tier_price < ta.tier_price then 'downgrade'
             when a.product_id <> b.product_id then 'lateral' else 'same' end as product_move,
        case when b.billing_period_days > a.billing_period_days then 'longer'

@@ -6,7 +6,7 @@ from ..operators import diagnostics as X
 from .catalog import register
 from .oracle_fixtures import AS_OF
 from .q_kpi import REACT, rate
-from .q_more import BAND, CAC, FACTOR, LTV_BY_CHANNEL
+from .q_more import BAND, CAC, FACTOR, LTV_BY_CHANNEL, mean_value_sql
 
 TENURE = ("case when {d} < 90 then '0-3m' when {d} < 365 then '3-12m' else '12m+' end")
 
@@ -14,38 +14,40 @@ register("churn_concentration", "DIA-1", X.churn_concentration, f"""
 with base as (
     select s.product_name, s.billing_frequency, coalesce(a.channel, 'Organisation') as channel,
            {TENURE.format(d=f"datediff('day', s.start_date, coalesce(s.end_date, {AS_OF}))")} as tenure_band,
+           coalesce(a.campaign_name, 'none') as campaign,
            case when c.subscription_id is not null then 1 else 0 end as churned
     from sf_subs s left join sf_churn c on c.subscription_id = s.subscription_id
     left join sf_attr a on a.customer_id = s.owner_id
     where s.start_date < {AS_OF}),
 tot as (select count(*) as all_subs, sum(churned) as all_churned from base),
-cb as (select product_name, billing_frequency, channel, tenure_band, count(*) as subscriptions,
+cb as (select product_name, billing_frequency, channel, tenure_band, campaign, count(*) as subscriptions,
               cast(sum(churned) as bigint) as churned,
-              cast(grouping(product_name, billing_frequency, channel, tenure_band) as integer) as grouping_level
-       from base group by cube (product_name, billing_frequency, channel, tenure_band))
+              cast(grouping(product_name, billing_frequency, channel, tenure_band, campaign) as integer) as grouping_level
+       from base group by cube (product_name, billing_frequency, channel, tenure_band, campaign))
 select cb.*, {rate('churned', 'all_churned')} as churn_share, {rate('subscriptions', 'all_subs')} as base_share,
        {rate('churned * all_subs', 'subscriptions * all_churned')} as lift
 from cb, tot
-where grouping_level < 15 and subscriptions >= 50
+where grouping_level < 31 and subscriptions >= 50
 order by lift desc nulls last, grouping_level, product_name nulls first, billing_frequency nulls first,
-         channel nulls first, tenure_band nulls first
+         channel nulls first, tenure_band nulls first, campaign nulls first
 limit 20""")
 
 register("revenue_change_drivers", "DIA-2", X.revenue_change_drivers, f"""
-with g as (select product_name, billing_frequency,
-                  cast(coalesce(sum(amount) filter (where month = date '2023-11-01'), 0) as decimal(18,2)) as previous_revenue,
-                  cast(coalesce(sum(amount) filter (where month = date '2023-12-01'), 0) as decimal(18,2)) as current_revenue
-           from sf_rev where month in (date '2023-11-01', date '2023-12-01') group by 1, 2),
+with g as (select r.currency, coalesce(a.channel, 'Organisation') as channel, r.product_name, r.billing_frequency,
+                  cast(coalesce(sum(amount) filter (where month = date '2023-12-01'), 0) as decimal(18,2)) as previous_revenue,
+                  cast(coalesce(sum(amount) filter (where month = date '2024-01-01'), 0) as decimal(18,2)) as current_revenue
+           from sf_rev r left join sf_attr a on a.customer_id = r.owner_id
+           where month in (date '2023-12-01', date '2024-01-01') group by 1, 2, 3, 4),
      h as (select *, cast(current_revenue - previous_revenue as decimal(18,2)) as change from g)
-select *, {rate('change', 'sum(change) over ()')} as share_of_change from h""")
+select *, {rate('change', 'sum(change) over (partition by currency)')} as share_of_change from h""")
 
 register("churned_revenue", "DIA-3", X.churned_revenue, f"""
-select churn_month, churn_type, cast(sum(n) as bigint) as churned_subscriptions,
+select churn_month, churn_type, currency, cast(sum(n) as bigint) as churned_subscriptions,
        round(sum(cast(rec as double) * {FACTOR.format(f='billing_frequency')}), 2) as mrr_lost
-from (select c.churn_month, c.churn_type, s.billing_frequency, count(*) as n,
+from (select c.churn_month, c.churn_type, s.currency, s.billing_frequency, count(*) as n,
              sum(s.unit_price * coalesce(s.seats_purchased, 1)) as rec
-      from sf_churn c join sf_subs s on s.subscription_id = c.subscription_id group by 1, 2, 3) x
-group by 1, 2""")
+      from sf_churn c join sf_subs s on s.subscription_id = c.subscription_id group by 1, 2, 3, 4) x
+group by 1, 2, 3""")
 
 register("survival_curve", "DIA-4", X.survival_curve, f"""
 with d as (select cast(floor(datediff('day', s.start_date, coalesce(s.end_date, {AS_OF})) / 30) as integer) as duration_months,
@@ -106,28 +108,32 @@ with a as (select customer_id as owner_id, first_start, channel = 'Promotional C
      p as (select a.*, n.days, a.first_start + n.days as day from a, n where a.first_start + n.days < {AS_OF}),
      q as (select p.*, exists (select 1 from sf_subs s where s.owner_id = p.owner_id and s.start_date <= p.day
                                and (s.end_date is null or s.end_date > p.day)) as kept
-           from p)
-select promotional, with_campaign, days, count(*) as eligible, count(*) filter (where kept) as retained,
-       round(avg(l.ltv), 2) as avg_ltv, {rate('count(*) filter (where kept)', 'count(*)')} as retention_rate
-from q left join sf_ltv l on l.owner_id = q.owner_id group by 1, 2, 3""")
+           from p),
+     g as (select promotional, with_campaign, days, count(*) as eligible, count(*) filter (where kept) as retained,
+                  {rate('count(*) filter (where kept)', 'count(*)')} as retention_rate from q group by 1, 2, 3)
+select g.*, val.avg_ltv
+from g left join ({mean_value_sql('p', 'promotional', 'with_campaign', 'days')}) val
+  on val.promotional = g.promotional and val.with_campaign = g.with_campaign and val.days = g.days""")
 
 register("campaign_performance", "DIA-8", X.campaign_performance, f"""
 with att as (select customer_id as owner_id, campaign_name from sf_attr where campaign_name is not null),
      live as (select distinct owner_id from sf_subs where start_date < {AS_OF} and (end_date is null or end_date >= {AS_OF})),
-     per as (select att.campaign_name, count(*) as customers, cast(sum(l.ltv) as decimal(18,2)) as revenue,
-                    {rate('count(v.owner_id)', 'count(*)')} as still_active_share
-             from att left join sf_ltv l on l.owner_id = att.owner_id left join live v on v.owner_id = att.owner_id
-             group by 1),
+     per as (select att.campaign_name, count(*) as customers, {rate('count(v.owner_id)', 'count(*)')} as still_active_share
+             from att left join live v on v.owner_id = att.owner_id group by 1),
+     rev as (select campaign_name, string_agg(currency || ' ' || cast(total as varchar), '; ' order by currency) as revenue
+             from (select att.campaign_name, l.currency, cast(sum(l.ltv) as decimal(18,2)) as total
+                   from att join sf_ltv l on l.owner_id = att.owner_id group by 1, 2) z group by 1),
      cost as (select campaign_name, cast(coalesce(sum(attributed_cost), 0) as decimal(18,2)) as cost
               from marketing_touchpoints where campaign_name is not null group by 1)
-select per.*, cost.cost, round(cast(cost.cost as double) / nullif(cast(per.customers as double), 0), 2) as cost_per_customer
-from per left join cost on cost.campaign_name = per.campaign_name""")
+select per.*, rev.revenue, cost.cost, round(cast(cost.cost as double) / nullif(cast(per.customers as double), 0), 2) as cost_per_customer
+from per left join cost on cost.campaign_name = per.campaign_name
+left join rev on rev.campaign_name = per.campaign_name""")
 
 register("reactivation_factors", "DIA-9", X.reactivation_factors, f"""
-select churn_type, billing_frequency, count(*) as churns, count(next_start) as reactivated,
+select r.churn_type, r.product_name, r.billing_frequency, coalesce(a.channel, 'Organisation') as channel, count(*) as churns, count(next_start) as reactivated,
        round(avg(datediff('day', churn_date, next_start)), 2) as avg_gap_days,
        {rate('count(next_start)', 'count(*)')} as reactivation_rate
-from ({REACT}) r group by 1, 2""")
+from ({REACT}) r left join sf_attr a on a.customer_id = r.owner_id group by 1, 2, 3, 4""")
 
 register("engagement_trend", "DIA-10", X.engagement_trend, """
 select *, round(cast(sum(sessions) over (order by engagement_date
@@ -196,16 +202,29 @@ with live as (select distinct owner_id as customer_id from sf_subs
              from sf_attr a left join live v on v.customer_id = a.customer_id group by 1),
      conv as ({CONV}),
      cac as ({CAC}),
-     rev as (select a.channel, cast(sum(r.amount) as decimal(18,2)) as revenue
-             from sf_rev r join sf_attr a on a.customer_id = r.owner_id group by 1),
-     ltv as ({LTV_BY_CHANNEL})
-select acq.*, conv.conversion_rate, cac.cac, rev.revenue, ltv.avg_ltv
+     rev as (select a.channel, r.currency, cast(sum(r.amount) as decimal(18,2)) as revenue
+             from sf_rev r join sf_attr a on a.customer_id = r.owner_id group by 1, 2),
+     ltv as ({LTV_BY_CHANNEL}),
+     val as (select coalesce(rev.channel, ltv.channel) as channel, coalesce(rev.currency, ltv.currency) as currency,
+                    rev.revenue, ltv.avg_ltv
+             from rev full join ltv on rev.channel = ltv.channel and rev.currency = ltv.currency)
+select acq.*, conv.conversion_rate, cac.cac, val.currency, val.revenue, val.avg_ltv
 from acq left join conv on conv.channel = acq.channel left join cac on cac.channel = acq.channel
-left join rev on rev.channel = acq.channel left join ltv on ltv.channel = acq.channel""")
+left join val on val.channel = acq.channel""")
+
+def _renewal(freq: str) -> str:
+    ren = f"count(*) filter (where e.event_type = 'renewed' and s.billing_frequency = '{freq}')"
+    den = (f"count(*) filter (where (e.event_type = 'renewed' or (e.event_type = 'subscription_ended' "
+           f"and e.event_reason <> 'plan_change')) and s.billing_frequency = '{freq}')")
+    return f"{rate(ren, den)} as renewal_rate_{freq.lower()}"
+
 
 register("corporate_accounts", "DIA-14", X.corporate_accounts, f"""
-with rev as (select owner_id as organisation_id, sum(amount) as revenue from sf_rev
-             where owner_type = 'organisation' group by 1),
+with rev as (select owner_id as organisation_id, currency, sum(amount) as revenue from sf_rev
+             where owner_type = 'organisation' group by 1, 2),
+     ren as (select s.owner_id as organisation_id, {_renewal('Monthly')}, {_renewal('Annual')}
+             from subscription_events e join sf_subs s on s.subscription_id = e.subscription_id
+             where s.owner_type = 'organisation' and e.event_type in ('renewed', 'subscription_ended') group by 1),
      util as (select s.organisation_id, count(*) as open_subscriptions, sum(s.seats_purchased) as seats_purchased,
                      sum(coalesce(u.n, 0)) as seats_activated
               from subscriptions s
@@ -218,6 +237,7 @@ with rev as (select owner_id as organisation_id, sum(amount) as revenue from sf_
             from subscription_events e join subscriptions s on s.subscription_id = e.subscription_id
             where e.event_type = 'seats_changed' group by 1),
      j as (select o.organisation_id, o.organisation_type, {BAND.format(s='o.organisation_size')} as size_band,
+                  rev.currency, ren.renewal_rate_monthly, ren.renewal_rate_annual,
                   cast(coalesce(rev.revenue, 0) as decimal(18,2)) as revenue,
                   cast(coalesce(util.open_subscriptions, 0) as bigint) as open_subscriptions,
                   cast(coalesce(util.seats_purchased, 0) as bigint) as seats_purchased,
@@ -225,8 +245,9 @@ with rev as (select owner_id as organisation_id, sum(amount) as revenue from sf_
                   cast(coalesce(ch.seats_added, 0) as bigint) as seats_added,
                   cast(coalesce(ch.seats_removed, 0) as bigint) as seats_removed
            from organisations o left join rev on rev.organisation_id = o.organisation_id
+           left join ren on ren.organisation_id = o.organisation_id
            left join util on util.organisation_id = o.organisation_id left join ch on ch.organisation_id = o.organisation_id)
-select *, cast(rank() over (order by revenue desc) as integer) as revenue_rank,
+select *, cast(rank() over (partition by currency order by revenue desc) as integer) as revenue_rank,
        {rate('seats_activated', 'seats_purchased')} as utilisation,
        round(cast(revenue as double) / nullif(cast(seats_purchased as double), 0), 2) as revenue_per_seat
 from j""")

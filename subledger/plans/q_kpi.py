@@ -85,10 +85,11 @@ from (select month, currency, product_name, cast(sum(amount) as decimal(18,2)) a
       from sf_rev group by 1, 2, 3) g""")
 
 register("revenue_by_billing_frequency", "KPI-12", K.revenue_by_billing_frequency, """
-select month, product_name, billing_frequency, cast(sum(amount) as decimal(18,2)) as revenue,
-       cast(grouping(month, product_name, billing_frequency) as integer) as grouping_level
+select month, currency, product_name, billing_frequency, cast(sum(amount) as decimal(18,2)) as revenue,
+       cast(grouping(month, currency, product_name, billing_frequency) as integer) as grouping_level
 from sf_rev
-group by grouping sets ((month, product_name, billing_frequency), (month, product_name), (month))""")
+group by grouping sets ((month, currency, product_name, billing_frequency), (month, currency, product_name),
+                        (month, currency))""")
 
 MRR = """
 select month, currency,

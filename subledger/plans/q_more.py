@@ -57,6 +57,24 @@ select churn_month, count(distinct owner_id) as churned_owners,
            as reactivation_rate
 from ({REACT}) x group by churn_month""")
 
+def mean_value_sql(members: str, *keys: str) -> str:
+    """Per group of ``members`` (owner_id, keys): revenue per member, one amount per currency."""
+    k = ", ".join(keys)
+    return f"""
+select {', '.join('tot.' + x for x in keys)},
+       string_agg(currency || ' ' || cast(cast(round(cast(total as double) / members, 2) as decimal(18,2)) as varchar), '; '
+                  order by currency) as avg_ltv
+from (select {', '.join('m.' + x for x in keys)}, l.currency, sum(l.ltv) as total
+      from {members} m join sf_ltv l on l.owner_id = m.owner_id group by all) tot
+join (select {k}, count(*) as members from {members} group by all) num
+  on {' and '.join(f'num.{x} is not distinct from tot.{x}' for x in keys)}
+group by {', '.join('tot.' + x for x in keys)}"""
+
+
+OWNER_VALUE = """
+select owner_id, string_agg(currency || ' ' || cast(ltv as varchar), '; ' order by currency) as ltv
+from sf_ltv group by owner_id"""
+
 CAC = f"""
 with fp as (select owner_id as customer_id, min(paid_at) as first_paid_at from sf_rev
             where owner_type = 'customer' group by 1),
@@ -87,7 +105,16 @@ group by ft.channel""")
 register("cost_per_acquisition", "KPI-32", K.cost_per_acquisition, """
 with cost as (select channel, cast(coalesce(sum(attributed_cost), 0) as decimal(18,2)) as cost
               from marketing_touchpoints group by 1),
-     acq as (select channel, count(*) as acquisitions from sf_attr group by 1),
+     ft as (select customer_id, min(first_at) as first_at
+            from (select owner_id as customer_id, cast(first_start as timestamp) as first_at from sf_first
+                  where owner_type = 'customer'
+                  union all select customer_id, cast(trial_started_at as timestamp) from trials) z group by 1),
+     acq as (select coalesce(tp.channel, 'Unattributed') as channel, count(*) as acquisitions
+             from ft left join (select m.customer_id, m.channel, row_number() over (partition by m.customer_id
+                                       order by m.touchpoint_at, m.touchpoint_id) as rk
+                                from marketing_touchpoints m join ft f on f.customer_id = m.customer_id
+                                where m.touchpoint_at <= f.first_at) tp on tp.customer_id = ft.customer_id and tp.rk = 1
+             group by 1),
      j as (select coalesce(cost.channel, acq.channel) as channel, coalesce(cost.cost, cast(0 as decimal(18,2))) as cost,
                   coalesce(acq.acquisitions, 0) as acquisitions
            from cost full join acq on cost.channel = acq.channel)
@@ -188,7 +215,8 @@ MOVES = f"""
 select owner_id, owner_type, from_subscription_id, to_subscription_id, move_date, move_month, from_product, to_product,
        from_frequency, to_frequency, product_move, cycle_move,
        round(cast(from_unit_price as double) * from_seats * {FACTOR.format(f='from_frequency')}, 2) as from_mrr,
-       round(cast(to_unit_price as double) * to_seats * {FACTOR.format(f='to_frequency')}, 2) as to_mrr
+       round(cast(to_unit_price as double) * to_seats * {FACTOR.format(f='to_frequency')}, 2) as to_mrr,
+       from_currency, to_currency
 from sf_moves"""
 
 register("plan_moves", "MIG-1", G.plan_moves, MOVES)
@@ -219,8 +247,9 @@ from p group by cohort, days""")
 for kind in ("upgrade", "downgrade"):
     register(f"{kind}_revenue_impact", "MIG-4" if kind == "upgrade" else "MIG-5",
              G.upgrade_revenue_impact if kind == "upgrade" else G.downgrade_revenue_impact, f"""
-select move_month, count(*) as moves, round(sum(to_mrr - from_mrr), 2) as mrr_change
-from ({MOVES}) m where product_move = '{kind}' group by move_month""")
+select move_month, from_currency, to_currency, count(*) as moves,
+       round(sum(case when from_currency = to_currency then to_mrr - from_mrr end), 2) as mrr_change
+from ({MOVES}) m where product_move = '{kind}' group by move_month, from_currency, to_currency""")
 
 STEPS = f"""
 select customer_id as owner_id, trial_started_at as step_at, 0 as seq, 'Free Trial' as label from trials
@@ -236,9 +265,10 @@ with paths as (select owner_id, string_agg(label, ' → ' order by step_at, seq,
                from ({STEPS}) s group by owner_id),
      live as (select distinct owner_id from sf_subs
               where start_date < {AS_OF} and (end_date is null or end_date >= {AS_OF}))
-select p.path, count(*) as owners, cast(min(p.steps) as bigint) as steps, round(avg(l.ltv), 2) as avg_ltv,
+select p.path, count(*) as owners, cast(min(p.steps) as bigint) as steps, any_value(val.avg_ltv) as avg_ltv,
        {rate('count(v.owner_id)', 'count(*)')} as still_active_share
-from paths p left join sf_ltv l on l.owner_id = p.owner_id left join live v on v.owner_id = p.owner_id
+from paths p left join live v on v.owner_id = p.owner_id
+left join ({mean_value_sql('paths', 'path')}) val on val.path = p.path
 group by p.path order by owners desc, steps, p.path limit 10""")
 
 register("lifecycle_events", "MIG-7", G.lifecycle_events, """

@@ -6,7 +6,7 @@ from ..operators import predict as P
 from .catalog import register
 from .oracle_fixtures import AS_OF
 from .q_kpi import MRR, rate
-from .q_more import CAC, LTV_BY_CHANNEL, MOVES
+from .q_more import CAC, LTV_BY_CHANNEL, MOVES, OWNER_VALUE
 
 LABEL_AT = "2023-11-01"
 
@@ -70,16 +70,17 @@ register("upgrade_propensity", "PRD-6", P.upgrade_propensity)
 register("churn_risk_score", "PRD-4", P.churn_risk_score, RISK_BANDED)
 
 register("revenue_forecast", "PRD-5", P.revenue_forecast, """
-with s as (select month, product_name, billing_frequency, sum(amount) as revenue from sf_rev group by 1, 2, 3
+with r as (select * from sf_rev where paid_at < cast(date '2024-02-01' as timestamp)),
+     s as (select month, currency, product_name, billing_frequency, sum(amount) as revenue from r group by 1, 2, 3, 4
            union all
-           select month, 'ALL', 'ALL', sum(amount) from sf_rev group by 1),
+           select month, currency, 'ALL', 'ALL', sum(amount) from r group by 1, 2),
      x as (select *, cast(year(month) * 12 + month(month) as double) as x from s),
-     fit as (select product_name, billing_frequency, regr_slope(cast(revenue as double), x) as slope,
+     fit as (select currency, product_name, billing_frequency, regr_slope(cast(revenue as double), x) as slope,
                     regr_intercept(cast(revenue as double), x) as intercept, count(*) as points
-             from x group by 1, 2),
+             from x group by 1, 2, 3),
      h(h) as (values (1), (2), (3)),
      f as (select fit.*, h.h, cast((select max(month) from s) + to_months(h.h) as date) as month from fit, h)
-select product_name, billing_frequency, month, cast(h as integer) as horizon, cast(points as bigint) as points,
+select currency, product_name, billing_frequency, month, cast(h as integer) as horizon, cast(points as bigint) as points,
        round(greatest(intercept + slope * cast(year(month) * 12 + month(month) as double), 0.0), 2) as forecast_revenue
 from f""")
 
@@ -97,12 +98,20 @@ def _above(col: str) -> str:
 
 RFM = f"""
 with b as (select owner_id, owner_type, cast(datediff('day', max(paid_at), {AS_OF}) as integer) as recency_days,
-                  cast(count(*) as bigint) as frequency, cast(sum(amount) as decimal(18,2)) as monetary
+                  cast(count(*) as bigint) as frequency
            from sf_rev where paid_at < cast({AS_OF} as timestamp) group by 1, 2),
-     sc as (select *, cast(5 - ({_above('recency_days')}) as integer) as r_score,
-                   cast(1 + ({_above('frequency')}) as integer) as f_score,
-                   cast(1 + ({_above('monetary')}) as integer) as m_score
-            from b)
+     mo as (select owner_id, currency, cast(sum(amount) as decimal(18,2)) as monetary
+            from sf_rev where paid_at < cast({AS_OF} as timestamp) group by 1, 2),
+     mr as (select *, row_number() over (partition by currency order by monetary) as rn,
+                   count(*) over (partition by currency) as n from mo),
+     mc as (select currency, {', '.join(f"min(monetary) filter (where rn >= ceil({p} * n)) as c{i}" for i, p in enumerate(CUTS))}
+            from mr group by 1),
+     mm as (select owner_id, max(1 + {' + '.join(f"case when monetary > c{i} then 1 else 0 end" for i in range(4))}) as m_score,
+                   string_agg(mo.currency || ' ' || cast(monetary as varchar), '; ' order by mo.currency) as monetary
+            from mo join mc on mc.currency = mo.currency group by 1),
+     sc as (select b.*, mm.monetary, cast(5 - ({_above('recency_days')}) as integer) as r_score,
+                   cast(1 + ({_above('frequency')}) as integer) as f_score, cast(mm.m_score as integer) as m_score
+            from b join mm on mm.owner_id = b.owner_id)
 select *, case when r_score >= 4 and f_score >= 4 then 'champions' when r_score <= 2 and f_score >= 3 then 'at_risk'
                when r_score >= 4 and f_score <= 2 then 'new' when r_score <= 2 and f_score <= 2 then 'hibernating'
                else 'regular' end as segment
@@ -114,9 +123,9 @@ register("kmeans_segments", "PRD-7", P.kmeans_segments)
 LO, HI = "date '2023-02-01'", "date '2024-02-01'"
 
 register("expected_ltv", "PRD-8", P.expected_ltv, f"""
-with r as (select owner_type, month, sum(amount) as rev, count(distinct owner_id) as n from sf_rev
-           where month >= {LO} and month < {HI} group by 1, 2),
-     ap as (select owner_type, {rate('sum(rev)', 'sum(n)').replace(', 6)', ', 4)')} as arppu from r group by 1),
+with r as (select owner_type, currency, month, sum(amount) as rev, count(distinct owner_id) as n from sf_rev
+           where month >= {LO} and month < {HI} group by 1, 2, 3),
+     ap as (select owner_type, currency, {rate('sum(rev)', 'sum(n)').replace(', 6)', ', 4)')} as arppu from r group by 1, 2),
      base as (select owner_type, count(*) as owner_months
               from (select owner_type, cast(month + interval 1 month as date) as m from sf_owner_months) x
               where m >= {LO} and m < {HI} group by 1),
@@ -125,12 +134,12 @@ with r as (select owner_type, month, sum(amount) as rev, count(distinct owner_id
                   where churn_month >= {LO} and churn_month < {HI}) y group by 1),
      cr as (select base.owner_type, {rate('coalesce(ch.churns, 0)', 'base.owner_months')} as monthly_churn_rate
             from base left join ch on ch.owner_type = base.owner_type)
-select coalesce(ap.owner_type, cr.owner_type) as owner_type, ap.arppu, cr.monthly_churn_rate,
+select coalesce(ap.owner_type, cr.owner_type) as owner_type, ap.currency, ap.arppu, cr.monthly_churn_rate,
        round(ap.arppu / nullif(cr.monthly_churn_rate, 0), 2) as expected_ltv
 from ap full join cr on cr.owner_type = ap.owner_type""")
 
 register("retention_scenarios", "PRD-9", P.retention_scenarios, f"""
-with mrr as (select round(mrr_raw, 2) as mrr from ({MRR}) m where currency = 'KES' order by month desc limit 1),
+with mrr as (select currency, arg_max(round(mrr_raw, 2), month) as mrr from ({MRR}) m group by 1),
      base as (select count(*) as owner_months
               from (select cast(month + interval 1 month as date) as m from sf_owner_months) x
               where m >= {LO} and m < {HI}),
@@ -139,30 +148,30 @@ with mrr as (select round(mrr_raw, 2) as mrr from ({MRR}) m where currency = 'KE
      cr as (select {rate('churns', 'owner_months')} as churn_rate from base, ch),
      sc(points) as (values (1), (2), (5)),
      j as (select sc.points, cr.churn_rate,
-                  round(greatest(cr.churn_rate - cast(sc.points as double) / 100, 0.0), 6) as new_churn_rate, mrr.mrr
+                  round(greatest(cr.churn_rate - cast(sc.points as double) / 100, 0.0), 6) as new_churn_rate, mrr.mrr, mrr.currency
            from sc, cr, mrr),
      m(m) as (select * from range(1, 13))
-select cast(points as integer) as points, churn_rate, new_churn_rate, mrr,
+select currency, cast(points as integer) as points, churn_rate, new_churn_rate, mrr,
        round(sum(mrr * (pow(1 - new_churn_rate, m) - pow(1 - churn_rate, m))), 2) as revenue_gain_12m
-from j, m group by points, churn_rate, new_churn_rate, mrr""")
+from j, m group by currency, points, churn_rate, new_churn_rate, mrr""")
 
 register("retention_offers", "PRD-10", P.retention_offers, f"""
-select r.*, l.ltv from ({RISK_BANDED}) r join sf_ltv l on l.owner_id = r.owner_id
-where r.risk_band <> 'low' and l.ltv >= 5000
-order by r.risk_score desc, l.ltv desc, r.owner_id limit 50""")
+select r.*, l.ltv from ({RISK_BANDED}) r join ({OWNER_VALUE}) l on l.owner_id = r.owner_id
+where r.risk_band <> 'low'""")
 
 register("next_best_plan", "PRD-11", P.next_best_plan, f"""
 with mv as (select *, move_date + 90 as day from ({MOVES}) m
-            where (product_move <> 'same' or cycle_move <> 'same') and move_date + 90 < {AS_OF}),
+            where (product_move <> 'same' or cycle_move <> 'same') and move_date + 90 < {AS_OF}
+              and from_currency = to_currency),
      k as (select mv.*, exists (select 1 from sf_subs s where s.owner_id = mv.owner_id and s.start_date <= mv.day
                                 and (s.end_date is null or s.end_date > mv.day)) as kept from mv),
-     g as (select from_product, from_frequency, to_product, to_frequency, count(*) as moves,
+     g as (select from_currency as currency, from_product, from_frequency, to_product, to_frequency, count(*) as moves,
                   {rate('count(*) filter (where kept)', 'count(*)')} as retention,
                   round(avg(to_mrr - from_mrr), 2) as avg_mrr_change
-           from k group by 1, 2, 3, 4 having count(*) >= 5),
+           from k group by 1, 2, 3, 4, 5),
      s as (select *, round(retention * avg_mrr_change, 4) as score from g)
-select from_product, from_frequency, to_product, to_frequency, moves, retention, avg_mrr_change, score
-from (select *, row_number() over (partition by from_product, from_frequency
+select currency, from_product, from_frequency, to_product, to_frequency, moves, retention, avg_mrr_change, score
+from (select *, row_number() over (partition by currency, from_product, from_frequency
                                    order by score desc, to_product, to_frequency) as rk from s) x
 where rk = 1""")
 
@@ -173,14 +182,20 @@ with live as (select distinct owner_id as customer_id from sf_subs
              from sf_attr a left join live v on v.customer_id = a.customer_id group by 1),
      cac as ({CAC}),
      ltv as ({LTV_BY_CHANNEL}),
-     j as (select acq.*, cac.cac, ltv.avg_ltv, round(ltv.avg_ltv / nullif(cac.cac, 0), 4) as ltv_to_cac
+     j as (select acq.*, cac.cac, ltv.currency, ltv.avg_ltv, round(ltv.avg_ltv / nullif(cac.cac, 0), 4) as ltv_to_cac
            from acq left join cac on cac.channel = acq.channel left join ltv on ltv.channel = acq.channel)
-select *, cast(row_number() over (order by ltv_to_cac desc nulls last, retained_share desc nulls last, channel)
+select *, cast(row_number() over (partition by currency order by ltv_to_cac desc nulls last, retained_share desc nulls last, channel)
                as integer) as investment_rank
 from j""")
 
 register("value_risk_segments", "PRD-13", P.value_risk_segments, f"""
-with seg as ({RFM}), risk as ({RISK_BANDED})
-select seg.segment, risk.risk_band, count(*) as owners, round(avg(seg.monetary), 2) as avg_value
-from seg join risk on risk.owner_id = seg.owner_id group by 1, 2""")
+with seg as ({RFM}), risk as ({RISK_BANDED}),
+     w as (select seg.owner_id, seg.segment, risk.risk_band from seg join risk on risk.owner_id = seg.owner_id),
+     n as (select segment, risk_band, count(*) as owners from w group by 1, 2),
+     tot as (select w.segment, w.risk_band, r.currency, sum(r.amount) as total
+             from w join sf_rev r on r.owner_id = w.owner_id where r.paid_at < cast({AS_OF} as timestamp) group by 1, 2, 3)
+select n.segment, n.risk_band, n.owners,
+       string_agg(tot.currency || ' ' || cast(cast(round(cast(total as double) / owners, 2) as decimal(18,2)) as varchar), '; '
+                  order by tot.currency) as avg_value
+from n join tot on tot.segment = n.segment and tot.risk_band = n.risk_band group by 1, 2, 3""")
 
