@@ -27,7 +27,7 @@ HEADLINE = [
     "payment_retries", "revenue_by_billing_frequency", "integrity_report", "plan_moves", "lifecycle_events",
     "journeys", "churn_risk_score", "report_executive", "report_customer", "survival_curve",
     "document_rule_report", "pre_churn_behaviour", "corporate_accounts", "churn_rate_by_product",
-    "generated_customers", "seat_utilisation",
+    "seat_utilisation",
 ]
 
 

@@ -38,5 +38,5 @@ def register(name: str, op: str, build: Callable[..., DataFrame], oracle: str |
 
 
 def load_all() -> dict[str, Query]:
-    from . import q_base, q_diag, q_generate, q_integrity, q_kpi, q_more, q_predict, q_reports, q_rules  # noqa: F401
+    from . import q_base, q_diag, q_integrity, q_kpi, q_more, q_predict, q_profile, q_reports, q_rules  # noqa: F401
     return REGISTRY

@@ -6,7 +6,7 @@ from subledger.plans.catalog import load_all
 from subledger.plans.compare import compare
 
 NAMES = ["support_vs_churn", "payment_retries", "engagement_trend", "subscription_state_asof", "lifecycle_events",
-         "churn_features", "generated_organisations", "trial_registrations"]
+         "churn_features", "trial_registrations"]
 
 
 @pytest.mark.parametrize("name", NAMES)
