@@ -99,15 +99,17 @@ def _fk_orphans(t, tables=None) -> DataFrame:
     parts = []
     for parent, items in by_parent.items():
         pk_col = items[0][2].parent_column
+        # distinct child keys with their counts: one row per key and task crosses the network
         keys = reduce(DataFrame.unionByName, [
-            df.select(F.lit(f"fk_{n}_{fk.column}").alias("rule"), F.col(fk.column).alias("__fk"))
-            .filter(F.col("__fk").isNotNull()) for n, df, fk in items])
+            df.filter(F.col(fk.column).isNotNull()).groupBy(F.col(fk.column).alias("__fk"))
+            .agg(F.count("*").alias("__n")).withColumn("rule", F.lit(f"fk_{n}_{fk.column}")) for n, df, fk in items])
         pk = getattr(t, parent).select(F.col(pk_col).alias("__pk"))
         if parent in BOUNDED_PARENTS:
             pk = F.broadcast(pk)
         orphans = keys.join(pk, keys.__fk == pk.__pk, "left_anti")
         rules = [(f"fk_{n}_{fk.column}", n) for n, _, fk in items]
-        counts = orphans.agg(*[F.count_if(F.col("rule") == r).alias(f"c{i}") for i, (r, _) in enumerate(rules)])
+        counts = orphans.agg(*[F.coalesce(F.sum(F.when(F.col("rule") == r, F.col("__n"))), F.lit(0)).alias(f"c{i}")
+                               for i, (r, _) in enumerate(rules)])
         stack = ", ".join(f"'{r}', '{n}', c{i}" for i, (r, n) in enumerate(rules))
         parts.append(counts.selectExpr(f"stack({len(rules)}, {stack}) as (rule, table_name, violations)")
                      .select("rule", "table_name", F.col("violations").cast("bigint").alias("violations")))

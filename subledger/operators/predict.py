@@ -184,6 +184,12 @@ def upgrade_propensity(t, train_at: str | None = None, score_at: str | None = No
         "probability", dbl(c("probability")))
 
 
+def score_summary(scores: DataFrame, col: str, lo: float, hi: float) -> DataFrame:
+    """One row: rows, distinct owners and rows whose ``col`` lies in [lo, hi]."""
+    return scores.agg(F.count("*").alias("rows"), F.countDistinct("owner_id").alias("owners"),
+                      F.count_if(c(col).between(lo, hi)).alias("in_range"))
+
+
 # ----------------------------------------------------------------------- PRD-4
 # Fixed points of the rule-based risk score (our choice; the docs ask for a risk score only).
 RISK_POINTS = {

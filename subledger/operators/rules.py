@@ -181,6 +181,24 @@ def before_signup(t):
     return subs.unionByName(trials).unionByName(tps)
 
 
+def two_payment_loads(t, as_of=None, days: int = 30):
+    """(earlier, later) load of payments: the earlier one holds the attempts up to ``days`` before ``as_of``,
+    those of its last two days still pending; the later one is the stored table."""
+    cutoff = F.date_sub(_as_of(t, as_of), days)
+    day = F.to_date("payment_attempted_at")
+    earlier = t.payments.filter(day < cutoff).withColumn(
+        "payment_status", F.when(day >= F.date_sub(cutoff, 2), "pending").otherwise(c("payment_status")))
+    return earlier, t.payments
+
+
+def two_plan_loads(t, as_of=None, days: int = 365):
+    """(earlier, later) load of plans: the later one holds only plans sold in the ``days`` before ``as_of``."""
+    a = _as_of(t, as_of)
+    sold = t.subscriptions.filter((c("subscription_start_date") >= F.date_sub(a, days))
+                                  & (c("subscription_start_date") < a)).select("plan_id").distinct()
+    return t.plans, t.plans.join(sold, "plan_id", "left_semi")
+
+
 RULES = [
     ("doc_trial_product_family", "trials", trial_product_not_digital),
     ("doc_trial_not_organisation", "trials", trial_by_organisation),

@@ -67,6 +67,17 @@ from (select distinct owner_id, owner_type from sf_subs
 register("churn_model", "PRD-3", P.churn_model)
 register("churn_model_auc", "PRD-3", P.churn_model_auc)
 register("upgrade_propensity", "PRD-6", P.upgrade_propensity)
+SCORED_OWNERS = """
+select count(*) as rows, count(*) as owners, count(*) as in_range
+from (select distinct owner_id from sf_subs where start_date < date '2023-12-01'
+      and (end_date is null or end_date >= date '2023-12-01')) o"""
+register("churn_model_summary", "PRD-3", lambda t: P.score_summary(P.churn_model(t), "probability", 0.0, 1.0),
+         SCORED_OWNERS)
+register("upgrade_propensity_summary", "PRD-6",
+         lambda t: P.score_summary(P.upgrade_propensity(t), "probability", 0.0, 1.0), SCORED_OWNERS)
+register("kmeans_segments_summary", "PRD-7", lambda t: P.score_summary(P.kmeans_segments(t), "cluster", 0, 3), f"""
+select count(*) as rows, count(*) as owners, count(*) as in_range
+from (select distinct owner_id from sf_rev where paid_at < cast({AS_OF} as timestamp)) o""")
 register("churn_risk_score", "PRD-4", P.churn_risk_score, RISK_BANDED)
 
 register("revenue_forecast", "PRD-5", P.revenue_forecast, """

@@ -86,3 +86,13 @@ assert [r for r, _, _ in RU.RULES] == list(_R)
 register("document_rule_report", "DOC-1..23", RU.document_rule_report, "\nunion all\n".join(
     f"select '{rule}' as rule, '{table}' as table_name, 'document' as kind, cast(count(*) as bigint) as violations {body.strip()}"
     for rule, (table, body) in _R.items()))
+
+register("payment_status_rewritten", "DOC-19", lambda t: RU.payment_status_rewritten(*RU.two_payment_loads(t)), f"""
+select payment_id, cast(2 as bigint) as statuses from payments
+where payment_status <> 'pending' and cast(payment_attempted_at as date) >= {AS_OF} - 32
+  and cast(payment_attempted_at as date) < {AS_OF} - 30""")
+
+register("deleted_plans", "DOC-21", lambda t: RU.deleted_reference_rows(*RU.two_plan_loads(t), "plan_id"), f"""
+select plan_id from plans p where not exists (
+  select 1 from subscriptions s where s.plan_id = p.plan_id and s.subscription_start_date >= {AS_OF} - 365
+    and s.subscription_start_date < {AS_OF})""")
