@@ -116,12 +116,11 @@ def op8_host_rules(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows and columns of ``docs`` that the verdict keeps."""
-    both = F.struct(quality(F.col("text")).alias("q"), F.col("source").alias("host"))
-    facts = stored(docs.select(both.alias("f")).select("f.q", "f.host"), "quality")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                       F.col("source").alias("host"), quality(F.col("text")).alias("q"))
-    return _judged(rows, host_verdicts(facts)).where("kept").select("row.*")
+    """The rows and columns of ``docs`` that the verdict keeps. The rows are written once with their counts, as
+    the host rates and the verdicts both read them."""
+    rows = stored(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                              F.col("source").alias("host"), quality(F.col("text")).alias("q")), "judged")
+    return _judged(rows, host_verdicts(rows)).where("kept").select("row.*")
 
 
 ORACLE = r"""
