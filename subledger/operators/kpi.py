@@ -108,9 +108,9 @@ def reactivated_subscribers(t, as_of: str | None = None) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- revenue
-def gross_subscription_revenue(t) -> DataFrame:
-    """KPI-8: successful payment amounts by attempt month."""
-    return (D.revenue_facts(t).groupBy("month", "currency")
+def gross_subscription_revenue(t, by: tuple[str, ...] = ()) -> DataFrame:
+    """KPI-8: successful payment amounts by attempt month (and ``by``: owner_type, product_name, ...)."""
+    return (D.revenue_facts(t).groupBy("month", "currency", *by)
             .agg(money(F.sum("amount")).alias("gross_revenue"), F.count("*").alias("payments")))
 
 
@@ -125,11 +125,11 @@ def net_subscription_revenue(t) -> DataFrame:
         .withColumn("net_revenue", money(c("gross_revenue") - c("refunds"))))
 
 
-def revenue_growth(t) -> DataFrame:
+def revenue_growth(t, by: tuple[str, ...] = ()) -> DataFrame:
     """KPI-10: month-over-month change of gross revenue."""
-    g = gross_subscription_revenue(t).select("month", "currency", c("gross_revenue").alias("revenue"))
-    prev = g.select(_prev_month().alias("month"), "currency", c("revenue").alias("previous_revenue"))
-    return (g.join(prev, ["month", "currency"], "left")
+    g = gross_subscription_revenue(t, by).select("month", "currency", *by, c("gross_revenue").alias("revenue"))
+    prev = g.select(_prev_month().alias("month"), "currency", *by, c("revenue").alias("previous_revenue"))
+    return (g.join(prev, ["month", "currency", *by], "left")
             .withColumn("growth_rate", ratio(c("revenue") - c("previous_revenue"), c("previous_revenue"))))
 
 
@@ -156,21 +156,22 @@ def revenue_by_billing_frequency(t) -> DataFrame:
 def _mrr_by(t, keys: list[str], as_of: str | None = None) -> DataFrame:
     """Sum exact decimals per billing frequency first, apply the monthly factor last."""
     cal = D.active_calendar(t, as_of)
-    per_freq = cal.groupBy(*keys, "billing_frequency").agg(
+    per_freq = cal.groupBy(*dict.fromkeys([*keys, "billing_frequency"])).agg(
         F.sum(c("unit_price") * F.coalesce(c("seats_purchased"), F.lit(1))).alias("recurring"))
     return (per_freq.groupBy(*keys)
             .agg(F.sum(c("recurring").cast("double") * monthly_factor(c("billing_frequency"))).alias("mrr_raw")))
 
 
-def monthly_recurring_revenue(t, as_of: str | None = None) -> DataFrame:
+def monthly_recurring_revenue(t, as_of: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """KPI-13: recurring revenue of subscriptions active at month end, normalised to a month."""
-    return _mrr_by(t, ["month", "currency"], as_of).select("month", "currency", dbl(c("mrr_raw"), 2).alias("mrr"))
+    keys = ["month", "currency", *by]
+    return _mrr_by(t, keys, as_of).select(*keys, dbl(c("mrr_raw"), 2).alias("mrr"))
 
 
-def annual_recurring_revenue(t, as_of: str | None = None) -> DataFrame:
+def annual_recurring_revenue(t, as_of: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """KPI-14: 12 x MRR."""
-    return _mrr_by(t, ["month", "currency"], as_of).select("month", "currency",
-                                                           dbl(c("mrr_raw") * 12, 2).alias("arr"))
+    keys = ["month", "currency", *by]
+    return _mrr_by(t, keys, as_of).select(*keys, dbl(c("mrr_raw") * 12, 2).alias("arr"))
 
 
 def average_revenue_per_user(t, as_of: str | None = None) -> DataFrame:
@@ -184,25 +185,28 @@ def average_revenue_per_user(t, as_of: str | None = None) -> DataFrame:
             .withColumn("arpu", ratio(c("revenue"), c("active_owners"))))
 
 
-def average_revenue_per_paying_user(t) -> DataFrame:
+def average_revenue_per_paying_user(t, by: tuple[str, ...] = ()) -> DataFrame:
     """KPI-16: revenue / owners with a successful payment in the month."""
-    return (D.revenue_facts(t).groupBy("month", "currency")
+    return (D.revenue_facts(t).groupBy("month", "currency", *by)
             .agg(money(F.sum("amount")).alias("revenue"), F.countDistinct("owner_id").alias("paying_owners"))
             .withColumn("arppu", ratio(c("revenue"), c("paying_owners"))))
 
 
 # ----------------------------------------------------------------------- retention
-def _renewals(events: DataFrame) -> DataFrame:
-    return (events.groupBy(month(c("event_at")).alias("month")).agg(
+def _renewals(events: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    return (events.groupBy(month(c("event_at")).alias("month"), *by).agg(
         F.count_if(c("event_type") == "renewed").alias("renewed"),
         F.count_if((c("event_type") == "subscription_ended") & (c("event_reason") != "plan_change")).alias("lapsed"))
         .filter((c("renewed") + c("lapsed")) > 0)
         .withColumn("renewal_rate", ratio(c("renewed"), c("renewed") + c("lapsed"))))
 
 
-def renewal_rate(t) -> DataFrame:
+def renewal_rate(t, by: tuple[str, ...] = ()) -> DataFrame:
     """KPI-17: renewed / (renewed + ended other than by plan change), by event month."""
-    return _renewals(t.subscription_events.filter(c("event_type").isin("renewed", "subscription_ended")))
+    events = t.subscription_events.filter(c("event_type").isin("renewed", "subscription_ended"))
+    if by:
+        events = events.join(D.subscription_facts(t).select("subscription_id", *by), "subscription_id")
+    return _renewals(events, by)
 
 
 def _retention(am: DataFrame, live: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:

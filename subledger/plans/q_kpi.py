@@ -206,3 +206,35 @@ register("churn_rate_by_frequency", "KPI-19", lambda t: K.churn_rate(t, by=("bil
          churn_by_sql("billing_frequency"))
 register("churn_rate_by_product", "KPI-19", lambda t: K.churn_rate(t, by=("product_name",)),
          churn_by_sql("product_name"))
+
+register("revenue_by_owner_type", "KPI-8", lambda t: K.gross_subscription_revenue(t, by=("owner_type",)), """
+select month, currency, owner_type, cast(sum(amount) as decimal(18,2)) as gross_revenue, count(*) as payments
+from sf_rev group by 1, 2, 3""")
+
+register("mrr_by_product", "KPI-13", lambda t: K.monthly_recurring_revenue(t, by=("product_name",)),
+         "select month, currency, product_name, round(mrr_raw, 2) as mrr from ("
+         + MRR.replace("select month, currency,", "select month, currency, product_name,")
+         .replace("from sf_cal group by 1, 2, 3)", "from sf_cal group by 1, 2, 3, 4)").replace("x\ngroup by 1, 2", "x\ngroup by 1, 2, 3")
+         + ") m")
+
+register("arppu_by_frequency", "KPI-16",
+         lambda t: K.average_revenue_per_paying_user(t, by=("billing_frequency",)), f"""
+select month, currency, billing_frequency, cast(sum(amount) as decimal(18,2)) as revenue,
+       count(distinct owner_id) as paying_owners, {rate('sum(amount)', 'count(distinct owner_id)')} as arppu
+from sf_rev group by 1, 2, 3""")
+
+register("renewal_rate_by_frequency", "KPI-17", lambda t: K.renewal_rate(t, by=("billing_frequency",)), f"""
+select * from (
+  select cast(date_trunc('month', e.event_at) as date) as month, s.billing_frequency,
+         count(*) filter (where e.event_type = 'renewed') as renewed,
+         count(*) filter (where e.event_type = 'subscription_ended' and e.event_reason <> 'plan_change') as lapsed,
+         {rate("count(*) filter (where e.event_type = 'renewed')",
+               "count(*) filter (where e.event_type = 'renewed' or (e.event_type = 'subscription_ended' and e.event_reason <> 'plan_change'))")} as renewal_rate
+  from subscription_events e join sf_subs s on s.subscription_id = e.subscription_id
+  where e.event_type in ('renewed', 'subscription_ended') group by 1, 2) x
+where renewed + lapsed > 0""")
+
+register("gross_revenue_as_of_2023_07", "KPI-8",
+         lambda t: K.gross_subscription_revenue(t.before("2023-07-01")), """
+select month, currency, cast(sum(amount) as decimal(18,2)) as gross_revenue, count(*) as payments
+from sf_rev where paid_at < timestamp '2023-07-01' group by 1, 2""")

@@ -103,6 +103,43 @@ class Tables:
         out.__dict__.update(out._overrides)  # instance values win over cached_property
         return out
 
+    def before(self, as_of: str) -> "Tables":
+        """The tables as they stood before ``as_of``: rows dated from that day on are left out, and what
+        happened later to older rows (a subscription's end, a trial's outcome, a case's resolution) is
+        unknown again. Every operator on this view is an as-of figure; its own ``as_of`` is that day."""
+        day = F.lit(as_of).cast("date")
+        at = day.cast("timestamp_ntz")
+        f = F.col
+        out = Tables(self.spark, self.sf_dir, as_of)
+        later = F.coalesce(f("subscription_end_date") >= day, F.lit(False))
+        subs = self.subscriptions.filter(f("subscription_start_date") < day)
+        subs = subs.select(*[
+            F.when(~later, f(c)).alias(c) if c in ("subscription_end_date", "end_reason")
+            else F.when(later, "active").otherwise(f(c)).alias(c) if c == "status"
+            else F.when(f(c) < at, f(c)).alias(c) if c == "cancellation_requested_at" else f(c)
+            for c in subs.columns])
+        trials = self.trials.filter(f("trial_started_at") < at)
+        open_ = F.coalesce(f("actual_end_at") >= at, F.lit(False))
+        trials = trials.select(*[
+            F.when(~open_, f(c)).alias(c) if c in ("actual_end_at", "converted_subscription_id")
+            else F.when(open_, "active").otherwise(f(c)).alias(c) if c == "trial_status" else f(c)
+            for c in trials.columns])
+        support = self.support_interactions.filter(f("interaction_at") < at)
+        unresolved = F.coalesce(f("resolved_at") >= at, F.lit(False))
+        support = support.select(*[
+            F.when(~unresolved, f(c)).alias(c) if c == "resolved_at"
+            else F.when(unresolved, "open").otherwise(f(c)).alias(c) if c == "resolution_status" else f(c)
+            for c in support.columns])
+        kept = {name: getattr(self, name) for name in self.names}
+        kept |= {
+            "customers": self.customers.filter(f("signup_date") < day), "subscriptions": subs, "trials": trials,
+            "payments": self.payments.filter(f("payment_attempted_at") < at),
+            "subscription_events": self.subscription_events.filter(f("event_at") < at),
+            "marketing_touchpoints": self.marketing_touchpoints.filter(f("touchpoint_at") < at),
+            "customer_engagement": self.customer_engagement.filter(f("engagement_date") < day),
+            "support_interactions": support}
+        return out.with_tables(**kept)
+
     def materialized(self, path: str, buckets: int | None = None) -> "Tables":
         """Write all twelve tables once under ``path`` and read them back.
 

@@ -101,3 +101,15 @@ def test_auc_equals_the_pairwise_share(one):
     if pos and neg:
         share = sum((a > b) + (a == b) / 2 for a in pos for b in neg) / (len(pos) * len(neg))
         assert abs(got["auc"] - share) < 6e-5
+
+
+def test_an_earlier_day_shows_nothing_later(one):
+    t = one.before("2022-07-01")
+    for op in (K.gross_subscription_revenue, K.monthly_recurring_revenue, K.new_subscribers, K.renewal_rate,
+               K.average_revenue_per_user, K.trial_registrations, K.churn_rate):
+        months = [str(r["month"]) for r in op(t).select("month").collect()]
+        assert months and max(months) < "2022-07-01", op.__name__
+    whole = {(r["month"], r["currency"]): r["gross_revenue"] for r in K.gross_subscription_revenue(one).collect()}
+    assert all(whole[(r["month"], r["currency"])] == r["gross_revenue"]
+               for r in K.gross_subscription_revenue(t).collect())
+    assert t.subscriptions.where("subscription_end_date >= '2022-07-01'").count() == 0
