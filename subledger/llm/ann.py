@@ -53,20 +53,21 @@ class Graph:
         q = self.vectors[nodes]
         mates = q @ q.T
         earlier = np.tril(np.ones(mates.shape, bool), -1)
-        for k in range(len(self.links) - 1, -1, -1):
+        found = []
+        for k in range(len(self.links)):  # all searches first: the graph does not hold the batch yet
             here = np.flatnonzero(self.level[nodes] >= k)
             if not len(here):
-                continue
-            start = self._descend(q[here], k)
-            ids, sims = self._beam(q[here], start, BEAM_BUILD, k)
+                break
+            ids, sims = self._beam(q[here], self._descend(q[here], k), BEAM_BUILD, k)
             own = np.where(earlier[here][:, here], mates[here][:, here], -np.inf)
-            if own.shape[1]:
-                few = min(LINKS, own.shape[1])
-                top = np.argpartition(-own, few - 1, axis=1)[:, :few]
-                ids = np.concatenate([ids, nodes[here][top].astype(ids.dtype)], axis=1)
-                sims = np.concatenate([sims, np.take_along_axis(own, top, 1).astype(sims.dtype)], axis=1)
-            chosen = self._diverse(ids, sims, LINKS)
+            few = min(LINKS, own.shape[1])
+            top = np.argpartition(-own, few - 1, axis=1)[:, :few]
+            ids = np.concatenate([ids, nodes[here][top].astype(ids.dtype)], axis=1)
+            sims = np.concatenate([sims, np.take_along_axis(own, top, 1).astype(sims.dtype)], axis=1)
+            found.append((here, self._diverse(ids, sims, LINKS)))
+        for k, (here, chosen) in enumerate(found):
             self.links[k][nodes[here], :LINKS] = chosen
+        for k, (here, chosen) in enumerate(found):
             self._link_back(nodes[here], chosen, k)
 
     def _diverse(self, ids: np.ndarray, sims: np.ndarray, most: int) -> np.ndarray:
@@ -154,7 +155,8 @@ class Graph:
             closed[live, j] = True
             near = links[ids[live, j]]
             fresh = (near >= 0) & ~seen[live[:, None], np.maximum(near, 0)]
-            seen[live[:, None], np.maximum(near, 0)] |= fresh
+            r, slot = np.nonzero(fresh)
+            seen[live[r], near[r, slot]] = True
             found = np.einsum("rwd,rd->rw", self.vectors[np.maximum(near, 0)], q[live])
             found = np.where(fresh, found, -np.inf).astype(np.float32)
             all_s = np.concatenate([sims[live], found], axis=1)
