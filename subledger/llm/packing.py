@@ -5,11 +5,12 @@
 2. Pieces are hashed into partitions of about PIECES_PER_PARTITION and packed by best-fit decreasing. For each
    partition dual-feasible functions give a lower bound on its number of bins: a valid function maps lengths
    so that no bin can hold more than 1 of the mapped mass; the best of a family of them, rounded up, counts.
-3. A partition whose bins equal its bound is certified. Partitions with a gap give up the pieces of
-   all bins that are not full; certified ones give up only their emptiest bin, as rounding up to whole bins
+3. A partition whose bins equal its bound is certified. Partitions with a gap, and those certified by their
+   large pieces that have a bin's worth of room for other partitions' small ones, give up the pieces of all bins
+   that are not full; the other certified ones give up only their emptiest bin, as rounding up to whole bins
    leaves at most that much per partition. The given-up pieces are dealt anew over fewer partitions and
-   packed again, until one partition is left, or the total equals the bound of the whole corpus, or a round
-   saved nothing.
+   packed again, until one partition is left, or the total equals the bound of the whole corpus, or two
+   rounds in a row saved nothing.
 
 Pieces cross the network as (doc_id, piece, length, checksum); texts never do. No step gathers more than
 one partition's pieces in a task. Each round's kept bins are written; a lost executor repeats one partition."""
@@ -287,7 +288,8 @@ def _packed(items: DataFrame, parts: int, turn: int, capacity: int) -> DataFrame
         lengths = frame["length"].to_numpy()
         bins, offsets, fill = best_fit(lengths, capacity)
         gap = len(fill) - lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
-        given = fill < capacity if gap else np.arange(len(fill)) == np.argmin(fill)
+        room = len(fill) > -(-int(lengths.sum()) // capacity)  # a bin's worth of room: other lengths could fill it
+        given = fill < capacity if gap or room else np.arange(len(fill)) == np.argmin(fill)
         given &= fill < capacity
         return pd.DataFrame({
             "doc_id": frame["doc_id"], "piece": frame["piece"], "start": frame["start"], "length": lengths,
@@ -308,7 +310,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         counts[n] = c
     bound = lower_bound(counts, capacity)
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    done, total, items, n, turn = [], 0, pieces, int(counts.sum()), 0
+    done, total, items, n, turn, idle = [], 0, pieces, int(counts.sum()), 0, 0
     while True:
         parts = max(1, -(-n // PIECES_PER_PARTITION))
         packed = stored(_packed(items, parts, turn, capacity), "packed")
@@ -317,7 +319,8 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             F.count("*").alias("bins"), F.coalesce(F.sum(F.col("given").cast("int")), F.lit(0)).alias("given"),
             F.coalesce(F.sum(F.when(F.col("given"), F.col("n"))), F.lit(0)).alias("pieces")).first()
         now = total + state["bins"]
-        last = parts == 1 or now == bound or not state["given"] or (turn and state["bins"] >= given)
+        idle = idle + 1 if turn and state["bins"] >= given else 0
+        last = (parts == 1 and turn) or now == bound or not state["given"] or idle == 2
         if last:
             done.append(placed)
             break
