@@ -8,12 +8,13 @@
    mattering once every position holds a value below j, so large sets stop after the first steps.
 3. Signatures are cut into bands; classes that share a band are candidates. With 42 bands of 6 values a
    pair at the threshold 0.8 misses all bands with a probability of about 3 in a million.
-4. Candidates of a band bucket are never expanded into pairs. In each round one hub per bucket is compared
-   on full sets with the members that are not yet in its component, buckets whose members are all in one
-   component are finished, and a hub that has met all others leaves its bucket. The first round takes the
-   same hub order for all bands (few distinct pairs); later rounds take other random hubs per bucket,
-   doubling their number, until no bucket holds two components. So no candidate is dropped. The sets of the
-   classes that share a bucket are written once for these comparisons.
+4. Candidates of a band bucket are not expanded into pairs. A hub of each bucket is compared on full sets with
+   the members that are not yet in its component (first the same hub order for all bands, so few distinct pairs;
+   then a random hub). Groups of copies melt into components this way, and buckets whose members are all in one
+   component are finished. When a round no longer links much, the buckets that are left hold texts that share a
+   part only: their members are compared by signature inside the task, bucket by bucket, and the few pairs that
+   may reach the threshold on full sets. No candidate is dropped. The sets of the classes that share a bucket
+   are written once for these comparisons.
 5. Components: large-star / small-star over the verified edges, each round written to the shared folder.
 
 Lost executors: every round reads written tables. Skew: only ids, sizes and digests are grouped by a key that
@@ -25,15 +26,16 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, stored
+from .common import discard, partitions_for, stored
 from .textops import mix, pieces, shingle_sets
 
 WIDTH, BANDS, ROWS = 5, 42, 6          # shingle words, bands, signature values per band
-STEP_ELEMENTS = 200_000                # elements whose permutations are held at once in the later steps
+BLOCK = 2000                           # members of a bucket that are compared with each other in one task
+STEP_ELEMENTS = 30_000                # elements whose permutations are held at once in the later steps
 
 
 def _offers(h: np.ndarray, step: int) -> np.ndarray:
@@ -98,21 +100,26 @@ def band_hashes(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def signed(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, n_shingles, digest of the set, band hashes) of whole texts (no words: no bands)."""
+    """(doc_id, n_shingles, digest of the set, band hashes, a byte of each signature value) of whole texts (no
+    words: no bands)."""
 
     def run(batches):
         for batch in batches:
-            ids = batch["doc_id"]
-            for first, part in pieces(batch["text"].tolist()):
+            for first, part in pieces(batch["text"]):
                 sets = shingle_sets(part, width)
-                banded = band_hashes(superminhash(sets, bands * rows), bands, rows)
-                yield pd.DataFrame({
-                    "doc_id": ids.iloc[first : first + len(part)].to_numpy(), "n_shingles": [len(x) for x in sets],
-                    "digest": [hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets],
-                    "bands": [b if len(x) else b[:0] for x, b in zip(sets, banded)]})
+                sig = superminhash(sets, bands * rows)
+                banded = band_hashes(sig, bands, rows)
+                short = (mix(sig.view(np.uint64)) >> np.uint64(56)).astype(np.uint8)
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": batch["doc_id"].slice(first, len(part)),
+                    "n_shingles": pa.array([len(x) for x in sets], pa.int64()),
+                    "digest": pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets],
+                                       pa.binary()),
+                    "bands": pa.array([b if len(x) else b[:0] for x, b in zip(sets, banded)], pa.list_(pa.int64())),
+                    "sig": pa.array([x.tobytes() for x in short], pa.binary())})
 
-    return docs.select("doc_id", "text").mapInPandas(
-        run, "doc_id long, n_shingles long, digest binary, bands array<long>")
+    return docs.select("doc_id", "text").mapInArrow(
+        run, "doc_id long, n_shingles long, digest binary, bands array<long>, sig binary")
 
 
 def shingle_rows(docs: DataFrame, width: int) -> DataFrame:
@@ -120,12 +127,12 @@ def shingle_rows(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            ids = batch["id"]
-            for first, part in pieces(batch["text"].tolist()):
-                yield pd.DataFrame({"id": ids.iloc[first : first + len(part)].to_numpy(),
-                                    "shingles": [x.tobytes() for x in shingle_sets(part, width)]})
+            for first, part in pieces(batch["text"]):
+                yield pa.RecordBatch.from_pydict({
+                    "id": batch["id"].slice(first, len(part)),
+                    "shingles": pa.array([x.tobytes() for x in shingle_sets(part, width)], pa.binary())})
 
-    return docs.select(F.col("doc_id").alias("id"), "text").mapInPandas(run, "id long, shingles binary")
+    return docs.select(F.col("doc_id").alias("id"), "text").mapInArrow(run, "id long, shingles binary")
 
 
 def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -135,15 +142,15 @@ def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch["sa"], batch["sb"]):
-                a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = np.sort(np.concatenate([a, b]), kind="stable")
                 common = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * common >= percent * (len(a) + len(b) - common))
-            yield batch.loc[np.array(keep, bool), ["a", "b"]]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").mapInPandas(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -168,43 +175,130 @@ def components(edges: DataFrame) -> DataFrame:
             return e.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
-def grouped(classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame | None:
-    """(id, component) of the classes that are linked with another class, or None; ``classes`` has id, n, bands."""
+def likely_pairs(rows: DataFrame, percent: int, length: int) -> DataFrame:
+    """(a, b): pairs of different components within a key whose sizes allow the similarity and whose signatures
+    agree within five standard errors of it. ``rows`` has key, side, id, n, component, sig; a key holds at most
+    two blocks of BLOCK rows (sides 0 and 1: compared across only; side -1: within). Sorted partitions are read
+    in batches; only the rows of one key are held together."""
+    t = percent / 100.0
+    need = int((t - 5 * (t * (1 - t) / length) ** 0.5) * length)
+
+    def compare(ids, n, comp, side, sig):
+        out = []
+        for i in range(len(ids) - 1):
+            r = slice(i + 1, None)
+            ok = (comp[r] != comp[i]) & (100 * np.minimum(n[r], n[i]) >= percent * np.maximum(n[r], n[i]))
+            ok &= (side[r] != side[i]) | (side[r] < 0)
+            at = np.flatnonzero(ok) + i + 1
+            if len(at):
+                at = at[(sig[at] == sig[i]).sum(axis=1) >= need]
+                out += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in at.tolist()]
+        return out
+
+    def pairs_of(held):
+        key = held["key"].to_numpy()
+        columns = [held[c].to_numpy() for c in ("id", "n", "component", "side")]
+        sig = np.frombuffer(b"".join(held["sig"].to_pylist()), np.uint8).reshape(len(key), length)
+        cuts = np.flatnonzero(np.diff(key)) + 1
+        out = []
+        for a, z in zip(np.concatenate([[0], cuts]).tolist(), np.concatenate([cuts, [len(key)]]).tolist()):
+            if z - a > 1:
+                out += compare(*(x[a:z] for x in columns), sig[a:z])
+        return pa.RecordBatch.from_pydict({"a": pa.array([int(x) for x, _ in out], pa.int64()),
+                                           "b": pa.array([int(y) for _, y in out], pa.int64())})
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4 * BLOCK):
+                table = pa.Table.from_batches([batch.slice(at, 4 * BLOCK)])
+                held = table if held is None else pa.concat_tables([held, table])
+                key = held["key"].to_numpy()
+                whole = int(np.searchsorted(key, key[-1]))  # the last key may go on in the next batch
+                if whole:
+                    yield pairs_of(held.slice(0, whole))
+                    held = held.slice(whole)
+        if held is not None:
+            yield pairs_of(held)
+
+    parts = partitions_for(rows)
+    return (rows.select("key", "side", "id", "n", "component", "sig").repartition(parts, "key")
+            .sortWithinPartitions("key").mapInArrow(run, "a long, b long"))
+
+
+def rest_pairs(open_: DataFrame, classes: DataFrame, percent: int, length: int) -> DataFrame:
+    """Likely pairs of all rows (bucket, id, n, component) that hubs have not settled.
+
+    A bucket of more than BLOCK rows is parted by the other bands of its members first: a pair at the threshold
+    also shares another band (it misses all 41 with a probability of 4 in a million), while texts that only
+    share a passage mostly do not. What is still larger is compared block against block."""
+    def sized(rows):
+        return rows.join(rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "key")
+
+    rows = sized(open_.withColumnRenamed("bucket", "key"))
+    few = rows.where(F.col("size") <= BLOCK)
+    many = rows.where(F.col("size") > BLOCK).join(classes.select("id", "bands"), "id")
+    parted = sized(many.withColumn("other", F.explode("bands")).where("other <> key")
+                   .select(F.xxhash64("key", "other").alias("key"), "id", "n", "component"))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("id", "key"), blocks).cast("int")
+    crossed = (parted.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
+               .select(F.xxhash64("key", F.least("own", "with"), F.greatest("own", "with")).alias("key"),
+                       F.when(F.col("own") == F.col("with"), -1).when(F.col("own") < F.col("with"), 0).otherwise(1)
+                       .alias("side"), "id", "n", "component"))
+    both = few.select("key", F.lit(-1).alias("side"), "id", "n", "component").unionByName(crossed)
+    return likely_pairs(both.join(classes.select("id", "sig"), "id"), percent, length).distinct()
+
+
+def grouped(classes: DataFrame, docs: DataFrame, width: int, percent: int, length: int) -> DataFrame | None:
+    """(id, component) of the classes that are linked with another class, or None; ``classes`` has id, n, bands,
+    sig."""
     keyed = classes.select("id", "n", F.explode("bands").alias("bucket"))
     met = keyed.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket")
     open_ = stored(keyed.join(met, "bucket"), "buckets")
     sets = stored(shingle_rows(docs.join(open_.select(F.col("id").alias("doc_id")).distinct(), "doc_id",
                                          "left_semi"), width), "candidate-sets")
     edges = placed = None
-    turn = 0
-    while True:
-        now = open_.withColumn("component", F.col("id")) if placed is None else (
-            open_.join(placed, "id", "left").withColumn("component", F.coalesce("component", "id")))
+
+    def add(found):
+        nonlocal edges, placed
+        if not found.isEmpty():
+            edges = found if edges is None else edges.unionByName(found)
+            placed = components(edges)
+
+    def unsettled(rows):
+        """Rows of the buckets that hold more than one component."""
+        now = rows.withColumn("component", F.col("id")) if placed is None else (
+            rows.join(placed, "id", "left").withColumn("component", F.coalesce("component", "id")))
         spread = now.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        left = stored(now.join(spread.where("lo <> hi").select("bucket"), "bucket"), "buckets")
+        return stored(now.join(spread.where("lo <> hi").select("bucket"), "bucket"), "buckets")
+
+    turn, worth = 0, True
+    while worth:
+        left = unsettled(open_)
         discard(open_)
-        if left.isEmpty():
-            discard(left)
-            break
-        # turn 0: the smallest id of every bucket; then 1, 2, 4, .. random members of each bucket
-        part = F.lit(0) if turn < 2 else F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(1 << (turn - 1)))
+        # turn 0: the smallest id of every bucket, so that all bands test the same pairs; then a random member
         order = F.lit(0).cast("long") if turn == 0 else F.xxhash64("id", "bucket", F.lit(turn))
-        hubs = left.groupBy("bucket", part.alias("part")).agg(F.min(F.struct(
+        hubs = left.groupBy("bucket").agg(F.min(F.struct(
             order.alias("order"), F.col("id").alias("hub"), F.col("n").alias("hub_n"),
             F.col("component").alias("hub_component"))).alias("h"))
-        hubs = hubs.select("bucket", "h.hub", "h.hub_n", "h.hub_component")
+        against = left.join(hubs.select("bucket", "h.hub", "h.hub_n", "h.hub_component"), "bucket")
         small, large = F.least("n", "hub_n"), F.greatest("n", "hub_n")
-        pairs = (left.join(hubs, "bucket")
-                 .where((F.col("component") != F.col("hub_component")) & (100 * small >= percent * large))
-                 .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
+        pairs = stored(against.where((F.col("component") != F.col("hub_component"))
+                                     & (100 * small >= percent * large))
+                       .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct(), "pairs")
         found = stored(similar(pairs, sets, percent), "links")
-        met_all = hubs.select("bucket", F.col("hub").alias("id"))  # hubs that have met their whole bucket
-        open_ = stored(left.select("id", "n", "bucket").join(met_all, ["bucket", "id"], "left_anti"), "buckets")
+        worth = found.count() * 20 > pairs.count()  # groups of copies still merge; else the rest is settled at once
+        discard(pairs)
+        open_ = stored(against.where("id <> hub").select("id", "n", "bucket"), "buckets")
         discard(left)
-        if not found.isEmpty():
-            edges = found if edges is None else edges.unionByName(found)
-            placed = components(edges)
+        add(found)
         turn += 1
+    left = unsettled(open_)
+    discard(open_)
+    if not left.isEmpty():
+        add(stored(similar(rest_pairs(left, classes, percent, length), sets, percent), "links"))
+    discard(left)
     discard(sets)
     return placed
 
@@ -218,8 +312,10 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = 80, band
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows_ = stored(signed(docs, width, bands, rows), "signed")
     classes = rows_.where("n_shingles > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
-    linked = grouped(classes, docs, width, percent)
+        F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
+        F.first("sig").alias("sig"))
+    classes = stored(classes, "classes")
+    linked = grouped(classes, docs, width, percent, bands * rows)
     member = classes.select("digest", "id")
     member = member.withColumn("component", F.col("id")) if linked is None else (
         member.join(linked, "id", "left").select("digest", F.coalesce("component", "id").alias("component")))
