@@ -34,6 +34,8 @@ from .common import discard, partitions_for, stored
 from .textops import mix, pieces, shingle_sets
 
 WIDTH, BANDS, ROWS = 5, 42, 6          # shingle words, bands, signature values per band
+LENGTH = 504                           # signature values; the bands take the first BANDS * ROWS
+ERRORS = 4.5                           # standard errors below the threshold that a likely pair may show
 BLOCK = 2000                           # members of a bucket that are compared with each other in one task
 STEP_ELEMENTS = 30_000                # elements whose permutations are held at once in the later steps
 
@@ -107,7 +109,7 @@ def signed(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
         for batch in batches:
             for first, part in pieces(batch["text"]):
                 sets = shingle_sets(part, width)
-                sig = superminhash(sets, bands * rows)
+                sig = superminhash(sets, max(LENGTH, bands * rows))
                 banded = band_hashes(sig, bands, rows)
                 short = (mix(sig.view(np.uint64)) >> np.uint64(56)).astype(np.uint8)
                 yield pa.RecordBatch.from_pydict({
@@ -175,15 +177,21 @@ def components(edges: DataFrame) -> DataFrame:
             return e.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
-def likely_pairs(rows: DataFrame, percent: int, length: int) -> DataFrame:
-    """(a, b): pairs of different components within a key whose sizes allow the similarity and whose signatures
-    agree within five standard errors of it. ``rows`` has key, side, id, n, component, sig; a key holds at most
-    two blocks of BLOCK rows (sides 0 and 1: compared across only; side -1: within). Sorted partitions are read
-    in batches; only the rows of one key are held together."""
+def likely_pairs(rows: DataFrame, percent: int, bands: int, band_rows: int) -> DataFrame:
+    """(a, b), each pair once: pairs of different components within a key whose sizes allow the similarity and
+    whose signatures agree within ERRORS standard errors of it.
+
+    ``rows`` has key, band, other, side, id, n, component, sig. ``band`` is the band of the key's bucket (and
+    ``other`` the second one of a parted bucket, else -1): a pair is told only by the first band (and the second)
+    that it shares, so not once per shared bucket. A key holds at most two blocks of BLOCK rows (sides 0 and 1:
+    compared across only; side -1: within). Sorted partitions are read in batches; only the rows of one key are
+    held together."""
     t = percent / 100.0
-    need = int((t - 5 * (t * (1 - t) / length) ** 0.5) * length)
 
-    def compare(ids, n, comp, side, sig):
+    def compare(band, other, ids, n, comp, side, sig):
+        length = sig.shape[1]
+        need = int((t - ERRORS * (t * (1 - t) / length) ** 0.5) * length)
+        cut = sig[:, : bands * band_rows].reshape(len(sig), bands, band_rows)
         out = []
         for i in range(len(ids) - 1):
             r = slice(i + 1, None)
@@ -192,13 +200,19 @@ def likely_pairs(rows: DataFrame, percent: int, length: int) -> DataFrame:
             at = np.flatnonzero(ok) + i + 1
             if len(at):
                 at = at[(sig[at] == sig[i]).sum(axis=1) >= need]
-                out += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in at.tolist()]
+            if len(at):
+                shared = (cut[at] == cut[i]).all(axis=2)
+                first = shared.argmax(axis=1) == band[i]
+                if other[i] >= 0:
+                    shared[np.arange(len(at)), shared.argmax(axis=1)] = False
+                    first &= shared.any(axis=1) & (shared.argmax(axis=1) == other[i])
+                out += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in at[first].tolist()]
         return out
 
     def pairs_of(held):
         key = held["key"].to_numpy()
-        columns = [held[c].to_numpy() for c in ("id", "n", "component", "side")]
-        sig = np.frombuffer(b"".join(held["sig"].to_pylist()), np.uint8).reshape(len(key), length)
+        columns = [held[c].to_numpy() for c in ("band", "other", "id", "n", "component", "side")]
+        sig = np.frombuffer(b"".join(held["sig"].to_pylist()), np.uint8).reshape(len(key), -1)
         cuts = np.flatnonzero(np.diff(key)) + 1
         out = []
         for a, z in zip(np.concatenate([[0], cuts]).tolist(), np.concatenate([cuts, [len(key)]]).tolist()):
@@ -222,12 +236,12 @@ def likely_pairs(rows: DataFrame, percent: int, length: int) -> DataFrame:
             yield pairs_of(held)
 
     parts = partitions_for(rows)
-    return (rows.select("key", "side", "id", "n", "component", "sig").repartition(parts, "key")
+    return (rows.select("key", "band", "other", "side", "id", "n", "component", "sig").repartition(parts, "key")
             .sortWithinPartitions("key").mapInArrow(run, "a long, b long"))
 
 
-def rest_pairs(open_: DataFrame, classes: DataFrame, percent: int, length: int) -> DataFrame:
-    """Likely pairs of all rows (bucket, id, n, component) that hubs have not settled.
+def rest_pairs(open_: DataFrame, classes: DataFrame, percent: int, bands: int, band_rows: int) -> DataFrame:
+    """Likely pairs of all rows (bucket, band, id, n, component) that hubs have not settled.
 
     A bucket of more than BLOCK rows is parted by the other bands of its members first: a pair at the threshold
     also shares another band (it misses all 41 with a probability of 4 in a million), while texts that only
@@ -238,22 +252,26 @@ def rest_pairs(open_: DataFrame, classes: DataFrame, percent: int, length: int)
     rows = sized(open_.withColumnRenamed("bucket", "key"))
     few = rows.where(F.col("size") <= BLOCK)
     many = rows.where(F.col("size") > BLOCK).join(classes.select("id", "bands"), "id")
-    parted = sized(many.withColumn("other", F.explode("bands")).where("other <> key")
-                   .select(F.xxhash64("key", "other").alias("key"), "id", "n", "component"))
+    parted = sized(many.select("key", "band", "id", "n", "component", F.posexplode("bands").alias("other", "sub"))
+                   .where("other > band")  # the pair's second band; its first is that of the bucket
+                   .select(F.xxhash64("key", "sub").alias("key"), "band", "other", "id", "n", "component"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id", "key"), blocks).cast("int")
     crossed = (parted.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
                .select(F.xxhash64("key", F.least("own", "with"), F.greatest("own", "with")).alias("key"),
+                       "band", "other",
                        F.when(F.col("own") == F.col("with"), -1).when(F.col("own") < F.col("with"), 0).otherwise(1)
                        .alias("side"), "id", "n", "component"))
-    both = few.select("key", F.lit(-1).alias("side"), "id", "n", "component").unionByName(crossed)
-    return likely_pairs(both.join(classes.select("id", "sig"), "id"), percent, length).distinct()
+    both = few.select("key", "band", F.lit(-1).alias("other"), F.lit(-1).alias("side"), "id", "n",
+                      "component").unionByName(crossed)
+    return likely_pairs(both.join(classes.select("id", "sig"), "id"), percent, bands, band_rows).distinct()
 
 
-def grouped(classes: DataFrame, docs: DataFrame, width: int, percent: int, length: int) -> DataFrame | None:
+def grouped(classes: DataFrame, docs: DataFrame, width: int, percent: int, bands: int,
+            band_rows: int) -> DataFrame | None:
     """(id, component) of the classes that are linked with another class, or None; ``classes`` has id, n, bands,
     sig."""
-    keyed = classes.select("id", "n", F.explode("bands").alias("bucket"))
+    keyed = classes.select("id", "n", F.posexplode("bands").alias("band", "bucket"))
     met = keyed.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket")
     open_ = stored(keyed.join(met, "bucket"), "buckets")
     sets = stored(shingle_rows(docs.join(open_.select(F.col("id").alias("doc_id")).distinct(), "doc_id",
@@ -290,14 +308,14 @@ def grouped(classes: DataFrame, docs: DataFrame, width: int, percent: int, lengt
         found = stored(similar(pairs, sets, percent), "links")
         worth = found.count() * 20 > pairs.count()  # groups of copies still merge; else the rest is settled at once
         discard(pairs)
-        open_ = stored(against.where("id <> hub").select("id", "n", "bucket"), "buckets")
+        open_ = stored(against.where("id <> hub").select("id", "n", "band", "bucket"), "buckets")
         discard(left)
         add(found)
         turn += 1
     left = unsettled(open_)
     discard(open_)
     if not left.isEmpty():
-        add(stored(similar(rest_pairs(left, classes, percent, length), sets, percent), "links"))
+        add(stored(similar(rest_pairs(left, classes, percent, bands, band_rows), sets, percent), "links"))
     discard(left)
     discard(sets)
     return placed
@@ -315,7 +333,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = 80, band
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
         F.first("sig").alias("sig"))
     classes = stored(classes, "classes")
-    linked = grouped(classes, docs, width, percent, bands * rows)
+    linked = grouped(classes, docs, width, percent, bands, rows)
     member = classes.select("digest", "id")
     member = member.withColumn("component", F.col("id")) if linked is None else (
         member.join(linked, "id", "left").select("digest", F.coalesce("component", "id").alias("component")))
