@@ -48,9 +48,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for a written table."""
-    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh path under the shared checkpoint folder for a written table; deleted when the process ends
+    (if the session still lives then)."""
+    if not _SCRATCH:
+        atexit.register(_clean_scratch)
+    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def _clean_scratch() -> None:
+    for spark, path in _SCRATCH:
+        try:
+            if spark.sparkContext._jsc is None:  # stopped: its file systems are out of reach
+                continue
+            remove_path(spark, path)
+        except Exception:  # the JVM is gone already
+            return
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
@@ -62,15 +80,3 @@ def remove_path(spark: SparkSession, path: str) -> None:
 def path_exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-def remove_at_end(spark: SparkSession, path: str) -> None:
-    """Delete a scratch folder when the Python process ends, if the session still lives."""
-    def clean():
-        try:
-            if spark.sparkContext._jsc is not None:
-                remove_path(spark, path)
-        except Exception:  # the session or its JVM is gone already
-            pass
-
-    atexit.register(clean)

@@ -506,7 +506,7 @@ def tables(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Tables:
     """The tables for ``sf_dir``: derived and written once per session under the shared checkpoint
     folder, then read from there by every query (again if that folder was emptied meanwhile). The
     copy is deleted when the process ends."""
-    from ..session import path_exists, remove_at_end, scratch_path
+    from ..session import path_exists, scratch_path
 
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), as_of)
     t, path = _CACHE.get(key, (None, ""))
@@ -514,5 +514,4 @@ def tables(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Tables:
         path = scratch_path(spark, "tables")
         t = Tables(spark, sf_dir, as_of).materialized(path)
         _CACHE[key] = (t, path)
-        remove_at_end(spark, path)
     return t
