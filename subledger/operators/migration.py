@@ -191,37 +191,47 @@ BRD_EVENTS = [
 
 
 def lifecycle_events(t, as_of: str | None = None) -> DataFrame:
-    """MIG-7: the BRD's 14-event log derived from the stored tables."""
-    cols = ["owner_id", "subscription_id", "event_name", "event_at"]
+    """MIG-7: the BRD's 14-event log derived from the stored tables; each table is read once and its rows
+    mapped to their event names."""
     s = D.subscription_facts(t).select("subscription_id", "owner_id")
-    e = t.subscription_events.join(s, "subscription_id")
-
-    def ev(df, name, at, sub="subscription_id", owner="owner_id"):
-        return df.select(c(owner).alias("owner_id"), (c(sub) if sub else F.lit(None).cast("string")).alias("subscription_id"),
-                         F.lit(name).alias("event_name"), at.cast("timestamp_ntz").alias("event_at"))
-
-    tr = t.trials
-    pay = t.payments.join(s, "subscription_id")
-    mv = plan_moves(t)
-    parts = [
-        ev(tr, "trial_started", c("trial_started_at"), sub=None, owner="customer_id"),
-        ev(tr.filter(c("trial_status") == "converted"), "trial_converted",
-           F.coalesce(c("actual_end_at"), c("scheduled_end_at")), sub="converted_subscription_id", owner="customer_id"),
-        ev(e.filter(c("event_type") == "subscription_started"), "subscription_started", c("event_at")),
-        ev(e.filter(c("event_type") == "renewed"), "renewed", c("event_at")),
-        ev(mv.filter(c("product_move") == "upgrade"), "upgraded", c("move_date"), sub="to_subscription_id"),
-        ev(mv.filter(c("product_move") == "downgrade"), "downgraded", c("move_date"), sub="to_subscription_id"),
-        ev(mv.filter(c("cycle_move") != "same"), "billing_cycle_changed", c("move_date"), sub="to_subscription_id"),
-        ev(pay.filter(c("payment_status") == "successful"), "payment_successful", c("payment_attempted_at")),
-        ev(pay.filter(c("payment_status") == "failed"), "payment_failed", c("payment_attempted_at")),
-        ev(e.filter(c("event_type") == "past_due_started"), "grace_period_started", c("event_at")),
-        ev(e.filter(c("event_type") == "cancellation_requested"), "cancelled", c("event_at")),
-        ev(e.filter((c("event_type") == "subscription_ended") & (c("event_reason") == "non_renewal")), "expired",
-           c("event_at")),
-        ev(D.churn_events(t, as_of), "churned", c("churn_date")),
-        ev(e.filter(c("event_type") == "reactivated"), "reactivated", c("event_at")),
-    ]
-    return reduce(DataFrame.unionByName, parts).select(*cols)
+    cols = ["owner_id", "subscription_id", "event_name", "event_at"]
+
+    def named(ladder):  # NULL where no condition holds
+        out = F.lit(None).cast("string")
+        for name, condition in reversed(ladder):
+            out = F.when(condition, name).otherwise(out)
+        return out.alias("event_name")
+
+    def each(df, owner, events):
+        """Up to one row per (name, condition, time, subscription) of ``events``."""
+        found = F.array_compact(F.array(*[F.when(condition, F.struct(
+            F.lit(name).alias("event_name"), at.cast("timestamp_ntz").alias("event_at"),
+            sub.cast("string").alias("subscription_id"))) for name, condition, at, sub in events]))
+        return df.select(c(owner).alias("owner_id"), F.explode(found).alias("e")).select("owner_id", "e.*").select(*cols)
+
+    kind = c("event_type")
+    stored = t.subscription_events.select("subscription_id", c("event_at").cast("timestamp_ntz").alias("event_at"), named([
+        ("subscription_started", kind == "subscription_started"), ("renewed", kind == "renewed"),
+        ("grace_period_started", kind == "past_due_started"), ("cancelled", kind == "cancellation_requested"),
+        ("expired", (kind == "subscription_ended") & (c("event_reason") == "non_renewal")),
+        ("reactivated", kind == "reactivated")]))
+    paid = t.payments.select(
+        "subscription_id", c("payment_attempted_at").cast("timestamp_ntz").alias("event_at"),
+        named([("payment_successful", c("payment_status") == "successful"),
+               ("payment_failed", c("payment_status") == "failed")]))
+    of_subscriptions = (stored.unionByName(paid).filter(c("event_name").isNotNull())
+                        .join(s, "subscription_id").select(*cols))
+    of_trials = each(t.trials, "customer_id", [
+        ("trial_started", F.lit(True), c("trial_started_at"), F.lit(None)),
+        ("trial_converted", c("trial_status") == "converted", F.coalesce(c("actual_end_at"), c("scheduled_end_at")),
+         c("converted_subscription_id"))])
+    of_moves = each(plan_moves(t), "owner_id", [
+        ("upgraded", c("product_move") == "upgrade", c("move_date"), c("to_subscription_id")),
+        ("downgraded", c("product_move") == "downgrade", c("move_date"), c("to_subscription_id")),
+        ("billing_cycle_changed", c("cycle_move") != "same", c("move_date"), c("to_subscription_id"))])
+    churned = D.churn_events(t, as_of).select("owner_id", "subscription_id", F.lit("churned").alias("event_name"),
+                                              c("churn_date").cast("timestamp_ntz").alias("event_at"))
+    return reduce(DataFrame.unionByName, [of_trials, of_subscriptions, of_moves, churned])
 
 
 FUNNEL_STEPS = ["registered", "trial", "paid", "renewed", "upgraded", "churned", "reactivated"]
