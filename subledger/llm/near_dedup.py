@@ -177,21 +177,21 @@ def components(edges: DataFrame) -> DataFrame:
             return e.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
-def likely_pairs(rows: DataFrame, percent: int, bands: int, band_rows: int) -> DataFrame:
+def likely_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """(a, b), each pair once: pairs of different components within a key whose sizes allow the similarity and
     whose signatures agree within ERRORS standard errors of it.
 
-    ``rows`` has key, band, other, side, id, n, component, sig. ``band`` is the band of the key's bucket (and
-    ``other`` the second one of a parted bucket, else -1): a pair is told only by the first band (and the second)
-    that it shares, so not once per shared bucket. A key holds at most two blocks of BLOCK rows (sides 0 and 1:
+    ``rows`` has key, band, other, side, id, n, component, sig, bands. ``band`` is the band of the key's bucket
+    (and ``other`` the second one of a parted bucket, else -1): a pair is told only by the first band (and the
+    second) that it shares, so not once per shared bucket. Shared are bands of equal hashes, as in the buckets: the
+    bytes of ``sig`` agree by chance too, in bands whose buckets part the pair. A key holds at most two blocks of BLOCK rows (sides 0 and 1:
     compared across only; side -1: within). Sorted partitions are read in batches; only the rows of one key are
     held together."""
     t = percent / 100.0
 
-    def compare(band, other, ids, n, comp, side, sig):
+    def compare(band, other, ids, n, comp, side, sig, hashes):
         length = sig.shape[1]
         need = int((t - ERRORS * (t * (1 - t) / length) ** 0.5) * length)
-        cut = sig[:, : bands * band_rows].reshape(len(sig), bands, band_rows)
         out = []
         for i in range(len(ids) - 1):
             r = slice(i + 1, None)
@@ -201,7 +201,7 @@ def likely_pairs(rows: DataFrame, percent: int, bands: int, band_rows: int) -> D
             if len(at):
                 at = at[(sig[at] == sig[i]).sum(axis=1) >= need]
             if len(at):
-                shared = (cut[at] == cut[i]).all(axis=2)
+                shared = hashes[at] == hashes[i]
                 first = shared.argmax(axis=1) == band[i]
                 if other[i] >= 0:
                     shared[np.arange(len(at)), shared.argmax(axis=1)] = False
@@ -213,11 +213,12 @@ def likely_pairs(rows: DataFrame, percent: int, bands: int, band_rows: int) -> D
         key = held["key"].to_numpy()
         columns = [held[c].to_numpy() for c in ("band", "other", "id", "n", "component", "side")]
         sig = np.frombuffer(b"".join(held["sig"].to_pylist()), np.uint8).reshape(len(key), -1)
+        hashes = np.concatenate([c.flatten().to_numpy() for c in held["bands"].chunks]).reshape(len(key), -1)
         cuts = np.flatnonzero(np.diff(key)) + 1
         out = []
         for a, z in zip(np.concatenate([[0], cuts]).tolist(), np.concatenate([cuts, [len(key)]]).tolist()):
             if z - a > 1:
-                out += compare(*(x[a:z] for x in columns), sig[a:z])
+                out += compare(*(x[a:z] for x in columns), sig[a:z], hashes[a:z])
         return pa.RecordBatch.from_pydict({"a": pa.array([int(x) for x, _ in out], pa.int64()),
                                            "b": pa.array([int(y) for _, y in out], pa.int64())})
 
@@ -236,11 +237,11 @@ def likely_pairs(rows: DataFrame, percent: int, bands: int, band_rows: int) -> D
             yield pairs_of(held)
 
     parts = partitions_for(rows)
-    return (rows.select("key", "band", "other", "side", "id", "n", "component", "sig").repartition(parts, "key")
-            .sortWithinPartitions("key").mapInArrow(run, "a long, b long"))
+    return (rows.select("key", "band", "other", "side", "id", "n", "component", "sig", "bands")
+            .repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long"))
 
 
-def rest_pairs(open_: DataFrame, classes: DataFrame, percent: int, bands: int, band_rows: int) -> DataFrame:
+def rest_pairs(open_: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Likely pairs of all rows (bucket, band, id, n, component) that hubs have not settled.
 
     A bucket of more than BLOCK rows is parted by the other bands of its members first: a pair at the threshold
@@ -264,11 +265,10 @@ def rest_pairs(open_: DataFrame, classes: DataFrame, percent: int, bands: int, b
                        .alias("side"), "id", "n", "component"))
     both = few.select("key", "band", F.lit(-1).alias("other"), F.lit(-1).alias("side"), "id", "n",
                       "component").unionByName(crossed)
-    return likely_pairs(both.join(classes.select("id", "sig"), "id"), percent, bands, band_rows).distinct()
+    return likely_pairs(both.join(classes.select("id", "sig", "bands"), "id"), percent).distinct()
 
 
-def grouped(classes: DataFrame, docs: DataFrame, width: int, percent: int, bands: int,
-            band_rows: int) -> DataFrame | None:
+def grouped(classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame | None:
     """(id, component) of the classes that are linked with another class, or None; ``classes`` has id, n, bands,
     sig."""
     keyed = classes.select("id", "n", F.posexplode("bands").alias("band", "bucket"))
@@ -315,7 +315,7 @@ def grouped(classes: DataFrame, docs: DataFrame, width: int, percent: int, bands
     left = unsettled(open_)
     discard(open_)
     if not left.isEmpty():
-        add(stored(similar(rest_pairs(left, classes, percent, bands, band_rows), sets, percent), "links"))
+        add(stored(similar(rest_pairs(left, classes, percent), sets, percent), "links"))
     discard(left)
     discard(sets)
     return placed
@@ -333,7 +333,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = 80, band
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
         F.first("sig").alias("sig"))
     classes = stored(classes, "classes")
-    linked = grouped(classes, docs, width, percent, bands, rows)
+    linked = grouped(classes, docs, width, percent)
     member = classes.select("digest", "id")
     member = member.withColumn("component", F.col("id")) if linked is None else (
         member.join(linked, "id", "left").select("digest", F.coalesce("component", "id").alias("component")))

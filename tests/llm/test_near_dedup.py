@@ -128,3 +128,29 @@ def test_large_buckets_are_settled_by_blocks(spark, monkeypatch):
         if i % 3 == 0:
             rows.append((10 * i + 1, " ".join(own[:-2] + [word()])))
     check(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+@pytest.mark.parametrize("block", [2000, 40])
+def test_leftover_pairs_are_told_whatever_bytes_agree(spark, monkeypatch, block):
+    """Pairs at 0.8 and above whose signature bytes agree by chance in bands of different hashes: against all pairs
+    that share a band (two, in a bucket of more than a block)."""
+    monkeypatch.setattr(N, "BLOCK", block)
+    rng = np.random.default_rng(11)
+    pairs, width = 300, N.BANDS * N.ROWS
+    first = rng.integers(0, 2**63, (pairs, N.LENGTH), dtype=np.uint64)
+    second = np.where(rng.random(first.shape) < 0.85, first, rng.integers(0, 2**63, first.shape, dtype=np.uint64))
+    values = np.concatenate([first, second])
+    hashes = N.band_hashes(values.view(np.float64), N.BANDS, N.ROWS)
+    # every value that differs agrees in its byte, as one in 256 does by chance; all share one crowded bucket
+    short = (first >> np.uint64(56)).astype(np.uint8)
+    hashes[:, 5] = 77
+    rows, want = [], set()
+    for i in range(pairs):
+        for k, row in ((2 * i, i), (2 * i + 1, pairs + i)):
+            rows.append((k, 100, short[i].tobytes(), hashes[row].tolist()))
+        want.add((2 * i, 2 * i + 1))
+        assert (hashes[i] == hashes[pairs + i]).sum() >= 2 and width == hashes.shape[1] * N.ROWS
+    classes = spark.createDataFrame(rows, "id long, n long, sig binary, bands array<long>")
+    keyed = classes.selectExpr("id", "n", "posexplode(bands) as (band, bucket)", "id as component")
+    got = {(r["a"], r["b"]) for r in N.rest_pairs(keyed, classes, 80).collect()}
+    assert want <= got
