@@ -5,11 +5,14 @@ source with q of the ``PERIOD`` slots releases its j-th block at floor((j - 1) *
 by ceil(j * PERIOD / q); among the released blocks the earliest deadline goes first. As the shares add up to
 one, every block meets its window, so after any slot each source is less than one block away from its share.
 
-The windows repeat after PERIOD slots, so the driver schedules one period (some thousand steps, whatever the
-number of rows) and a block's slot is a formula of its number. When a source has run out, the next phase
-shares the slots among the others by their target weights, so all rows are placed and none is repeated.
-Phases number at most the mixed classes: the MAX_CLASSES largest sources, or those that ``weights`` names,
-and one class for all others.
+Every source is a class of its own, with its own windows. For up to MAX_CLASSES sources the windows repeat after
+PERIOD slots, so the driver schedules one period (some thousand steps, whatever the number of rows) and a block's
+slot is a formula of its number. When a source has run out, the next phase shares the slots among the others by
+their target weights, so all rows are placed and none is repeated.
+
+More sources do not fit a period: the windows of all blocks are taken from the ideal course, in which every source
+that has not run out gets slots in proportion to its weight at every moment, and the driver places all blocks by the
+same rule (a step per block). Each source is less than one block away from the ideal course here too.
 
 Rows are numbered inside a source by runs of about RUN_ROWS rows, so no window holds a whole source."""
 
@@ -18,10 +21,13 @@ from __future__ import annotations
 import heapq
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS, PERIOD, MAX_CLASSES, RUN_ROWS = 64, 4096, 63, 20_000
+BROADCAST_BLOCKS = 1_000_000  # schedules of up to so many blocks go to every executor
 SEED = 17
 
 
@@ -77,29 +83,46 @@ def phases(blocks: list[int], weights: list[float], period: int = PERIOD) -> lis
         phase += 1
 
 
-def _classes(docs: DataFrame, weights: dict | None) -> tuple[list, list[int], list[float]]:
-    """(named sources, rows of each class and of the rest, their weights). Without given weights a source
-    weighs the square root of its rows, the rest likewise."""
-    counts = docs.groupBy("source").agg(F.count("*").alias("n"))
-    if weights is None:
-        named = counts.orderBy(F.desc("n"), "source").limit(MAX_CLASSES)
-    else:
-        if len(weights) > PERIOD // 2:
-            raise ValueError(f"at most {PERIOD // 2} named sources")
-        named = counts.where(F.col("source").isin(list(weights)))
-    top = [(r["source"], r["n"]) for r in named.orderBy("source").collect()]
-    rest = (counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]) - sum(n for _, n in top)
-    rows = [n for _, n in top] + [rest]
-    if weights is None:
-        return [s for s, _ in top], rows, [n**0.5 for n in rows]
-    return [s for s, _ in top], rows, [float(weights[s]) for s, _ in top] + [max(0.0, 1.0 - sum(weights.values()))]
+def course(blocks: list[int], weights: list[float]) -> dict[str, np.ndarray]:
+    """The schedule of all blocks as columns cls, block, phase, slot, by class and block: earliest deadline first in
+    the windows of the ideal course. A phase lasts until the next source of the ideal course has run out."""
+    b = np.array(blocks, np.int64)
+    w = np.array(weights, float)
+    w = np.maximum(w / w.sum() if w.sum() > 0 else np.ones(len(w)), 1e-9)  # weight 0: when all others have run out
+    cls = np.repeat(np.arange(len(b)), b)
+    block = np.arange(len(cls)) - np.repeat(np.cumsum(b) - b, b)
+    # the time at which each source runs out, and the slots of all sources up to then
+    order = np.argsort(b / w, kind="stable")
+    ends = (b / w)[order]
+    live = np.cumsum(w[order][::-1])[::-1]  # weight of the sources that have not run out before
+    filled = np.cumsum(np.diff(ends, prepend=0.0) * live)
+    times, slots = np.append(0.0, ends), np.append(0.0, filled)
+    release = np.floor(np.interp(block / w[cls], times, slots) + 1e-6).astype(np.int64)
+    deadline = np.ceil(np.interp((block + 1) / w[cls], times, slots) - 1e-6).astype(np.int64)
+    slot = np.empty(len(cls), np.int64)
+    ready: list[tuple[int, int]] = []
+    waiting = np.argsort(release, kind="stable").tolist()
+    starts, due, at = release.tolist(), deadline.tolist(), 0
+    for t in range(len(cls)):
+        while at < len(waiting) and (starts[waiting[at]] <= t or not ready):
+            heapq.heappush(ready, (due[waiting[at]], waiting[at]))
+            at += 1
+        slot[heapq.heappop(ready)[1]] = t
+    phase = np.searchsorted(np.unique(np.floor(filled + 1e-6)), slot, side="right")
+    return {"cls": cls, "block": block, "phase": phase, "slot": slot}
 
 
-def _class_of(named: list) -> Column:
-    out = F.lit(len(named))
-    for i, s in enumerate(named):
-        out = F.when(F.col("source").eqNullSafe(F.lit(s)), i).otherwise(out)
-    return out.cast("int")
+def _classes(docs: DataFrame, weights: dict | None) -> tuple[list, list[int], list[float]]:
+    """(sources, rows of each, their weights). Without given weights a source weighs the square root of its rows;
+    with them, the sources that are not named share what is left to one in this way."""
+    counts = docs.groupBy("source").agg(F.count("*").alias("n")).orderBy("source").collect()
+    names, rows = [r["source"] for r in counts], [r["n"] for r in counts]
+    roots = [n**0.5 for n in rows]
+    if weights is None:
+        return names, rows, roots
+    others = sum(x for s, x in zip(names, roots) if s not in weights)
+    left = max(0.0, 1.0 - sum(weights.values()))
+    return names, rows, [float(weights[s]) if s in weights else left * x / others for s, x in zip(names, roots)]
 
 
 def mixed(docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -110,16 +133,18 @@ def mixed(docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_
     hash go by doc_id. An empty table gives an empty result. A column named ``mix`` is replaced."""
     spark = docs.sparkSession
     keys = docs.select("doc_id", "source")
-    named, rows, weight = _classes(keys, weights)
+    names, rows, weight = _classes(keys, weights)
     blocks = [-(-n // block_rows) for n in rows]
-    plan = phases(blocks, weight)
     runs = max(1, -(-sum(rows) // RUN_ROWS))
 
     mark = F.xxhash64("doc_id", F.lit(SEED))
+    classes = F.broadcast(spark.createDataFrame(list(zip(names, range(len(names)))), docs.select(
+        F.col("source").alias("its_source"), F.lit(0).alias("cls")).schema))
+    own = F.col("source").eqNullSafe(F.col("its_source"))
     tagged = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "mix"]).alias("row"),
-                         F.col("doc_id"), _class_of(named).alias("cls"), mark.alias("mark"),
-                         F.pmod(mark, F.lit(runs)).cast("int").alias("run"))
-    sizes = keys.select(_class_of(named).alias("cls"), F.pmod(mark, F.lit(runs)).cast("int").alias("run"))
+                         F.col("doc_id"), F.col("source"), mark.alias("mark"),
+                         F.pmod(mark, F.lit(runs)).cast("int").alias("run")).join(classes, own)
+    sizes = keys.select("source", F.pmod(mark, F.lit(runs)).cast("int").alias("run")).join(classes, own)
     before = sizes.groupBy("cls", "run").agg(F.count("*").alias("n")).select("cls", "run", F.coalesce(
         F.sum("n").over(Window.partitionBy("cls").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("before"))  # one row per run of a class
@@ -128,7 +153,22 @@ def mixed(docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_
               .withColumn("rank", F.col("before") + F.col("in_run") - 1)
               .withColumn("block", F.floor(F.col("rank") / block_rows))
               .withColumn("seat", F.col("rank") % block_rows))
+    if len(rows) > MAX_CLASSES:
+        place = course(blocks, weight)
+        taken = np.minimum(np.array(rows)[place["cls"]] - place["block"] * block_rows, block_rows)
+        by_slot = np.argsort(place["slot"])
+        begin = np.empty(len(taken), np.int64)
+        begin[by_slot] = np.cumsum(taken[by_slot]) - taken[by_slot]
+        place = spark.createDataFrame(pa.table(place | {"begin": begin}))
+        if len(taken) <= BROADCAST_BLOCKS:
+            place = F.broadcast(place)
+        return (ranked.join(place, ["cls", "block"])
+                .select("row.*", F.struct(
+                    F.col("cls").cast("int").alias("cls"), F.col("block").cast("long").alias("block"),
+                    F.col("phase").cast("int").alias("phase"), "slot",
+                    (F.col("begin") + F.col("seat")).cast("long").alias("position")).alias("mix")))
 
+    plan = phases(blocks, weight)
     schedule = spark.createDataFrame(
         [(p["cls"], p["phase"], p["first_block"], p["until_block"], p["start_slot"], p["q"], p["slots"]) for p in plan],
         "cls int, phase int, first_block long, until_block long, start_slot long, q long, slots array<int>")

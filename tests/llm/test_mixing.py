@@ -66,3 +66,42 @@ def test_odd_and_empty(odd_docs, no_docs):
     assert M.op5_pfair_mix(no_docs).count() == 0
     whole = M.in_mixed_order(odd_docs.drop("mix"))
     assert whole.columns == odd_docs.drop("mix").columns and whole.count() == odd_docs.count()
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_course_stays_within_one_block(seed):
+    rng = random.Random(seed)
+    n = rng.randint(1, 90)
+    blocks, weights = [rng.randint(0, 40) for _ in range(n)], [rng.random() + 0.01 for _ in range(n)]
+    c = M.course(blocks, weights)
+    order = sorted(zip(c["slot"].tolist(), c["cls"].tolist(), c["block"].tolist()))
+    assert [s for s, _, _ in order] == list(range(sum(blocks)))
+    done = [0] * n
+    for t, k, block in order:
+        assert block == done[k]
+        done[k] += 1
+        low, high = 0.0, 1e9  # the time at which the ideal course has filled t + 1 slots
+        for _ in range(60):
+            mid = (low + high) / 2
+            low, high = (mid, high) if sum(min(b, w * mid) for b, w in zip(blocks, weights)) < t + 1 else (low, mid)
+        assert all(abs(d - min(b, w * high)) < 1 + 1e-5 for d, b, w in zip(done, blocks, weights))
+
+
+def test_every_source_is_a_class(spark):
+    """200 equal sources and a large one: each has its own share of every stretch of the order."""
+    docs = spark.range(200 * 8 + 400).selectExpr(
+        "id as doc_id", "if(id < 1600, concat('s', id % 200), 'large') as source")
+    rows = sorted(M.mixed(docs, block_rows=1).collect(), key=lambda r: r["mix"]["position"])
+    assert [r["mix"]["position"] for r in rows] == list(range(2000))
+    assert len({r["mix"]["cls"] for r in rows}) == 201
+    total = 200 * 8**0.5 + 400**0.5
+    done = {}
+    for t, r in enumerate(rows[:1500], 1):
+        done[r["source"]] = done.get(r["source"], 0) + 1
+        assert all(abs(d - (20 if s == "large" else 8**0.5) / total * t) < 1.001 for s, d in done.items())
+    # given weights: those not named share the rest, each for itself
+    rows = sorted(M.mixed(docs, {"large": 0.5}, block_rows=1).collect(), key=lambda r: r["mix"]["position"])
+    done = {}
+    for t, r in enumerate(rows[:700], 1):
+        done[r["source"]] = done.get(r["source"], 0) + 1
+        assert all(abs(d - (0.5 if s == "large" else 0.5 / 200) * t) < 1.001 for s, d in done.items())
