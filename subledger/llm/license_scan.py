@@ -1,12 +1,13 @@
 """Operator 2, licence scans: sentence-rule recognition.
 
-Texts are split into sentences (line ends, and full stops before a blank), sentences are normalised (lower
-case, signs to blanks, runs of blanks to one) and looked up in a table of known licence sentences. The
+Texts are cut into pieces (line ends, and full stops, semicolons and colons before a blank) and normalised (lower
+case, signs to blanks, runs of blanks to one). A run of whole pieces that reads as one of a table of known licence
+sentences is found, so wrapped lines and marks inside a sentence do not hide it; the longest run counts. The
 identifiers found, in text order, form the document's sequence. Ordered rules - an identifier sequence and the
 licence it stands for, longer and more special ones first - are matched against it; a matched stretch is
 used up, so a document can name several licences. What no rule uses is reported as left over.
 
-All of it is one projection over the scan (split, map lookup, higher-order functions): no shuffle, no join."""
+All of it is one projection over the scan (patterns, map lookup, higher-order functions): no shuffle, no join."""
 
 from __future__ import annotations
 
@@ -103,19 +104,17 @@ RULES = [
 ]
 SENTENCE_END = r"\n|[.;:] |[.;:]$"
 SIGNS = r"[^a-z0-9]+"
-SHORTEST = min(map(len, SENTENCES))
+# one known sentence between two piece ends ("|"), the longest first
+KNOWN = r"\| ?(" + "|".join(x.replace(" ", "[ |]+") for x in sorted(SENTENCES, key=len, reverse=True)) + r")(?= ?\|)"
 
 
 def sentence_ids(text: Column) -> Column:
-    """Identifiers of the known sentences of a text, in order (a licence header line that is broken over several
-    lines is not one sentence)."""
+    """Identifiers of the known sentences of a text, in order."""
     table = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-
-    def known(s: Column) -> Column:
-        normal = F.trim(F.regexp_replace(F.lower(s), SIGNS, " "))
-        return F.when(F.length(s) >= SHORTEST, table[normal])  # a shorter piece cannot be in the table
-
-    return F.array_compact(F.transform(F.split(F.coalesce(text, F.lit("")), SENTENCE_END), known))
+    plain = F.translate(F.lower(F.coalesce(text, F.lit(""))), "|", " ")
+    pieces = F.regexp_replace(F.regexp_replace(plain, SENTENCE_END, "|"), "[^a-z0-9|]+", " ")
+    found = F.regexp_extract_all(F.concat(F.lit("|"), pieces, F.lit("|")), F.lit(KNOWN), F.lit(1))
+    return F.transform(found, lambda s: table[F.regexp_replace(s, "[ |]+", " ")])
 
 
 def matched(ids: Column) -> Column:
