@@ -1,5 +1,6 @@
 """Operators for large training corpora: sharding, licence recognition, toxicity, vector search, source
-mixing, URL filtering, near-duplicate grouping, host quality rules, quality scoring and sequence packing.
+mixing, URL filtering, near-duplicate grouping, host quality rules, quality scoring, sequence packing, language
+identification, tokenizer alignment and ranked search.
 
 Nothing else in the library imports this subpackage."""
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (ann, host_quality, license_scan, mixing, near_dedup, packing, quality_cnn, sharding, toxicity,
-               url_filter)
+from . import (ann, host_quality, language_id, lexical_search, license_scan, mixing, near_dedup, packing, quality_cnn,
+               sharding, token_alignment, toxicity, url_filter)
 from .common import table
 
 
@@ -20,8 +20,13 @@ def queries() -> dict:
         "op8_host_rules": lambda s, d: host_quality.op8_host_rules(table(s, d, "documents")),
         "op9_byte_cnn": lambda s, d: quality_cnn.op9_byte_cnn(table(s, d, "documents"), table(s, d, "labels")),
         "op10_certified_packing": lambda s, d: packing.op10_certified_packing(table(s, d, "documents")),
+        "op11_string_kernel": lambda s, d: language_id.op11_string_kernel(table(s, d, "documents")),
+        "op12_token_alignment": lambda s, d: token_alignment.op12_token_alignment(table(s, d, "documents")),
+        "op13_bag_search": lambda s, d: lexical_search.op13_bag_search(
+            table(s, d, "documents"), table(s, d, "benchmark")),
     }
 
 
 def oracle_sql() -> dict:
-    return {"op2_license_rules": license_scan.oracle(), "op8_host_rules": host_quality.ORACLE}
+    return {"op2_license_rules": license_scan.oracle(), "op8_host_rules": host_quality.ORACLE,
+            "op13_bag_search": lexical_search.ORACLE}
