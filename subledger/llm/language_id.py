@@ -132,12 +132,12 @@ class Model:
         self.bits = [b for _, b in rows[:n_landmarks]]
         if not rows:
             return
-        x = np.stack([self._unpack(b) for _, b in rows])
-        marks = x[: len(self.bits)]
+        marks = np.stack([self._unpack(b) for b in self.bits])
         values, vectors = np.linalg.eigh(kernel(marks, marks))
         good = values > 1e-8 * values[-1]
         root = vectors[:, good] / np.sqrt(values[good])
-        features = kernel(x, marks) @ root
+        features = np.concatenate([kernel(np.stack([self._unpack(b) for _, b in rows[at : at + ROWS]]), marks)
+                                   for at in range(0, len(rows), ROWS)]) @ root
         target = np.array([[float(lang == its) for its in self.langs] for lang, _ in rows])
         middle, level = features.mean(axis=0), target.mean(axis=0)
         centred = features - middle
