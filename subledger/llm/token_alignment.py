@@ -1,22 +1,24 @@
 """Operator 12, alignment of two tokenizers by their common byte ends.
 
 Tokenizer A (byte-level BPE) reads blank + text, tokenizer B (sentencepiece) adds that blank itself, so both cover the
-same bytes. Per run of texts:
+same bytes. For either one a word begins at a blank that follows a character other than white space, and what stands
+before has no say in what follows; so both have a token end there, and a text is the sequence of its words. Each
+distinct word of a run is worked out once and remembered:
 
-1. Both id lists and the bytes that each token stands for. Each distinct word of a run is encoded once by B and
-   remembered. A text whose joined bytes differ from blank + text on either side has no tokens.
+1. Both id lists and the bytes that each token stands for. A word whose joined bytes differ on either side is unsound,
+   and a text that holds one has no tokens.
 2. The cumulative byte ends of each list become an end-to-index dictionary. The intersection of the key sets,
    sorted, gives the common ends; the indices found under them cut both lists into groups.
 3. Links (pairs of tokens whose byte ranges overlap) are expanded per group.
 
+A document's figures, groups and links are those of its words, one after another.
+
 Links are counted by id pair inside the document. The corpus-wide number of documents of a pair is a join, and no
 link leaves its task as a row: rows are gathered in chunks of about CHUNK_LINKS distinct (document, pair) entries, a
 document's entries name places in its chunk's list of distinct pairs, and only these lists are exploded, counted
 and joined. The counts return to the chunk by a cogroup, bounded by the chunk's size.
 
-Texts longer than RUN_CHARS are worked through in parts. A part ends before a blank that follows a character other
-than white space: a word begins there for either tokenizer, so both have a token end there and every figure adds up.
-No part boundary is ever set elsewhere."""
+Texts longer than RUN_CHARS are worked through in parts, which end where a word begins and nowhere else."""
 
 from __future__ import annotations
 
@@ -37,7 +39,7 @@ from .textops import Buffer, process_cache
 
 RUN_CHARS = 1_000_000
 CHUNK_LINKS, CHUNK_DOCS = 2_000_000, 50_000
-KEPT_IDS = 2_000_000      # remembered ids of words, before a worker starts anew
+KEPT_LINKS = 3_000_000    # remembered links of words, before a worker starts anew
 BLANK_PIECE = "▁"
 CUT = re.compile(r"(?<=\S) ")
 ROWS = ("chunk long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
@@ -68,9 +70,9 @@ class ByteSide(Encoder):
 
 
 class PieceSide:
-    """Tokenizer B: ids of blank + text, equal to sentencepiece's ids of the text.
+    """Tokenizer B: ids of words that begin with a blank, equal to sentencepiece's ids of these words in a text.
 
-    No piece holds a blank after another character, so a word with the blanks before it is encoded by itself."""
+    No piece holds a blank after another character, so no piece reaches over the beginning of a word."""
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
@@ -82,50 +84,10 @@ class PieceSide:
         self.token_bytes = TokenBytes({i: bytes([int(n[3:5], 16)]) if self.model.is_byte(i)
                                        else n.replace(BLANK_PIECE, " ").encode() for i, n in enumerate(names)})
         self.blank = [self.model.piece_to_id(BLANK_PIECE)]
-        self._forget()
 
-    def _forget(self) -> None:
-        self.slots: dict[int, int] = {}
-        self.lengths, self.offsets = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.int64)
-
-    def _encode_words(self, words: list[str]) -> list[list[int]]:
-        """Ids of words that begin with a blank (the tokenizer adds it)."""
-        return [i if w != " " else self.blank for w, i in zip(words, self.model.encode([w[1:] for w in words],
-                                                                                       num_threads=1))]
-
-    def encode(self, parts: list[bytes]) -> list[np.ndarray]:
-        """Ids of each part; a part begins with a blank."""
-        buf = Buffer(parts, lower=False)
-        blank = buf.bytes == 32
-        starts = blank.copy()
-        starts[1:] &= ~blank[:-1]
-        starts[buf.ends] = False
-        starts[buf.starts] = True
-        begin = np.flatnonzero(starts)
-        of_part = np.searchsorted(buf.ends, begin, side="right")
-        end = np.minimum(np.append(begin[1:], len(buf.bytes)), buf.ends[of_part])
-        distinct, first, which = np.unique(buf.hashes(begin, end), return_index=True, return_inverse=True)
-        if len(self.ids) > KEPT_IDS:
-            self._forget()
-        keys = distinct.tolist()
-        at = np.array([self.slots.get(k, -1) for k in keys], np.int64)
-        new = np.flatnonzero(at < 0)
-        if len(new):
-            raw, spots = buf.bytes.tobytes(), first[new]
-            made = self._encode_words([raw[b:e].decode("utf-8", "surrogatepass")
-                                       for b, e in zip(begin[spots].tolist(), end[spots].tolist())])
-            sizes = np.array([len(m) for m in made], np.int64)
-            at[new] = len(self.lengths) + np.arange(len(new))
-            self.slots.update((keys[j], int(at[j])) for j in new.tolist())
-            self.offsets = np.append(self.offsets, len(self.ids) + np.cumsum(sizes) - sizes)
-            self.lengths = np.append(self.lengths, sizes)
-            self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(made), np.int64, int(sizes.sum())))
-        slot = at[which]
-        size = self.lengths[slot]
-        ids = self.ids[np.repeat(self.offsets[slot] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
-        per_part = np.bincount(of_part, weights=size, minlength=len(parts)).astype(np.int64)
-        return np.split(ids, np.cumsum(per_part)[:-1])
+    def encode(self, words: list[str]) -> list[list[int]]:
+        made = self.model.encode([w[1:] for w in words], num_threads=1)  # the tokenizer adds the blank
+        return [self.blank if w == " " else ids for w, ids in zip(words, made)]
 
 
 class TokenBytes:
@@ -142,11 +104,11 @@ class TokenBytes:
         return self.flat[np.repeat(self.starts[ids] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
 
 
-def sides(a_path: str, b_path: str) -> tuple[ByteSide, PieceSide]:
-    """Both tokenizers, loaded once per worker process."""
+def word_table(a_path: str, b_path: str) -> Words:
+    """Both tokenizers and the words met so far, once per worker process."""
     kept = process_cache()
     if (a_path, b_path) not in kept:
-        kept[(a_path, b_path)] = ByteSide(a_path), PieceSide(b_path)
+        kept[(a_path, b_path)] = Words(ByteSide(a_path), PieceSide(b_path))
     return kept[(a_path, b_path)]
 
 
@@ -162,13 +124,38 @@ def parts_of(text: str, size: int = RUN_CHARS) -> list[str]:
     return [*out, whole[at:]]
 
 
-def common_cuts(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of A and of B tokens up to each common end, in order: the intersection of two end-to-index maps."""
-    index_a = dict(zip(ends_a.tolist(), range(1, len(ends_a) + 1)))
-    index_b = dict(zip(ends_b.tolist(), range(1, len(ends_b) + 1)))
-    common = sorted(index_a.keys() & index_b.keys())
-    return (np.fromiter(map(index_a.__getitem__, common), np.int64, len(common)),
-            np.fromiter(map(index_b.__getitem__, common), np.int64, len(common)))
+def word_starts(buf: Buffer) -> np.ndarray:
+    """Where words begin: at each part's start, and at blanks after a character that is surely not white space."""
+    raw = buf.bytes
+    at = np.flatnonzero(raw == 32)
+    at = at[at >= 3]
+    one, two, three = raw[at - 1], raw[at - 2], raw[at - 3]
+    space = (one <= 32) | ((two == 0xC2) & ((one == 0x85) | (one == 0xA0)))  # and the sets of long blanks, whole
+    space |= ((three == 0xE2) & ((two == 0x80) | (two == 0x81))) | ((three == 0xE1) & (two == 0x9A))
+    space |= (three == 0xE3) & (two == 0x80)
+    flag = np.zeros(len(raw), bool)
+    flag[at[~space]] = True
+    flag[buf.ends] = False  # the blank between two parts
+    flag[buf.starts] = True
+    return np.flatnonzero(flag)
+
+
+def common_cuts(ends_a: np.ndarray, ends_b: np.ndarray, upto_a: list[int], upto_b: list[int]):
+    """Numbers of A and of B tokens up to each common end, in order: the intersection of two end-to-index maps.
+
+    ``upto_a`` and ``upto_b`` are the numbers of tokens up to the end of each text; every text has maps of its own."""
+    cut_a: list[int] = []
+    cut_b: list[int] = []
+    at_a = at_b = 0
+    all_a, all_b = ends_a.tolist(), ends_b.tolist()
+    for to_a, to_b in zip(upto_a, upto_b):
+        index_a = dict(zip(all_a[at_a:to_a], range(at_a + 1, to_a + 1)))
+        index_b = dict(zip(all_b[at_b:to_b], range(at_b + 1, to_b + 1)))
+        common = sorted(index_a.keys() & index_b.keys())
+        cut_a.extend(map(index_a.__getitem__, common))
+        cut_b.extend(map(index_b.__getitem__, common))
+        at_a, at_b = to_a, to_b
+    return np.array(cut_a, np.int64), np.array(cut_b, np.int64)
 
 
 def links(cut_a: np.ndarray, cut_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -236,45 +223,109 @@ class _Doc:
         return pairs, np.bincount(which, weights=np.concatenate(self.times)).astype(np.int64)
 
 
-def align_run(owners: list[_Doc], parts: list[str], a_side: ByteSide, b_side: PieceSide) -> None:
+class Words:
+    """Figures of distinct words, worked out once: numbers of A tokens, B tokens, groups and links, the groups as
+    text, the links as pairs, and whether both tokenizers give the word back."""
+
+    def __init__(self, a_side: ByteSide, b_side: PieceSide):
+        self.a_side, self.b_side = a_side, b_side
+        self.bits = len(b_side.token_bytes.lengths).bit_length()
+        self.pair_bits = len(a_side.token_bytes.lengths).bit_length() + self.bits
+        self._forget()
+
+    def _forget(self) -> None:
+        self.slots: dict[int, int] = {}
+        self.texts: list[bytes] = []
+        self.sound = np.zeros(0, bool)
+        self.n = np.zeros((0, 4), np.int64)
+        self.first_link = np.zeros(0, np.int64)
+        self.pairs = np.zeros(0, np.int64)
+
+    def find(self, buf: Buffer, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The slot of each word of a buffer; new words are worked out."""
+        if len(self.pairs) > KEPT_LINKS:
+            self._forget()
+        keys, first, which = np.unique(buf.hashes(begin, end), return_index=True, return_inverse=True)
+        keys = keys.tolist()
+        slot = np.array([self.slots.get(k, -1) for k in keys], np.int64)
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            raw, spots = buf.bytes.tobytes(), first[new]
+            slot[new] = len(self.texts) + np.arange(len(new))
+            self.slots.update((keys[j], int(slot[j])) for j in new.tolist())
+            self._add([raw[b:e] for b, e in zip(begin[spots].tolist(), end[spots].tolist())])
+        return slot[which]
+
+    def _add(self, words: list[bytes]) -> None:
+        plain = [w.decode("utf-8", "surrogatepass") for w in words]
+        a_ids, b_ids = self.a_side.encode(plain), self.b_side.encode(plain)
+        n_a, n_b = (np.array([len(i) for i in ids], np.int64) for ids in (a_ids, b_ids))
+        a = np.concatenate(a_ids).astype(np.int64)
+        b = np.fromiter(chain.from_iterable(b_ids), np.int64, int(n_b.sum()))
+        a_bytes, b_bytes = self.a_side.token_bytes, self.b_side.token_bytes
+        ends_a, ends_b = np.cumsum(a_bytes.lengths[a]), np.cumsum(b_bytes.lengths[b])
+        last_a, last_b = np.cumsum(n_a), np.cumsum(n_b)
+        whole = b"".join(words)
+        sound = np.ones(len(words), bool)
+        if a_bytes.join(a).tobytes() != whole or b_bytes.join(b).tobytes() != whole:  # rare: find the words
+            sound = np.array([a_bytes.join(np.asarray(i, np.int64)).tobytes() == w
+                              and b_bytes.join(np.asarray(j, np.int64)).tobytes() == w
+                              for w, i, j in zip(words, a_ids, b_ids)])
+            if not sound.all():
+                good = np.flatnonzero(sound).tolist()
+                n, texts, pairs = np.zeros((len(words), 4), np.int64), [b""] * len(words), np.zeros(0, np.int64)
+                if good:
+                    kept = Words(self.a_side, self.b_side)
+                    kept._add([words[k] for k in good])
+                    n[sound], pairs = kept.n, kept.pairs
+                    for k, text in zip(good, kept.texts):
+                        texts[k] = text
+                self._append(sound, n, texts, pairs)
+                return
+        cut_a, cut_b = common_cuts(ends_a, ends_b, last_a.tolist(), last_b.tolist())
+        link_a, link_b = links(cut_a, cut_b, ends_a, ends_b)
+        of_link = np.searchsorted(last_a, link_a, side="right")
+        order = np.argsort(of_link, kind="stable")
+        last_group = np.searchsorted(cut_a, last_a) + 1        # every word ends at a common end
+        text, ends = group_text(a, b, cut_a, cut_b, max(len(a_bytes.lengths), len(b_bytes.lengths)))
+        stop = ends[last_group - 1].tolist()
+        n = np.stack([n_a, n_b, np.diff(last_group, prepend=0), np.bincount(of_link, minlength=len(words))], axis=1)
+        self._append(sound, n, [text[x:y] for x, y in zip([0, *stop], stop)],
+                     (a[link_a[order]] << self.bits) | b[link_b[order]])
+
+    def _append(self, sound: np.ndarray, n: np.ndarray, texts: list[bytes], pairs: np.ndarray) -> None:
+        self.first_link = np.append(self.first_link, len(self.pairs) + np.cumsum(n[:, 3]) - n[:, 3])
+        self.sound, self.n = np.append(self.sound, sound), np.concatenate([self.n, n])
+        self.pairs = np.append(self.pairs, pairs)
+        self.texts += texts
+
+
+def align_run(owners: list[_Doc], parts: list[str], words: Words) -> None:
     """Add the figures of one run of parts to their documents."""
-    raw = [p.encode("utf-8", "surrogatepass") for p in parts]
-    a_ids, b_ids = a_side.encode(parts), b_side.encode(raw)
-    sound = []
-    for k, (text, a, b) in enumerate(zip(raw, a_ids, b_ids)):
-        if a_side.token_bytes.join(a).tobytes() == text and b_side.token_bytes.join(b).tobytes() == text:
-            sound.append(k)
-        else:
-            owners[k].ok = False
-    if not sound:
-        return
-    n_a, n_b = (np.array([len(x[k]) for k in sound]) for x in (a_ids, b_ids))
-    a = np.concatenate([a_ids[k] for k in sound]).astype(np.int64)
-    b = np.concatenate([b_ids[k] for k in sound]).astype(np.int64)
-    ends_a, ends_b = np.cumsum(a_side.token_bytes.lengths[a]), np.cumsum(b_side.token_bytes.lengths[b])
-    cut_a, cut_b = common_cuts(ends_a, ends_b)
-    link_a, link_b = links(cut_a, cut_b, ends_a, ends_b)
-    last_a = np.cumsum(n_a)
-    last_group = np.searchsorted(cut_a, last_a) + 1       # every part ends at a common end
-    n_groups = np.diff(last_group, prepend=0)
-    of_link = np.searchsorted(last_a, link_a, side="right")
-    bits_a, bits_b = len(a_side.token_bytes.lengths).bit_length(), len(b_side.token_bytes.lengths).bit_length()
-    entry, times = np.unique((of_link << (bits_a + bits_b)) | (a[link_a] << bits_b) | b[link_b], return_counts=True)
-    bound = np.searchsorted(entry, np.arange(len(sound) + 1) << (bits_a + bits_b))
-    pairs = ((entry >> bits_b) & ((1 << bits_a) - 1)) << 32 | (entry & ((1 << bits_b) - 1))
-    text, ends = group_text(a, b, cut_a, cut_b, max(len(a_side.token_bytes.lengths), len(b_side.token_bytes.lengths)))
-    text_end = ends[last_group - 1]
-    n_links = np.bincount(of_link, minlength=len(sound))
-    for j, k in enumerate(sound):
-        doc = owners[k]
-        doc.n += (n_a[j], n_b[j], n_groups[j], n_links[j])
-        doc.pairs.append(pairs[bound[j] : bound[j + 1]])
-        doc.times.append(times[bound[j] : bound[j + 1]])
-        piece = text[text_end[j - 1] if j else 0 : text_end[j] - 1]
+    buf = Buffer([p.encode("utf-8", "surrogatepass") for p in parts], lower=False)
+    begin = word_starts(buf)
+    of_part = np.searchsorted(buf.ends, begin, side="right")
+    slot = words.find(buf, begin, np.minimum(np.append(begin[1:], len(buf.bytes)), buf.ends[of_part]))
+    first = np.searchsorted(of_part, np.arange(len(parts)))  # every part has a word
+    n = np.add.reduceat(words.n[slot], first, axis=0)
+    sound = np.logical_and.reduceat(words.sound[slot], first)
+    n_links = words.n[slot, 3]
+    pair = words.pairs[_slices(words.first_link[slot], n_links)]
+    entry, times = np.unique((np.repeat(of_part, n_links) << words.pair_bits) | pair, return_counts=True)
+    bound = np.searchsorted(entry, np.arange(len(parts) + 1) << words.pair_bits)
+    low = (1 << words.bits) - 1
+    pairs = ((entry & ((1 << words.pair_bits) - 1)) >> words.bits) << 32 | (entry & low)
+    slots, stop = slot.tolist(), [*first.tolist()[1:], len(slot)]
+    for k, doc in enumerate(owners):
+        doc.ok = doc.ok and bool(sound[k])
+        doc.n += n[k]
+        doc.pairs.append(pairs[bound[k] : bound[k + 1]])
+        doc.times.append(times[bound[k] : bound[k + 1]])
+        text = b"".join([words.texts[i] for i in slots[first[k] : stop[k]]])
         if doc.sha is None:
-            doc.sha = hashlib.sha256(piece)
+            doc.sha = hashlib.sha256(text[:-1])
         else:
-            doc.sha.update(b";" + piece)
+            doc.sha.update(b";" + text[:-1])
 
 
 def _narrow(values: np.ndarray) -> bytes:
@@ -308,7 +359,7 @@ def _chunk_rows(number: int, docs: list[_Doc]) -> pa.RecordBatch:
 
 def align(batches, a_path: str, b_path: str):
     """ROWS of Arrow batches (doc_id, text), chunk by chunk."""
-    a_side, b_side = sides(a_path, b_path)
+    words = word_table(a_path, b_path)
     task = TaskContext.get()
     number = (task.partitionId() if task else 0) << 32
     done, owners, parts, size, gathered = [], [], [], 0, 0
@@ -323,14 +374,14 @@ def align(batches, a_path: str, b_path: str):
                 parts.append(part)
                 size += len(part)
                 if size >= RUN_CHARS:
-                    align_run(owners, parts, a_side, b_side)
+                    align_run(owners, parts, words)
                     gathered += sum(len(d.pairs[-1]) for d in {id(o): o for o in owners}.values() if d.pairs)
                     owners, parts, size = [], [], 0
             if not parts and (gathered >= CHUNK_LINKS or len(done) >= CHUNK_DOCS):
                 yield _chunk_rows(number, done)
                 number, done, gathered = number + 1, [], 0
     if parts:
-        align_run(owners, parts, a_side, b_side)
+        align_run(owners, parts, words)
     if done:
         yield _chunk_rows(number, done)
 

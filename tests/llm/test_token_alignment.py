@@ -13,7 +13,8 @@ SPECIAL = ["<|endoftext|>", "<s>", "</s>", "<unk>", "<0x41>", "▁", "▁ x", "
 
 @pytest.fixture(scope="module")
 def both():
-    return T.sides(T.default_tokenizer(), T.default_pieces())
+    words = T.word_table(T.default_tokenizer(), T.default_pieces())
+    return words.a_side, words.b_side
 
 
 def texts(seed: int, n: int) -> list[str]:
@@ -65,12 +66,19 @@ def got(df):
                    r["groups_sha256"]) for r in T.op12_token_alignment(df).collect())
 
 
-def test_ids_equal_the_libraries(both, docs):
-    some = [t for t in texts(5, 3000) if t] + [r["text"] for r in docs.collect()]
-    a, b = both
-    assert [x.tolist() for x in a.encode([" " + t for t in some])] == [library_ids(t, both)[0] for t in some]
-    plain = [t for t in some if T.BLANK_PIECE not in t]  # texts with this sign have no tokens
-    assert [x.tolist() for x in b.encode([(" " + t).encode() for t in plain])] == [b.model.encode(t) for t in plain]
+def words_of(text):
+    buf = T.Buffer([(" " + text).encode()], lower=False)
+    begin = T.word_starts(buf).tolist()
+    return [buf.bytes.tobytes()[b:e].decode() for b, e in zip(begin, [*begin[1:], int(buf.ends[0])])]
+
+
+def test_ids_of_words_make_the_ids_of_texts(both, docs):
+    blanks = [f"a{chr(c)} b {chr(c)}{chr(c)}  c" for c in (9, 0x1C, 0x85, 0xA0, 0x1680, 0x2003, 0x2028, 0x202F, 0x3000)]
+    some = [t for t in texts(5, 3000) if t] + [r["text"] for r in docs.collect()] + blanks
+    some = [t for t in some if T.BLANK_PIECE not in t]  # texts with this sign have no tokens
+    for side, which in zip(both, (0, 1)):
+        for t in some:
+            assert [int(i) for w in side.encode(words_of(t)) for i in w] == library_ids(t, both)[which], t
 
 
 @pytest.mark.parametrize("seed", [1, 2])
@@ -115,7 +123,7 @@ def test_small_chunks_and_parts_change_nothing(both):
 
 def test_links_of_a_mixed_group():
     ends_a, ends_b = np.array([2, 5, 9, 10]), np.array([3, 4, 9, 10])
-    cut_a, cut_b = T.common_cuts(ends_a, ends_b)
+    cut_a, cut_b = T.common_cuts(ends_a, ends_b, [4], [4])
     assert (cut_a.tolist(), cut_b.tolist()) == ([3, 4], [3, 4])
     a, b = T.links(cut_a, cut_b, ends_a, ends_b)
     assert sorted(zip(a.tolist(), b.tolist())) == [(0, 0), (1, 0), (1, 1), (1, 2), (2, 2), (3, 3)]
