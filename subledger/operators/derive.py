@@ -32,7 +32,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ordering import ordered_neighbours
+from ..functions.ordering import Ordered, ordered_neighbours
+from ..session import path_exists, scratch_path, scratch_scope
 from ..functions.columns import (
     money_list,
     DEFAULT_GRACE_DAYS, c, churn_type, dbl, money, month, organisation_band, owner_id, owner_type, ratio,
@@ -66,19 +67,25 @@ def subscription_facts(t) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- DER-2
-def owner_neighbours(s: DataFrame) -> DataFrame:
-    """Position and previous / next subscription of each subscription in its owner's
-    (start_date, subscription_id) order, computed without a window over an owner's rows
-    (``functions.ordering.ordered_neighbours``)."""
-    return ordered_neighbours(s, "owner_id", "start_date", "subscription_id").select(
-        "subscription_id", "seq", F.col("prev_id").alias("prev_subscription_id"),
-        F.col("next_id").alias("next_subscription_id"))
+def owner_neighbours(t) -> DataFrame:
+    """Position and previous / next subscription of each subscription in its owner's (start_date, subscription_id)
+    order, however many an owner starts on one day (``functions.ordering.ordered_neighbours``). Computed once per
+    ``t``."""
+    kept = t.__dict__.get("_owner_neighbours")
+    if kept is None or not path_exists(t.spark, kept[0]):
+        path = scratch_path(t.spark, "neighbours")
+        with scratch_scope():
+            ordered_neighbours(subscription_facts(t), "owner_id", "start_date", "subscription_id").select(
+                "subscription_id", "seq", F.col("prev_id").alias("prev_subscription_id"),
+                F.col("next_id").alias("next_subscription_id")).write.parquet(path)
+        kept = t.__dict__["_owner_neighbours"] = (path, t.spark.read.parquet(path))
+    return kept[1]
 
 
 def owner_timeline(t) -> DataFrame:
     """DER-2: previous / next subscription of the same owner and the gap between them."""
     s = subscription_facts(t)
-    nb = owner_neighbours(s)
+    nb = owner_neighbours(t)
     prev = s.select(c("subscription_id").alias("prev_subscription_id"), c("end_date").alias("prev_end_date"),
                     c("end_reason").alias("prev_end_reason"))
     nxt = s.select(c("subscription_id").alias("next_subscription_id"), c("start_date").alias("next_start_date"))
@@ -371,17 +378,10 @@ def payment_retries(t) -> DataFrame:
     ``outcome``: ``first_time`` (success, no failure), ``recovered`` (failures then
     success), ``lost`` (failures, no success, subscription ended for payment
     failure), ``open`` otherwise."""
-    # chain number = successful attempts before this one, in two levels: successes on earlier days
-    # (a running sum over one row per subscription-day) + earlier successes the same day
+    # chain number = successful attempts before this one
     succ = F.when(c("payment_status") == "successful", 1).otherwise(0)
-    p = t.payments.withColumn("day", F.to_date("payment_attempted_at")).withColumn("succ", succ)
-    wd = (Window.partitionBy("subscription_id", "day").orderBy("payment_attempted_at", "payment_id")
-          .rowsBetween(Window.unboundedPreceding, -1))
-    p = p.withColumn("succ_in_day", F.coalesce(F.sum("succ").over(wd), F.lit(0)))
-    days = p.groupBy("subscription_id", "day").agg(F.sum("succ").alias("s"))
-    wo = Window.partitionBy("subscription_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select("subscription_id", "day", F.coalesce(F.sum("s").over(wo), F.lit(0)).alias("succ_days"))
-    numbered = p.join(days, ["subscription_id", "day"]).withColumn("chain_no", c("succ_days") + c("succ_in_day"))
+    numbered = Ordered(t.payments, "subscription_id", ("payment_attempted_at", "payment_id"),
+                       ("payment_status",)).sum_before(succ, "chain_no")
     chains = numbered.groupBy("subscription_id", "chain_no").agg(
         F.count("*").alias("attempts"),
         F.count_if(c("payment_status") == "failed").alias("failures"),
@@ -408,21 +408,11 @@ def cancellation_outcomes(t) -> DataFrame:
 
     Reversed when a ``cancellation_reversed`` follows it before any other
     request; completed when the subscription then ended; pending otherwise."""
-    e = (t.subscription_events.filter(c("event_type").isin(
+    e = t.subscription_events.filter(c("event_type").isin(
         "cancellation_requested", "cancellation_reversed", "subscription_ended"))
-        .withColumn("day", F.to_date("event_at")))
-    # next event in (event_at, event_id) order, in two levels: the next one the same day, else the
-    # first event of the subscription's next day with events (a window over one row per day)
-    wd = Window.partitionBy("subscription_id", "day").orderBy("event_at", "event_id")
-    e = e.select("*", F.lead("event_type").over(wd).alias("nt_day"), F.lead("event_at").over(wd).alias("na_day"))
-    first = (e.groupBy("subscription_id", "day")
-             .agg(F.min_by(F.struct("event_type", "event_at"), F.struct("event_at", "event_id")).alias("first")))
-    wo = Window.partitionBy("subscription_id").orderBy("day")
-    first = first.select("subscription_id", "day", F.lead("first").over(wo).alias("next_first"))
-    nxt = e.join(first, ["subscription_id", "day"]).select(
-        "subscription_id", "event_id", "event_type", "event_at",
-        F.when(c("nt_day").isNotNull(), c("nt_day")).otherwise(c("next_first.event_type")).alias("next_type"),
-        F.when(c("nt_day").isNotNull(), c("na_day")).otherwise(c("next_first.event_at")).alias("next_at"))
+    nxt = Ordered(e, "subscription_id", ("event_at", "event_id"), ("event_type",)).neighbours(
+        "event_type", "event_at").select("subscription_id", "event_id", "event_type", "event_at",
+                                         c("next.event_type").alias("next_type"), c("next.event_at").alias("next_at"))
     r = nxt.filter(c("event_type") == "cancellation_requested")
     return r.select(
         "subscription_id", c("event_id").alias("request_event_id"), c("event_at").alias("requested_at"),

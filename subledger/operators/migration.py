@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import c, dbl, month, monthly_factor, ratio
+from ..functions.ordering import Ordered, sequence_ranks
+from ..session import scratch_result
 from . import derive as D
 
 
@@ -27,7 +29,7 @@ def plan_moves(t) -> DataFrame:
     """MIG-1: classify every plan change as upgrade / downgrade / lateral / same product and
     longer / shorter / same cycle, with the recurring revenue before and after."""
     s = D.subscription_facts(t)
-    nb = D.owner_neighbours(s).select("subscription_id", c("next_subscription_id").alias("next_id"))
+    nb = D.owner_neighbours(t).select("subscription_id", c("next_subscription_id").alias("next_id"))
     seq = s.filter(c("end_reason") == "plan_change").join(nb, "subscription_id")
     tiers = F.broadcast(product_tiers(t))
     a = seq.join(tiers, "product_id")
@@ -123,61 +125,59 @@ def journey_steps(t, as_of: str | None = None) -> DataFrame:
 
 
 def numbered_steps(t, as_of: str | None = None) -> DataFrame:
-    """Journey steps with their 1-based position in the owner's (at, seq, label) order, computed in
-    two levels (rank inside the owner's day + steps on earlier days) so no window holds an owner's rows."""
-    steps = journey_steps(t, as_of).withColumn("day", F.to_date("at"))
-    wd = Window.partitionBy("owner_id", "day").orderBy("at", "seq", "label")
-    ranked = steps.withColumn("rk", F.row_number().over(wd))
-    days = steps.groupBy("owner_id", "day").agg(F.count("*").alias("n"))
-    wo = Window.partitionBy("owner_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select("owner_id", "day", F.coalesce(F.sum("n").over(wo), F.lit(0)).alias("before"))
-    return ranked.join(days, ["owner_id", "day"]).select(
-        "owner_id", "label", (c("before") + c("rk")).cast("long").alias("pos"))
+    """Journey steps (owner_id, pos, label) with their 1-based position in the owner's (at, seq, label) order,
+    however many steps an owner has on one day. Equal steps are numbered in any order."""
+    steps = journey_steps(t, as_of).withColumn("nth", F.monotonically_increasing_id())
+    return Ordered(steps, "owner_id", ("at", "seq", "label", "nth")).neighbours("label").select(
+        "owner_id", c("place").alias("pos"), "label")
 
 
-def _lane(salt: str):
-    """32-bit hash of (label, position) for one fingerprint lane (summed per owner, never overflows)."""
-    return F.xxhash64(F.lit(salt), c("label"), c("pos")).bitwiseAND(F.lit(0xFFFFFFFF))
+def _top_journeys(t, k: int, as_of: str | None) -> tuple[DataFrame, DataFrame]:
+    """(the k best paths: journey, owners, steps, still_active_share, rank, rep; the numbered steps).
+
+    Owners are grouped by the rank of their path (``functions.ordering.sequence_ranks``): equal rank means equal
+    path, and ranks stand in the order of the paths' labels, so groups tied by owners and steps are settled by
+    comparing numbers. No path is assembled."""
+    a = F.lit(as_of or t.as_of).cast("date")
+    num = scratch_result(t.spark, "steps", lambda: numbered_steps(t, as_of))
+    paths = scratch_result(t.spark, "paths", lambda: sequence_ranks(num, "owner_id", "pos", "label"))
+    live = (D.subscription_facts(t).filter((c("start_date") < a) & (c("end_date").isNull() | (c("end_date") >= a)))
+            .select("owner_id").distinct().withColumn("live", F.lit(1)))
+    groups = (paths.join(live, "owner_id", "left").groupBy("rank", "steps")
+              .agg(F.count("*").alias("owners"), ratio(F.count("live"), F.count("*")).alias("still_active_share"),
+                   F.min("owner_id").alias("rep")))
+    order = (F.desc("owners"), "steps", "rank")
+    best = scratch_result(t.spark, "top", lambda: groups.orderBy(*order).limit(k).withColumn(
+        "journey", F.row_number().over(Window.orderBy(*order))))  # k rows
+    members = paths.join(F.broadcast(best.select("rank", "journey")), "rank").select("owner_id", "journey")
+    value = D.mean_value(members, ["journey"], t)
+    return best.join(value, "journey", "left"), num
 
 
 def journeys(t, k: int = 10, as_of: str | None = None) -> DataFrame:
     """MIG-6: top-k journey paths (e.g. ``Free Trial → Daily → Churn → Reactivation → Annual``)
     with owners, steps, mean historical value and the share still active at ``as_of``; ordered by
-    owners (desc), then steps, then the path text.
-
-    No owner's steps are gathered to compare paths: each owner's path is fingerprinted by a partial
-    aggregate (step count + three 32-bit hash sums over (label, position), 96 bits), owners are grouped
-    by fingerprint, and the path text is built only for the groups that can reach the top k (from one
-    representative owner each), so only reported paths are ever assembled."""
-    from ..session import checkpoint_dir
+    owners (desc), then steps, then the path's labels.
 
-    checkpoint_dir(t.spark)  # the cluster's shared folder (a local one only when unset)
-    a = F.lit(as_of or t.as_of).cast("date")
-    # both inputs are read twice below; a reliable checkpoint computes each once and cuts the lineage
-    num = numbered_steps(t, as_of).checkpoint()
-    fp = num.groupBy("owner_id").agg(F.count("*").alias("steps"), *[F.sum(_lane(x)).alias(f"h{x}") for x in "abc"])
-    live = (D.subscription_facts(t).filter((c("start_date") < a) & (c("end_date").isNull() | (c("end_date") >= a)))
-            .select("owner_id").distinct().withColumn("live", F.lit(1)))
-    groups = (fp.join(live, "owner_id", "left")
-              .groupBy("steps", "ha", "hb", "hc")
-              .agg(F.count("*").alias("owners"), ratio(F.count("live"), F.count("*")).alias("still_active_share"),
-                   F.min("owner_id").alias("rep"))).checkpoint()
-    # the k-th group by (owners desc, steps asc); every group not after it can be in the top k
-    kth = (groups.orderBy(F.desc("owners"), "steps").limit(k)
-           .agg(F.min_by(F.struct("owners", "steps"), F.struct(c("owners"), -c("steps"))))).scalar()
-    cand = groups.filter((c("owners") > kth.getField("owners"))
-                         | ((c("owners") == kth.getField("owners")) & (c("steps") <= kth.getField("steps"))))
-    marks = ["steps", "ha", "hb", "hc"]
-    value = D.mean_value(fp.join(cand.select(*marks), marks, "left_semi").select("owner_id", *marks), marks, t)
-    cand = cand.join(value, marks, "left")
-    rep_steps = num.join(cand.select(c("rep").alias("owner_id")), "owner_id", "left_semi")
-    paths = rep_steps.groupBy(c("owner_id").alias("rep")).agg(
+    The text of a path is as long as the path: ``journey_paths`` gives the same paths step by step."""
+    best, num = _top_journeys(t, k, as_of)
+    steps = num.join(F.broadcast(best.select(c("rep").alias("owner_id"))), "owner_id", "left_semi")
+    text = steps.groupBy(c("owner_id").alias("rep")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "label"))), lambda x: x["label"]),
                      " → ").alias("path"))
-    return (cand.join(paths, "rep")
+    return (best.join(text, "rep")
             .select("path", c("owners").cast("bigint").alias("owners"), c("steps").cast("bigint").alias("steps"),
                     "avg_ltv", "still_active_share")
-            .orderBy(F.desc("owners"), "steps", "path").limit(k))
+            .orderBy(F.desc("owners"), "steps", "path"))
+
+
+def journey_paths(t, k: int = 10, as_of: str | None = None) -> DataFrame:
+    """MIG-6 as rows: (journey, owners, position, label) of the top-k paths; journey 1 is the most frequent. No row
+    holds a path, however long."""
+    best, num = _top_journeys(t, k, as_of)
+    top = best.select(c("rep").alias("owner_id"), "journey", "owners")
+    return num.join(F.broadcast(top), "owner_id").select(
+        "journey", c("owners").cast("bigint").alias("owners"), c("pos").alias("position"), "label")
 
 
 # ---------------------------------------------------------------------------

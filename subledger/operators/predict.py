@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import c, dbl, money, money_list, ratio
-from ..functions.ordering import quantiles, with_rows_before
-from ..session import checkpoint_dir
+from ..functions.ordering import quantiles_together, with_rows_before
+from ..session import scratch_table
 from . import derive as D
 from .diagnostics import range_sums
 
@@ -140,19 +140,17 @@ def _snapshots(t, train_at: str | None, score_at: str | None, gap_months: int =
 def _churn_scores(t, train_at: str, score_at: str, horizon: int) -> DataFrame:
     train = (_model_frame(churn_features(t, train_at))
              .join(churn_labels(t, train_at, horizon).select("owner_id", c("label").cast("double")), "owner_id"))
-    return _fit_score(train.checkpoint(), _model_frame(churn_features(t, score_at)))  # read by every fitted stage
+    return _fit_score(scratch_table(train, "train"), _model_frame(churn_features(t, score_at)))  # read by every fitted stage
 
 
 def churn_model(t, train_at: str | None = None, score_at: str | None = None, horizon: int = 30) -> DataFrame:
     """PRD-3: logistic churn model trained on an earlier snapshot, scoring owners at a later one."""
-    checkpoint_dir(t.spark)
     scores = _churn_scores(t, *_snapshots(t, train_at, score_at), horizon)
     return scores.withColumn("probability", dbl(c("probability")))
 
 
 def churn_model_auc(t, train_at: str | None = None, score_at: str | None = None, horizon: int = 30) -> DataFrame:
     """PRD-3: AUC of the model on the scoring snapshot's realised labels (one row)."""
-    checkpoint_dir(t.spark)
     train_at, score_at = _snapshots(t, train_at, score_at)
     p = _churn_scores(t, train_at, score_at, horizon)
     y = churn_labels(t, score_at, horizon).select("owner_id", "label")
@@ -169,7 +167,6 @@ def churn_model_auc(t, train_at: str | None = None, score_at: str | None = None,
 def upgrade_propensity(t, train_at: str | None = None, score_at: str | None = None, horizon: int = 90) -> DataFrame:
     """PRD-6: probability of an upgrade within ``horizon`` days, same features as churn."""
     from .migration import plan_moves
-    checkpoint_dir(t.spark)
     train_at, score_at = _snapshots(t, train_at, score_at, gap_months=11)
 
     def labels(at):
@@ -180,7 +177,7 @@ def upgrade_propensity(t, train_at: str | None = None, score_at: str | None = No
             "owner_id", F.coalesce(c("label"), F.lit(0.0)).alias("label"))
 
     train = _model_frame(churn_features(t, train_at)).join(labels(train_at), "owner_id")
-    return _fit_score(train.checkpoint(), _model_frame(churn_features(t, score_at))).withColumn(
+    return _fit_score(scratch_table(train, "train"), _model_frame(churn_features(t, score_at))).withColumn(
         "probability", dbl(c("probability")))
 
 
@@ -243,6 +240,91 @@ def revenue_forecast(t, months: int = 3, as_of: str | None = None) -> DataFrame:
                       dbl(F.greatest(c("intercept") + c("slope") * x, F.lit(0.0)), 2).alias("forecast_revenue"))
 
 
+SERIES = ("currency", "product_name", "billing_frequency")
+BACKTEST_MONTHS = 6       # origins of the backtest: the last months of the history
+LEAST_HISTORY = 12        # months before an origin that the seasonal models need
+MODELS = ("linear", "index", "naive")  # a tie goes to the earlier one
+
+
+def _spine(t, as_of=None) -> DataFrame:
+    """Revenue per series and month without gaps: from the series' first month to the last complete month of all,
+    0 where nothing was paid. ``x`` counts months."""
+    end = F.add_months(F.trunc(_d(as_of or t.as_of), "month"), -1)
+    s = _series_revenue(t, as_of).where(c("month") <= end)
+    first = s.groupBy(*SERIES).agg(F.min("month").alias("first"))
+    months = first.select(*SERIES, F.explode(F.sequence("first", end, F.expr("interval 1 month"))).alias("month"))
+    return (months.join(s, [*SERIES, "month"], "left")
+            .select(*SERIES, "month", F.coalesce(c("revenue").cast("double"), F.lit(0.0)).alias("y"),
+                    (F.year("month") * 12 + F.month("month")).alias("x")))
+
+
+def _models_at(spine: DataFrame, origins: Column, months: int) -> DataFrame:
+    """One row per series, origin and horizon with each model's figure from the months up to the origin.
+
+    linear: least squares on the month; index: mean of the last twelve months times the calendar month's mean over
+    the mean of all months; naive: the same month a year before. The seasonal ones are NULL with less than
+    LEAST_HISTORY months. All models come from one aggregate; a group holds a series' months."""
+    at = spine.select("*", F.explode(origins).alias("origin")).where(c("x") <= c("origin"))
+    target = lambda h: c("origin") + h
+    y, x = c("y"), c("x").cast("double")
+    cols = []
+    for h in range(1, months + 1):
+        same = (c("x") % 12) == (target(h) % 12)
+        cols += [F.avg(F.when(same, y)).alias(f"season{h}"), F.max(F.when(c("x") == target(h) - 12, y)).alias(f"naive{h}")]
+    fit = at.groupBy(*SERIES, "origin").agg(
+        F.count("*").alias("points"), F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"),
+        F.avg(y).alias("mean"), F.avg(F.when(c("x") > c("origin") - 12, y)).alias("level"), *cols)
+    long = F.explode(F.array(*[F.struct(F.lit(h).alias("horizon"), c(f"season{h}").alias("season"),
+                                        c(f"naive{h}").alias("naive")) for h in range(1, months + 1)])).alias("f")
+    enough = c("points") >= LEAST_HISTORY
+    line = F.coalesce(c("intercept") + c("slope") * (c("origin") + c("f.horizon")), c("mean"))
+    return fit.select("*", long).select(
+        *SERIES, "origin", c("f.horizon").alias("horizon"), "points", F.greatest(line, F.lit(0.0)).alias("linear"),
+        F.when(enough & (c("mean") > 0), c("level") * c("f.season") / c("mean")).alias("index"),
+        F.when(enough, c("f.naive")).alias("naive"))
+
+
+def seasonal_forecast(t, months: int = 3, as_of: str | None = None) -> DataFrame:
+    """PRD-5 with seasons: monthly revenue of the next ``months`` months per currency, product x frequency and in
+    total, by the model that did best on the series' own past.
+
+    Rolling-origin backtest: from each of the BACKTEST_MONTHS months before the last one, every model forecasts the
+    months that follow up to the last; its error is the mean absolute difference. A model that lacks a figure in
+    the backtest or for the future is out; without any backtest the linear model is taken. Output: model, the three
+    errors (2 places) and forecast_revenue."""
+    spine = scratch_table(_spine(t, as_of), "spine")
+    last = (F.year(F.add_months(_d(as_of or t.as_of), -1)) * 12 + F.month(F.add_months(_d(as_of or t.as_of), -1))).cast("int")
+    back = _models_at(spine, F.sequence(last - BACKTEST_MONTHS, last - 1), months)
+    back = back.where(c("origin") + c("horizon") <= last)
+    truth = spine.select(*[c(s).alias(f"t_{s}") for s in SERIES], c("x").alias("t_x"), c("y").alias("truth"))
+    on = [c(s) == c(f"t_{s}") for s in SERIES] + [c("t_x") == c("origin") + c("horizon")]
+    told = back.join(truth, on)
+    errors = told.groupBy(*SERIES).agg(*[F.when(F.count(m) == F.count("*"), F.round(F.avg(F.abs(c(m) - c("truth"))), 2))
+                                         .alias(f"{m}_error") for m in MODELS])
+    future = _models_at(spine, F.array(last), months)
+    usable = future.groupBy(*SERIES).agg(*[(F.count(m) == F.count("*")).alias(f"has_{m}") for m in MODELS])
+    best = errors.join(usable, list(SERIES))
+    ranked = F.array_min(F.array_compact(F.array(*[
+        F.when(c(f"{m}_error").isNotNull() & c(f"has_{m}"), F.struct(c(f"{m}_error").alias("e"), F.lit(i).alias("i")))
+        for i, m in enumerate(MODELS)])))
+    best = best.select(*SERIES, *[f"{m}_error" for m in MODELS],
+                       F.element_at(F.array(*[F.lit(m) for m in MODELS]), F.coalesce(ranked["i"], F.lit(0)) + 1).alias("model"))
+    out = future.join(best, list(SERIES), "left").withColumn("model", F.coalesce("model", F.lit("linear")))
+    figure = reduce(lambda a, m: F.when(c("model") == m, c(m)).otherwise(a), MODELS[1:], c("linear"))
+    end = F.add_months(F.trunc(_d(as_of or t.as_of), "month"), -1)
+    return out.select(*SERIES, F.add_months(end, c("horizon")).alias("month"), c("horizon").cast("int").alias("horizon"),
+                      c("points").cast("bigint").alias("points"), "model", *[f"{m}_error" for m in MODELS],
+                      F.round(F.greatest(figure, F.lit(0.0)), 2).alias("forecast_revenue"))
+
+
+def quarter_forecast(t, as_of: str | None = None) -> DataFrame:
+    """PRD-5 by quarter: the seasonal forecast of the next three months summed per series and calendar quarter, with
+    the number of its months that lie in the forecast."""
+    f = seasonal_forecast(t, 3, as_of)
+    return f.groupBy(*SERIES, F.trunc("month", "quarter").alias("quarter")).agg(
+        F.count("*").alias("months"), F.round(F.sum("forecast_revenue"), 2).alias("forecast_revenue"))
+
+
 # ----------------------------------------------------------------------- PRD-7
 SEGMENT_CUTS = (0.2, 0.4, 0.6, 0.8)
 
@@ -257,29 +339,35 @@ def rfm(t, as_of: str | None = None) -> DataFrame:
 
 
 def rfm_segments(t, as_of: str | None = None) -> DataFrame:
-    """PRD-7: quintile scores from exact cut points (``functions.ordering.quantiles``) and a named
-    segment, one row per owner. Money is scored within its currency; an owner that pays in several has
+    """PRD-7: quintile scores from exact cut points (``functions.ordering.quantiles_together``: all columns in one
+    sort) and a named segment, one row per owner. Money is scored within its currency; an owner that pays in several has
     the best of its money scores and lists its amounts per currency."""
     a = _d(as_of or t.as_of)
-    base = rfm(t, as_of)
-    owners = base.groupBy("owner_id", "owner_type").agg(
-        F.datediff(a, F.max("last_paid_at")).cast("int").alias("recency_days"),
-        F.sum("payments").cast("bigint").alias("frequency"))
-
-    def above(x):
-        return reduce(lambda p, q: p + q, [F.when(c(x) > c("cuts")[i], 1).otherwise(0)
-                                           for i in range(len(SEGMENT_CUTS))])
-
-    def cut(df, x, by=()):
-        q = quantiles(df, x, SEGMENT_CUTS, by)  # a row per group
-        return df.join(F.broadcast(q), list(by)) if by else df.withColumn("cuts", q.scalar())
-
-    per_money = cut(base, "monetary", ("currency",)).select(
-        "owner_id", (1 + above("monetary")).alias("score"), "currency", "monetary")
-    per_money = per_money.groupBy("owner_id").agg(F.max("score").cast("int").alias("m_score"),
-                                                  money_list(c("currency"), c("monetary")).alias("monetary"))
-    scored = cut(owners, "recency_days").withColumn("r_score", (5 - above("recency_days")).cast("int")).drop("cuts")
-    scored = cut(scored, "frequency").withColumn("f_score", (1 + above("frequency")).cast("int")).drop("cuts")
+    # one row per owner with its amounts; read again for the cut points and for the scores
+    base = scratch_table(
+        rfm(t, as_of).groupBy("owner_id", "owner_type").agg(
+            F.datediff(a, F.max("last_paid_at")).cast("int").alias("recency_days"),
+            F.sum("payments").cast("bigint").alias("frequency"),
+            F.collect_list(F.struct("currency", "monetary")).alias("amounts")), "rfm")  # one entry per currency
+    each = base.select("*", F.posexplode("amounts").alias("nth", "paid"))
+    once = lambda x: F.when(c("nth") == 0, c(x))  # an owner counts once, its amounts each
+    cuts = quantiles_together(
+        each.select(once("recency_days").alias("recency_days"), once("frequency").alias("frequency"),
+                    c("paid.monetary").alias("monetary"), c("paid.currency").alias("currency")),
+        SEGMENT_CUTS, {"recency_days": (), "frequency": (), "monetary": ("currency",)})  # a row per column and currency
+    cuts = scratch_table(cuts, "cuts")
+
+    def above(x, points):
+        return reduce(lambda p, q: p + q, [F.when(x > points[i], 1).otherwise(0) for i in range(len(SEGMENT_CUTS))])
+
+    of = lambda metric: cuts.where(c("metric") == metric).select("cuts").scalar()
+    money_cuts = F.broadcast(cuts.where(c("metric") == "monetary").select(c("part").alias("currency"), "cuts"))
+    per_money = each.select("owner_id", "paid.*").join(money_cuts, "currency").groupBy("owner_id").agg(
+        F.max(1 + above(c("monetary"), c("cuts"))).cast("int").alias("m_score"),
+        money_list(c("currency"), c("monetary")).alias("monetary"))
+    scored = base.select("owner_id", "owner_type", "recency_days", "frequency",
+                         (5 - above(c("recency_days"), of("recency_days"))).cast("int").alias("r_score"),
+                         (1 + above(c("frequency"), of("frequency"))).cast("int").alias("f_score"))
     scored = scored.join(per_money, "owner_id").select("owner_id", "owner_type", "recency_days", "frequency",
                                                        "monetary", "r_score", "f_score", "m_score")
     seg = (F.when((c("r_score") >= 4) & (c("f_score") >= 4), "champions")

@@ -181,22 +181,31 @@ def before_signup(t):
     return subs.unionByName(trials).unionByName(tps)
 
 
-def two_payment_loads(t, as_of=None, days: int = 30):
-    """(earlier, later) load of payments: the earlier one holds the attempts up to ``days`` before ``as_of``,
-    those of its last two days still pending; the later one is the stored table."""
-    cutoff = F.date_sub(_as_of(t, as_of), days)
-    day = F.to_date("payment_attempted_at")
-    earlier = t.payments.filter(day < cutoff).withColumn(
-        "payment_status", F.when(day >= F.date_sub(cutoff, 2), "pending").otherwise(c("payment_status")))
-    return earlier, t.payments
-
-
-def two_plan_loads(t, as_of=None, days: int = 365):
-    """(earlier, later) load of plans: the later one holds only plans sold in the ``days`` before ``as_of``."""
-    a = _as_of(t, as_of)
-    sold = t.subscriptions.filter((c("subscription_start_date") >= F.date_sub(a, days))
-                                  & (c("subscription_start_date") < a)).select("plan_id").distinct()
-    return t.plans, t.plans.join(sold, "plan_id", "left_semi")
+def rewritten_between(store, earlier: str, later: str) -> DataFrame:
+    """DOC-19 over two stored loads (``sources.loads.LoadStore``): only months that differ are read."""
+    return payment_status_rewritten(*store.differing(earlier, later, "payments"))
+
+
+def deleted_between(store, earlier: str, later: str) -> DataFrame:
+    """DOC-21 over two stored loads: (table_name, row_id) of products and plans that the later load lacks."""
+    return reduce(DataFrame.unionByName, [
+        deleted_reference_rows(*store.differing(earlier, later, name), key)
+        .select(F.lit(name).alias("table_name"), c(key).alias("row_id"))
+        for name, key in (("products", "product_id"), ("plans", "plan_id"))])
+
+
+def payment_status_transitions(store, earlier: str, later: str) -> DataFrame:
+    """Payments by status in the earlier load (NULL: not there yet) and in the later one (NULL: gone).
+
+    Months in which both loads agree are counted from the later load alone."""
+    old, new = store.differing(earlier, later, "payments")
+    both = (old.select("payment_id", c("payment_status").alias("o"), F.lit(None).cast("string").alias("n"))
+            .unionByName(new.select("payment_id", F.lit(None).cast("string").alias("o"), c("payment_status").alias("n"))))
+    read = both.groupBy("payment_id").agg(F.max("o").alias("earlier_status"), F.max("n").alias("later_status"))
+    kept = store.unchanged(earlier, later, "payments").select(c("payment_status").alias("earlier_status"),
+                                                               c("payment_status").alias("later_status"))
+    return (read.drop("payment_id").unionByName(kept).groupBy("earlier_status", "later_status")
+            .agg(F.count("*").alias("payments")))
 
 
 RULES = [

@@ -271,6 +271,15 @@ from paths p left join live v on v.owner_id = p.owner_id
 left join ({mean_value_sql('paths', 'path')}) val on val.path = p.path
 group by p.path order by owners desc, steps, p.path limit 10""")
 
+register("journey_paths", "MIG-6", G.journey_paths, f"""
+with numbered as (select owner_id, label, row_number() over (partition by owner_id order by step_at, seq, label) as position
+            from ({STEPS}) s),
+     paths as (select owner_id, string_agg(label, ' → ' order by position) as path, count(*) as steps from numbered group by 1),
+     top as (select path, count(*) as owners, min(owner_id) as rep,
+                    row_number() over (order by count(*) desc, min(steps), path) as journey
+             from paths group by path order by journey limit 10)
+select cast(journey as integer) as journey, owners, position, label from top join numbered on numbered.owner_id = top.rep""")
+
 register("lifecycle_events", "MIG-7", G.lifecycle_events, """
 with e as (select e.*, s.owner_id from subscription_events e join sf_subs s on s.subscription_id = e.subscription_id),
      pay as (select p.*, s.owner_id from payments p join sf_subs s on s.subscription_id = p.subscription_id)

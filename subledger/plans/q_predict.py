@@ -95,6 +95,68 @@ select currency, product_name, billing_frequency, month, cast(h as integer) as h
        round(greatest(intercept + slope * cast(year(month) * 12 + month(month) as double), 0.0), 2) as forecast_revenue
 from f""")
 
+_LAST = f"(year({AS_OF} - interval 1 month) * 12 + month({AS_OF} - interval 1 month))"
+_K = "currency, product_name, billing_frequency"
+
+
+def _models(origins: str) -> str:
+    """Figures of the three models per series, origin and horizon, from the months up to each origin."""
+    same = "i.currency = g.currency and i.product_name = g.product_name and i.billing_frequency = g.billing_frequency"
+    return f"""
+    select g.currency, g.product_name, g.billing_frequency, o.origin, h.h as horizon,
+           (select count(*) from sp i where {same} and i.x <= o.origin) as points,
+           greatest(coalesce((select regr_intercept(y, x) + regr_slope(y, x) * (o.origin + h.h) from sp i
+                              where {same} and i.x <= o.origin),
+                             (select avg(y) from sp i where {same} and i.x <= o.origin)), 0.0) as linear,
+           (select case when count(*) >= 12 and avg(y) > 0 then
+                     avg(y) filter (where x > o.origin - 12)
+                     * avg(y) filter (where x % 12 = (o.origin + h.h) % 12) / avg(y) end
+            from sp i where {same} and i.x <= o.origin) as index,
+           (select case when count(*) >= 12 then max(y) filter (where x = o.origin + h.h - 12) end
+            from sp i where {same} and i.x <= o.origin) as naive
+    from (select distinct {_K} from sp) g, ({origins}) o(origin), (values (1), (2), (3)) h(h)
+    where exists (select 1 from sp i where {same} and i.x <= o.origin)"""
+
+
+SEASONAL = f"""
+with r as (select * from sf_rev where paid_at < cast({AS_OF} as timestamp) and month < date_trunc('month', {AS_OF})),
+     s as (select month, {_K}, sum(amount) as revenue from r group by all
+           union all select month, currency, 'ALL', 'ALL', sum(amount) from r group by 1, 2),
+     f as (select {_K}, min(month) as first from s group by all),
+     m as (select f.*, cast(unnest(generate_series(cast(first as timestamp), cast({AS_OF} - interval 1 month as timestamp),
+                                                   interval 1 month)) as date) as month from f),
+     sp as (select m.currency, m.product_name, m.billing_frequency, coalesce(cast(s.revenue as double), 0.0) as y,
+                   year(m.month) * 12 + month(m.month) as x
+            from m left join s on s.currency = m.currency and s.product_name = m.product_name
+              and s.billing_frequency = m.billing_frequency and s.month = m.month),
+     back as (select b.*, t.y as truth from ({_models(f"select unnest(range({_LAST} - 6, {_LAST}))")}) b
+              join sp t on t.currency = b.currency and t.product_name = b.product_name
+                and t.billing_frequency = b.billing_frequency and t.x = b.origin + b.horizon),
+     fut as ({_models(f"select {_LAST}")}),
+     err as (select {_K}, case when count(linear) = count(*) then round(avg(abs(linear - truth)), 2) end as linear_error,
+                    case when count(index) = count(*) then round(avg(abs(index - truth)), 2) end as index_error,
+                    case when count(naive) = count(*) then round(avg(abs(naive - truth)), 2) end as naive_error
+             from back group by all),
+     has as (select {_K}, count(index) = count(*) as hi, count(naive) = count(*) as hn from fut group by all),
+     e as (select err.*, coalesce(linear_error, 'infinity'::double) as l,
+                  case when hi then coalesce(index_error, 'infinity'::double) else 'infinity'::double end as i,
+                  case when hn then coalesce(naive_error, 'infinity'::double) else 'infinity'::double end as n
+           from err join has using (currency, product_name, billing_frequency)),
+     pick as (select *, case when l <= i and l <= n then 'linear' when i <= n then 'index' else 'naive' end as model from e)
+select fut.currency, fut.product_name, fut.billing_frequency,
+       cast(date_trunc('month', {AS_OF}) + to_months(fut.horizon - 1) as date) as month,
+       cast(fut.horizon as integer) as horizon, cast(fut.points as bigint) as points,
+       coalesce(model, 'linear') as model, linear_error, index_error, naive_error,
+       round(greatest(case coalesce(model, 'linear') when 'linear' then linear when 'index' then index else naive end, 0.0), 2)
+           as forecast_revenue
+from fut left join pick using (currency, product_name, billing_frequency)"""
+
+register("seasonal_forecast", "PRD-5", P.seasonal_forecast, SEASONAL)
+register("quarter_forecast", "PRD-5", P.quarter_forecast, f"""
+select {_K}, cast(date_trunc('quarter', month) as date) as quarter, count(*) as months,
+       round(sum(forecast_revenue), 2) as forecast_revenue
+from ({SEASONAL}) x group by all""")
+
 CUTS = (0.2, 0.4, 0.6, 0.8)
 
 

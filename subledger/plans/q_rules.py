@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import rules as RU
+from ..session import path_exists, scratch_path
+from ..sources.loads import LoadStore
 from .catalog import register
-from .oracle_fixtures import AS_OF
+from .oracle_fixtures import AS_OF, TABLE_NAMES
 
 _R = {
     "doc_trial_product_family": ("trials", """
@@ -87,12 +91,71 @@ register("document_rule_report", "DOC-1..23", RU.document_rule_report, "\nunion
     f"select '{rule}' as rule, '{table}' as table_name, 'document' as kind, cast(count(*) as bigint) as violations {body.strip()}"
     for rule, (table, body) in _R.items()))
 
-register("payment_status_rewritten", "DOC-19", lambda t: RU.payment_status_rewritten(*RU.two_payment_loads(t)), f"""
+# ---------------------------------------------------------------------------
+# Two stored loads of the given tables: as they stood before EARLIER, and as they are.
+EARLIER = "2023-07-01"
+_STORES: dict[tuple, LoadStore] = {}
+
+
+def two_loads(t) -> LoadStore:
+    """A load store with the loads ``earlier`` and ``later`` of ``t``, written once per session."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, t.as_of)
+    store = _STORES.get(key)
+    if store is None or store.spark is not t.spark or not path_exists(t.spark, store.path):
+        store = LoadStore(t.spark, scratch_path(t.spark, "loads"))
+        store.write(t.before(EARLIER), "earlier", f"{EARLIER} 00:00:00")
+        store.write(t, "later", f"{t.as_of} 00:00:00")
+        _STORES[key] = store
+    return store
+
+
+# what the earlier load holds of each table, and which of its rows differ from the later load
+_E = f"date '{EARLIER}'"
+_EARLIER_ROWS = {
+    "customers": (f"signup_date < {_E}", "false"),
+    "subscriptions": (f"subscription_start_date < {_E}",
+                      f"coalesce(subscription_end_date >= {_E}, false) or coalesce(cancellation_requested_at >= {_E}, false)"),
+    "trials": (f"trial_started_at < {_E}", f"coalesce(actual_end_at >= {_E}, false)"),
+    "payments": (f"payment_attempted_at < {_E}", "false"),
+    "subscription_events": (f"event_at < {_E}", "false"),
+    "marketing_touchpoints": (f"touchpoint_at < {_E}", "false"),
+    "customer_engagement": (f"engagement_date < {_E}", "false"),
+    "support_interactions": (f"interaction_at < {_E}", f"coalesce(resolved_at >= {_E}, false)"),
+    **{name: ("true", "false") for name in ("products", "plans", "organisations", "organisation_users")},
+}
+assert set(_EARLIER_ROWS) == set(TABLE_NAMES)
+
+register("load_changes", "DOC-19, DOC-21", lambda t: two_loads(t).change_counts("earlier", "later"), "\nunion all\n".join(
+    f"""select '{name}' as table_name, cast(count(*) filter (not ({kept})) as bigint) as inserted,
+       cast(count(*) filter (({kept}) and ({differs})) as bigint) as changed, cast(0 as bigint) as deleted,
+       cast(count(*) filter (({kept}) and not ({differs})) as bigint) as unchanged from {name}"""
+    for name, (kept, differs) in _EARLIER_ROWS.items()))
+
+register("load_changed_subscriptions", "DOC-19, DOC-21", lambda t: two_loads(t).changes(
+    "earlier", "later", "subscriptions").select("subscription_id", "change", F.array_join(
+        "changed_columns", ",").alias("changed_columns")), f"""
+select subscription_id, case when subscription_start_date < {_E} then 'change' else 'insert' end as change,
+       case when subscription_start_date < {_E} then
+           concat_ws(',', case when subscription_end_date >= {_E} then 'subscription_end_date' end,
+                     case when subscription_end_date >= {_E} and status <> 'active' then 'status' end,
+                     case when cancellation_requested_at >= {_E} then 'cancellation_requested_at' end,
+                     case when subscription_end_date >= {_E} and end_reason is not null then 'end_reason' end) end
+           as changed_columns
+from subscriptions
+where subscription_start_date >= {_E} or subscription_end_date >= {_E} or cancellation_requested_at >= {_E}""")
+
+register("payment_status_transitions", "DOC-19",
+         lambda t: RU.payment_status_transitions(two_loads(t), "earlier", "later"), f"""
+select case when payment_attempted_at < {_E} then payment_status end as earlier_status,
+       payment_status as later_status, count(*) as payments
+from payments group by all""")
+
+# no payment of the given tables ever changes its status, and no plan is deleted: both rules find nothing here
+register("payment_status_rewritten", "DOC-19", lambda t: RU.rewritten_between(two_loads(t), "earlier", "later"), f"""
 select payment_id, cast(2 as bigint) as statuses from payments
-where payment_status <> 'pending' and cast(payment_attempted_at as date) >= {AS_OF} - 32
-  and cast(payment_attempted_at as date) < {AS_OF} - 30""")
+where payment_attempted_at < {_E} group by payment_id having count(distinct payment_status) > 1""")
 
-register("deleted_plans", "DOC-21", lambda t: RU.deleted_reference_rows(*RU.two_plan_loads(t), "plan_id"), f"""
-select plan_id from plans p where not exists (
-  select 1 from subscriptions s where s.plan_id = p.plan_id and s.subscription_start_date >= {AS_OF} - 365
-    and s.subscription_start_date < {AS_OF})""")
+register("deleted_plans", "DOC-21", lambda t: RU.deleted_between(two_loads(t), "earlier", "later"), """
+select 'plans' as table_name, plan_id as row_id from plans where plan_id not in (select plan_id from plans)
+union all
+select 'products', product_id from products where product_id not in (select product_id from products)""")

@@ -6,8 +6,9 @@ import atexit
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", app: str = "subledger") -> SparkSession:
@@ -61,6 +62,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a fresh :func:`scratch_path` and read back: computed once, lineage cut."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_scope():
+    """Delete on leaving what operators wrote to scratch paths inside the scope: use it around a query whose result
+    has been read or written by then. Tables of earlier scopes and of outer code stay."""
+    mark = len(_SCRATCH)
+    try:
+        yield
+    finally:
+        mine = _SCRATCH[mark:]
+        del _SCRATCH[mark:]
+        for spark, path in mine:
+            remove_path(spark, path)
+
+
+def scratch_result(spark: SparkSession, name: str, build) -> DataFrame:
+    """What ``build()`` returns, as a scratch table; what it wrote itself on the way is deleted."""
+    path = scratch_path(spark, name)
+    with scratch_scope():
+        build().write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _clean_scratch() -> None:
     for spark, path in _SCRATCH:
         try:

@@ -82,14 +82,6 @@ def test_long_keys_stay_apart(spark):
         assert {int(x) for x in ids} == set(keys)
 
 
-def test_two_loads(one):
-    from subledger.operators import rules as RU
-
-    old, new = RU.two_payment_loads(one)
-    changed = RU.payment_status_rewritten(old, new).count()
-    assert 0 <= changed <= old.count() < new.count()
-
-
 def test_auc_equals_the_pairwise_share(one):
     scores = {r["owner_id"]: r["probability"] for r in P._churn_scores(one, *P._snapshots(one, None, None), 30).collect()}
     labels = {r["owner_id"]: r["label"] for r in P.churn_labels(one, P._snapshots(one, None, None)[1], 30).collect()}

@@ -74,9 +74,8 @@ def test_tenure_exact_under_skew(skewed):
 
 def test_owner_order_under_skew(skewed):
     t, rows = skewed
-    s = D.subscription_facts(t)
     nb = {r["subscription_id"]: (r["seq"], r["prev_subscription_id"], r["next_subscription_id"])
-          for r in D.owner_neighbours(s).collect()}
+          for r in D.owner_neighbours(t).collect()}
     hot = sorted((r[4], r[0]) for r in rows if r[1] == "HOT")
     for i, (_, sid) in enumerate(hot):
         prev = hot[i - 1][1] if i > 0 else None
@@ -95,3 +94,30 @@ def test_descending_rank_matches_window_rank(spark):
     got = {r["k"]: r["r"] for r in descending_rank(df, "v", "r").collect()}
     want = {r["k"]: r["r"] for r in df.select("k", F.rank().over(Window.orderBy(F.desc("v"))).alias("r")).collect()}
     assert got == want
+
+
+def test_journeys_of_a_hot_owner(spark):
+    """One owner with a third of all steps: paths equal the plain ones, no row holds the long path."""
+    from subledger.operators import migration as G
+    from subledger.sources.fixtures import Tables
+
+    df, rows = _table(spark)
+    rows = [r for r in rows if r[1] != "HOT"][:400] + [r for r in rows if r[1] == "HOT"][:200]
+    t = Tables(spark, "/root/testdata/sf0.001").with_tables(
+        subscriptions=spark.createDataFrame(rows, TABLES["subscriptions"].schema))
+    t = t.with_tables(trials=t.trials.limit(0), payments=t.payments.limit(0))
+    steps = {}
+    for r in G.numbered_steps(t).collect():
+        steps.setdefault(r["owner_id"], {})[r["pos"]] = r["label"]
+    assert all(sorted(p) == list(range(1, len(p) + 1)) for p in steps.values())
+    paths = {o: tuple(p[i] for i in sorted(p)) for o, p in steps.items()}
+    count = {}
+    for o, p in paths.items():
+        count.setdefault(p, []).append(o)
+    want = sorted(count, key=lambda p: (-len(count[p]), len(p), p))
+    k = len(want)  # all of them, the hot owner's path too
+    got = {}
+    for r in G.journey_paths(t, k).collect():
+        got.setdefault((r["journey"], r["owners"]), {})[r["position"]] = r["label"]
+    assert [tuple(p[i] for i in sorted(p)) for _, p in sorted(got.items())] == want
+    assert [n for (_, n) in sorted(got)] == [len(count[p]) for p in want] and len(paths["HOT"]) >= 200
