@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..operators import integrity as I
+from ..operators.keys import load_rejections
 from ..sources.schemas import LOAD_ORDER, TABLES
 from .catalog import register
 
@@ -93,3 +94,14 @@ register("ingest_defaults_payments", "CON-7",
 select payment_id, subscription_id, payment_attempted_at, amount, 'KES' as currency, payment_status, payment_method,
        transaction_reference, failure_reason, timestamp '{LOAD_TIME}' as created_at
 from payments""")
+
+
+# All payments loaded on top of those stored before a day: the old ones are refused by their keys.
+register("load_rejections_payments", "CON-6", lambda t: load_rejections(t, t.before("2023-07-01"), "payments"), """
+select 'pk_payments' as rule, count(*) as rows from payments where payment_attempted_at < date '2023-07-01'
+having count(*) > 0
+union all
+select 'uq_payments_transaction_reference', count(*) from payments
+where transaction_reference is not null and payment_attempted_at < date '2023-07-01' having count(*) > 0
+union all
+select null, count(*) from payments where payment_attempted_at >= date '2023-07-01'""")
