@@ -33,7 +33,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.op10_certified_packing(docs)
+    return packing.pack_in_order(docs)
 
 
 STAGES = [("toxicity", drop_toxic), ("quality_rules", drop_poor), ("near_dedup", drop_near_copies),

@@ -1,86 +1,39 @@
 """Operator 5, mixing sources to target weights: Pfair scheduling of source blocks.
 
-Every source's rows are shuffled by a hash and cut into blocks of ``block_rows``. Time is counted in blocks. A
-source with q of the ``PERIOD`` slots releases its j-th block at floor((j - 1) * PERIOD / q) and must place it
-by ceil(j * PERIOD / q); among the released blocks the earliest deadline goes first. As the shares add up to
-one, every block meets its window, so after any slot each source is less than one block away from its share.
+Every source's rows are shuffled by a hash and cut into blocks. Time is counted in blocks. A source of weight w (of
+those that have not run out) releases its j-th block at floor((j - 1) / w) and must place it by ceil(j / w); among the
+released blocks the earliest deadline goes first. As the weights add up to one, every block meets its window, so after
+any slot each source is less than one block away from its share.
 
-Every source is a class of its own, with its own windows. For up to MAX_CLASSES sources the windows repeat after
-PERIOD slots, so the driver schedules one period (some thousand steps, whatever the number of rows) and a block's
-slot is a formula of its number. When a source has run out, the next phase shares the slots among the others by
-their target weights, so all rows are placed and none is repeated.
+Windows come straight from the weights, without a period, and every source is a class of its own: one way for any
+weights and any number of sources. When a source has run out the others share the slots by their target weights: the
+windows are those of the ideal course, in which every source that has not run out gets slots in proportion to its
+weight at every moment. All rows are placed and none is repeated.
 
-More sources do not fit a period: the windows of all blocks are taken from the ideal course, in which every source
-that has not run out gets slots in proportion to its weight at every moment, and the driver places all blocks by the
-same rule (a step per block). Each source is less than one block away from the ideal course here too.
+The earliest deadline is decided slot by slot on the driver, over blocks, not rows: a block has BLOCK_ROWS rows, or as
+many times two as make MAX_BLOCKS blocks at most (beside four per source), so the driver's work and the schedule that
+goes to every executor are bounded for any number of rows (about a second, some 10 MB). The list of sources itself is
+collected and has to fit there.
 
-Rows are numbered inside a source by runs of about RUN_ROWS rows, so no window holds a whole source."""
+Rows are numbered inside a source by range partitions (``functions.ordering.Ordered``): no window holds a source, a
+hash value or a repeated doc_id. Only keys are ordered; whole rows move once to their place in the mix."""
 
 from __future__ import annotations
 
 import heapq
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_ROWS, PERIOD, MAX_CLASSES, RUN_ROWS = 64, 4096, 63, 20_000
-BROADCAST_BLOCKS = 1_000_000  # schedules of up to so many blocks go to every executor
-SEED = 17
-
+from ..functions.ordering import Ordered
+from .common import stored
 
-def shares(weights: list[float], period: int) -> list[int]:
-    """Slots per period of each class: at least one, by largest remainder."""
-    total = sum(weights)
-    exact = [max(w, 0.0) / total * (period - len(weights)) if total > 0 else 0.0 for w in weights]
-    out = [1 + int(x) for x in exact]
-    order = sorted(range(len(out)), key=lambda i: (int(exact[i]) - exact[i], i))
-    for k in range(period - sum(out)):
-        out[order[k % len(order)]] += 1
-    return out
-
-
-def one_period(q: list[int], period: int) -> list[list[int]]:
-    """Slots of each class's blocks within one period: earliest deadline first among the released blocks."""
-    waiting = [(0, i, 1) for i in range(len(q))]                  # (release, class, j)
-    heapq.heapify(waiting)
-    ready: list[tuple[int, int, int]] = []                        # (deadline, class, j)
-    slots: list[list[int]] = [[] for _ in q]
-    for t in range(period):
-        while waiting and waiting[0][0] <= t:
-            _, i, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-j * period // q[i]), i, j))
-        _, i, j = heapq.heappop(ready)
-        slots[i].append(t)
-        if j < q[i]:
-            heapq.heappush(waiting, (j * period // q[i], i, j + 1))
-    return slots
-
-
-def phases(blocks: list[int], weights: list[float], period: int = PERIOD) -> list[dict]:
-    """The schedule as rows (phase, cls, first_block, until_block, start_slot, q, slots)."""
-    used, start, out, phase = [0] * len(blocks), 0, [], 0
-    while True:
-        live = [i for i, b in enumerate(blocks) if used[i] < b]
-        if not live:
-            return out
-        q = shares([weights[i] for i in live], period)
-        slots = one_period(q, period)
-        ends = []
-        for i, n, s in zip(live, q, slots):
-            left = blocks[i] - used[i]
-            ends.append((left - 1) // n * period + s[(left - 1) % n] + 1)
-        length = min(ends)
-        whole, rest = divmod(length, period)
-        for i, n, s in zip(live, q, slots):
-            took = whole * n + sum(1 for t in s if t < rest)
-            out.append({"phase": phase, "cls": i, "first_block": used[i], "until_block": used[i] + took,
-                        "start_slot": start, "q": n, "slots": s})
-            used[i] += took
-        start += length
-        phase += 1
+BLOCK_ROWS, MAX_BLOCKS = 64, 1 << 18
+SEED = 17
+FILE, ROW = "__file_of_row", "__row_in_file"
 
 
 def course(blocks: list[int], weights: list[float]) -> dict[str, np.ndarray]:
@@ -125,76 +78,95 @@ def _classes(docs: DataFrame, weights: dict | None) -> tuple[list, list[int], li
     return names, rows, [float(weights[s]) if s in weights else left * x / others for s, x in zip(names, roots)]
 
 
+def schedule(rows: list[int], weights: list[float], block_rows: int = BLOCK_ROWS) -> tuple[int, dict[str, np.ndarray]]:
+    """(rows of a block, the course of all blocks with ``begin``: the position of each block's first row)."""
+    while sum(-(-n // block_rows) for n in rows) > max(MAX_BLOCKS, 4 * len(rows)):
+        block_rows *= 2
+    place = course([-(-n // block_rows) for n in rows], weights)
+    taken = np.minimum(np.array(rows, np.int64)[place["cls"]] - place["block"] * block_rows, block_rows)
+    by_slot = np.argsort(place["slot"])
+    begin = np.empty(len(taken), np.int64)
+    begin[by_slot] = np.cumsum(taken[by_slot]) - taken[by_slot]
+    return block_rows, place | {"begin": begin}
+
+
 def mixed(docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``docs`` (doc_id, source, any other columns) plus a struct column ``mix``: cls, block, phase, slot,
     position (gapless from 0 in the mixed order).
 
-    Rows without a source form a source of their own. Repeated rows keep their number; ties of the shuffle
-    hash go by doc_id. An empty table gives an empty result. A column named ``mix`` is replaced."""
+    Rows without a source form a source of their own. Equal rows take places of their own. An empty table gives an
+    empty result. A column named ``mix`` is replaced. Rows are carried through the ordering: give the columns
+    that identify a row, not texts (``in_mixed_order`` does so)."""
     spark = docs.sparkSession
-    keys = docs.select("doc_id", "source")
-    names, rows, weight = _classes(keys, weights)
-    blocks = [-(-n // block_rows) for n in rows]
-    runs = max(1, -(-sum(rows) // RUN_ROWS))
-
-    mark = F.xxhash64("doc_id", F.lit(SEED))
+    names, rows, weight = _classes(docs.select("doc_id", "source"), weights)
+    if not rows:
+        block_rows, place = block_rows, {k: np.zeros(0, np.int64) for k in ("cls", "block", "phase", "slot", "begin")}
+    else:
+        block_rows, place = schedule(rows, weight, block_rows)
     classes = F.broadcast(spark.createDataFrame(list(zip(names, range(len(names)))), docs.select(
         F.col("source").alias("its_source"), F.lit(0).alias("cls")).schema))
-    own = F.col("source").eqNullSafe(F.col("its_source"))
     tagged = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "mix"]).alias("row"),
-                         F.col("doc_id"), F.col("source"), mark.alias("mark"),
-                         F.pmod(mark, F.lit(runs)).cast("int").alias("run")).join(classes, own)
-    sizes = keys.select("source", F.pmod(mark, F.lit(runs)).cast("int").alias("run")).join(classes, own)
-    before = sizes.groupBy("cls", "run").agg(F.count("*").alias("n")).select("cls", "run", F.coalesce(
-        F.sum("n").over(Window.partitionBy("cls").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("before"))  # one row per run of a class
-    in_run = F.row_number().over(Window.partitionBy("cls", "run").orderBy("mark", "doc_id"))
-    ranked = (tagged.withColumn("in_run", in_run).join(before, ["cls", "run"])
-              .withColumn("rank", F.col("before") + F.col("in_run") - 1)
-              .withColumn("block", F.floor(F.col("rank") / block_rows))
-              .withColumn("seat", F.col("rank") % block_rows))
-    if len(rows) > MAX_CLASSES:
-        place = course(blocks, weight)
-        taken = np.minimum(np.array(rows)[place["cls"]] - place["block"] * block_rows, block_rows)
-        by_slot = np.argsort(place["slot"])
-        begin = np.empty(len(taken), np.int64)
-        begin[by_slot] = np.cumsum(taken[by_slot]) - taken[by_slot]
-        place = spark.createDataFrame(pa.table(place | {"begin": begin}))
-        if len(taken) <= BROADCAST_BLOCKS:
-            place = F.broadcast(place)
-        return (ranked.join(place, ["cls", "block"])
-                .select("row.*", F.struct(
-                    F.col("cls").cast("int").alias("cls"), F.col("block").cast("long").alias("block"),
-                    F.col("phase").cast("int").alias("phase"), "slot",
-                    (F.col("begin") + F.col("seat")).cast("long").alias("position")).alias("mix")))
-
-    plan = phases(blocks, weight)
-    schedule = spark.createDataFrame(
-        [(p["cls"], p["phase"], p["first_block"], p["until_block"], p["start_slot"], p["q"], p["slots"]) for p in plan],
-        "cls int, phase int, first_block long, until_block long, start_slot long, q long, slots array<int>")
-    j = F.col("block") - F.col("first_block")
-    placed = ranked.join(F.broadcast(schedule), "cls").where("block >= first_block and block < until_block")
-    slot = F.col("start_slot") + F.floor(j / F.col("q")) * PERIOD + F.get("slots", (j % F.col("q")).cast("int"))
-    # the last block of a class may be short; at most one per class
-    short = []
-    for p in plan:
-        gap = blocks[p["cls"]] * block_rows - rows[p["cls"]]
-        if gap and p["until_block"] == blocks[p["cls"]]:
-            k = p["until_block"] - 1 - p["first_block"]
-            short.append((p["start_slot"] + k // p["q"] * PERIOD + p["slots"][k % p["q"]], gap))
-    missing = reduce(lambda a, b: a + b, [F.when(F.col("slot") > s, g).otherwise(0) for s, g in short], F.lit(0))
-    return (placed.withColumn("slot", slot.cast("long"))
-            .withColumn("position", (F.col("slot") * block_rows + F.col("seat") - missing).cast("long"))
-            .select("row.*", F.struct("cls", F.col("block").cast("long").alias("block"), "phase", "slot",
-                                      "position").alias("mix")))
+                         F.col("doc_id").alias("id"), F.col("source").alias("of"),
+                         F.xxhash64("doc_id", F.lit(SEED)).alias("mark"), F.monotonically_increasing_id().alias("nth"))
+    tagged = tagged.join(classes, F.col("of").eqNullSafe(F.col("its_source")))
+    ranked = Ordered(tagged, "cls", ("mark", "id", "nth"), ("row",)).sum_before(F.lit(1), "rank")
+    ranked = ranked.withColumn("block", F.floor(F.col("rank") / block_rows)).withColumn("seat", F.col("rank") % block_rows)
+    table = pa.table({k: pa.array(v, pa.int64()) for k, v in place.items()})
+    return (ranked.join(F.broadcast(spark.createDataFrame(table)), ["cls", "block"])  # bounded by MAX_BLOCKS
+            .select("row.*", F.struct(
+                F.col("cls").cast("int").alias("cls"), F.col("block").cast("long").alias("block"),
+                F.col("phase").cast("int").alias("phase"), F.col("slot").cast("long").alias("slot"),
+                (F.col("begin") + F.col("seat")).cast("long").alias("position")).alias("mix")))
 
 
 def op5_pfair_mix(docs: DataFrame, weights: dict | None = None) -> DataFrame:
-    """doc_id, source, cls, block, phase, slot, position of every row."""
+    """doc_id, source, cls, block, phase, slot, position of every row.
+
+    Without ``weights`` the target weight of a source is the square root of its rows: the registered query mixes to
+    these weights. NULLs, repeated rows, empty tables and other columns as in :func:`mixed`."""
     m = mixed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source"), weights)
     return m.select("doc_id", "source", "mix.cls", "mix.block", "mix.phase", "mix.slot", "mix.position")
 
 
+def addressed(docs: DataFrame) -> DataFrame:
+    """``docs`` and where each row is stored (file, row in it): a stable identity, also of equal rows. A table that
+    is not read from Parquet files is written first."""
+    try:
+        at = docs.metadataColumn("_metadata")
+        return docs.select("*", at["file_path"].alias(FILE), at["row_index"].alias(ROW))
+    except AnalysisException:
+        kept = stored(docs, "mix-input")
+        at = kept.metadataColumn("_metadata")
+        return kept.select("*", at["file_path"].alias(FILE), at["row_index"].alias(ROW))
+
+
 def in_mixed_order(docs: DataFrame, weights: dict | None = None) -> DataFrame:
-    """The rows and columns of ``docs``, range-partitioned and sorted by their place in the mix."""
-    return mixed(docs, weights).repartitionByRange("mix.position").sortWithinPartitions("mix.position").drop("mix")
+    """The rows and columns of ``docs``, range-partitioned and sorted by their place in the mix, so that the files it
+    is written to hold the mixed order, file after file (``stored_order`` reads it back)."""
+    rows = addressed(docs)
+    place = mixed(rows.select("doc_id", "source", FILE, ROW), weights).select(
+        F.col(FILE).alias("__f"), F.col(ROW).alias("__r"), F.col("mix.position").alias("__position"))
+    return (rows.join(place, (F.col(FILE) == F.col("__f")) & (F.col(ROW) == F.col("__r")))
+            .repartitionByRange("__position").sortWithinPartitions("__position")
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+
+
+def stored_order(docs: DataFrame) -> tuple[DataFrame, int]:
+    """(``docs`` with ``__place``: the row's number, from 0, in the order of the files and of the rows in them; the
+    number of rows). One row per file comes to the driver."""
+    rows = addressed(docs)
+    files = sorted(rows.groupBy(FILE).agg((F.max(ROW) + 1).alias("n")).collect(), key=lambda r: _file_order(r[FILE]))
+    begin, at = [], 0
+    for r in files:
+        begin.append((r[FILE], at))
+        at += r["n"]
+    table = docs.sparkSession.createDataFrame(begin, "__f string, __begin long")
+    placed = rows.join(F.broadcast(table), F.col(FILE) == F.col("__f"))
+    return placed.select(*[F.col(f"`{c}`") for c in docs.columns], (F.col("__begin") + F.col(ROW)).alias("__place")), at
+
+
+def _file_order(path: str) -> tuple:
+    """Spark names the file of task n part-n-..: by n, then by name."""
+    name = path.rsplit("/", 1)[-1]
+    number = name.split("-")[1] if name.startswith("part-") and name.count("-") > 1 else ""
+    return (int(number) if number.isdigit() else 0, name)

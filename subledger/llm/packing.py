@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
+from .mixing import stored_order
 from .textops import mix, powers, process_cache
 
 CAPACITY, END_ID = 1024, 2
@@ -39,6 +40,7 @@ LATIN = 0x250             # code points below this have fixed classes; other tex
 LETTER, NUMBER, SPACE, OTHER, EDGE = range(5)
 LONG = 64                 # characters of a pre-token that is not remembered
 MULTIPLIER = 0x9E3779B97F4A7C15
+PIECES_OF_DOC = 1 << 20   # a text of 2 GB has fewer
 
 
 def default_tokenizer() -> str:
@@ -222,14 +224,18 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> D
             for at in range(0, batch.num_rows, 500):
                 ids = batch["doc_id"].slice(at, 500).to_pylist()
                 texts = [t or "" for t in batch["text"].slice(at, 500).to_pylist()]
-                rows = []
-                for doc, got in zip(ids, enc.encode(texts)):
+                places = batch["place"].slice(at, 500).to_pylist()
+                rows, place = [], []
+                for doc, got, where in zip(ids, enc.encode(texts), places):
                     rows += cut(doc, np.concatenate([got, end]), capacity)
+                    place += [where] * (len(rows) - len(place))
                 columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), PIECE_TYPES)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(place, pa.int64())],
+                                                 ["doc_id", "piece", "start", "length", "ids_crc32", "place"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    place = F.col("__place") if "__place" in docs.columns else F.lit(None)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", place.cast("long").alias("place")).mapInArrow(
+        run, "doc_id long, piece int, start long, length long, ids_crc32 long, place long")
 
 
 def lower_bound(counts: np.ndarray, capacity: int) -> int:
@@ -280,8 +286,10 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return bins, offsets, np.array(fill, np.int64)
 
 
-def _packed(items: DataFrame, parts: int, turn: int, capacity: int) -> DataFrame:
-    """Pack each of ``parts`` hash partitions; a row per piece with its bin, and per bin whether it stays."""
+def _packed(items: DataFrame, parts: int, turn: int, capacity: int, rows: int | None) -> DataFrame:
+    """Pack each of ``parts`` partitions; a row per piece with its bin, and per bin whether it stays and its first
+    piece in the order of places. Partitions are by hash; in the first turn over ``rows`` ordered documents they are
+    stretches of the order (full pieces fit nowhere and are spread by hash)."""
 
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True])
@@ -294,16 +302,27 @@ def _packed(items: DataFrame, parts: int, turn: int, capacity: int) -> DataFrame
         return pd.DataFrame({
             "doc_id": frame["doc_id"], "piece": frame["piece"], "start": frame["start"], "length": lengths,
             "ids_crc32": frame["ids_crc32"], "part": frame["part"], "bin": bins, "offset": offsets,
-            "given": given[bins], "gap": gap})
-
-    part = F.pmod(F.xxhash64("doc_id", "piece", F.lit(turn)), F.lit(parts)).cast("int")
-    return items.withColumn("part", part).groupBy("part").applyInPandas(
+            "given": given[bins], "gap": gap, "place": frame["place"], "first": first_of(frame, bins, len(fill))})
+
+    def first_of(frame: pd.DataFrame, bins: np.ndarray, n: int) -> np.ndarray:
+        first = np.full(n, np.iinfo(np.int64).max)
+        if rows is not None:
+            np.minimum.at(first, bins, frame["place"].to_numpy(np.int64) * PIECES_OF_DOC + frame["piece"].to_numpy(np.int64))
+        return first[bins]
+
+    part = F.pmod(F.xxhash64("doc_id", "piece", F.lit(turn)), F.lit(parts))
+    if rows is not None and turn == 0:
+        part = F.when(F.col("length") < capacity, F.least(F.lit(parts - 1), F.floor(F.col("place") * parts / rows))).otherwise(part)
+    return items.withColumn("part", part.cast("int")).groupBy("part").applyInPandas(
         pack, "doc_id long, piece int, start long, length long, ids_crc32 long, part int, bin long, offset long,"
-              " given boolean, gap long")
+              " given boolean, gap long, place long, first long")
+
 
+def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, rows: int | None = None) -> DataFrame:
+    """``pieces`` (doc_id, piece, start, length, ids_crc32, place) with sequence_id and offset.
 
-def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``pieces`` (doc_id, piece, start, length, ids_crc32) with sequence_id and offset."""
+    With ``rows`` (the number of documents, whose places count from 0) sequences are packed from stretches of the
+    order of places and their ids stand in the order of their first pieces."""
     by_length = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     counts = np.zeros(capacity + 1, np.int64)  # at most `capacity` lengths
     for n, c in by_length.items():
@@ -313,7 +332,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     done, total, items, n, turn, idle = [], 0, pieces, int(counts.sum()), 0, 0
     while True:
         parts = max(1, -(-n // PIECES_PER_PARTITION))
-        packed = stored(_packed(items, parts, turn, capacity), "packed")
+        packed = stored(_packed(items, parts, turn, capacity, rows), "packed")
         placed = packed.withColumn("turn", F.lit(turn))
         state = packed.groupBy("part", "bin").agg(F.first("given").alias("given"), F.count("*").alias("n")).agg(
             F.count("*").alias("bins"), F.coalesce(F.sum(F.col("given").cast("int")), F.lit(0)).alias("given"),
@@ -326,9 +345,10 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             break
         done.append(placed.where("not given"))
         total += state["bins"] - state["given"]
-        items, n, given = packed.where("given").select(*columns), state["pieces"], state["given"]
+        items, n, given = packed.where("given").select(*columns, "place"), state["pieces"], state["given"]
         turn += 1
     number = (F.col("turn").cast("long") * (1 << 56)) + F.col("part").cast("long") * (1 << 32) + F.col("bin")
+    number = number if rows is None else F.col("first")  # a piece is in one bin: first pieces differ
     return reduce(DataFrame.unionByName, done).select(*columns, number.alias("sequence_id"), "offset")
 
 
@@ -338,3 +358,11 @@ def op10_certified_packing(docs: DataFrame, tokenizer: str | None = None) -> Dat
     NULL and empty texts are one piece of one id. Repeated rows are packed each. An empty table gives an
     empty result."""
     return pack_pieces(stored(token_pieces(docs, tokenizer or default_tokenizer()), "pieces"))
+
+
+def pack_in_order(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """As :func:`op10_certified_packing`, with sequence ids that follow the order in which ``docs`` are stored (the
+    mix): sequence ids ascend with the place of each sequence's first document."""
+    placed, rows = stored_order(docs)
+    pieces = stored(token_pieces(placed, tokenizer or default_tokenizer()), "pieces")
+    return pack_pieces(pieces, rows=max(1, rows))
