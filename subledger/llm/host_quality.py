@@ -1,14 +1,16 @@
 """Operator 8, quality rules at host level: rule failures per host, shrunk with an empirical beta prior.
 
 Every text gets word, symbol, line and repetition counts (built-in functions only, inside the row: nothing is
-exploded or shuffled). Documents that fail a soft rule are counted per host (``source``). A host's raw rate is
+exploded or shuffled). Documents that fail any rule are counted per host (``source``). A host's raw rate is
 unsure when it has few documents, so it is shrunk: the prior Beta(a, b) is fitted to all hosts' rates by the
-method of moments and the host's rate becomes (failures + a) / (documents + a + b). Hosts above
-``BAD_HOST_RATE`` are blocked; the verdict is joined back: a document is rejected if it fails a base rule, or
-if its host is blocked and it fails a soft rule itself. A clean page of a bad host stays.
+method of moments, net of the binomial noise that rates of so few documents have anyway, and the host's rate becomes
+(failures + a) / (documents + a + b). A host is blocked when this rate lies surely (by SURE posterior standard
+deviations) above TOLERATED; the verdict is joined back: a document is rejected if it fails a base rule, or
+if its host is blocked and it fails a content rule itself (symbols, word length; a repeated line or passage alone is
+no ground). A clean page of a bad host stays.
 
 Shuffles: one partial aggregate per host (a hot host is one row per task) and the join on the host, which has
-one row per host on one side.
+one row per host on one side. Where rows with their texts are filtered, only those that fail a content rule are joined.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from .common import bind, stored, words
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\f\r"
 WINDOW = 8
-BAD_HOST_RATE = 0.5
+TOLERATED, SURE = 0.125, 1.645  # one failing document in eight; one-sided 95 per cent
 MAX_STRENGTH = 1e6  # of the prior, where the hosts' rates do not differ
 
 
@@ -77,7 +79,9 @@ def quality(text: Column) -> Column:
             ((100 * symbols > 10 * chars).cast("int")
              + ((chars < 2 * n) | (chars > 15 * n)).cast("int")
              + (10 * (F.size(x) - F.size(F.array_distinct(x))) > 3 * F.size(x)).cast("int")
-             + (100 * repeat > 15 * n).cast("int")).alias("rule_failures")))
+             + (100 * repeat > 15 * n).cast("int")).alias("rule_failures"),
+            ((100 * symbols > 10 * chars).cast("int") + ((chars < 2 * n) | (chars > 15 * n)).cast("int"))
+            .alias("content_failures")))
 
     return bind(bind(words(text), counted), told)
 
@@ -87,24 +91,29 @@ def host_verdicts(facts: DataFrame) -> DataFrame:
     failed = (F.col("q.base_failed") | (F.col("q.rule_failures") > 0)).cast("long")
     hosts = facts.groupBy("host").agg(F.sum(failed).alias("failed"), F.count("*").alias("docs"))
     rate = F.col("failed") / F.col("docs")
-    m, v = F.col("m"), F.col("v")
-    prior = hosts.agg(F.avg(rate).alias("m"), F.var_pop(rate).alias("v")).select(F.struct(
-        m, F.when(v > 0, F.greatest(F.lit(1e-6), F.least(F.lit(MAX_STRENGTH), m * (1 - m) / v - 1)))
-        .otherwise(MAX_STRENGTH).alias("s"))).scalar()
+    m, v, e = F.col("m"), F.col("v"), F.col("e")
+    # var(rate) = m (1 - m) (rho + (1 - rho) mean(1 / docs)); the prior's strength is 1 / rho - 1
+    rho = (v / (m * (1 - m)) - e) / (1 - e)
+    least = F.lit(1 / (1 + MAX_STRENGTH))
+    prior = hosts.agg(F.avg(rate).alias("m"), F.var_pop(rate).alias("v"), F.avg(F.lit(1.0) / F.col("docs")).alias("e")).select(
+        F.struct(m, F.when((m > 0) & (m < 1) & (e < 1), F.lit(1.0) / F.greatest(least, F.least(F.lit(0.999999), rho)) - 1)
+                 .otherwise(MAX_STRENGTH).alias("s"))).scalar()
     shrunk = (F.col("failed") + prior["m"] * prior["s"]) / (F.col("docs") + prior["s"])
-    return (hosts.select("host", F.round(shrunk, 9).alias("host_rate"))
-            .withColumn("host_verdict", F.when(F.col("host_rate") > BAD_HOST_RATE, "block").otherwise("allow")))
+    spread = F.sqrt(F.col("host_rate") * (1 - F.col("host_rate")) / (F.col("docs") + prior["s"] + 1))
+    return (hosts.select("host", "docs", F.round(shrunk, 9).alias("host_rate"))
+            .select("host", "host_rate", F.when(F.col("host_rate") - SURE * spread > TOLERATED, "block").otherwise("allow")
+                    .alias("host_verdict")))
 
 
 def _judged(rows: DataFrame, hosts: DataFrame) -> DataFrame:
     """Rows of (.., host, q) with the host columns and ``kept``."""
     hosts = hosts.withColumnRenamed("host", "of_host")
-    kept = ~F.col("q.base_failed") & ~((F.col("host_verdict") == "block") & (F.col("q.rule_failures") > 0))
+    kept = ~F.col("q.base_failed") & ~((F.col("host_verdict") == "block") & (F.col("q.content_failures") > 0))
     return rows.join(hosts, rows["host"].eqNullSafe(hosts["of_host"])).drop("of_host").withColumn("kept", kept)
 
 
 def op8_host_rules(docs: DataFrame) -> DataFrame:
-    """Contract rows plus rule_failures, host_rate, host_verdict.
+    """Contract rows plus rule_failures, content_failures, host_rate, host_verdict.
 
     NULL text counts as empty (no words: base_failed). Rows without a source form one host of their own.
     Repeated rows are judged each. An empty table gives an empty result."""
@@ -112,7 +121,7 @@ def op8_host_rules(docs: DataFrame) -> DataFrame:
                                quality(F.col("text")).alias("q")), "quality")
     return _judged(facts, host_verdicts(facts)).select(
         "doc_id", "q.n_words", "q.word_chars", "q.n_symbols", "q.n_dup_lines", "q.n_repeat_words",
-        "q.base_failed", "kept", "q.rule_failures", "host_rate", "host_verdict")
+        "q.base_failed", "kept", "q.rule_failures", "q.content_failures", "host_rate", "host_verdict")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
@@ -120,7 +129,11 @@ def keep_good(docs: DataFrame) -> DataFrame:
     the host rates and the verdicts both read them."""
     rows = stored(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                               F.col("source").alias("host"), quality(F.col("text")).alias("q")), "judged")
-    return _judged(rows, host_verdicts(rows)).where("kept").select("row.*")
+    sound = rows.where("not q.base_failed")
+    blocked = host_verdicts(rows).where("host_verdict = 'block'").select(F.col("host").alias("of_host"))
+    doubtful = sound.where("q.content_failures > 0").join(
+        blocked, F.col("host").eqNullSafe(F.col("of_host")), "left_anti")
+    return sound.where("q.content_failures = 0").unionByName(doubtful).select("row.*")
 
 
 ORACLE = r"""
@@ -147,19 +160,25 @@ lines as (
 ), ruled as (
   select *, (n_words < 20 or 100 * n_repeat_words > 30 * n_words) as base_failed,
     cast(100 * n_symbols > 10 * word_chars as int) + cast(word_chars < 2 * n_words or word_chars > 15 * n_words as int)
-    + cast(10 * n_dup_lines > 3 * n_lines as int) + cast(100 * n_repeat_words > 15 * n_words as int) as rule_failures
+    + cast(10 * n_dup_lines > 3 * n_lines as int) + cast(100 * n_repeat_words > 15 * n_words as int) as rule_failures,
+    cast(100 * n_symbols > 10 * word_chars as int)
+    + cast(word_chars < 2 * n_words or word_chars > 15 * n_words as int) as content_failures
   from q
 ), hosts as (
   select source, sum(case when base_failed or rule_failures > 0 then 1 else 0 end) as failed, count(*) as docs
   from ruled group by source
 ), prior as (
-  select m, case when v > 0 then greatest(1e-6, least(1e6, m * (1 - m) / v - 1)) else 1e6 end as s
-  from (select avg(failed / docs) as m, var_pop(failed / docs) as v from hosts)
+  select m, case when m > 0 and m < 1 and e < 1 then
+    1.0 / greatest(1.0 / (1 + 1e6), least(0.999999, (v / (m * (1 - m)) - e) / (1 - e))) - 1 else 1e6 end as s
+  from (select avg(failed / docs) as m, var_pop(failed / docs) as v, avg(1.0 / docs) as e from hosts)
+), rates as (
+  select source, docs, s, round((failed + m * s) / (docs + s), 9) as host_rate from hosts, prior
 ), verdicts as (
-  select source, round((failed + m * s) / (docs + s), 9) as host_rate from hosts, prior
+  select source, host_rate, case when host_rate - 1.645 * sqrt(host_rate * (1 - host_rate) / (docs + s + 1)) > 0.125
+    then 'block' else 'allow' end as host_verdict from rates
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       not base_failed and not (host_rate > 0.5 and rule_failures > 0) as kept, rule_failures, host_rate,
-       case when host_rate > 0.5 then 'block' else 'allow' end as host_verdict
+       not base_failed and not (host_verdict = 'block' and content_failures > 0) as kept, rule_failures,
+       content_failures, host_rate, host_verdict
 from ruled join verdicts on ruled.source is not distinct from verdicts.source
 """

@@ -7,7 +7,7 @@ from subledger.llm import host_quality as H
 from subledger.llm import queries as Q
 from subledger.plans.compare import compare, duckdb_connection
 
-from .conftest import SF
+from .conftest import SF, SF_MID
 
 
 def brute(text):
@@ -23,6 +23,52 @@ def brute(text):
             n < 20 or 100 * len(inside) > 30 * n)
 
 
+def soft_failures(text):
+    """(all soft rules, content rules) that a text fails."""
+    n, chars, symbols, dup, rep, _ = brute(text)
+    lines = sum(1 for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x))
+    content = (100 * symbols > 10 * chars) + (chars < 2 * n or chars > 15 * n)
+    return content + (10 * dup > 3 * lines) + (100 * rep > 15 * n), content
+
+
+def blocked_hosts(rows):
+    """Hosts (of (host, text) rows) whose shrunk rate of failing texts is surely above what is tolerated."""
+    seen = {}
+    for host, text in rows:
+        seen.setdefault(host, []).append(brute(text)[-1] or soft_failures(text)[0] > 0)
+    rates = [sum(x) / len(x) for x in seen.values()]
+    m, e = sum(rates) / len(rates), sum(1 / len(x) for x in seen.values()) / len(rates)
+    v = sum((r - m) ** 2 for r in rates) / len(rates)
+    rho = (v / (m * (1 - m)) - e) / (1 - e) if 0 < m < 1 and e < 1 else 0
+    s = 1 / max(1 / (1 + 1e6), min(0.999999, rho)) - 1
+    out = set()
+    for host, x in seen.items():
+        r = (sum(x) + m * s) / (len(x) + s)
+        if r - 1.645 * (r * (1 - r) / (len(x) + s + 1)) ** 0.5 > 0.125:
+            out.add(host)
+    return out
+
+
+def test_host_verdict_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    rows = docs.collect()
+    blocked = blocked_hosts([(r["source"], r["text"]) for r in rows])
+    got = {r["doc_id"]: r for r in H.op8_host_rules(docs).collect()}
+    assert blocked == {r["source"] for r in rows if got[r["doc_id"]]["host_verdict"] == "block"} != set()
+    assert {r["doc_id"] for r in rows if got[r["doc_id"]]["kept"]} == {
+        r["doc_id"] for r in rows
+        if not brute(r["text"])[-1] and not (r["source"] in blocked and soft_failures(r["text"])[1])}
+
+
+def test_precision_of_what_hosts_reject(spark):
+    """Documents that only their host's verdict rejects are poor ones by their labels."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    quality = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
+    extra = [r["doc_id"] for r in H.op8_host_rules(docs).where("not kept and not base_failed").collect()]
+    told = [quality[i] for i in extra if quality.get(i) is not None]
+    assert len(told) > 100 and told.count(0) >= 0.97 * len(told)
+
+
 def counts(df):
     return [(r["doc_id"], tuple(r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                                "base_failed"))) for r in H.op8_host_rules(df).collect()]
