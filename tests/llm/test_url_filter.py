@@ -54,16 +54,60 @@ def test_pages(spark):
     assert U.op6_url_filter(pages.limit(0)).count() == 0
 
 
-def test_regression_separates_its_table(spark):
-    weights, bias = U.train(spark)
-    rows = [(h, p, 1) for h, p in U.BLOCKED] + [(h, p, 0) for h, p in U.ALLOWED]
-    df = spark.createDataFrame(rows, "host string, path string, y int")
+def test_the_table_holds_no_host_of_the_pages(spark):
+    names = {p for h, _, _ in U.labelled_urls() for p in h.split(".")}
+    for sf in (SF_MID, "/root/testdata/sf0.1"):
+        pages = spark.read.parquet(f"{sf}/pages.parquet").select("url").collect()
+        labels = {p for r in pages for p in brute_parts(r["url"])[0].split(".")} - {
+            "", "com", "net", "org", "info", "www", "m", "blog", "example"}
+        assert labels and not labels & names
+
+
+def test_held_out_part_of_the_table(spark):
+    """A fit on three quarters of the table judges the words and combinations of the rest."""
+    table = U.labelled_urls()
+    assert len(table) > 400 and len({h for h, _, _ in table}) == len(table)
+    weights, bias = U.train(spark, [r for r in table if not U.in_test_part(r[0])])
+    df = spark.createDataFrame([r for r in table if U.in_test_part(r[0])], "host string, path string, y int")
     from pyspark.sql import functions as F
 
     got = df.select("y", U.block_probability(F.col("host"), F.col("path"), weights, bias).alias("p")).collect()
+    assert len(got) > 100 and sum((r["p"] >= 0.5) == r["y"] for r in got) >= 0.9 * len(got)
+    whole = U.train(spark)
+    df = spark.createDataFrame(table, "host string, path string, y int")
+    got = df.select("y", U.block_probability(F.col("host"), F.col("path"), *whole).alias("p")).collect()
     assert sum((r["p"] >= 0.5) == r["y"] for r in got) >= 0.97 * len(got)
 
 
+def test_score_against_brute_force(spark):
+    """n-gram by n-gram with an independent hash."""
+    import math
+
+    import xxhash
+    from pyspark.sql import functions as F
+
+    weights, bias = U.train(spark)
+    rows = [brute_parts(u) for u in URLS]
+    got = spark.createDataFrame(rows, "host string, path string").select(
+        "host", "path", U.block_probability(F.col("host"), F.col("path"), weights, bias).alias("p")).collect()
+    for r in got:
+        text = f"^{r['host']}${r['path']}"
+        grams = {text[i : i + n] for n in U.SIZES for i in range(len(text) - n + 1)}
+        spots = {xxhash.xxh64(g.encode(), seed=42).intdigest() % U.BITS for g in grams}  # 2**64 is a multiple of BITS
+        assert abs(r["p"] - 1 / (1 + math.exp(-bias - sum(weights[b] for b in spots)))) < 1e-9
+
+
+def test_pages_of_kinds_left_out(spark):
+    """Verdicts by the method on the given pages: no host of theirs is in the table."""
+    pages = spark.read.parquet(f"{SF_MID}/pages.parquet")
+    rows = U.op6_url_filter(pages).where("rule is null").collect()
+    kinds = ("casino", "pills", "adult", "spam", "ads-", "bets")
+    bad = [r for r in rows if any(k in r["host"] for k in kinds)]
+    rest = [r for r in rows if not any(k in r["host"] for k in kinds)]
+    assert bad and sum(r["verdict"] == "block" for r in bad) >= 0.6 * len(bad)
+    assert rest and sum(r["verdict"] == "allow" for r in rest) >= 0.9 * len(rest)
+
+
 def test_no_python_in_the_plan(spark):
     pages = spark.read.parquet(f"{SF_MID}/pages.parquet")
     plan = U.op6_url_filter(pages)._jdf.queryExecution().toString()
