@@ -66,22 +66,29 @@ def quality(text: Column) -> Column:
     def counted(w: Column) -> Column:
         return F.struct(F.size(w).cast("long").alias("n_words"), repeated_window_words(w).alias("n_repeat_words"))
 
+    def signs() -> Column:
+        return F.struct(F.length(F.translate(text, BLANKS, "")).cast("long").alias("chars"),
+                        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("symbols"))
+
     def told(c: Column) -> Column:
-        n, chars = c["n_words"], F.length(F.translate(text, BLANKS, "")).cast("long")
-        symbols = (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long")
-        repeat = c["n_repeat_words"]
-        return bind(lines, lambda x: F.struct(
-            n.alias("n_words"), chars.alias("word_chars"), symbols.alias("n_symbols"),
-            (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-            repeat.alias("n_repeat_words"),
-            ((n < 20) | (100 * repeat > 30 * n)).alias("base_failed"),
-            # the soft rules: symbols, word length, repeated lines, repeated runs
-            ((100 * symbols > 10 * chars).cast("int")
-             + ((chars < 2 * n) | (chars > 15 * n)).cast("int")
-             + (10 * (F.size(x) - F.size(F.array_distinct(x))) > 3 * F.size(x)).cast("int")
-             + (100 * repeat > 15 * n).cast("int")).alias("rule_failures"),
-            ((100 * symbols > 10 * chars).cast("int") + ((chars < 2 * n) | (chars > 15 * n)).cast("int"))
-            .alias("content_failures")))
+        n, repeat = c["n_words"], c["n_repeat_words"]
+
+        def ruled(s: Column, x: Column) -> Column:
+            chars, symbols = s["chars"], s["symbols"]
+            repeated_lines = F.size(x) - F.size(F.array_distinct(x))
+            return bind(repeated_lines, lambda dup: F.struct(
+                n.alias("n_words"), chars.alias("word_chars"), symbols.alias("n_symbols"),
+                dup.cast("long").alias("n_dup_lines"), repeat.alias("n_repeat_words"),
+                ((n < 20) | (100 * repeat > 30 * n)).alias("base_failed"),
+                # the soft rules: symbols, word length, repeated lines, repeated runs
+                ((100 * symbols > 10 * chars).cast("int")
+                 + ((chars < 2 * n) | (chars > 15 * n)).cast("int")
+                 + (10 * dup > 3 * F.size(x)).cast("int")
+                 + (100 * repeat > 15 * n).cast("int")).alias("rule_failures"),
+                ((100 * symbols > 10 * chars).cast("int") + ((chars < 2 * n) | (chars > 15 * n)).cast("int"))
+                .alias("content_failures")))
+
+        return bind(signs(), lambda s: bind(lines, lambda x: ruled(s, x)))
 
     return bind(bind(words(text), counted), told)
 
