@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -42,17 +43,24 @@ def _words(text: str) -> list[str]:
     return re.findall(_LETTERS, (text or "").lower())
 
 
+def _stems(text: str) -> set[str]:
+    """The distinct words of a text and their beginnings (``abc*``)."""
+    words = set(_words(text))
+    return words.union(w[:n] + "*" for w in words for n in STEMS if len(w) > n)
+
+
 def mined_stems(texts: list[str], toxic: np.ndarray, most: int = MINED) -> list[str]:
     """Word stems (``abc*``) and whole words tied to the toxic label: in at least 3 toxic texts, with a
     smoothed precision of at least 0.8, strongest first; a stem whose texts a chosen one covers is left out."""
+    bad = set(np.flatnonzero(toxic).tolist())
+    often: Counter = Counter()
+    for i in bad:
+        often.update(_stems(texts[i]))
+    often = {s for s, n in often.items() if n >= 3}  # no other stem can be chosen: only these are kept track of
     where: dict[str, set] = {}
     for i, t in enumerate(texts):
-        for w in set(_words(t)):
-            where.setdefault(w, set()).add(i)
-            for n in STEMS:
-                if len(w) > n:
-                    where.setdefault(w[:n] + "*", set()).add(i)
-    bad = set(np.flatnonzero(toxic).tolist())
+        for s in _stems(t) & often:
+            where.setdefault(s, set()).add(i)
     scored = []
     for s, rows in where.items():
         hits = len(rows & bad)
@@ -153,18 +161,22 @@ def features(run: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return (packed >> np.uint64(20)).astype(np.int64), (packed & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
-def train_linear(rows: np.ndarray, cols: np.ndarray, y: np.ndarray, rounds: int = 200):
-    """Logistic regression on the buckets that the posterior labels make telling; (buckets, weights, bias)."""
+def train_linear(found: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, rounds: int = 200):
+    """Logistic regression on the buckets that the posterior labels make telling; (buckets, weights, bias).
+    ``found`` are runs of (text index, bucket); only the telling ones of a run are laid together."""
     n = len(y)
-    seen = np.bincount(cols, minlength=BUCKETS).astype(float)
-    bad = np.bincount(cols, weights=y[rows], minlength=BUCKETS)
+    seen, bad = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for rows, cols in found:
+        seen += np.bincount(cols, minlength=BUCKETS)
+        bad += np.bincount(cols, weights=y[rows], minlength=BUCKETS)
     base = y.mean()
     z = (bad - seen * base) / np.sqrt(np.maximum(seen * base * (1 - base), 1e-9))
     telling = np.flatnonzero((seen >= 3) & (z >= 4.0) & (bad >= 0.6 * seen))
     place = np.full(BUCKETS, -1)
     place[telling] = np.arange(len(telling))
-    use = place[cols] >= 0
-    r, c = rows[use], place[cols[use]]
+    use = [place[cols] >= 0 for _, cols in found]
+    r = np.concatenate([rows[u] for u, (rows, _) in zip(use, found)])
+    c = np.concatenate([place[cols[u]] for u, (_, cols) in zip(use, found)])
     w, bias = np.zeros(len(telling)), math.log(max(base, 1e-3) / (1 - base))
     mw, mb, vw, vb = np.zeros_like(w), 0.0, np.zeros_like(w), 0.0
     for t in range(1, rounds + 1):  # Adam
@@ -185,12 +197,11 @@ def fit(texts: list[str], toxic: np.ndarray):
     v = votes(texts, stems)
     model = LabelModel(v, toxic)
     y = model.posterior(v)
-    rows, cols = [], []
+    found = []
     for first, part in pieces(texts):
         r, c = features(part)
-        rows.append(r + first)
-        cols.append(c)
-    return stems, model, train_linear(np.concatenate(rows), np.concatenate(cols), y)
+        found.append(((r + first).astype(np.int32), c.astype(np.int32)))
+    return stems, model, train_linear(found, y)
 
 
 def score_texts(texts, linear) -> np.ndarray:
