@@ -1,30 +1,35 @@
 """Operator 4, nearest neighbours: one hierarchical navigable small-world graph per shard.
 
-Vectors are dealt into shards of about SHARD_ROWS by a hash of their id. Each shard's task builds a graph:
+The vectors of one dimension are dealt into shards by a hash of their id. Each shard's task builds a graph:
 levels drawn from a hash (one in LINKS nodes rises a level), neighbours chosen from a beam search by the
 diversity rule, links stored as flat arrays (one row of neighbour slots per node, -1 where free). Nodes are
 inserted in batches whose beam searches run together in numpy. Largest inner product becomes nearness of
 equally long vectors by one added component, sqrt(R^2 - |x|^2), zero for queries.
 
-The index is written once (one row of binary arrays per shard). Queries come in blocks; each (block, shard)
-pair is one row of a join on the shard, searched on its own, and the shards' best are merged by a window per
-query. Equal vectors of a shard are one node (its smallest ids are kept, as many as an answer can hold).
+A dimension of n vectors has ``shard_count`` shards: LEAST_SHARDS up to ROOT_ROWS * LEAST_SHARDS^2 vectors, from
+there the root of n / ROOT_ROWS, so that the number of shards (what a query costs) and their size (what a task
+builds) grow alike; more where a shard would pass SHARD_BYTES.
 
-Memory of a task: one shard's arrays and one block's visited marks. A lost executor rebuilds one shard or
-repeats one pair."""
+The index is written once (one row of binary arrays per shard). A search task reads one copy of one shard, then
+its share of the queries batch by batch; there are PARTS tasks a shard, so the index is copied PARTS times at
+every size and each query once per shard. The shards' best are merged by a window per query. Equal vectors of a
+shard are one node (its smallest ids are kept, as many as an answer can hold).
+
+Memory of a task: one shard's arrays, one Arrow batch of queries and SEEN_BYTES of visited marks. A lost executor
+rebuilds one shard or repeats one task."""
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
 from .textops import mix
 
-SHARD_ROWS, BLOCK_QUERIES = 8192, 1024
-LINKS, BEAM_BUILD, BEAM_SEARCH, BATCH = 16, 64, 128, 256
+LEAST_SHARDS, ROOT_ROWS, SHARD_BYTES, PARTS = 8, 2048, 256 << 20, 4
+LINKS, BEAM_BUILD, BEAM_SEARCH, BATCH, SEEN_BYTES = 16, 64, 128, 256, 64 << 20
 
 
 class Graph:
@@ -167,11 +172,19 @@ class Graph:
         return ids, sims
 
     def search(self, q: np.ndarray, width: int) -> np.ndarray:
-        """Node numbers (rows of -1-padded ids) nearest to each query."""
-        if not len(self.vectors):
-            return np.full((len(q), 1), -1, np.int64)
-        return np.concatenate([self._beam(part, self._descend(part, 0), width, 0)[0]
-                               for part in np.array_split(q, max(1, len(q) // BATCH))])
+        """Node numbers (rows of -1-padded ids) nearest to each query: ``width`` of them, or all nodes where the
+        graph has no more. A query whose beam reaches fewer (points that coincide in single precision may hang
+        apart) is compared with every node."""
+        n = len(self.vectors)
+        if n <= width:
+            return np.tile(np.arange(n), (len(q), 1))
+        found = []
+        for part in np.array_split(q, max(1, -(-len(q) // max(1, min(BATCH, SEEN_BYTES // n))))):
+            ids = self._beam(part, self._descend(part, 0), width, 0)[0]
+            for i in np.flatnonzero((ids < 0).any(axis=1)):
+                ids[i] = np.argpartition(-(self.vectors @ part[i]), width - 1)[:width]
+            found.append(ids)
+        return np.concatenate(found)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -183,12 +196,31 @@ def usable(vectors: DataFrame) -> DataFrame:
             .where(F.coalesce(finite, F.lit(False)) & F.exists("v", lambda x: x != 0)))
 
 
-def build_index(rows: DataFrame, shards: int, keep: int) -> DataFrame:
-    """One row per shard: the distinct vectors, their ids (at most ``keep`` smallest each), the graph."""
+def one_each(rows: DataFrame) -> DataFrame:
+    """``rows`` (vec_id, v) with one row per vec_id: of several, the smallest vector by its components."""
+    again = stored(rows.groupBy("vec_id").agg(F.count("*").alias("n")).where("n > 1").select("vec_id"), "repeated")
+    return rows.join(again, "vec_id", "left_anti").unionByName(
+        rows.join(again, "vec_id", "left_semi").groupBy("vec_id").agg(F.min("v").alias("v")))
+
+
+def shard_count(n: Column, dim: Column, least: int = LEAST_SHARDS) -> Column:
+    """Shards of a dimension that has ``n`` vectors."""
+    return F.greatest(F.lit(least).cast("long"), F.ceil(F.sqrt(n / ROOT_ROWS)),
+                      F.ceil(n * dim * 8 / SHARD_BYTES)).cast("int")
+
+
+def scaled(x: np.ndarray) -> np.ndarray:
+    """``x`` times the power of two that brings its largest component to between a half and one."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(initial=0.0))[1])
+
+
+def build_index(rows: DataFrame, keep: int) -> DataFrame:
+    """One row per (dim, shard) of ``rows`` (vec_id, v, dim, shard): the distinct vectors, their ids (at most
+    ``keep`` smallest each), the graph."""
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("vec_id")
-        x = np.array(frame["v"].tolist(), np.float64)
+        x = np.stack(frame["v"].to_numpy()).astype(np.float64)
         ids = frame["vec_id"].to_numpy(np.int64)
         distinct, node = np.unique(x + 0.0, axis=0, return_inverse=True)
         node = node.reshape(-1)
@@ -196,19 +228,19 @@ def build_index(rows: DataFrame, shards: int, keep: int) -> DataFrame:
         place = np.arange(len(node)) - np.repeat(np.cumsum(np.bincount(node)) - np.bincount(node), np.bincount(node))
         kept = place < keep
         owner, members = node[order][kept], ids[order][kept]
-        norms = np.sqrt((distinct**2).sum(axis=1))
+        unit = scaled(distinct)  # squares of huge components stay finite
+        norms = np.sqrt((unit**2).sum(axis=1))
         r = norms.max()
-        lifted = np.concatenate([distinct, np.sqrt(np.maximum(r * r - norms * norms, 0))[:, None]], axis=1) / r
+        lifted = np.concatenate([unit, np.sqrt(np.maximum(r * r - norms * norms, 0))[:, None]], axis=1) / r
         g = Graph.build(lifted.astype(np.float32))
         return pd.DataFrame([{
-            "shard": int(frame["shard"].iloc[0]), "dim": distinct.shape[1], "nodes": len(distinct),
+            "dim": distinct.shape[1], "shard": int(frame["shard"].iloc[0]), "nodes": len(distinct),
             "vectors": distinct.tobytes(), "lifted": g.vectors.tobytes(), "owner": owner.astype(np.int64).tobytes(),
             "members": members.tobytes(), "level": g.level.astype(np.int64).tobytes(), "entry": g.entry,
             "links": [a.tobytes() for a in g.links]}])
 
-    shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
-    return rows.withColumn("shard", shard).groupBy("shard").applyInPandas(
-        build, "shard int, dim int, nodes long, vectors binary, lifted binary, owner binary, members binary,"
+    return rows.groupBy("dim", "shard").applyInPandas(
+        build, "dim int, shard int, nodes long, vectors binary, lifted binary, owner binary, members binary,"
                " level binary, entry long, links array<binary>")
 
 
@@ -222,22 +254,21 @@ def load_graph(row) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
     return g, x, np.searchsorted(owner, np.arange(n + 1)), members
 
 
-def search_pair(row, k: int, beam: int) -> pd.DataFrame:
-    """The ``k`` nearest of one shard for each query of one block (the query's own row left out)."""
-    graph, x, first, members = load_graph(row)
-    qid = np.frombuffer(row["query_ids"], np.int64)
-    q = np.frombuffer(row["queries"], np.float64).reshape(len(qid), -1)
+def search_shard(loaded, qid: np.ndarray, q: np.ndarray, k: int, beam: int) -> pd.DataFrame:
+    """The ``k`` nearest of one shard for each query (the query's own row left out)."""
+    graph, x, first, members = loaded
     out_q, out_v, out_s = [], [], []
-    found = graph.search(np.concatenate([q, np.zeros((len(q), 1))], axis=1).astype(np.float32), beam)
+    unit = np.stack([scaled(row) for row in q])
+    found = graph.search(np.concatenate([unit, np.zeros((len(q), 1))], axis=1).astype(np.float32), beam)
     for i, nodes in enumerate(found):
-        nodes = nodes[nodes >= 0]
-        scores = (x[nodes] * q[i]).sum(axis=1)
+        with np.errstate(over="ignore", invalid="ignore"):  # products may pass the range of doubles
+            scores = (x[nodes] * q[i]).sum(axis=1)
         count = first[nodes + 1] - first[nodes]
-        ids = np.concatenate([members[first[n] : first[n + 1]] for n in nodes]) if len(nodes) else members[:0]
+        ids = np.concatenate([members[first[n] : first[n + 1]] for n in nodes])
         each = np.repeat(scores, count)
         other = ids != qid[i]
         ids, each = ids[other], each[other]
-        top = np.lexsort((ids, -each))[:k]
+        top = np.lexsort((ids, -each))[:k]  # NaN last
         out_q.append(np.full(len(top), qid[i]))
         out_v.append(ids[top])
         out_s.append(each[top])
@@ -246,39 +277,49 @@ def search_pair(row, k: int, beam: int) -> pd.DataFrame:
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, beam: int = BEAM_SEARCH,
-            shard_rows: int = SHARD_ROWS) -> DataFrame:
+            least_shards: int = LEAST_SHARDS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest of ``vectors`` (vec_id, v) found for each row of
-    ``queries`` (vec_id, v), largest inner product first, ties to the smaller vec_id."""
-    n = vectors.count()
-    shards = max(1, -(-n // shard_rows))
-    index = stored(build_index(vectors, shards, k + 1), "hnsw")
-
-    def block(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates("vec_id")
-        return pd.DataFrame([{"query_ids": frame["vec_id"].to_numpy(np.int64).tobytes(),
-                              "queries": np.array(frame["v"].tolist(), np.float64).tobytes()}])
-
-    blocks = max(1, -(-queries.count() // BLOCK_QUERIES))
-    blocked = (queries.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(blocks)))
-               .groupBy("block").applyInPandas(block, "query_ids binary, queries binary"))
-    pairs = (blocked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-             .join(index, "shard").repartition(min(shards * blocks, 4096), "shard", F.xxhash64("query_ids")))
+    ``queries`` (vec_id, v), largest inner product first, ties to the smaller vec_id; a query meets the vectors
+    of its own dimension. Each vec_id stands once in either table (see ``one_each``)."""
+    sized = vectors.withColumn("dim", F.size("v"))
+    sizes = sized.groupBy("dim").agg(F.count("*").alias("n"))
+    sizes = stored(sizes.select("dim", shard_count(F.col("n"), F.col("dim"), least_shards).alias("shards")), "shards")
+    shard = F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int")
+    index = stored(build_index(sized.join(sizes, "dim").withColumn("shard", shard).drop("shards"), k + 1), "hnsw")
+
+    asked = (queries.select(F.col("vec_id").alias("query_id"), "v", F.size("v").alias("dim")).join(sizes, "dim")
+             .withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).drop("shards")
+             .withColumn("part", F.pmod(F.xxhash64("query_id", F.lit(3)), F.lit(PARTS)).cast("int")))
+    copies = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    tasks = max(1, min(PARTS * (sizes.agg(F.sum("shards")).first()[0] or 0), 4096))
+    place = ["dim", "shard", "part"]
+    dealt = (copies.unionByName(asked, allowMissingColumns=True).repartition(tasks, *place)
+             .sortWithinPartitions(*place, F.col("query_id").asc_nulls_first()))  # a shard, then its queries
 
     def run(batches):
+        at = loaded = None
         for batch in batches:
-            for _, row in batch.iterrows():
-                yield search_pair(row, k, max(beam, k + 1))
-
-    found = pairs.mapInPandas(run, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+            for key, rows in batch.groupby(place, sort=False):
+                if rows["query_id"].isna().iloc[0]:
+                    at, loaded = key, load_graph(rows.iloc[0])
+                    rows = rows.iloc[1:]
+                if len(rows) and key == at:
+                    yield search_shard(loaded, rows["query_id"].to_numpy(np.int64),
+                                       np.stack(rows["v"].to_numpy()).astype(np.float64), k, max(beam, k + 1))
+
+    found = dealt.mapInPandas(run, "query_id long, vec_id long, score double")
+    best = F.when(F.isnan("score"), float("-inf")).otherwise(F.col("score"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(best), "vec_id"))
     return found.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
 
 
 def op4_hnsw(embeddings: DataFrame, k: int = 20) -> DataFrame:
-    """Contract rows; queries: vec_id divisible by 20. Vectors of another dimension than the commonest take no
-    part (a graph holds one dimension). An empty table gives an empty result."""
-    rows = usable(embeddings)
-    dims = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
-    rows = rows.where(F.size("v") == (dims["d"] if dims else 0))
+    """Contract rows; queries: vec_id divisible by 20.
+
+    NULL, empty and zero vectors, vectors that hold a NULL or non-finite component and rows without vec_id take no
+    part. Of rows that share a vec_id the smallest vector counts. A vector has an inner product with those of its
+    own dimension only, so these are its candidates. A product beyond the range of doubles is infinite, as in a
+    plain sum; one that is no number ranks last. An empty table gives an empty result; other columns are ignored."""
+    rows = stored(one_each(usable(embeddings)), "vectors")
     return nearest(rows, rows.where(F.col("vec_id") % 20 == 0), k)
