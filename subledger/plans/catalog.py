@@ -23,18 +23,20 @@ class Query:
     op: str
     build: Callable[..., DataFrame]
     oracle: str | None
+    before: str | None = None  # the oracle sees the tables as they stood before this day
 
     def oracle_sql(self) -> str | None:
-        return with_tables(self.oracle) if self.oracle else None
+        return with_tables(self.oracle, self.before) if self.oracle else None
 
 
 REGISTRY: dict[str, Query] = {}
 
 
-def register(name: str, op: str, build: Callable[..., DataFrame], oracle: str | None = None) -> None:
+def register(name: str, op: str, build: Callable[..., DataFrame], oracle: str | None = None,
+             before: str | None = None) -> None:
     if name in REGISTRY:
         raise ValueError(f"duplicate query {name}")
-    REGISTRY[name] = Query(name, op, build, oracle)
+    REGISTRY[name] = Query(name, op, build, oracle, before)
 
 
 def load_all() -> dict[str, Query]:

@@ -300,13 +300,55 @@ def _needed(body: str) -> list[str]:
     return order
 
 
-def with_tables(body: str) -> str:
-    """Prefix ``body`` (``select ...`` or ``with x as (...) select ...``) with the table CTEs it uses."""
+def _cut(name: str, day: str) -> str:
+    """DuckDB text of a table as it stood before ``day`` (a date literal); the whole table is ``all_<name>``."""
+    at = f"cast({day} as timestamp)"
+    dated = {"customers": f"signup_date < {day}", "payments": f"payment_attempted_at < {at}",
+             "subscription_events": f"event_at < {at}", "marketing_touchpoints": f"touchpoint_at < {at}",
+             "customer_engagement": f"engagement_date < {day}"}
+    if name in dated:
+        return f"select * from all_{name} where {dated[name]}"
+    if name == "subscriptions":
+        return f"""
+select * replace (
+    case when subscription_end_date < {day} then subscription_end_date end as subscription_end_date,
+    case when subscription_end_date is null or subscription_end_date < {day} then end_reason end as end_reason,
+    case when subscription_end_date >= {day} then 'active' else status end as status,
+    case when cancellation_requested_at < {at} then cancellation_requested_at end as cancellation_requested_at)
+from all_subscriptions where subscription_start_date < {day}"""
+    if name == "trials":
+        return f"""
+select * replace (
+    case when actual_end_at < {at} then actual_end_at end as actual_end_at,
+    case when actual_end_at is null or actual_end_at < {at} then converted_subscription_id end as converted_subscription_id,
+    case when actual_end_at >= {at} then 'active' else trial_status end as trial_status)
+from all_trials where trial_started_at < {at}"""
+    return f"""
+select * replace (
+    case when resolved_at < {at} then resolved_at end as resolved_at,
+    case when resolved_at >= {at} then 'open' else resolution_status end as resolution_status)
+from all_support_interactions where interaction_at < {at}"""
+
+
+CUT_TABLES = {"customers", "payments", "subscription_events", "marketing_touchpoints", "customer_engagement",
+              "subscriptions", "trials", "support_interactions"}
+
+
+def with_tables(body: str, before: str | None = None) -> str:
+    """Prefix ``body`` (``select ...`` or ``with x as (...) select ...``) with the table CTEs it uses; with
+    ``before`` (a day) it and the derived views see the tables as they stood before that day."""
     body = body.strip()
     names = _needed(body)
     if not names:
         return body
-    ctes = ",\n".join(f"{n} as (\n{CTES[n][1]}\n)" for n in names)
+    ctes, day = [], f"date '{before}'"
+    for n in names:
+        sql = CTES[n][1]
+        if before and n in CUT_TABLES:
+            ctes += [f"all_{n} as (\n{sql}\n)", f"{n} as (\n{_cut(n, day)}\n)"]
+        else:
+            ctes.append(f"{n} as (\n{sql.replace(AS_OF, day) if before and n.startswith('sf_') else sql}\n)")
+    ctes, body = ",\n".join(ctes), body.replace(AS_OF, day) if before else body
     if re.match(r"(?is)^with\s", body):
         return f"with {ctes},\n{body[4:].lstrip()}"
     return f"with {ctes}\n{body}"
