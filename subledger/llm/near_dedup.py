@@ -349,19 +349,30 @@ def op7_superminhash(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One row of each near-duplicate group: the columns of ``docs``, for the smallest doc_id of the group.
-    Rows that share that doc_id count as copies; the row of the smallest text stays. Rows without words or
-    without doc_id all stay."""
-    found = near_duplicates(docs)
-    # rows to leave out, so that a doc_id that is not among them needs no partner
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    kept = docs.join(gone, docs["doc_id"].cast("long") == F.col("gone_id"), "left_anti")
-    again = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null")
-    again = again.select(F.col("doc_id").alias("again_id"))
-    if again.isEmpty():
-        return kept
-    same = kept["doc_id"] == F.col("again_id")
+    """One row of each near-duplicate group: the columns of ``docs``, for the smallest doc_id of the group and, of
+    rows that share that doc_id, the smallest text. Rows that share a doc_id are linked by their texts alone, as
+    all others. Rows without words or without doc_id all stay.
+
+    A row whose doc_id stands more than once gets a number of its own below all doc_ids, in a written table, so
+    that it is a node of its own."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    one = (kept.join(again, same, "left_semi").select("doc_id", F.coalesce("text", F.lit("")).alias("t"), whole)
-           .groupBy("doc_id").agg(F.min_by("row", "t").alias("row")).select("row.*"))
-    return kept.join(again, same, "left_anti").unionByName(one)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", whole)
+    again = stored(rows.where("doc_id is not null").groupBy(F.col("doc_id").alias("again_id"))
+                   .agg(F.count("*").alias("n")).where("n > 1").select("again_id"), "repeated")
+    if again.isEmpty():
+        gone = near_duplicates(rows).where(~F.col("kept")).select(F.col("doc_id").alias("gone"))
+        return rows.join(gone, F.col("doc_id") == F.col("gone"), "left_anti").select("row.*")
+    same = F.col("doc_id") == F.col("again_id")
+    least = rows.agg(F.min("doc_id")).first()[0]
+    number = F.lit(least) - 1 - F.monotonically_increasing_id()
+    twice = stored(rows.join(again, same, "left_semi").withColumn("id", number), "repeated-rows")
+    rows = rows.join(again, same, "left_anti").withColumn("id", F.col("doc_id")).unionByName(twice)
+    found = stored(near_duplicates(rows.select(F.col("id").alias("doc_id"), "text")).where("n_shingles > 0")
+                   .select(F.col("doc_id").alias("id"), "component_id", "kept"), "grouped")
+    # a group that holds such a row is named by one; its row that stays is chosen anew
+    first = (found.where(F.col("component_id") < least).join(rows.select("id", "doc_id", "text"), "id")
+             .groupBy("component_id").agg(F.min(F.struct("doc_id", "text", "id")).alias("best"))
+             .select(F.col("best.id").alias("stays")))
+    gone = (found.where(~F.col("kept") | (F.col("component_id") < least))
+            .join(first, F.col("id") == F.col("stays"), "left_anti").select(F.col("id").alias("gone")))
+    return rows.join(gone, F.col("id") == F.col("gone"), "left_anti").select("row.*")

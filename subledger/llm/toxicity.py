@@ -217,15 +217,18 @@ def score_texts(texts, linear) -> np.ndarray:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, out_of: tuple[int, int], size: int):
-    """(texts, labels) of at most ``size`` labelled rows that are not held out; smallest hashes first."""
+    """(texts, labels) of at most ``size`` labelled rows that are not held out, each (doc_id, text) once; smallest
+    hashes of doc_id first, then of text."""
     chosen = (labels.where(F.col(column).isNotNull() & F.col("doc_id").isNotNull())
               .where(~held_out(F.col("doc_id"), *out_of))
               .groupBy("doc_id").agg(F.max(column).alias("y"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(size))
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most `size` rows
-            .select(F.coalesce("text", F.lit("")).alias("text"), "y", "doc_id").collect())
-    rows.sort(key=lambda r: (r["doc_id"], r["text"]))
-    return [r["text"] for r in rows], np.array([int(r["y"]) for r in rows], float)
+    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most `size` rows of chosen
+            .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y"))
+    if docs.select("doc_id").join(F.broadcast(chosen), "doc_id").count() > size:  # a doc_id stands more than once
+        rows = rows.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "text").limit(size)
+    rows = sorted({(r["doc_id"], r["text"], int(r["y"])) for r in rows.collect()})
+    return [text for _, text, _ in rows], np.array([y for _, _, y in rows], float)
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame):

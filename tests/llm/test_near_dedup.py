@@ -154,3 +154,20 @@ def test_leftover_pairs_are_told_whatever_bytes_agree(spark, monkeypatch, block)
     keyed = classes.selectExpr("id", "n", "posexplode(bands) as (band, bucket)", "id as component")
     got = {(r["a"], r["b"]) for r in N.rest_pairs(keyed, classes, 80).collect()}
     assert want <= got
+
+
+def test_keep_first_links_rows_that_share_an_id_by_their_texts(spark):
+    """Different clean texts under one doc_id all stay; a copy under a reused id goes alone."""
+    def text(seed):
+        return " ".join(f"w{seed}x{i}" for i in range(40))
+
+    rows = [(7, text(1), "a"), (7, text(2), "b"), (8, text(3), "c"), (9, text(2) + " tail", "d"), (9, text(4), "e"),
+            (10, text(4), "f"), (5, text(5), "g"), (11, text(5), "h"), (11, text(6), "i"), (11, text(6), "j"),
+            (12, "", "k"), (12, None, "l"), (None, text(1), "m"), (None, text(1), "n")]
+    df = spark.createDataFrame([(*r, "x", 0) for r in rows],
+                               "doc_id long, text string, name string, gone string, id int")
+    got = N.keep_first(df)
+    assert got.columns == df.columns
+    kept = {r["name"] for r in got.collect()}
+    assert kept - {"i", "j"} == set("abceg") | set("klmn")  # d is b again, f is e, h is g
+    assert len(kept & {"i", "j"}) == 1

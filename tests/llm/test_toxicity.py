@@ -43,3 +43,17 @@ def test_odd_and_empty(odd_docs, odd_labels, no_docs, labels):
     kept = T.keep_clean(odd_docs, odd_labels)
     assert kept.columns == odd_docs.columns
     assert T.op3_weak_supervision(odd_docs, labels.limit(0)).count() == odd_docs.count()
+
+
+def test_labelled_sample_bounds_rows(spark):
+    """Not only doc_ids: one that stands 500 times with different texts, and equal rows of another."""
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(5, "same")] * 50 + [(3, None)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (5, 0), (3, 0)], "doc_id long, toxic int")
+    known = [r[0] for r in labels.select("doc_id").where(~T.held_out(labels["doc_id"], 4, 2)).collect()]
+    assert len(known) >= 2
+    for size in (2, 10):
+        texts, y = T.labelled_sample(docs, labels, "toxic", (4, 2), size)
+        assert len(texts) == len(y) <= size and len(set(texts)) == len(texts)
+    texts, _ = T.labelled_sample(docs, labels, "toxic", (4, 2), 10_000)
+    assert len(texts) == sum({1: 500, 5: 1, 3: 1}[i] for i in known)
