@@ -7,8 +7,10 @@ pattern shows). Learned filters run over each window, a rectifier follows, every
 response over the text, and a learned combination of these gives one probability.
 
 The network is trained with Adam on at most SAMPLE labelled rows that are not held out (smallest hashes of
-their doc_id), with whole texts; the gradient of a maximum touches one window per filter and text. Scoring is
-one pass over all texts in pieces of bounded size; a text is never cut short, and pieces end at text ends."""
+their doc_id), with whole texts; the gradient of a maximum touches one window per filter and text. Whole texts
+are read in stretches of at most PIECE bytes: a filter's largest response over a text is the largest of its
+stretches, each of which sees the bytes before and after it that its windows and lags reach, so the result does not
+depend on where a stretch ends and memory does not grow with a text beyond its own bytes."""
 
 from __future__ import annotations
 
@@ -25,6 +27,7 @@ SAMPLE = 3000                # labelled rows the network is trained on
 STRIDE, WINDOW, CHANNELS, FILTERS = 8, 16, 8, 32
 LAGS = tuple(range(1, 25))
 PIECE = 400_000              # bytes whose windows are held at once
+BEFORE = 5                   # rows before a window that its self-match channels can see (24 bytes, twice over)
 EPOCHS, GROUP, RATE = 12, 32, 0.01
 CUT = 0.5
 
@@ -53,6 +56,25 @@ def blocks(run: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return flat.reshape(-1, STRIDE), wide / (3 * STRIDE), first
 
 
+def stretches(run: list[bytes]):
+    """Lists of (text, bytes, first row, row after the last) of about PIECE bytes that cover every row of every text
+    once; the bytes reach BEFORE rows back and one row on, where the text does."""
+    step = max(1, PIECE // STRIDE)
+    part, size = [], 0
+    for i, b in enumerate(run):
+        rows = max(1, -(-len(b) // STRIDE))
+        for a in range(0, rows, step):
+            z, lo = min(rows, a + step), max(0, a - BEFORE)
+            cut = b[lo * STRIDE : (z + 1) * STRIDE]
+            if part and size + len(cut) > PIECE:
+                yield part
+                part, size = [], 0
+            part.append((i, cut, a - lo, z - lo))
+            size += len(cut)
+    if part:
+        yield part
+
+
 class Network:
     def __init__(self, seed: int = 5):
         rng = np.random.default_rng(seed)
@@ -69,42 +91,46 @@ class Network:
     PARTS = ("embed", "now", "next", "lag", "bias", "out", "base")
 
     def responses(self, run: list[bytes]):
-        """(rectified maxima per text, window of each maximum, byte rows, match rows)."""
-        rows, match, first = blocks(run)
-        e = self.embed[rows].reshape(len(rows), -1)
-        r = e @ self.now
-        r[:-1] += e[1:] @ self.next
-        r += match @ self.lag
-        r += self.bias
-        stop = np.array([max(1, -(-len(b) // STRIDE)) for b in run]) + first
-        peaks = np.empty((len(run), FILTERS), np.float32)
-        where = np.empty((len(run), FILTERS), np.int64)
-        for i, (a, z) in enumerate(zip(first.tolist(), stop.tolist())):
-            where[i] = r[a:z].argmax(axis=0) + a
-            peaks[i] = r[where[i], np.arange(FILTERS)]
-        return np.maximum(peaks, 0), where, rows, match
+        """(rectified maxima per text; the two byte rows and the match row of the window of each maximum)."""
+        best = np.full((len(run), FILTERS), -np.inf, np.float32)
+        now, after = (np.zeros((len(run), FILTERS, STRIDE), np.uint8) for _ in range(2))
+        lag = np.zeros((len(run), FILTERS, len(LAGS)), np.float32)
+        for part in stretches(run):
+            rows, match, first = blocks([b for _, b, _, _ in part])
+            e = self.embed[rows].reshape(len(rows), -1)
+            r = e @ self.now
+            r[:-1] += e[1:] @ self.next
+            r += match @ self.lag
+            r += self.bias
+            for (i, _, a, z), f in zip(part, first.tolist()):
+                where = r[f + a : f + z].argmax(axis=0) + f + a
+                peak = r[where, np.arange(FILTERS)]
+                new = peak > best[i]
+                where = where[new]
+                best[i, new], now[i, new], lag[i, new] = peak[new], rows[where], match[where]
+                after[i, new] = rows[np.minimum(where + 1, len(rows) - 1)]
+        return np.maximum(best, 0), now, after, lag
 
     def probability(self, run: list[bytes]) -> np.ndarray:
         z = self.responses(run)[0] @ self.out + self.base[0]
         return 1 / (1 + np.exp(-np.clip(z.astype(np.float64), -30, 30)))
 
     def gradients(self, run: list[bytes], y: np.ndarray, weight: np.ndarray) -> dict:
-        h, where, rows, match = self.responses(run)
+        h, now, after, lag = self.responses(run)
         p = 1 / (1 + np.exp(-np.clip(h @ self.out + self.base[0], -30, 30)))
         d = ((p - y) * weight).astype(np.float32) / len(run)
         g = {"out": h.T @ d, "base": np.array([d.sum()], np.float32)}
         back = d[:, None] * self.out * (h > 0)                       # per text and filter
         g["bias"] = back.sum(axis=0)
-        after = np.minimum(where + 1, len(rows) - 1)
-        x0, x1 = self.embed[rows[where]], self.embed[rows[after]]    # (texts, filters, STRIDE, CHANNELS)
+        x0, x1 = self.embed[now], self.embed[after]                  # (texts, filters, STRIDE, CHANNELS)
         n, f = back.shape
         g["now"] = np.einsum("nf,nfk->kf", back, x0.reshape(n, f, -1))
         g["next"] = np.einsum("nf,nfk->kf", back, x1.reshape(n, f, -1))
-        g["lag"] = np.einsum("nf,nfl->lf", back, match[where])
+        g["lag"] = np.einsum("nf,nfl->lf", back, lag)
         embed = np.zeros_like(self.embed)
-        for w, at in ((self.now, where), (self.next, after)):
+        for w, at in ((self.now, now), (self.next, after)):
             per = (back[:, :, None] * w.T[None]).reshape(-1, CHANNELS)
-            np.add.at(embed, rows[at].reshape(-1), per)
+            np.add.at(embed, at.reshape(-1), per)
         embed[0] = 0
         g["embed"] = embed
         return g
@@ -147,8 +173,8 @@ def quality_model(docs: DataFrame, labels: DataFrame) -> Network:
 def op9_byte_cnn(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Contract rows doc_id, held_out, score, predicted.
 
-    NULL and empty texts are one window of zeros. Repeated rows are scored each. An empty table gives an empty
-    result."""
+    NULL and empty texts are one window of zeros. Repeated rows are scored each; other columns, whatever their
+    names, are ignored. An empty table gives an empty result."""
     net = quality_model(docs, labels)
 
     def run(batches):
