@@ -183,15 +183,17 @@ def likely_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
     ``rows`` has key, band, other, side, id, n, component, sig, bands. ``band`` is the band of the key's bucket
     (and ``other`` the second one of a parted bucket, else -1): a pair is told only by the first band (and the
-    second) that it shares, so not once per shared bucket. Shared are bands of equal hashes, as in the buckets: the
-    bytes of ``sig`` agree by chance too, in bands whose buckets part the pair. A key holds at most two blocks of BLOCK rows (sides 0 and 1:
-    compared across only; side -1: within). Sorted partitions are read in batches; only the rows of one key are
+    second) that it shares, so not once per shared bucket. Shared are bands of equal hashes, as in the buckets (the
+    bytes of ``sig`` agree by chance too, in bands whose buckets part the pair), and after them the spare bands of equal
+    bytes, as in the parts. A key holds at most two blocks of BLOCK rows (sides 0 and 1: compared across only; side
+    -1: within). Sorted partitions are read in batches; only the rows of one key are
     held together."""
     t = percent / 100.0
 
     def compare(band, other, ids, n, comp, side, sig, hashes):
         length = sig.shape[1]
         need = int((t - ERRORS * (t * (1 - t) / length) ** 0.5) * length)
+        spare = sig[:, BANDS * ROWS : LENGTH].reshape(len(sig), -1, ROWS)
         out = []
         for i in range(len(ids) - 1):
             r = slice(i + 1, None)
@@ -201,7 +203,7 @@ def likely_pairs(rows: DataFrame, percent: int) -> DataFrame:
             if len(at):
                 at = at[(sig[at] == sig[i]).sum(axis=1) >= need]
             if len(at):
-                shared = hashes[at] == hashes[i]
+                shared = np.concatenate([hashes[at] == hashes[i], (spare[at] == spare[i]).all(axis=2)], axis=1)
                 first = shared.argmax(axis=1) == band[i]
                 if other[i] >= 0:
                     shared[np.arange(len(at)), shared.argmax(axis=1)] = False
@@ -244,16 +246,20 @@ def likely_pairs(rows: DataFrame, percent: int) -> DataFrame:
 def rest_pairs(open_: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Likely pairs of all rows (bucket, band, id, n, component) that hubs have not settled.
 
-    A bucket of more than BLOCK rows is parted by the other bands of its members first: a pair at the threshold
-    also shares another band (it misses all 41 with a probability of 4 in a million), while texts that only
-    share a passage mostly do not. What is still larger is compared block against block."""
+    A bucket of more than BLOCK rows is parted by the other bands of its members first, and by spare bands of the
+    signature values that make no buckets, as they were stored (a byte each). Texts that only share a passage mostly
+    agree in no further band; a pair at the threshold that shares the bucket misses the 41 others and the 42 spare
+    ones with a probability of one in 10^11, so a large bucket finds what a small one does. What is still larger is
+    compared block against block."""
     def sized(rows):
         return rows.join(rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "key")
 
     rows = sized(open_.withColumnRenamed("bucket", "key"))
     few = rows.where(F.col("size") <= BLOCK)
-    many = rows.where(F.col("size") > BLOCK).join(classes.select("id", "bands"), "id")
-    parted = sized(many.select("key", "band", "id", "n", "component", F.posexplode("bands").alias("other", "sub"))
+    spare = F.transform(F.sequence(F.lit(1), F.lit(LENGTH // ROWS - BANDS)), lambda k: F.xxhash64(
+        F.substr("sig", F.lit(BANDS * ROWS + 1) + (k - 1) * ROWS, F.lit(ROWS))))
+    many = rows.where(F.col("size") > BLOCK).join(classes.select("id", F.concat("bands", spare).alias("all")), "id")
+    parted = sized(many.select("key", "band", "id", "n", "component", F.posexplode("all").alias("other", "sub"))
                    .where("other > band")  # the pair's second band; its first is that of the bucket
                    .select(F.xxhash64("key", "sub").alias("key"), "band", "other", "id", "n", "component"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")

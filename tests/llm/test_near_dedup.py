@@ -156,6 +156,28 @@ def test_leftover_pairs_are_told_whatever_bytes_agree(spark, monkeypatch, block)
     assert want <= got
 
 
+@pytest.mark.parametrize("block", [2000, 20])
+def test_one_shared_band_is_enough_in_a_bucket_of_any_size(spark, monkeypatch, block):
+    """Pairs at 0.8 that share one band only, all in one crowded bucket."""
+    monkeypatch.setattr(N, "BLOCK", block)
+    rng = np.random.default_rng(21)
+    pairs, used = 100, N.BANDS * N.ROWS
+    first = rng.integers(0, 2**63, (pairs, N.LENGTH), dtype=np.uint64)
+    differs = rng.random(first.shape) >= 0.8
+    differs[:, :used:N.ROWS] = True                  # every band differs, but for the crowded one
+    second = np.where(differs, rng.integers(0, 2**63, first.shape, dtype=np.uint64), first)
+    values = np.concatenate([first, second])
+    hashes = N.band_hashes(values.view(np.float64), N.BANDS, N.ROWS)
+    hashes[:, 5] = 77
+    short = (N.mix(values) >> np.uint64(56)).astype(np.uint8)
+    rows = [(2 * (k % pairs) + k // pairs, 100, short[k].tobytes(), hashes[k].tolist()) for k in range(2 * pairs)]
+    assert ((hashes[:pairs] == hashes[pairs:]).sum(axis=1) == 1).all()
+    classes = spark.createDataFrame(rows, "id long, n long, sig binary, bands array<long>")
+    keyed = classes.selectExpr("id", "n", "posexplode(bands) as (band, bucket)", "id as component")
+    got = [(r["a"], r["b"]) for r in N.rest_pairs(keyed, classes, 60).collect()]
+    assert sorted(got) == [(2 * i, 2 * i + 1) for i in range(pairs)]
+
+
 def test_keep_first_links_rows_that_share_an_id_by_their_texts(spark):
     """Different clean texts under one doc_id all stay; a copy under a reused id goes alone."""
     def text(seed):
