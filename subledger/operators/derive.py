@@ -368,7 +368,7 @@ def active_owner_months(t, as_of: str | None = None, by: tuple[str, ...] = ()) -
     """Distinct (owner, month[, by...]) active at month end (a partial aggregate dedups before the
     shuffle). ``by`` takes subscription attributes (product_name, billing_frequency, plan_id, ...):
     an owner active in two products in a month counts once in each."""
-    return active_calendar(t, as_of).select("owner_id", "owner_type", "month", *by).distinct()
+    return active_calendar(t, as_of).select(*dict.fromkeys(["owner_id", "owner_type", "month", *by])).distinct()
 
 
 # --------------------------------------------------------------------------- DER-16

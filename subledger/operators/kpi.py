@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import DEFAULT_GRACE_DAYS, c, dbl, money, month, monthly_factor, ratio
 from ..functions.ordering import quantiles
+from ..functions.sketches import LG_K, distinct_sketches, error_bound, rollup_estimates
 from . import derive as D
 
 
@@ -43,6 +44,44 @@ def active_subscribers(t, as_of: str | None = None, by: tuple[str, ...] = ()) ->
             .agg(F.count("*").alias("active_subscribers")))
 
 
+ACTIVE_LEAF = ("month", "product_name", "billing_frequency")
+
+
+def active_subscribers_rollup(t, as_of: str | None = None) -> DataFrame:
+    """KPI-2 per month, product and billing frequency with subtotals; an owner counts once in each cell and in
+    each subtotal (``grouping_level`` 0 leaf, 1 product, 3 month)."""
+    return (D.active_owner_months(t, as_of, ACTIVE_LEAF[1:]).rollup(*ACTIVE_LEAF)
+            .agg(F.countDistinct("owner_id").alias("active_subscribers"),
+                 F.grouping_id().cast("int").alias("grouping_level"))
+            .filter(c("grouping_level") < 7))
+
+
+def active_subscriber_sketches(t, as_of: str | None = None, lg_k: int = LG_K) -> DataFrame:
+    """KPI-2, leaf table of the approximate option: one distinct sketch per month, product and billing frequency,
+    to be stored and united (``functions.sketches``) into any coarser cell or longer period."""
+    return distinct_sketches(D.active_calendar(t, as_of), "owner_id", ACTIVE_LEAF, lg_k)
+
+
+def active_subscribers_approx(t, as_of: str | None = None, lg_k: int = LG_K) -> DataFrame:
+    """KPI-2, approximate distinct: every cell of ``active_subscribers_rollup`` from the leaf sketches, within
+    ``error_bound(lg_k)`` of the exact count."""
+    return rollup_estimates(active_subscriber_sketches(t, as_of, lg_k), ACTIVE_LEAF)
+
+
+def active_subscribers_sketch(t, as_of: str | None = None, lg_k: int = LG_K) -> DataFrame:
+    """KPI-2: the exact rollup with a flag whether the approximate count of the cell keeps its bound."""
+    exact = active_subscribers_rollup(t, as_of)
+    near = active_subscribers_approx(t, as_of, lg_k).select(*[c(k).alias(f"near_{k}") for k in ACTIVE_LEAF],
+                                                            "estimate", c("grouping_level").alias("near_level"))
+    same = c("grouping_level") == c("near_level")
+    for k in ACTIVE_LEAF:
+        same &= c(k).eqNullSafe(c(f"near_{k}"))
+    return exact.join(near, same, "left").select(
+        *ACTIVE_LEAF, "active_subscribers", "grouping_level",
+        F.coalesce(F.abs(c("estimate") - c("active_subscribers")) <= F.lit(error_bound(lg_k)) * c("active_subscribers"),
+                   F.lit(False)).alias("within_bound"))
+
+
 def new_subscribers_by_channel(t) -> DataFrame:
     """KPI-1 by acquisition channel (first touch, DER-11); organisations as 'Organisation'."""
     ch = D.attribution(t).select(c("customer_id").alias("owner_id"), "channel")
@@ -52,20 +91,22 @@ def new_subscribers_by_channel(t) -> DataFrame:
             .agg(F.count("*").alias("new_subscribers")))
 
 
-def paid_subscribers(t, as_of: str | None = None) -> DataFrame:
-    """KPI-3: owners active at month end with at least one successful payment by then."""
-    first_paid = D.revenue_facts(t).groupBy("owner_id").agg(F.min("paid_at").alias("first_paid_at"))
-    am = D.active_owner_months(t, as_of)
-    return (am.join(first_paid, "owner_id")
+def paid_subscribers(t, as_of: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """KPI-3: owners active at month end with at least one successful payment by then (with ``by``: active in the
+    group, and paid for a subscription of the group)."""
+    keys = list(dict.fromkeys(["owner_id", *by]))
+    first_paid = D.revenue_facts(t).groupBy(*keys).agg(F.min("paid_at").alias("first_paid_at"))
+    am = D.active_owner_months(t, as_of, by)
+    return (am.join(first_paid, keys)
             .filter(c("first_paid_at") < F.date_add(F.last_day("month"), 1).cast("timestamp_ntz"))
-            .groupBy("month").agg(F.count("*").alias("paid_subscribers")))
+            .groupBy("month", *by).agg(F.count("*").alias("paid_subscribers")))
 
 
-def subscriber_growth_rate(t, as_of: str | None = None) -> DataFrame:
+def subscriber_growth_rate(t, as_of: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """KPI-4: (active - active previous month) / active previous month."""
-    a = active_subscribers(t, as_of)
-    prev = a.select(_prev_month().alias("month"), c("active_subscribers").alias("previous_active"))
-    return (a.join(prev, "month", "left")
+    a = active_subscribers(t, as_of, by)
+    prev = a.select(_prev_month().alias("month"), *by, c("active_subscribers").alias("previous_active"))
+    return (a.join(prev, ["month", *by], "left")
             .withColumn("growth_rate", ratio(c("active_subscribers") - c("previous_active"), c("previous_active"))))
 
 
@@ -75,9 +116,10 @@ def trial_registrations(t) -> DataFrame:
             .agg(F.count("*").alias("trials")))
 
 
-def trial_to_paid_conversion_rate(t) -> DataFrame:
-    """KPI-6: converted / started by trial start month; the decided rate leaves out still-active trials."""
-    g = t.trials.groupBy(month(c("trial_started_at")).alias("month")).agg(
+def trial_to_paid_conversion_rate(t, by: tuple[str, ...] = ()) -> DataFrame:
+    """KPI-6: converted / started by trial start month (and ``by``: a column of the trials); the decided rate leaves
+    out still-active trials."""
+    g = t.trials.groupBy(month(c("trial_started_at")).alias("month"), *by).agg(
         F.count("*").alias("trials"),
         F.count_if(c("trial_status") == "converted").alias("converted"),
         F.count_if(c("trial_status") != "active").alias("decided"))
@@ -114,10 +156,13 @@ def gross_subscription_revenue(t, by: tuple[str, ...] = ()) -> DataFrame:
             .agg(money(F.sum("amount")).alias("gross_revenue"), F.count("*").alias("payments")))
 
 
-def net_subscription_revenue(t) -> DataFrame:
-    """KPI-9: gross - refunds (no refund data in v1, so 0), plus failed and pending amounts."""
-    p = t.payments
-    return (p.groupBy(month(c("payment_attempted_at")).alias("month"), "currency").agg(
+def net_subscription_revenue(t, by: tuple[str, ...] = ()) -> DataFrame:
+    """KPI-9: gross - refunds (no refund data in v1, so 0), plus failed and pending amounts; ``by`` names
+    attributes of the paid subscription."""
+    p = t.payments.select("subscription_id", "currency", "payment_attempted_at", "payment_status", "amount")
+    if by:
+        p = p.join(D.subscription_facts(t).select("subscription_id", *by), "subscription_id")
+    return (p.groupBy(month(c("payment_attempted_at")).alias("month"), "currency", *by).agg(
         money(F.sum(F.when(c("payment_status") == "successful", c("amount")).otherwise(0))).alias("gross_revenue"),
         money(F.sum(F.when(c("payment_status") == "failed", c("amount")).otherwise(0))).alias("failed_amount"),
         money(F.sum(F.when(c("payment_status") == "pending", c("amount")).otherwise(0))).alias("pending_amount"))
@@ -174,14 +219,14 @@ def annual_recurring_revenue(t, as_of: str | None = None, by: tuple[str, ...] =
     return _mrr_by(t, keys, as_of).select(*keys, dbl(c("mrr_raw") * 12, 2).alias("arr"))
 
 
-def average_revenue_per_user(t, as_of: str | None = None) -> DataFrame:
-    """KPI-15: revenue / owners active on any day of the month."""
-    act = (D.active_any_day(t, as_of).select("owner_id", "month", "currency").distinct()
-           .groupBy("month", "currency").agg(F.count("*").alias("active_owners")))
-    rev = D.revenue_facts(t).groupBy("month", "currency").agg(F.sum("amount").alias("revenue"))
-    return (act.join(rev, ["month", "currency"], "left")
-            .select("month", "currency", "active_owners",
-                    money(F.coalesce(c("revenue"), F.lit(0))).alias("revenue"))
+def average_revenue_per_user(t, as_of: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """KPI-15: revenue / owners active on any day of the month (both of the ``by`` group when given)."""
+    keys = ["month", "currency", *by]
+    act = (D.active_any_day(t, as_of).select("owner_id", *keys).distinct()
+           .groupBy(*keys).agg(F.count("*").alias("active_owners")))
+    rev = D.revenue_facts(t).groupBy(*keys).agg(F.sum("amount").alias("revenue"))
+    return (act.join(rev, keys, "left")
+            .select(*keys, "active_owners", money(F.coalesce(c("revenue"), F.lit(0))).alias("revenue"))
             .withColumn("arpu", ratio(c("revenue"), c("active_owners"))))
 
 
@@ -252,18 +297,19 @@ def churn_rate(t, as_of: str | None = None, by: tuple[str, ...] = ()) -> DataFra
     return _churn_rate(t, as_of, by=by)
 
 
-def voluntary_churn_rate(t, as_of: str | None = None) -> DataFrame:
+def voluntary_churn_rate(t, as_of: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """KPI-20: churn rate counting voluntary churn only."""
-    return _churn_rate(t, as_of, c("churn_type") == "Voluntary")
+    return _churn_rate(t, as_of, c("churn_type") == "Voluntary", by=by)
 
 
-def involuntary_churn_rate(t, as_of: str | None = None) -> DataFrame:
+def involuntary_churn_rate(t, as_of: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """KPI-21: involuntary (payment failure) churn rate, with expiry churn reported beside it."""
-    inv = _churn_rate(t, as_of, c("churn_type") == "Involuntary")
-    exp = _churn_rate(t, as_of, c("churn_type") == "Expiry / Non-renewal").select(
-        "month", c("churned").alias("expiry_churned"), c("churn_rate").alias("expiry_churn_rate"))
-    return inv.join(exp, "month", "full").select(
-        "month", "active_at_start", "churned", "churn_rate", "expiry_churned", "expiry_churn_rate")
+    keys = ["month", *by]
+    inv = _churn_rate(t, as_of, c("churn_type") == "Involuntary", by=by)
+    exp = _churn_rate(t, as_of, c("churn_type") == "Expiry / Non-renewal", by=by).select(
+        *keys, c("churned").alias("expiry_churned"), c("churn_rate").alias("expiry_churn_rate"))
+    return inv.join(exp, keys, "full").select(
+        *keys, "active_at_start", "churned", "churn_rate", "expiry_churned", "expiry_churn_rate")
 
 
 def cohort_retention(t, as_of: str | None = None) -> DataFrame:
@@ -303,12 +349,13 @@ def revenue_per_customer(t) -> DataFrame:
             .withColumn("revenue_per_customer", ratio(c("revenue"), c("owners"), 2)))
 
 
-def average_subscription_duration(t, as_of: str | None = None) -> DataFrame:
+def average_subscription_duration(t, as_of: str | None = None,
+                                  by: tuple[str, ...] = ("billing_frequency",)) -> DataFrame:
     """KPI-26: mean duration in days of ended subscriptions, and of all (open ones end at ``as_of``)."""
     a = F.lit(as_of or t.as_of).cast("date")
     s = D.subscription_facts(t).filter(c("start_date") < a)
     days = F.datediff(F.coalesce(c("end_date"), a), c("start_date"))
-    return s.groupBy("billing_frequency").agg(
+    return s.groupBy(*by).agg(
         F.count("end_date").alias("ended_subscriptions"),
         dbl(F.avg(F.when(c("end_date").isNotNull(), days)), 4).alias("avg_ended_days"),
         F.count("*").alias("all_subscriptions"), dbl(F.avg(days), 4).alias("avg_all_days"))
@@ -336,10 +383,11 @@ def downgrade_rate(t, as_of: str | None = None) -> DataFrame:
     return _move_rate(t, "downgrade", as_of)
 
 
-def reactivation_rate(t, as_of: str | None = None) -> DataFrame:
-    """KPI-29: by churn month, churned owners that later started again / churned owners."""
+def reactivation_rate(t, as_of: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """KPI-29: by churn month (and attributes of the churned subscription), churned owners that later started
+    again / churned owners."""
     r = reactivations(t, as_of)
-    return (r.groupBy("churn_month").agg(
+    return (r.groupBy("churn_month", *by).agg(
         F.countDistinct("owner_id").alias("churned_owners"),
         F.countDistinct(F.when(c("next_start").isNotNull(), c("owner_id"))).alias("reactivated_owners"))
         .withColumn("reactivation_rate", ratio(c("reactivated_owners"), c("churned_owners"))))

@@ -238,3 +238,86 @@ register("gross_revenue_as_of_2023_07", "KPI-8",
          lambda t: K.gross_subscription_revenue(t.before("2023-07-01")), """
 select month, currency, cast(sum(amount) as decimal(18,2)) as gross_revenue, count(*) as payments
 from sf_rev where paid_at < timestamp '2023-07-01' group by 1, 2""")
+
+ACTIVE_ROLLUP = """
+select month, product_name, billing_frequency, count(distinct owner_id) as active_subscribers,
+       cast(grouping(month, product_name, billing_frequency) as integer) as grouping_level
+from sf_cal
+group by grouping sets ((month, product_name, billing_frequency), (month, product_name), (month))"""
+
+register("active_subscribers_rollup", "KPI-2", K.active_subscribers_rollup, ACTIVE_ROLLUP)
+register("active_subscribers_sketch", "KPI-2", K.active_subscribers_sketch,
+         f"select *, true as within_bound from ({ACTIVE_ROLLUP}) g")
+
+register("paid_subscribers_by_product", "KPI-3", lambda t: K.paid_subscribers(t, by=("product_name",)), """
+select m.month, m.product_name, count(distinct m.owner_id) as paid_subscribers
+from sf_cal m
+where exists (select 1 from sf_rev p where p.owner_id = m.owner_id and p.product_name = m.product_name
+                and p.paid_at < cast(last_day(m.month) + 1 as timestamp))
+group by 1, 2""")
+
+register("subscriber_growth_by_owner_type", "KPI-4", lambda t: K.subscriber_growth_rate(t, by=("owner_type",)), f"""
+with a as (select month, owner_type, count(*) as active_subscribers from sf_owner_months group by 1, 2)
+select a.month, a.owner_type, a.active_subscribers, p.active_subscribers as previous_active,
+       {rate('a.active_subscribers - p.active_subscribers', 'p.active_subscribers')} as growth_rate
+from a left join a p on p.owner_type = a.owner_type and p.month = {PREV.format('a.month')}""")
+
+register("trial_conversion_by_product", "KPI-6",
+         lambda t: K.trial_to_paid_conversion_rate(t, by=("product_id",)), f"""
+select *, {rate('converted', 'trials')} as conversion_rate, {rate('converted', 'decided')} as decided_conversion_rate
+from (select {M.format('trial_started_at')} as month, product_id, count(*) as trials,
+             sum(case when trial_status = 'converted' then 1 else 0 end)::bigint as converted,
+             sum(case when trial_status = 'active' then 0 else 1 end)::bigint as decided
+      from trials group by 1, 2) g""")
+
+register("net_revenue_by_product", "KPI-9", lambda t: K.net_subscription_revenue(t, by=("product_name",)), f"""
+select month, currency, product_name, gross_revenue, failed_amount, pending_amount,
+       cast(0 as decimal(18,2)) as refunds, gross_revenue as net_revenue
+from (select {M.format('p.payment_attempted_at')} as month, p.currency, s.product_name,
+             cast(sum(case p.payment_status when 'successful' then p.amount else 0 end) as decimal(18,2)) as gross_revenue,
+             cast(sum(case p.payment_status when 'failed' then p.amount else 0 end) as decimal(18,2)) as failed_amount,
+             cast(sum(case p.payment_status when 'pending' then p.amount else 0 end) as decimal(18,2)) as pending_amount
+      from payments p join sf_subs s on s.subscription_id = p.subscription_id group by 1, 2, 3) g""")
+
+register("arpu_by_product", "KPI-15", lambda t: K.average_revenue_per_user(t, by=("product_name",)), f"""
+select a.month, a.currency, a.product_name, a.active_owners,
+       cast(coalesce(r.revenue, 0) as decimal(18,2)) as revenue,
+       {rate('coalesce(r.revenue, 0)', 'a.active_owners')} as arpu
+from (select month, currency, product_name, count(distinct owner_id) as active_owners from sf_cal_any group by 1, 2, 3) a
+left join (select month, currency, product_name, sum(amount) as revenue from sf_rev group by 1, 2, 3) r
+  on r.month = a.month and r.currency = a.currency and r.product_name = a.product_name""")
+
+
+def typed_churn_by_sql(key: str, churn_type: str) -> str:
+    """Churn of one type per month and ``key``: cells with owners at month start or with a churn."""
+    return f"""
+select coalesce(b.month, c.month) as month, coalesce(b.{key}, c.{key}) as {key}, coalesce(b.n, 0) as active_at_start,
+       coalesce(c.n, 0) as churned, {rate('coalesce(c.n, 0)', 'coalesce(b.n, 0)')} as churn_rate
+from (select cast(month + interval 1 month as date) as month, {key}, count(distinct owner_id) as n
+      from sf_cal group by 1, 2) b
+full join (select churn_month as month, {key}, count(distinct owner_id) as n
+           from sf_churn where churn_type = '{churn_type}' group by 1, 2) c on b.month = c.month and b.{key} = c.{key}
+where coalesce(b.month, c.month) < {OPEN_MONTH}"""
+
+
+register("voluntary_churn_by_frequency", "KPI-20", lambda t: K.voluntary_churn_rate(t, by=("billing_frequency",)),
+         typed_churn_by_sql("billing_frequency", "Voluntary"))
+register("involuntary_churn_by_product", "KPI-21", lambda t: K.involuntary_churn_rate(t, by=("product_name",)), f"""
+select coalesce(i.month, x.month) as month, coalesce(i.product_name, x.product_name) as product_name,
+       i.active_at_start, i.churned, i.churn_rate, x.churned as expiry_churned, x.churn_rate as expiry_churn_rate
+from ({typed_churn_by_sql("product_name", "Involuntary")}) i
+full join ({typed_churn_by_sql("product_name", "Expiry / Non-renewal")}) x
+  on i.month = x.month and i.product_name = x.product_name""")
+
+register("subscription_duration_by_product", "KPI-26",
+         lambda t: K.average_subscription_duration(t, by=("product_name",)), f"""
+select product_name, count(end_date) as ended_subscriptions,
+       round(avg(case when end_date is not null then end_date - start_date end), 4) as avg_ended_days,
+       count(*) as all_subscriptions, round(avg(coalesce(end_date, {AS_OF}) - start_date), 4) as avg_all_days
+from sf_subs where start_date < {AS_OF} group by product_name""")
+
+register("reactivation_rate_by_product", "KPI-29", lambda t: K.reactivation_rate(t, by=("product_name",)), f"""
+select *, {rate('reactivated_owners', 'churned_owners')} as reactivation_rate
+from (select churn_month, product_name, count(distinct owner_id) as churned_owners,
+             count(distinct case when next_start is not null then owner_id end) as reactivated_owners
+      from ({REACT}) x group by 1, 2) g""")
