@@ -109,3 +109,21 @@ def test_nulls_repeated_keys_and_moved_values(spark):
                    "e": ("change", 1, 2, None)}
     assert changed_keys(old, old.repartition(3), "k").count() == 0
     assert changed_keys(old.limit(0), new.limit(0), "k").count() == 0
+
+
+def test_registered_rewritten_rule_compares_two_different_loads(spark, small):
+    from datetime import datetime
+
+    from subledger.plans.catalog import load_all
+
+    day = small.as_of  # 2024-02-01: the earlier load ends on 2024-01-02, its last two days are pending
+    rows = small.payments.limit(4).collect()
+    assert day == "2024-02-01" and len(rows) == 4
+    times = [datetime(2023, 12, 31, 9), datetime(2024, 1, 1, 9), datetime(2024, 1, 2, 9), datetime(2023, 12, 30, 9)]
+    state = ["successful", "pending", "failed", "failed"]
+    made = [{**r.asDict(), "payment_id": f"P{i}", "payment_attempted_at": times[i], "payment_status": state[i]}
+            for i, r in enumerate(rows)]
+    t = small.with_tables(payments=spark.createDataFrame([tuple(m[c] for c in small.payments.columns) for m in made],
+                                                         small.payments.schema))
+    got = load_all()["payment_status_rewritten"].build(t).collect()
+    assert [tuple(r) for r in got] == [("P0", 2)]
