@@ -127,3 +127,14 @@ def test_registered_rewritten_rule_compares_two_different_loads(spark, small):
                                                          small.payments.schema))
     got = load_all()["payment_status_rewritten"].build(t).collect()
     assert [tuple(r) for r in got] == [("P0", 2)]
+
+
+def test_registered_deleted_plans_rule_finds_plans_no_longer_sold(spark, small):
+    from subledger.plans.catalog import load_all
+
+    day = F.when(F.col("plan_id") == "PLN004", F.lit("2022-01-01")).otherwise(F.lit("2023-12-01")).cast("date")
+    subs = small.subscriptions.where("plan_id <> 'PLN003'").withColumn("subscription_start_date", day)
+    got = load_all()["deleted_plans"].build(small.with_tables(subscriptions=subs)).collect()
+    sold = {r[0] for r in subs.where("plan_id <> 'PLN004'").select("plan_id").distinct().collect()}
+    assert {r["plan_id"] for r in got} == {r[0] for r in small.plans.select("plan_id").collect()} - sold
+    assert {"PLN003", "PLN004"} <= {r["plan_id"] for r in got}
