@@ -25,7 +25,8 @@ from ..sources.schemas import TABLES
 ROW = "__row"
 HASHES = 4
 WORD_BITS = 63            # the sign bit of a long is left alone
-MAX_WORDS = 4_000_000     # of a filter: 32 MB as an array in a task
+SEGMENT = 1024            # words that one key's bits lie in
+MAX_WORDS = 4_000_000     # of a filter: 32 MB, broadcast as arrays of a segment each
 
 
 def keys_of(table: str) -> dict[str, tuple[str, ...]]:
@@ -56,9 +57,18 @@ class KeyFilter:
 
     @staticmethod
     def _spots(columns: tuple[str, ...], words: int) -> list[Column]:
-        return [F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in columns]), F.lit(words * WORD_BITS))
+        """The bits of a key: all in its segment, whose last one may be shorter."""
+        first = KeyFilter._segment(columns, words) * SEGMENT
+        bits = F.least(F.lit(SEGMENT).cast("long"), F.lit(words) - first) * WORD_BITS
+        return [first * WORD_BITS + F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in columns]), bits)
                 for seed in range(HASHES)]
 
+    @staticmethod
+    def _segment(columns: tuple[str, ...], words: int) -> Column:
+        """The key's segment, in proportion to the words it holds."""
+        spot = F.pmod(F.xxhash64(F.lit(HASHES), *[F.col(c) for c in columns]), F.lit(words).cast("long"))
+        return F.floor(spot / SEGMENT)
+
     @classmethod
     def of(cls, rows: DataFrame, columns: tuple[str, ...], words: int) -> "KeyFilter":
         spots = rows.where(_filled(columns)).select(F.explode(F.array(*cls._spots(columns, words))).alias("spot"))
@@ -76,13 +86,17 @@ class KeyFilter:
     def may_hold(self, rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
         """The rows whose key may be in the filter; the others surely are not.
 
-        The filter enters as one array (``words`` longs, its size is set when it is made), looked up in the scan."""
-        array = self.table.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))),
-                                           lambda x: x["bits"]).alias("a")).scalar()
+        All spots of a key lie in one segment of the filter, so a row meets one short array (``SEGMENT`` words) by a
+        join; neither a task nor the driver puts the words of the whole filter into one value."""
+        in_part = F.struct((F.col("word") % SEGMENT).alias("at"), "bits")
+        parts = (self.table.groupBy(F.floor(F.col("word") / SEGMENT).alias("__part"))
+                 .agg(F.transform(F.array_sort(F.collect_list(in_part)), lambda x: x["bits"]).alias("__words")))
+        found = rows.where(_filled(columns)).withColumn("__at", self._segment(columns, self.words)).join(
+            F.broadcast(parts), F.col("__at") == F.col("__part"))
         hit = reduce(lambda a, b: a & b, [
-            F.get(array, F.floor(s / WORD_BITS).cast("int")).bitwiseAND(_bit(s)) != 0
-            for s in self._spots(columns, self.words)])
-        return rows.where(_filled(columns) & hit)
+            F.get("__words", F.floor((s - F.col("__part") * (SEGMENT * WORD_BITS)) / WORD_BITS).cast("int"))
+            .bitwiseAND(_bit(s)) != 0 for s in self._spots(columns, self.words)])
+        return found.where(hit).select(*[F.col(f"`{c}`") for c in rows.columns])
 
 
 def stored_hits(batch: DataFrame, stored: DataFrame, columns: tuple[str, ...], known: KeyFilter | None = None) -> DataFrame:

@@ -72,7 +72,7 @@ def start_ingest(spark: SparkSession, table: str, source_dir: str, target_dir: s
     reader = spark.readStream.schema(TABLES[table].schema)
     stream = reader.option("header", True).csv(source_dir) if fmt == "csv" else reader.parquet(source_dir)
 
-    filter_dir = os.path.join(ckpt, "key-filters")
+    filter_dir = os.path.join(ckpt, "key-segments")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         with scratch_scope():

@@ -116,3 +116,16 @@ def test_stored_tables_take_the_batch(spark, pay):
     stored = pay.with_tables(plans=io.read_table(spark, "plans", d))
     got = {r["rule"]: r["rows"] for r in K.load_rejections(pay, stored, "plans").collect()}
     assert got == {"pk_plans": 18, "uq_plans_plan_name": 18, None: 0}
+
+
+def test_filter_is_looked_up_by_segments_not_as_one_array(spark):
+    """A filter of several segments, the last one shorter, finds its keys without a scalar sub-query of all words."""
+    held = spark.range(4000).select(F.concat(F.lit("k"), "id").alias("a"))
+    words = 2 * K.SEGMENT + 100
+    f = K.KeyFilter.of(held, ("a",), words)
+    found = f.may_hold(held.unionByName(spark.range(4000).select(F.concat(F.lit("x"), "id").alias("a"))), ("a",))
+    assert "ubquery" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = [r["a"] for r in found.collect()]
+    assert sum(a.startswith("k") for a in got) == 4000 and len(got) < 4000 + 200
+    top = f.table.where("bits <> 0").agg(F.max("word"), F.countDistinct(F.floor(F.col("word") / K.SEGMENT))).first()
+    assert top[0] < words and top[1] == 3
