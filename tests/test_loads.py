@@ -138,3 +138,47 @@ def test_registered_deleted_plans_rule_finds_plans_no_longer_sold(spark, small):
     sold = {r[0] for r in subs.where("plan_id <> 'PLN004'").select("plan_id").distinct().collect()}
     assert {r["plan_id"] for r in got} == {r[0] for r in small.plans.select("plan_id").collect()} - sold
     assert {"PLN003", "PLN004"} <= {r["plan_id"] for r in got}
+
+
+def test_tables_are_written_when_first_read(spark):
+    from subledger.sources import fixtures as X
+
+    X._CACHE.clear()
+    t = X.tables(spark, "/root/testdata/sf0.001")
+    (_, store), = X._CACHE.values()
+    earlier = t.before("2023-07-01")
+    assert store.written == []
+    assert earlier.subscriptions.count() < t.subscriptions.count()
+    assert {p.rsplit("/", 1)[1] for p in store.written} == {"_helper_sub_end", "subscriptions"}
+    assert X.tables(spark, "/root/testdata/sf0.001") is t
+
+
+def test_two_loads_hold_the_named_tables_only(spark, small):
+    from subledger.plans.q_rules import two_loads
+
+    s = two_loads(small, "payments")
+    for load in ("earlier", "later"):
+        assert {r["table_name"] for r in s.manifest(load).collect()} == {"payments"}
+    moves = {(r["earlier_status"], r["later_status"]): r["payments"]
+             for r in RU.payment_status_transitions(s, "earlier", "later").collect()}
+    assert sum(moves.values()) == small.payments.count() and (None, "successful") in moves
+
+
+@pytest.mark.parametrize("again", [False, True])
+def test_ends_of_subscriptions_with_unique_and_repeated_order_keys(spark, again):
+    """Two orders of one owner; with a repeated key each of its two rows meets both neighbours of the key."""
+    from subledger.sources.fixtures import Tables
+
+    rows = [(3, 1, "O", "1995-01-01"), (4, 1, "O", "1995-01-02")] + ([(4, 1, "O", "1995-01-02")] if again else [])
+    orders = spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate string")
+    t = Tables(spark, "/nowhere")
+    t.raw = lambda name: orders
+    got = sorted((r["o_orderkey"], r["prev_key"], r["prev_end_reason"], r["next_key"]) for r in t.sub_end.select(
+        "o_orderkey", "prev_key", "prev_end_reason", "next_key").na.fill(-1).na.fill("").collect())
+    assert got[0] == (3, -1, "", 4)
+    if again:
+        assert len(got) > 3
+    else:
+        plan = t.sub_end._jdf.queryExecution().optimizedPlan().toString()
+        assert got[1][:2] == (4, 3) and got[1][3] == -1 and len(got) == 2
+        assert plan.count("Join") == 2  # both of the partition edges; rows meet no other rows
